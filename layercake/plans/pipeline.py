@@ -1,0 +1,127 @@
+"""Whole-layer chains (C4 batch, C5 incremental).
+
+``run_batch`` wires raw tables -> cleaned tables -> star tables -> reports ->
+masked customer view as lazy DataFrames; nothing runs until the caller
+publishes (writes) them. Independent tables are independent plans, so the
+caller may write them concurrently. ``publish_all`` writes every output
+table, which also cuts lineage between layers (each layer re-reads the
+written table), so a lost executor only recomputes from the last layer.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from layercake.operators.governance import CUSTOMER_COLUMN_METADATA, classify_columns, mask_columns
+from layercake.plans.catalog import RAW_SCHEMAS, SPECS, raw_table_name
+from layercake.plans.checks import Overlap, Reference, Suite, VersionMatch, quality_report
+from layercake.plans.reports import LayerPair, layer_report, profile_report
+from layercake.plans.spec import clean
+from layercake.plans.star import build_fact, customer_dimension, product_dimension
+from layercake.streaming.ingest import ingest_increment, read_sink
+
+# Checks of the three star tables.
+STAR_SUITES = {
+    "gold_dim_customers": Suite(
+        keys=("customer_id",),
+        secondary_keys=(("customer_key",),),
+        required=("customer_id", "customer_key", "firstname", "lastname", "marital_status", "gender", "country",
+                  "birth_date", "creation_date"),
+        rules={"future_birth_date": lambda as_of: F.col("birth_date") > as_of},
+    ),
+    "gold_dim_product": Suite(
+        keys=("product_id",),
+        secondary_keys=(("product_key", "start_date"),),
+        required=("product_id", "product_key", "product_name", "cost", "product_line", "start_date", "category_id",
+                  "category", "subcategory", "maintenance"),
+        rules={
+            "negative_cost": "cost < 0",
+            "invalid_date_range": "end_date IS NOT NULL AND end_date < start_date",
+        },
+        overlaps=(Overlap("product_key", "start_date", "end_date", name="product_validity_overlap", tie=("product_id",)),),
+    ),
+    "gold_fact_sales": Suite(
+        keys=("order_number", "product_key"),
+        required=("order_number", "product_key", "customer_id", "order_date", "ship_date", "due_date",
+                  "sales_amount", "quantity", "price"),
+        rules={
+            "negative_sales_amount": "sales_amount < 0",
+            "non_positive_quantity": "quantity <= 0",
+            "negative_price": "price < 0",
+            "ship_before_order": "ship_date IS NOT NULL AND order_date IS NOT NULL AND ship_date < order_date",
+            "due_before_order": "due_date IS NOT NULL AND order_date IS NOT NULL AND due_date < order_date",
+        },
+        references=(
+            Reference("customer_id", "gold_dim_customers", name="customer_referential_integrity"),
+            Reference("product_key", "gold_dim_product", name="product_referential_integrity"),
+        ),
+        versions=(
+            VersionMatch("product_key", "order_date", "gold_dim_product", "start_date", "end_date",
+                         name="historical_product_version_match"),
+        ),
+    ),
+}
+
+
+def run_batch(
+    raw: Mapping[str, DataFrame],
+    as_of=None,
+    owners: Sequence[str] = (),
+    principal=None,
+) -> dict[str, DataFrame]:
+    """All layers from raw source DataFrames keyed by source name (C4)."""
+    out: dict[str, DataFrame] = {}
+    raw_tables = {raw_table_name(s): df for s, df in raw.items()}
+    out.update(raw_tables)
+    out["diagnostics_bronze"] = profile_report(raw_tables, prefix="bronze_")
+    pairs = []
+    for source, df in raw.items():
+        spec = SPECS[source]
+        cleaned = clean(df, spec, as_of)
+        out[spec.target] = cleaned
+        pairs.append(LayerPair(raw_table_name(source), df, spec.target, cleaned, spec.renamed_keys()))
+    out["silver_diagnostics"] = layer_report(pairs)
+    if {"silver_customer_info", "silver_customer_demographics", "silver_customer_location"} <= out.keys():
+        dim = customer_dimension(
+            out["silver_customer_info"], out["silver_customer_demographics"], out["silver_customer_location"]
+        )
+        out["gold_dim_customers"] = classify_columns(dim, CUSTOMER_COLUMN_METADATA)
+        out["gold_dim_customers_secure"] = mask_columns(out["gold_dim_customers"], owners=owners, principal=principal)
+    if {"silver_product_info", "silver_product_category"} <= out.keys():
+        out["gold_dim_product"] = product_dimension(out["silver_product_info"], out["silver_product_category"])
+    if "silver_sales_details" in out:
+        out["gold_fact_sales"] = build_fact(out["silver_sales_details"])
+    gold = {name: out.get(name) for name in STAR_SUITES}
+    out["diagnostic_gold"] = quality_report(gold, STAR_SUITES, as_of=as_of)
+    return out
+
+
+def publish_all(outputs: Mapping[str, DataFrame], database: str | None = None) -> list[str]:
+    """Write every output as a table (views such as the secure one included)."""
+    from layercake.sources.sinks import publish_table
+
+    written = []
+    for name, df in outputs.items():
+        target = f"{database}.{name}" if database else name
+        written.append(publish_table(df, target))
+    return written
+
+
+def run_increment(
+    spark: SparkSession,
+    landing: Mapping[str, str],
+    sinks: Mapping[str, str],
+    as_of=None,
+    owners: Sequence[str] = (),
+) -> tuple[dict[str, int], dict[str, DataFrame]]:
+    """Append new landing files per source, then recompute every layer over
+    the full appended raw tables (C5). Returns new-row counts and outputs."""
+    counts = {}
+    raw = {}
+    for source, folder in landing.items():
+        counts[source] = ingest_increment(spark, folder, RAW_SCHEMAS[source], sinks[source])
+        raw[source] = read_sink(spark, sinks[source], RAW_SCHEMAS[source])
+    return counts, run_batch(raw, as_of=as_of, owners=owners)
