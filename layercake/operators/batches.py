@@ -9,20 +9,21 @@ with one row per partition, so its size is bounded by the partition count,
 not by the data, and broadcasting it is safe.
 
 Range bounds are sampled per execution, so the locally numbered rows are
-materialised once with a reliable ``checkpoint()`` (in the session's
-``spark.checkpoint.dir``): the counts and the rows then come from the same
-files, and a lost executor cannot change the numbering.
+written once as a table under the session's ``spark.checkpoint.dir`` and
+read back: the counts and the rows then come from the same files, and a lost
+executor cannot change the numbering.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layercake.functions.columns import c
 from layercake.operators.rules import require_columns
+from layercake.session import materialize
 
 ROW_NUMBER = "row_number"
 BATCH_ID = "batch_id"
@@ -57,7 +58,7 @@ def global_row_number(
             (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))).alias(_LOCAL),
         )
     )
-    ranged = checkpointed(ranged)
+    ranged = materialize(ranged, "numbered")
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     # exclusive running sum over at most `n` rows (one per partition)
     offsets = counts.select(
@@ -94,9 +95,3 @@ def unreleased_batches(batches: DataFrame, released: DataFrame, name: str = BATC
     return batches.join(released.select(name).distinct(), name, "left_anti")
 
 
-def checkpointed(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder (survives executor loss)."""
-    from layercake.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark or df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -95,12 +95,31 @@ def null_future_dates(df: DataFrame, columns: Iterable[str], as_of=None) -> Data
     return _replace(df, {n: fx.null_if_future(c(n), as_of) for n in columns})
 
 
+def _fill_value(dtype, value):
+    """The fill literal for a column type, or None when the types do not fit."""
+    from pyspark.sql.types import BooleanType, NumericType
+
+    if isinstance(value, bool):
+        return F.lit(value) if isinstance(dtype, BooleanType) else None
+    if isinstance(value, (int, float)):
+        return F.lit(value).cast(dtype) if isinstance(dtype, NumericType) else None
+    if isinstance(value, str):
+        return F.lit(value) if isinstance(dtype, StringType) else None
+    return None
+
+
 def fill_nulls(df: DataFrame, fill: Mapping[str, object]) -> DataFrame:
-    """Per-column NULL fill; absent columns and type-mismatched values are ignored."""
-    present = {k: v for k, v in fill.items() if k in df.columns}
-    if not present:
-        return df
-    return df.fillna(present)
+    """Per-column NULL fill (P13). Absent columns are ignored, and so is a
+    value whose type does not fit the column (text for a number column and
+    vice versa), as the source pipeline's ``fillna`` did; numbers are cast to
+    the column's numeric type."""
+    exprs = {}
+    for f in df.schema.fields:
+        if f.name in fill:
+            lit = _fill_value(f.dataType, fill[f.name])
+            if lit is not None:
+                exprs[f.name] = F.coalesce(c(f.name), lit)
+    return _replace(df, exprs)
 
 
 def require_not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -64,3 +64,15 @@ def local_fs_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df, name: str = "materialized"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back. This cuts lineage (a lost executor recomputes nothing upstream) and
+    fixes nondeterministic parts of a plan (sampled range bounds, partition
+    ids) for every later reader, in one columnar pass.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
