@@ -1,0 +1,91 @@
+import datetime as dt
+
+from layercake.plans.catalog import RAW_SCHEMAS, SPECS
+from layercake.plans.pipeline import run_batch
+from layercake.plans.spec import clean
+
+D = dt.date
+
+
+def raw_sources(spark):
+    def df(name, data):
+        return spark.createDataFrame(data, RAW_SCHEMAS[name])
+
+    return {
+        "cust_info": df("cust_info", [
+            ("11000", "AW00011000", " Ann ", "Lee", "M", "F", "2025-01-01"),
+            ("11000", "AW00011000", "Ann", "Lee", "S", "F", "2025-02-01"),
+            ("11000", "AW00011000", "Ann", "Lee", "M", "F", None),
+            ("11001", "aw-00011001", "Bo", "Ng", "", " m ", "2024-03-03"),
+            (None, "AW00011002", "No", "Id", "S", "M", "2024-01-01"),
+            ("abc", "AW00011003", "Bad", "Id", "S", "M", "2024-01-01"),
+        ]),
+        "cust_az12": df("cust_az12", [
+            ("NASAW00011000", "1990-05-06", "FEMALE"),
+            ("AW-00011001", "2999-01-01", "x"),
+        ]),
+        "loc_a101": df("loc_a101", [("AW-00011000", "DE"), ("AW00011001", " ")]),
+        "prd_info": df("prd_info", [
+            ("210", "CO-RF-FR-R92B-58", "Frame", "", "R ", "2011-07-01", "2007-12-28"),
+            ("211", "CO-RF-FR-R92B-58", "Frame", "12", "R ", "2012-07-01", None),
+            ("212", "CO-RF-FR-R92B-58", "Frame", "13", "R ", "2013-07-01", None),
+            ("213", "CO-PE-PE-1", "Pedal", "5", "", "2011-07-01", None),
+            ("214", "ABC", "Odd", "abc", "M", "2011-07-01", None),
+        ]),
+        "px_cat_g1v2": df("px_cat_g1v2", [("CO_RF", "Components", "Road Frames", "Yes")]),
+        "sales_details": df("sales_details", [
+            ("SO1", "FR-R92B-58", "11000", "20120103", "20120110", "20120115", "10", "1", "10"),
+            ("SO1", "FR-R92B-58", "11000", "20120103", "20120110", "20120115", "10", "1", "10"),
+            ("SO2", "PE-1", "11001", "0", "20110101", "20110105", "-5", "0", "5"),
+            ("SO3", "FR-R92B-58", "99999", "20100101", "20100102", "20100103", "7", "1", "7"),
+            ("SO4", "NOPE", "11000", "20120101", "20111231", "20120102", "1", "1", "1"),
+        ]),
+    }
+
+
+def test_clean_products_versions(spark):
+    out = clean(raw_sources(spark)["prd_info"], SPECS["prd_info"])
+    assert out.columns == ["product_id", "product_key", "product_name", "cost", "product_line", "start_date",
+                           "end_date", "category_id"]
+    got = {r.product_id: r for r in out.collect()}
+    assert (got[210].end_date, got[211].end_date, got[212].end_date) == (D(2012, 6, 30), D(2013, 6, 30), None)
+    assert (got[210].cost, got[210].product_line, got[213].product_line) == (None, "R", "missing")
+    assert (got[214].category_id, got[214].product_key, got[214].cost) == (None, "ABC", None)
+
+
+def test_run_batch_end_to_end(spark):
+    out = run_batch(raw_sources(spark), as_of=D(2025, 6, 1), owners=["owner"], principal="analyst")
+    cust = {r.customer_id: r for r in out["silver_customer_info"].collect()}
+    assert set(cust) == {11000, 11001}
+    assert (cust[11000].marital_status, cust[11000].creation_date) == ("Single", D(2025, 2, 1))
+    assert (cust[11001].customer_key, cust[11001].marital_status, cust[11001].gender) == ("00011001", "missing", "Male")
+    demo = {r.customer_key: r for r in out["silver_customer_demographics"].collect()}
+    assert demo["00011001"].birth_date is None and demo["00011000"].gender == "Female"
+    loc = {r.customer_key: r.country for r in out["silver_customer_location"].collect()}
+    assert loc == {"00011000": "Germany", "00011001": "missing"}
+    sales = out["silver_sales_details"]
+    assert sales.count() == 4 and [r.order_date for r in sales.filter("order_number = 'SO2'").collect()] == [None]
+
+    dim = {r.customer_id: r for r in out["gold_dim_customers"].collect()}
+    assert (dim[11000].country, dim[11000].birth_date) == ("Germany", D(1990, 5, 6))
+    secure = {r.customer_id: r for r in out["gold_dim_customers_secure"].collect()}
+    assert (secure[11000].firstname, secure[11000].birth_date) == ("A***", D(1990, 1, 1))
+    assert out["gold_dim_customers"].schema["firstname"].metadata["classification"] == "pii_name"
+
+    rep = {(r.table_name, r.check_name): r for r in out["diagnostic_gold"].collect()}
+    assert len(rep) == 54
+    assert rep[("gold_fact_sales", "customer_referential_integrity")].failed_rows == 1
+    assert rep[("gold_fact_sales", "product_referential_integrity")].failed_rows == 1
+    assert rep[("gold_fact_sales", "historical_product_version_match")].failed_rows == 2
+    assert rep[("gold_fact_sales", "historical_product_version_match")].total_rows == 3
+    assert rep[("gold_fact_sales", "ship_before_order")].failed_rows == 1
+    assert rep[("gold_dim_product", "product_validity_overlap")].failed_rows == 0
+    assert rep[("gold_dim_product", "required_not_null:category")].failed_rows == 2
+    assert rep[("gold_dim_customers", "future_birth_date")].failed_rows == 0
+
+    bronze = {r.table_name: r for r in out["diagnostics_bronze"].collect()}
+    assert set(bronze) == {"bronze_crm_cust_info", "bronze_crm_prd_info", "bronze_crm_sales_details",
+                           "bronze_erp_cust_az12", "bronze_erp_loc_a101", "bronze_erp_px_cat_g1v2"}
+    silver = {r.table_name: r for r in out["silver_diagnostics"].collect()}
+    assert silver["silver_customer_info"].rows_removed == 4
+    assert silver["silver_product_info"].dedupe_keys == '["product_id"]'
