@@ -3,18 +3,21 @@ facts that hit no active version (J4).
 
 Periods are closed ``[start, end]``; an open end is NULL. Every window gets a
 total order (start, then the caller's tie-break columns) so results never
-depend on partition layout.
+depend on partition layout. The per-key windows are segmented: a hot key is
+split into start-value buckets and stitched back (``segments``), so one key
+holding a third of the table does not end up in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layercake.functions.columns import c
 from layercake.operators.rules import require_columns
+from layercake.operators.segments import Skew, with_next, with_previous, with_prior_max
 
 _FLAG = "__overlap"
 
@@ -33,18 +36,20 @@ def derive_end_date(
     start: str,
     end: str,
     tie: Iterable[str] = (),
+    skew: Skew = Skew(),
 ) -> DataFrame:
     """``end`` = next start of the same key minus one day; the last version is
     open (NULL). Any supplied end is overwritten; a missing ``end`` is appended.
+    Hot keys are split into start-value buckets (see ``segments``).
     """
     keys = _as_list(key)
     require_columns(df, [*keys, start], "derive_end_date columns")
-    w = Window.partitionBy(*[c(k) for k in keys]).orderBy(*_ordering(start, tie))
-    nxt = F.lead(c(start)).over(w)
+    t = with_next(df, keys, start, list(tie), "__next_start", skew)
+    nxt = F.col("__next_start")
     derived = F.when(nxt.isNotNull(), F.date_sub(nxt, 1)).otherwise(F.lit(None).cast("date"))
     if end in df.columns:
-        return df.select(*[derived.alias(end) if n == end else c(n) for n in df.columns])
-    return df.select(*[c(n) for n in df.columns], derived.alias(end))
+        return t.select(*[derived.alias(end) if n == end else c(n) for n in df.columns])
+    return t.select(*[c(n) for n in df.columns], derived.alias(end))
 
 
 OVERLAP_FLAG = "overlaps_previous"
@@ -58,6 +63,7 @@ def flag_overlaps(
     mode: str = "previous",
     tie: Iterable[str] = (),
     flag: str = OVERLAP_FLAG,
+    skew: Skew = Skew(),
 ) -> DataFrame:
     """Every row plus a boolean ``flag``: its period overlaps an earlier one of
     the same key (ordered by start, NULLs last, then ``tie``).
@@ -69,21 +75,21 @@ def flag_overlaps(
     """
     keys = _as_list(key)
     require_columns(df, [*keys, start, end], "overlap columns")
-    w = Window.partitionBy(*[c(k) for k in keys]).orderBy(*_ordering(start, list(tie)))
-    cols = [c(n) for n in df.columns]
+    tie = list(tie)
     if mode == "previous":
-        prev_start = F.lag(c(start)).over(w)
-        prev_end = F.lag(c(end)).over(w)
+        t = with_previous(df, keys, start, tie, [start, end], "__p_", skew)
+        prev_start, prev_end = F.col(f"__p_{start}"), F.col(f"__p_{end}")
         cond = prev_start.isNotNull() & (prev_end.isNull() | (c(start) <= prev_end))
     elif mode == "any":
-        before = w.rowsBetween(Window.unboundedPreceding, -1)
         dated = c(start).isNotNull()
-        open_before = F.max(F.when(dated & c(end).isNull(), F.lit(1)).otherwise(F.lit(0))).over(before)
-        max_end_before = F.max(F.when(dated, c(end))).over(before)
-        cond = (open_before == 1) | (c(start) <= max_end_before)
+        t = with_prior_max(df, keys, start, tie, {
+            "__open_before": F.when(dated & c(end).isNull(), F.lit(1)).otherwise(F.lit(0)),
+            "__max_end_before": F.when(dated, c(end)),
+        }, skew)
+        cond = (F.col("__open_before") == 1) | (c(start) <= F.col("__max_end_before"))
     else:
         raise ValueError(f"Unknown overlap mode: {mode}")
-    return df.select(*cols, F.coalesce(cond, F.lit(False)).alias(flag))
+    return t.select(*[c(n) for n in df.columns], F.coalesce(cond, F.lit(False)).alias(flag))
 
 
 def overlapping_versions(
@@ -93,9 +99,10 @@ def overlapping_versions(
     end: str,
     mode: str = "previous",
     tie: Iterable[str] = (),
+    skew: Skew = Skew(),
 ) -> DataFrame:
     """Rows whose period overlaps an earlier one of the same key."""
-    return flag_overlaps(df, key, start, end, mode, tie, _FLAG).filter(F.col(_FLAG)).drop(_FLAG)
+    return flag_overlaps(df, key, start, end, mode, tie, _FLAG, skew).filter(F.col(_FLAG)).drop(_FLAG)
 
 
 def version_misses(
