@@ -20,6 +20,7 @@ from layercake.operators.rules import require_columns
 from layercake.operators.segments import Skew, with_next, with_previous, with_prior_max
 
 _FLAG = "__overlap"
+_FAR_FUTURE = "9999-12-31"
 
 
 def _as_list(keys) -> list[str]:
@@ -113,25 +114,53 @@ def version_misses(
     start: str,
     end: str,
     version_key: str | None = None,
+    strategy: str = "asof",
+    skew: Skew = Skew(),
 ) -> DataFrame:
     """Fact rows with a non-NULL ``date`` and no version where the key matches
-    and ``start <= date`` and (``end`` is NULL or ``date <= end``).
-
-    An equi-join on the key with a residual range predicate, as a left-anti
-    join. The version side is not forced to broadcast: AQE converts to a
-    broadcast join when the materialised side is small, otherwise a shuffled
-    join runs, and AQE's skew handling splits a hot fact key across tasks.
+    and ``start <= date`` and (``end`` is NULL or ``date <= end``) (J4).
+
+    ``strategy="asof"`` (default): facts and versions are unioned and ordered
+    per key by date, versions first on equal dates; a fact is covered exactly
+    when the running maximum of the ends of the versions before it (open end
+    = far future) reaches its date. Linear in the input, runs on segmented
+    windows (hot keys split), and never pairs a fact with the versions of
+    its key. A NULL fact key never matches, as in the anti join.
+
+    ``strategy="join"``: equi-join on the key with the range as a residual
+    predicate, as a left-anti join (AQE broadcasts a small version side and
+    splits hot fact partitions); cost grows with versions per key.
     """
     version_key = version_key or key
     require_columns(fact, [key, date], "version_misses fact columns")
     require_columns(versions, [version_key, start, end], "version_misses version columns")
-    v = versions.select(
-        c(version_key).alias("__v_key"), c(start).alias("__v_start"), c(end).alias("__v_end")
-    )
     d = c(date).cast("date") if dict(fact.dtypes)[date] != "date" else c(date)
-    cond = (
-        (c(key) == F.col("__v_key"))
-        & (F.col("__v_start") <= d)
-        & (F.col("__v_end").isNull() | (d <= F.col("__v_end")))
+    dated = fact.filter(c(date).isNotNull())
+    if strategy == "join":
+        v = versions.select(
+            c(version_key).alias("__v_key"), c(start).alias("__v_start"), c(end).alias("__v_end")
+        )
+        cond = (
+            (c(key) == F.col("__v_key"))
+            & (F.col("__v_start") <= d)
+            & (F.col("__v_end").isNull() | (d <= F.col("__v_end")))
+        )
+        return dated.join(v, cond, "left_anti")
+    if strategy != "asof":
+        raise ValueError(f"Unknown strategy: {strategy}")
+    key_type = dict(fact.dtypes)[key]
+    facts = dated.select(
+        c(key).alias("__k"), d.alias("__d"), F.lit(1).alias("__kind"), F.lit(None).cast("date").alias("__end"),
+        F.struct(*[c(n) for n in fact.columns]).alias("__row"),
+    )
+    vers = versions.filter(c(version_key).isNotNull() & c(start).isNotNull()).select(
+        c(version_key).cast(key_type).alias("__k"), c(start).cast("date").alias("__d"), F.lit(0).alias("__kind"),
+        F.coalesce(c(end).cast("date"), F.lit(_FAR_FUTURE).cast("date")).alias("__end"),
+        F.lit(None).cast(facts.schema["__row"].dataType).alias("__row"),
+    )
+    both = facts.unionByName(vers)
+    covered = with_prior_max(both, ["__k"], "__d", ["__kind"], {"__reach": F.col("__end")}, skew)
+    miss = (F.col("__kind") == 1) & (
+        F.col("__k").isNull() | F.col("__reach").isNull() | (F.col("__reach") < F.col("__d"))
     )
-    return fact.filter(c(date).isNotNull()).join(v, cond, "left_anti")
+    return covered.filter(miss).select("__row.*")

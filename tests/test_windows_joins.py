@@ -108,3 +108,24 @@ def test_assign_batches_cut_points_left_inclusive(spark):
     df = spark.range(1, 11).select(F.col("id").alias("k"))
     out = {r.k: r.batch_id for r in assign_batches(df, ["k"], [3, 6]).collect()}
     assert out == {1: 1, 2: 1, 3: 1, 4: 2, 5: 2, 6: 2, 7: 3, 8: 3, 9: 3, 10: 3}
+
+
+def test_version_misses_strategies_agree(spark):
+    import random
+
+    rnd = random.Random(7)
+    vers, facts = [], []
+    for k in ["A", "B", "C", None]:
+        for _ in range(rnd.randint(0, 6)):
+            s = D(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 300))
+            e = None if rnd.random() < 0.3 else s + dt.timedelta(days=rnd.randint(-5, 60))
+            vers.append((k, s, e))
+    for i in range(200):
+        k = rnd.choice(["A", "B", "C", "D", None])
+        d = None if rnd.random() < 0.1 else D(2020, 1, 1) + dt.timedelta(days=rnd.randint(-10, 320))
+        facts.append((i, k, d))
+    v = spark.createDataFrame(vers, "k string, s date, e date")
+    f = spark.createDataFrame(facts, "id int, k string, d date")
+    asof = rows(version_misses(f, v, "k", "d", "s", "e"))
+    join = rows(version_misses(f, v, "k", "d", "s", "e", strategy="join"))
+    assert asof == join and len(asof) > 0
