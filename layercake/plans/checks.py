@@ -8,8 +8,10 @@
 Per table, one aggregation yields row count, exact-duplicate count, NULL
 counts of required columns and business-rule violations; each key set adds
 one grouped count (map-side partial, so hot keys are harmless); cross-table
-checks are anti joins and one window. One-row results are unioned; pass
-percentage and status are computed in Spark. Nothing is collected.
+checks are anti joins, the as-of version match and one window, each
+reduced to a one-row failed count. These rows are merged (union + max) into
+one metrics row per table and exploded into check rows; pass percentage and
+status are computed in Spark. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -133,10 +135,37 @@ def _explode(one_row: DataFrame, rows: list[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*rows)))
 
 
-def _table_checks(name: str, df: DataFrame, suite: Suite, as_of) -> list[DataFrame]:
+def _table_checks(name: str, df: DataFrame, suite: Suite, tables: Mapping[str, DataFrame | None], as_of) -> DataFrame:
+    """All checks of one table from ONE metrics row: the table's single
+    aggregation (rows, distinct rows, required NULLs, rule hits, dated rows)
+    merged with one-row failed counts of the grouped and cross-table checks.
+    Totals come from the main aggregation, so no check rescans the table just
+    to count it."""
     require_columns(df, suite.required, f"{name} is missing configured columns")
     rules = {k: _rule(v, as_of) for k, v in suite.rules.items()}
-    m = table_metrics(df, suite.required, rules, distinct=True)
+    versions = [vm for vm in suite.versions if tables.get(vm.table) is not None]
+    references = [r for r in suite.references if tables.get(r.table) is not None]
+    key_sets = [k for k in [suite.keys, *suite.secondary_keys] if k]
+
+    main = table_metrics(df, suite.required, rules, distinct=True)
+    if versions:
+        dated = df.agg(*[F.count(c(vm.date)).alias(f"_dated_{j}") for j, vm in enumerate(versions)])
+    parts = [main] + ([dated] if versions else [])
+    for i, keys in enumerate(key_sets):
+        parts.append(key_groups(df, keys).select(F.col("duplicate_key_rows").alias(f"_dupk_{i}")))
+    for i, ref in enumerate(references):
+        orphans = orphan_rows(df.select(c(ref.column)), tables[ref.table], ref.column, ref.table_column or ref.column)
+        parts.append(orphans.agg(F.count(F.lit(1)).alias(f"_orphans_{i}")))
+    for j, vm in enumerate(versions):
+        misses = version_misses(df.select(c(vm.key), c(vm.date)), tables[vm.table], vm.key, vm.date, vm.start, vm.end,
+                                vm.table_key)
+        parts.append(misses.agg(F.count(F.lit(1)).alias(f"_misses_{j}")))
+    for j, ov in enumerate(suite.overlaps):
+        flagged = flag_overlaps(df.select(c(ov.key), c(ov.start), c(ov.end), *[c(t) for t in ov.tie]),
+                                ov.key, ov.start, ov.end, ov.mode, ov.tie, "__ov")
+        parts.append(flagged.agg(F.count_if(F.col("__ov")).alias(f"_overlap_{j}")))
+    metrics = merge_rows(parts) if len(parts) > 1 else main
+
     n = F.col(ROWS)
     rows = [
         _row(name, "table_exists", "existence", None, F.lit(1), F.lit(0),
@@ -150,46 +179,15 @@ def _table_checks(name: str, df: DataFrame, suite: Suite, as_of) -> list[DataFra
         for i, col in enumerate(suite.required)
     ]
     rows += [_row(name, rule, "business_rule", None, n, F.col(rule_alias(j))) for j, rule in enumerate(rules)]
-    out = [_explode(m, rows)]
-    for keys in [suite.keys, *suite.secondary_keys]:
-        if not keys:
-            continue
-        g = key_groups(df, keys)
-        out.append(_explode(g, [_row(name, "unique_key:" + ",".join(keys), "uniqueness", keys,
-                                     F.col("total_rows"), F.col("duplicate_key_rows"))]))
-    return out
-
-
-def _pair(total: DataFrame, failed: DataFrame) -> DataFrame:
-    """One row (total, failed) from two counts without a cross join."""
-    return merge_rows([total.agg(F.count(F.lit(1)).alias("t")), failed.agg(F.count(F.lit(1)).alias("f"))])
-
-
-def _cross_checks(name: str, df: DataFrame, suite: Suite, tables: Mapping[str, DataFrame | None]) -> list[DataFrame]:
-    out = []
-    for ref in suite.references:
-        dim = tables.get(ref.table)
-        if dim is None:
-            continue
-        check = ref.name or f"{ref.column}_referential_integrity"
-        orphans = orphan_rows(df.select(c(ref.column)), dim, ref.column, ref.table_column or ref.column)
-        p = _pair(df.select(c(ref.column)), orphans)
-        out.append(_explode(p, [_row(name, check, "referential_integrity", [ref.column], F.col("t"), F.col("f"))]))
-    for vm in suite.versions:
-        versions = tables.get(vm.table)
-        if versions is None:
-            continue
-        dated = df.select(c(vm.key), c(vm.date)).filter(c(vm.date).isNotNull())
-        misses = version_misses(dated, versions, vm.key, vm.date, vm.start, vm.end, vm.table_key)
-        p = _pair(dated, misses)
-        out.append(_explode(p, [_row(name, vm.name, "temporal_integrity", [vm.key, vm.date], F.col("t"), F.col("f"))]))
-    for ov in suite.overlaps:
-        flagged = flag_overlaps(df.select(c(ov.key), c(ov.start), c(ov.end), *[c(t) for t in ov.tie]),
-                                ov.key, ov.start, ov.end, ov.mode, ov.tie, "__ov")
-        agg = flagged.agg(F.count(F.lit(1)).alias("t"), F.count_if(F.col("__ov")).alias("f"))
-        out.append(_explode(agg, [_row(name, ov.name, "temporal_integrity", [ov.key, ov.start, ov.end],
-                                       F.col("t"), F.col("f"))]))
-    return out
+    rows += [_row(name, "unique_key:" + ",".join(keys), "uniqueness", keys, n, F.col(f"_dupk_{i}"))
+             for i, keys in enumerate(key_sets)]
+    rows += [_row(name, ref.name or f"{ref.column}_referential_integrity", "referential_integrity", [ref.column], n,
+                  F.col(f"_orphans_{i}")) for i, ref in enumerate(references)]
+    rows += [_row(name, vm.name, "temporal_integrity", [vm.key, vm.date], F.col(f"_dated_{j}"), F.col(f"_misses_{j}"))
+             for j, vm in enumerate(versions)]
+    rows += [_row(name, ov.name, "temporal_integrity", [ov.key, ov.start, ov.end], n, F.col(f"_overlap_{j}"))
+             for j, ov in enumerate(suite.overlaps)]
+    return _explode(metrics, rows)
 
 
 def _missing_table(spark: SparkSession, name: str) -> DataFrame:
@@ -231,8 +229,7 @@ def quality_report(
             session = spark or SparkSession.getActiveSession()
             parts.append(_missing_table(session, name))
             continue
-        parts += _table_checks(name, df, suite, as_of)
-        parts += _cross_checks(name, df, suite, tables)
+        parts.append(_table_checks(name, df, suite, tables, as_of))
     checks = parts[0]
     for p in parts[1:]:
         checks = checks.unionByName(p)
