@@ -136,9 +136,13 @@ def null_details_json(columns: Sequence[str], style: str = "counts", digits: int
     """JSON text of the columns that have NULLs, keys sorted, Python spacing.
 
     ``counts``: ``{"col": n}``; ``shares``: ``{"col": {"null_count": n,
-    "null_percentage": p}}``. Built from literals + ``array_join`` (NULL
-    elements are skipped), so it stays a JVM expression.
+    "null_percentage": p}}``; ``repr``: every column in table order as a
+    Python dict repr (``{'col': n, ...}``). Built from literals +
+    ``array_join`` (NULL elements are skipped), so it stays a JVM expression.
     """
+    if style == "repr":
+        items = [F.concat(F.lit(repr(name) + ": "), F.col(null_alias(i)).cast("string")) for i, name in enumerate(columns)]
+        return F.concat(F.lit("{"), F.array_join(F.array(*items), ", "), F.lit("}")) if items else F.lit("{}")
     parts = []
     for i, name in sorted(enumerate(columns), key=lambda t: t[1]):
         n = F.col(null_alias(i))

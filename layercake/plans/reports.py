@@ -43,23 +43,60 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def table_profile(df: DataFrame, table_name: str) -> DataFrame:
+def table_profile(
+    df: DataFrame, table_name: str, digits: int = 4, empty: float = 100.0, details: str = "counts"
+) -> DataFrame:
     """One raw-layer profile row (A1 + A3 + A4)."""
     m = table_metrics(df)
     return m.select(
         F.lit(table_name).alias("table_name"),
-        *completeness_columns(df.columns),
-        null_details_json(df.columns, "counts").alias("null_details"),
+        *completeness_columns(df.columns, digits, empty),
+        null_details_json(df.columns, details).alias("null_details"),
     )
 
 
-def profile_report(tables: Mapping[str, DataFrame], prefix: str | None = None) -> DataFrame:
+def error_profile(spark, table_name: str, message: str) -> DataFrame:
+    """Profile row of a table that could not be analysed: NULL metrics and
+    the error text in ``null_details``."""
+    return spark.range(1).select(
+        F.lit(table_name).alias("table_name"),
+        *[F.lit(None).cast("long").alias(n) for n in
+          ("row_count", "column_count", "total_null_values", "columns_with_nulls")],
+        F.lit(None).cast("double").alias("completeness_percentage"),
+        F.lit(f"Error: {message}").alias("null_details"),
+    )
+
+
+def profile_report(
+    tables: Mapping[str, DataFrame | None],
+    prefix: str | None = None,
+    digits: int = 4,
+    empty: float = 100.0,
+    details: str = "counts",
+    spark=None,
+) -> DataFrame:
     """Raw-layer report (Q1): one row per table whose name starts with
-    ``prefix`` (a literal prefix, not a LIKE pattern)."""
+    ``prefix`` (a literal prefix, not a LIKE pattern). A table given as
+    ``None`` or failing analysis yields an error row instead of stopping the
+    report. ``digits=2, empty=0.0, details="repr"`` gives the hybrid variant.
+    """
+    from pyspark.sql import SparkSession
+
     names = sorted(n for n in tables if prefix is None or n.startswith(prefix))
     if not names:
         raise ValueError("No tables to profile")
-    return _union([table_profile(tables[n], n) for n in names]).orderBy("table_name")
+    session = spark or SparkSession.getActiveSession()
+    rows = []
+    for n in names:
+        df = tables[n]
+        if df is None:
+            rows.append(error_profile(session, n, "table not found"))
+            continue
+        try:
+            rows.append(table_profile(df, n, digits, empty, details))
+        except Exception as exc:  # analysis error: reported as a row, the report goes on
+            rows.append(error_profile(session, n, str(exc).splitlines()[0]))
+    return _union(rows).orderBy("table_name")
 
 
 @dataclass(frozen=True)

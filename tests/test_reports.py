@@ -115,3 +115,14 @@ def test_layer_report_columns(spark):
     assert rep.source_row_count == 3 and rep.row_count == 2 and rep.rows_removed == 1
     assert rep.dedupe_keys == '["key"]' and rep.duplicate_key_groups == 0
     assert len(rep) == 14
+
+
+def test_profile_report_error_row_and_hybrid_variant(spark):
+    df = spark.createDataFrame([(None, 1), ("x", None), ("y", 3)], "a string, b int")
+    rep = {r.table_name: r for r in profile_report({"raw_t": df, "raw_gone": None}, prefix="raw_",
+                                                   digits=2, empty=0.0, details="repr").collect()}
+    assert rep["raw_gone"].row_count is None and rep["raw_gone"].null_details == "Error: table not found"
+    assert rep["raw_t"].completeness_percentage == 66.67
+    assert rep["raw_t"].null_details == "{'a': 1, 'b': 1}"
+    empty = profile_report({"e": spark.createDataFrame([], "a string")}, digits=2, empty=0.0).first()
+    assert empty.completeness_percentage == 0.0
