@@ -145,7 +145,7 @@ def _distinct_rows(src: str) -> str:
 
 
 def _dup_keys(src: str, keys: list[str]) -> str:
-    return (f"(SELECT count_if(k > 1) AS g, CAST(coalesce(sum(CASE WHEN k > 1 THEN k - 1 END), 0) AS BIGINT) AS r "
+    return (f"(SELECT CAST(count_if(k > 1) AS BIGINT) AS g, CAST(coalesce(sum(CASE WHEN k > 1 THEN k - 1 END), 0) AS BIGINT) AS r "
             f"FROM (SELECT count(*) AS k FROM {src} GROUP BY {', '.join(keys)}))")
 
 
@@ -379,14 +379,16 @@ def oracle_sql() -> dict[str, str]:
                            f"(SELECT count(*) FROM lineitem) AS total_rows, g AS duplicate_key_groups, "
                            f"r AS duplicate_key_rows FROM {dk}")
     q["rule_violations"] = " UNION ALL ".join(
-        f"SELECT 'sales' AS table_name, '{r}' AS rule_name, count(*) AS total_rows, count_if({cond}) AS failed_rows "
+        f"SELECT 'sales' AS table_name, '{r}' AS rule_name, count(*) AS total_rows, "
+        f"CAST(count_if({cond}) AS BIGINT) AS failed_rows "
         f"FROM {SALES}" for r, cond in SALES_RULES.items())
     q["reconcile"] = (f"SELECT 'orders' AS table_name, (SELECT count(*) FROM {ORDERS_NULLS}) AS source_row_count, "
                       f"count(*) AS row_count, (SELECT count(*) FROM {ORDERS_NULLS}) - count(*) AS rows_removed "
                       f"FROM {ORDERS_NULLS} WHERE o_orderpriority IS NOT NULL")
     q["quality_report"] = quality_report_sql()
-    q["report_summary"] = (f"SELECT count(*) AS checks, count_if(status = 'FAIL') AS failures, "
-                           f"count_if(status = 'WARN') AS warnings, count_if(status = 'PASS') AS passes "
+    q["report_summary"] = (f"SELECT count(*) AS checks, CAST(count_if(status = 'FAIL') AS BIGINT) AS failures, "
+                           f"CAST(count_if(status = 'WARN') AS BIGINT) AS warnings, "
+                           f"CAST(count_if(status = 'PASS') AS BIGINT) AS passes "
                            f"FROM ({quality_report_sql()})")
     q["profile_report"] = " UNION ALL ".join([
         profile_row_sql(RAW_CUSTOMERS, CUSTOMER_RAW_COLS, "raw_customers"),
@@ -417,7 +419,7 @@ def oracle_sql() -> dict[str, str]:
     q["column_inventory"] = column_inventory_sql()
     q["scan_patterns"] = " UNION ALL ".join(
         f"SELECT '{k}' AS pattern_name, '{p}' AS pattern, count(*) AS rows_scanned, "
-        f"count_if(regexp_matches(text, '{p}')) AS matching_rows FROM documents" for k, p in SECRET_PATTERNS.items())
+        f"CAST(count_if(regexp_matches(text, '{p}')) AS BIGINT) AS matching_rows FROM documents" for k, p in SECRET_PATTERNS.items())
     q["scan_pattern_hits"] = " UNION ALL ".join(
         f"SELECT doc_id, '{k}' AS pattern_name FROM documents WHERE regexp_matches(text, '{p}')"
         for k, p in SECRET_PATTERNS.items())
