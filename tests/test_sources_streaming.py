@@ -70,3 +70,17 @@ def test_write_batches_and_release_guard(spark):
     assert {r.batch_id for r in back.collect()} == {1, 2, 3}
     released = spark.createDataFrame([(1,)], "batch_id int")
     assert {r.batch_id for r in unreleased_batches(batches, released).collect()} == {2, 3}
+
+
+def test_ingest_sources_streaming_mode(spark):
+    d = tempfile.mkdtemp(prefix="lc-mode-")
+    write(f"{d}/crm/cust_info.csv", "cst_id,cst_key,a,b,c,d,e\r\n1,AW1,x,y,M,F,2020-01-01\r\n")
+    write(f"{d}/erp/loc_a101.csv", "CID,CNTRY\r\nAW1,DE\r\n")
+    files = [f"{d}/crm/cust_info.csv", f"{d}/erp/loc_a101.csv"]
+    res = ingest_sources(spark, files, RAW_SCHEMAS, mode="streaming", stream_sources=["cust_info"])
+    assert res.tables["raw_cust_info"].isStreaming and not res.tables["raw_loc_a101"].isStreaming
+    sink = scratch_path(spark, "mode-sink")
+    q = res.tables["raw_cust_info"].writeStream.format("parquet").option(
+        "checkpointLocation", sink + "/_checkpoint").trigger(availableNow=True).start(sink)
+    q.awaitTermination()
+    assert spark.read.parquet(sink).first().cst_key == "AW1"
