@@ -10,7 +10,7 @@ written table), so a lost executor only recomputes from the last layer.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from layercake.plans.checks import Overlap, Reference, Suite, VersionMatch, qual
 from layercake.plans.reports import LayerPair, layer_report, profile_report
 from layercake.plans.spec import clean
 from layercake.plans.star import build_fact, customer_dimension, product_dimension
+from layercake.session import materialize
 from layercake.streaming.ingest import ingest_increment, read_sink
 
 # Checks of the three star tables.
@@ -66,41 +67,78 @@ STAR_SUITES = {
 }
 
 
+Store = Callable[[str, DataFrame], DataFrame]
+
+
 def run_batch(
     raw: Mapping[str, DataFrame],
     as_of=None,
     owners: Sequence[str] = (),
     principal=None,
+    store: Store | None = None,
 ) -> dict[str, DataFrame]:
-    """All layers from raw source DataFrames keyed by source name (C4)."""
+    """All layers from raw source DataFrames keyed by source name (C4).
+
+    Without ``store`` every output is a lazy DataFrame. With ``store`` (see
+    ``table_store`` / ``folder_store``) each table is written as soon as it is
+    built and later layers and reports read the written table, so no upstream
+    plan is recomputed per consumer and a lost executor only redoes the
+    current layer.
+    """
+    keep = store or (lambda name, df: df)
     out: dict[str, DataFrame] = {}
-    raw_tables = {raw_table_name(s): df for s, df in raw.items()}
+    raw_tables = {raw_table_name(s): keep(raw_table_name(s), df) for s, df in raw.items()}
     out.update(raw_tables)
-    out["diagnostics_bronze"] = profile_report(raw_tables, prefix="bronze_")
+    out["diagnostics_bronze"] = keep("diagnostics_bronze", profile_report(raw_tables, prefix="bronze_"))
     pairs = []
-    for source, df in raw.items():
+    for source in raw:
         spec = SPECS[source]
-        cleaned = clean(df, spec, as_of)
+        source_df = raw_tables[raw_table_name(source)]
+        cleaned = keep(spec.target, clean(source_df, spec, as_of))
         out[spec.target] = cleaned
-        pairs.append(LayerPair(raw_table_name(source), df, spec.target, cleaned, spec.renamed_keys()))
-    out["silver_diagnostics"] = layer_report(pairs)
+        pairs.append(LayerPair(raw_table_name(source), source_df, spec.target, cleaned, spec.renamed_keys()))
+    out["silver_diagnostics"] = keep("silver_diagnostics", layer_report(pairs))
     if {"silver_customer_info", "silver_customer_demographics", "silver_customer_location"} <= out.keys():
         dim = customer_dimension(
             out["silver_customer_info"], out["silver_customer_demographics"], out["silver_customer_location"]
         )
-        out["gold_dim_customers"] = classify_columns(dim, CUSTOMER_COLUMN_METADATA)
+        out["gold_dim_customers"] = classify_columns(keep("gold_dim_customers", dim), CUSTOMER_COLUMN_METADATA)
+        # a view: masking is evaluated when it is read, so it is never stored
         out["gold_dim_customers_secure"] = mask_columns(out["gold_dim_customers"], owners=owners, principal=principal)
     if {"silver_product_info", "silver_product_category"} <= out.keys():
-        out["gold_dim_product"] = product_dimension(out["silver_product_info"], out["silver_product_category"])
+        out["gold_dim_product"] = keep(
+            "gold_dim_product", product_dimension(out["silver_product_info"], out["silver_product_category"])
+        )
     if "silver_sales_details" in out:
-        out["gold_fact_sales"] = build_fact(out["silver_sales_details"])
+        out["gold_fact_sales"] = keep("gold_fact_sales", build_fact(out["silver_sales_details"]))
     gold = {name: out.get(name) for name in STAR_SUITES}
-    out["diagnostic_gold"] = quality_report(gold, STAR_SUITES, as_of=as_of)
+    out["diagnostic_gold"] = keep("diagnostic_gold", quality_report(gold, STAR_SUITES, as_of=as_of))
     return out
 
 
+def table_store(database: str | None = None) -> Store:
+    """Store each layer as a catalog table (overwrite) and read it back."""
+    from layercake.sources.sinks import publish_table
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        target = f"{database}.{name}" if database else name
+        publish_table(df, target)
+        return df.sparkSession.table(target)
+
+    return store
+
+
+def folder_store() -> Store:
+    """Store each layer as parquet under the session's checkpoint folder."""
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        return materialize(df, name)
+
+    return store
+
+
 def publish_all(outputs: Mapping[str, DataFrame], database: str | None = None) -> list[str]:
-    """Write every output as a table (views such as the secure one included)."""
+    """Write every output as a table (for lazily built outputs)."""
     from layercake.sources.sinks import publish_table
 
     written = []
@@ -116,6 +154,7 @@ def run_increment(
     sinks: Mapping[str, str],
     as_of=None,
     owners: Sequence[str] = (),
+    store: Store | None = None,
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
     """Append new landing files per source, then recompute every layer over
     the full appended raw tables (C5). Returns new-row counts and outputs."""
@@ -124,4 +163,4 @@ def run_increment(
     for source, folder in landing.items():
         counts[source] = ingest_increment(spark, folder, RAW_SCHEMAS[source], sinks[source])
         raw[source] = read_sink(spark, sinks[source], RAW_SCHEMAS[source])
-    return counts, run_batch(raw, as_of=as_of, owners=owners)
+    return counts, run_batch(raw, as_of=as_of, owners=owners, store=store)

@@ -89,3 +89,15 @@ def test_run_batch_end_to_end(spark):
     silver = {r.table_name: r for r in out["silver_diagnostics"].collect()}
     assert silver["silver_customer_info"].rows_removed == 4
     assert silver["silver_product_info"].dedupe_keys == '["product_id"]'
+
+
+def test_run_batch_with_stored_layers_matches_lazy(spark):
+    from conftest import rows
+    from layercake.plans.pipeline import table_store
+
+    raw = raw_sources(spark)
+    lazy = run_batch(raw, as_of=D(2025, 6, 1))
+    stored = run_batch(raw, as_of=D(2025, 6, 1), store=table_store("lc_layers"))
+    assert spark.catalog.tableExists("lc_layers.silver_product_info")
+    for name in ("silver_customer_info", "gold_dim_product", "diagnostic_gold", "silver_diagnostics"):
+        assert rows(stored[name]) == rows(lazy[name]), name
