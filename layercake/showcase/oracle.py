@@ -63,6 +63,23 @@ FROM d WHERE cst_id IS NOT NULL AND cst_key IS NOT NULL)"""
 CLEAN_CUSTOMER_COLS = ["customer_id", "customer_key", "firstname", "lastname", "marital_status", "gender",
                        "creation_date"]
 
+_OTHER = [c for c in CUSTOMER_RAW_COLS if c != "cst_id"]
+CLEAN_CUSTOMER_LEGACY = f"""(
+WITH d AS (SELECT * FROM {RAW_CUSTOMERS} QUALIFY row_number() OVER (PARTITION BY cst_id ORDER BY
+             {', '.join(f"{c} ASC NULLS LAST" for c in _OTHER)}) = 1),
+k AS (SELECT cst_id, regexp_replace(trim(cst_key), '^AW', '') AS cst_key, cst_firstname, cst_lastname,
+             cst_marital_status, cst_gndr, cst_create_date FROM d),
+t AS (SELECT {', '.join(f"trim({c}) AS {c}" for c in CUSTOMER_RAW_COLS)} FROM k),
+f AS (SELECT cst_id, cst_key, cst_firstname, cst_lastname,
+             coalesce(cst_marital_status, 'missing') AS cst_marital_status, coalesce(cst_gndr, 'missing') AS cst_gndr,
+             strftime(coalesce(TRY_CAST(cst_create_date AS DATE), DATE '2000-01-01'), '%d/%m/%Y') AS cst_create_date
+      FROM t),
+c AS (SELECT {_int_text('cst_id')} AS cst_id, {_int_text('cst_key')} AS cst_key, cst_firstname, cst_lastname,
+             cst_marital_status, cst_gndr, cst_create_date FROM f)
+SELECT cst_id AS id, cst_key AS key, cst_firstname AS firstname, cst_lastname AS lastname,
+       cst_marital_status AS marital_status, cst_gndr, cst_create_date AS creation_date
+FROM c WHERE cst_id IS NOT NULL AND cst_key IS NOT NULL)"""
+
 SIGNUP_VERSIONS = """(WITH s AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS start_date FROM events
                    WHERE event_type = 'signup')
 SELECT user_id, start_date, lead(start_date) OVER (PARTITION BY user_id ORDER BY start_date) - 1 AS end_date FROM s)"""
@@ -320,6 +337,7 @@ def oracle_sql() -> dict[str, str]:
     q["rename_strict"] = (f"SELECT o_orderkey AS order_key, o_custkey AS customer_id, o_orderstatus, o_totalprice, "
                           f"o_orderdate AS order_date, o_orderpriority FROM {ORDERS_NULLS}")
     q["clean_table"] = f"SELECT * FROM {CLEAN_CUSTOMER}"
+    q["clean_table_legacy"] = f"SELECT * FROM {CLEAN_CUSTOMER_LEGACY}"
     q["dedupe_latest"] = (
         "SELECT * FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS "
         "o_orderdate, o_orderpriority FROM orders) QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY "

@@ -42,6 +42,7 @@ from layercake.operators import (
 )
 from layercake.operators.governance import CUSTOMER_COLUMN_METADATA
 from layercake.operators.rules import date_default_format, null_future_dates
+from layercake.plans.legacy import LEGACY_SPECS, clean_legacy
 from layercake.plans.checks import Reference, Suite, quality_report, report_summary
 from layercake.plans.reports import LayerPair, layer_report, profile_report
 from layercake.plans.spec import TableSpec, clean
@@ -168,6 +169,10 @@ def q_clean_table(spark, sf):
     return clean(raw_customers(spark, sf), CUSTOMER_SPEC)
 
 
+def q_clean_table_legacy(spark, sf):
+    return clean_legacy(raw_customers(spark, sf), LEGACY_SPECS["cust_info"])
+
+
 # --------------------------------------------------------- windows (W)
 def q_dedupe_latest(spark, sf):
     df = load(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
@@ -493,6 +498,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "require_not_null": q_require_not_null,
     "rename_strict": q_rename_strict,
     "clean_table": q_clean_table,
+    "clean_table_legacy": q_clean_table_legacy,
     "dedupe_latest": q_dedupe_latest,
     "dedupe_any": q_dedupe_any,
     "derive_end_date": q_derive_end_date,

@@ -101,3 +101,19 @@ def test_run_batch_with_stored_layers_matches_lazy(spark):
     assert spark.catalog.tableExists("lc_layers.silver_product_info")
     for name in ("silver_customer_info", "gold_dim_product", "diagnostic_gold", "silver_diagnostics"):
         assert rows(stored[name]) == rows(lazy[name]), name
+
+
+def test_legacy_flow(spark):
+    from layercake.plans.legacy import LEGACY_SPECS, clean_legacy
+
+    cust = clean_legacy(raw_sources(spark)["cust_info"], LEGACY_SPECS["cust_info"])
+    assert cust.columns == ["id", "key", "firstname", "lastname", "marital_status", "cst_gndr", "creation_date"]
+    got = {r.id: r for r in cust.collect()}
+    assert set(got) == {11000}  # 'aw-…' keeps its prefix and is not an integer; 'abc'/NULL ids dropped
+    assert got[11000].key == 11000 and got[11000].creation_date in {"01/01/2025", "01/02/2025", "01/01/2000"}
+    sales = clean_legacy(raw_sources(spark)["sales_details"], LEGACY_SPECS["sales_details"])
+    dates = {r.order_number: r.order_date for r in sales.collect()}
+    assert dates["SO1"] == "03/01/2012" and dates["SO2"] == "01/01/2000"
+    prd = clean_legacy(raw_sources(spark)["prd_info"], LEGACY_SPECS["prd_info"])
+    keys = {r.id: r.key for r in prd.collect()}
+    assert keys["210"] == "FR-R92B-58" and keys["214"] == "ABC"
