@@ -11,11 +11,13 @@ Sizes are bounded by construction, which makes the broadcasts safe:
 * hot keys = at most ``max_hot_keys`` of the largest keys with more than
   ``hot_rows`` rows (a top-k over per-key counts of a seeded sample);
 * bucket bounds = one row per hot key (``buckets - 1`` approximate
-  percentiles from map-side sketches);
+  percentiles of its sampled rows);
 * bucket summaries = at most ``max_hot_keys * (buckets + 1)`` rows.
 
-The big side is shuffled once (by the window), exactly as a plain window.
-Ordinary keys keep a single bucket, so their results are the plain window's.
+Hot keys and bounds are resolved eagerly (two small jobs; bounded results)
+and enter the plan as literal broadcast tables. With no hot key the operator
+is exactly the plain window; otherwise the big side is still shuffled once
+(by the window) and ordinary keys keep a single bucket.
 """
 
 from __future__ import annotations
@@ -26,7 +28,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    ArrayType,
+    DateType,
+    NumericType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from layercake.functions.columns import c
 
@@ -67,32 +77,65 @@ def _on(keys: Sequence[str], aliases: Sequence[str], extra: list[Column] | None
     return reduce(lambda a, b: a & b, conds)
 
 
-def tag_buckets(df: DataFrame, keys: Sequence[str], order: str, skew: Skew) -> DataFrame:
-    """``df`` plus ``HOT`` (bool) and ``BUCKET`` (int, monotone in ``order``
-    within a key; NULL order values go to the last bucket)."""
+def _sampled(df: DataFrame, skew: Skew) -> tuple[DataFrame, float]:
+    if skew.sample_fraction is not None and skew.sample_fraction < 1.0:
+        return df.sample(fraction=skew.sample_fraction, seed=skew.seed), skew.hot_rows * skew.sample_fraction
+    return df, float(skew.hot_rows)
+
+
+def hot_bounds(df: DataFrame, keys: Sequence[str], order: str, skew: Skew) -> DataFrame | None:
+    """Bucket bounds of the hot keys as a small literal DataFrame (columns
+    ``__bk<i>`` + ``__bounds``), or None when no key is hot.
+
+    Runs two small jobs: a top-k of per-key counts on the seeded sample (at
+    most ``max_hot_keys`` rows reach the driver) and, only if some key is hot,
+    per-key percentiles of its sampled rows (again at most ``max_hot_keys``
+    rows). Both results are bounded, so they are safe to collect and to
+    broadcast, and later branches of the plan reuse them instead of
+    recomputing the sample.
+    """
     keys = list(keys)
-    cols = [c(n) for n in df.columns]
     if not skew.enabled or not _splittable(df, order):
-        return df.select(*cols, F.lit(False).alias(HOT), F.lit(0).alias(BUCKET))
+        return None
+    counted, threshold = _sampled(df, skew)
     al = _key_aliases(keys, "hk")
-    counted, threshold = df, skew.hot_rows
-    if skew.sample_fraction is not None and skew.sample_fraction < 1.0:
-        counted = df.sample(fraction=skew.sample_fraction, seed=skew.seed)
-        threshold = skew.hot_rows * skew.sample_fraction
-    sizes = counted.groupBy(*[c(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
-    hot = (
-        sizes.filter(F.col("__n") > threshold)
+    hot_rows = (
+        counted.groupBy(*[c(k).alias(a) for k, a in zip(keys, al)])
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") > threshold)
         .orderBy(F.col("__n").desc())
-        .limit(skew.max_hot_keys)  # bounds the broadcast below; rows of other keys are untouched
-        .select(*[c(k).alias(a) for k, a in zip(keys, al)])
+        .limit(skew.max_hot_keys)
+        .drop("__n")
+        .collect()
     )
+    if not hot_rows:
+        return None
+    spark = df.sparkSession
+    key_schema = StructType([StructField(a, df.schema[k].dataType, True) for k, a in zip(keys, al)])
+    hot = spark.createDataFrame(hot_rows, key_schema)
     probs = [i / skew.buckets for i in range(1, skew.buckets)]
     bl = _key_aliases(keys, "bk")
-    bounds = (
-        df.join(F.broadcast(hot), _on(keys, al), "left_semi")
+    bound_rows = (
+        counted.join(F.broadcast(hot), _on(keys, al), "left_semi")
         .groupBy(*[c(k).alias(b) for k, b in zip(keys, bl)])
         .agg(F.percentile_approx(c(order), probs, skew.accuracy).alias("__bounds"))
+        .collect()
     )
+    bounds_schema = StructType(
+        [StructField(b, df.schema[k].dataType, True) for k, b in zip(keys, bl)]
+        + [StructField("__bounds", ArrayType(df.schema[order].dataType), True)]
+    )
+    return spark.createDataFrame(bound_rows, bounds_schema)
+
+
+def tag_buckets(df: DataFrame, keys: Sequence[str], order: str, skew: Skew, bounds: DataFrame | None = None) -> DataFrame:
+    """``df`` plus ``HOT`` (bool) and ``BUCKET`` (int, monotone in ``order``
+    within a key; NULL order values go to the last bucket)."""
+    keys = list(keys)
+    cols = [c(n) for n in df.columns]
+    if bounds is None:
+        return df.select(*cols, F.lit(False).alias(HOT), F.lit(0).alias(BUCKET))
+    bl = _key_aliases(keys, "bk")
     tagged = df.join(F.broadcast(bounds), _on(keys, bl), "left")
     is_hot = F.col("__bounds").isNotNull()
     below = F.size(F.filter(F.col("__bounds"), lambda b: b < c(order)))
@@ -129,14 +172,19 @@ def _order_key(order: str, tie: Sequence[str]) -> Column:
 def with_next(df, keys, order, tie=(), out="__next", skew: Skew = Skew()) -> DataFrame:
     """``df`` plus ``out``: the ``order`` value of the next row of the same key."""
     keys, tie = list(keys), list(tie)
-    t = tag_buckets(df, keys, order, skew)
+    bounds = hot_bounds(df, keys, order, skew)
+    t = tag_buckets(df, keys, order, skew, bounds)
     w = bucket_window(keys, order, tie)
+    t = t.select("*", F.lead(F.lit(1)).over(w).isNotNull().alias("__has_next"), F.lead(c(order)).over(w).alias("__next_in"))
+    if bounds is None:  # no hot key: exactly the plain window
+        return t.select(*[c(n) for n in df.columns], F.col("__next_in").alias(out))
+    # summaries are aggregated from the window's output, which is already
+    # partitioned by (key, bucket): no second scan, no second shuffle
     firsts = t.filter(F.col(HOT)).groupBy(*[c(k) for k in keys], F.col(BUCKET)).agg(F.min(c(order)).alias("__first"))
     nxt = firsts.select(
         *[c(k) for k in keys], BUCKET,
         F.lead("__first").over(Window.partitionBy(*[c(k) for k in keys]).orderBy(BUCKET)).alias("__next_bucket"),
     )
-    t = t.select("*", F.lead(F.lit(1)).over(w).isNotNull().alias("__has_next"), F.lead(c(order)).over(w).alias("__next_in"))
     t = _join_summary(t, nxt, keys, ["__next_bucket"])
     value = F.when(F.col("__has_next"), F.col("__next_in")).otherwise(F.col("__next_bucket"))
     return t.select(*[c(n) for n in df.columns], value.alias(out))
@@ -146,18 +194,24 @@ def with_previous(df, keys, order, tie=(), cols=(), prefix="__prev_", skew: Skew
     """``df`` plus ``<prefix>exists`` and ``<prefix><col>`` for each of ``cols``:
     values of the previous row of the same key."""
     keys, tie, cols = list(keys), list(tie), list(cols)
-    t = tag_buckets(df, keys, order, skew)
+    bounds = hot_bounds(df, keys, order, skew)
+    t = tag_buckets(df, keys, order, skew, bounds)
     w = bucket_window(keys, order, tie)
-    lasts = t.filter(F.col(HOT)).groupBy(*[c(k) for k in keys], F.col(BUCKET)).agg(
-        F.max_by(F.struct(*[c(n).alias(f"v{i}") for i, n in enumerate(cols)]), _order_key(order, tie)).alias("__last")
-    )
-    wb = Window.partitionBy(*[c(k) for k in keys]).orderBy(BUCKET)
-    prev = lasts.select(*[c(k) for k in keys], BUCKET, F.lag("__last").over(wb).alias("__prev_bucket"))
     t = t.select(
         "*",
         F.lag(F.lit(1)).over(w).isNotNull().alias("__has_prev"),
         *[F.lag(c(n)).over(w).alias(f"__prev_in{i}") for i, n in enumerate(cols)],
     )
+    if bounds is None:  # no hot key: exactly the plain window
+        return t.select(
+            *[c(n) for n in df.columns], F.col("__has_prev").alias(f"{prefix}exists"),
+            *[F.col(f"__prev_in{i}").alias(f"{prefix}{n}") for i, n in enumerate(cols)],
+        )
+    lasts = t.filter(F.col(HOT)).groupBy(*[c(k) for k in keys], F.col(BUCKET)).agg(
+        F.max_by(F.struct(*[c(n).alias(f"v{i}") for i, n in enumerate(cols)]), _order_key(order, tie)).alias("__last")
+    )
+    wb = Window.partitionBy(*[c(k) for k in keys]).orderBy(BUCKET)
+    prev = lasts.select(*[c(k) for k in keys], BUCKET, F.lag("__last").over(wb).alias("__prev_bucket"))
     t = _join_summary(t, prev, keys, ["__prev_bucket"])
     has_prev = F.col("__has_prev") | F.col("__prev_bucket").isNotNull()
     out = [has_prev.alias(f"{prefix}exists")]
@@ -174,14 +228,17 @@ def with_prior_max(df, keys, order, tie=(), values: dict[str, Column] | None = N
     keys, tie = list(keys), list(tie)
     values = dict(values or {})
     names = list(values)
-    t = tag_buckets(df, keys, order, skew).select("*", *[e.alias(f"__v{i}") for i, e in enumerate(values.values())])
+    bounds = hot_bounds(df, keys, order, skew)
+    t = tag_buckets(df, keys, order, skew, bounds).select("*", *[e.alias(f"__v{i}") for i, e in enumerate(values.values())])
     w = bucket_window(keys, order, tie).rowsBetween(Window.unboundedPreceding, -1)
+    t = t.select("*", *[F.max(f"__v{i}").over(w).alias(f"__in{i}") for i in range(len(names))])
+    if bounds is None:  # no hot key: exactly the plain window
+        return t.select(*[c(n) for n in df.columns], *[F.col(f"__in{i}").alias(n) for i, n in enumerate(names)])
     maxes = t.filter(F.col(HOT)).groupBy(*[c(k) for k in keys], F.col(BUCKET)).agg(
         *[F.max(f"__v{i}").alias(f"__m{i}") for i in range(len(names))]
     )
     wb = Window.partitionBy(*[c(k) for k in keys]).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     before = maxes.select(*[c(k) for k in keys], BUCKET, *[F.max(f"__m{i}").over(wb).alias(f"__b{i}") for i in range(len(names))])
-    t = t.select("*", *[F.max(f"__v{i}").over(w).alias(f"__in{i}") for i in range(len(names))])
     t = _join_summary(t, before, keys, [f"__b{i}" for i in range(len(names))])
     out = [F.greatest(F.col(f"__in{i}"), F.col(f"__b{i}")).alias(n) for i, n in enumerate(names)]
     return t.select(*[c(n) for n in df.columns], *out)

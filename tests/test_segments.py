@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import rows
-from layercake.operators.segments import PLAIN, Skew, tag_buckets
+from layercake.operators.segments import PLAIN, Skew, hot_bounds, tag_buckets
 from layercake.operators.versions import derive_end_date, flag_overlaps
 
 TINY = Skew(hot_rows=3, max_hot_keys=2, buckets=3, accuracy=100, sample_fraction=None)
@@ -44,7 +44,8 @@ def test_segmented_windows_equal_plain(spark, data):
 def test_hot_key_is_split_into_buckets(spark):
     data = [(i, "hot", BASE + dt.timedelta(days=i), None) for i in range(60)] + [(100, "cold", BASE, None)]
     df = spark.createDataFrame(data, "id int, k string, s date, e date")
-    tagged = tag_buckets(df, ["k"], "s", Skew(hot_rows=10, buckets=4, accuracy=1000, sample_fraction=None))
+    sk = Skew(hot_rows=10, buckets=4, accuracy=1000, sample_fraction=None)
+    tagged = tag_buckets(df, ["k"], "s", sk, hot_bounds(df, ["k"], "s", sk))
     hot_buckets = {r["__seg_bucket"] for r in tagged.filter("k = 'hot'").collect()}
     assert len(hot_buckets) == 4
     assert {r["__seg_bucket"] for r in tagged.filter("k = 'cold'").collect()} == {0}
