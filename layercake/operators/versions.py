@@ -114,13 +114,21 @@ def version_misses(
     start: str,
     end: str,
     version_key: str | None = None,
-    strategy: str = "asof",
+    strategy: str = "auto",
     skew: Skew = Skew(),
+    broadcast_rows: int = 2_000_000,
+    broadcast_versions_per_key: int = 64,
 ) -> DataFrame:
     """Fact rows with a non-NULL ``date`` and no version where the key matches
     and ``start <= date`` and (``end`` is NULL or ``date <= end``) (J4).
 
-    ``strategy="asof"`` (default): facts and versions are unioned and ordered
+    ``strategy="auto"`` (default) sizes the version side with one small
+    aggregation (rows, largest versions-per-key): when both are within
+    ``broadcast_rows`` / ``broadcast_versions_per_key`` the version table is
+    broadcast (a proven bound) and facts are never shuffled; otherwise the
+    as-of strategy runs.
+
+    ``strategy="asof"``: facts and versions are unioned and ordered
     per key by date, versions first on equal dates; a fact is covered exactly
     when the running maximum of the ends of the versions before it (open end
     = far future) reaches its date. Linear in the input, runs on segmented
@@ -134,12 +142,21 @@ def version_misses(
     version_key = version_key or key
     require_columns(fact, [key, date], "version_misses fact columns")
     require_columns(versions, [version_key, start, end], "version_misses version columns")
+    broadcast = False
+    if strategy == "auto":
+        size = versions.groupBy(c(version_key)).agg(F.count(F.lit(1)).alias("__n")).agg(
+            F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.coalesce(F.max("__n"), F.lit(0)).alias("per_key")
+        ).first()
+        broadcast = size["rows"] <= broadcast_rows and size["per_key"] <= broadcast_versions_per_key
+        strategy = "join" if broadcast else "asof"
     d = c(date).cast("date") if dict(fact.dtypes)[date] != "date" else c(date)
     dated = fact.filter(c(date).isNotNull())
     if strategy == "join":
         v = versions.select(
             c(version_key).alias("__v_key"), c(start).alias("__v_start"), c(end).alias("__v_end")
         )
+        if broadcast:  # size checked above
+            v = F.broadcast(v)
         cond = (
             (c(key) == F.col("__v_key"))
             & (F.col("__v_start") <= d)

@@ -365,6 +365,7 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT 1 FROM {v} v WHERE v.user_id = f.user_id AND v.start_date <= f.event_date AND "
             "(v.end_date IS NULL OR f.event_date <= v.end_date))")
     q["version_misses"] = miss.format(f=PURCHASES, v=SIGNUP_VERSIONS)
+    q["version_misses_asof"] = q["version_misses"]
     closed = ("(SELECT user_id, CAST(ts AS DATE) AS start_date, CAST(ts AS DATE) + CAST(event_id % 5 AS INTEGER) "
               "AS end_date FROM events WHERE event_type = 'signup')")
     q["version_misses_closed"] = miss.format(f=PURCHASES, v=closed)

@@ -219,6 +219,12 @@ def q_version_misses(spark, sf):
     return version_misses(purchases(spark, sf), signup_versions(spark, sf), "user_id", "event_date", "start_date", "end_date")
 
 
+def q_version_misses_asof(spark, sf):
+    versions = signup_versions(spark, sf)
+    return version_misses(purchases(spark, sf), versions, "user_id", "event_date", "start_date", "end_date",
+                          strategy="asof")
+
+
 def q_version_misses_closed(spark, sf):
     closed = load(spark, sf, "events").filter(F.col("event_type") == "signup").select(
         "user_id", F.col("ts").cast("date").alias("start_date"),
@@ -505,6 +511,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overlapping_versions": q_overlapping_versions,
     "overlapping_versions_any": q_overlapping_versions_any,
     "version_misses": q_version_misses,
+    "version_misses_asof": q_version_misses_asof,
     "version_misses_closed": q_version_misses_closed,
     "orphan_rows": q_orphan_rows,
     "orphan_rows_nulls": q_orphan_rows_nulls,

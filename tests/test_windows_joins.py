@@ -87,7 +87,9 @@ def test_version_misses(spark):
     fact = spark.createDataFrame([(1, "A", D(2019, 12, 31)), (2, "A", D(2021, 1, 1)), (3, "B", D(2020, 2, 1)),
                                   (4, "B", None), (5, None, D(2020, 1, 5)), (6, "C", D(2020, 1, 5))],
                                  "id int, k string, d date")
-    assert [r.id for r in version_misses(fact, versions, "k", "d", "s", "e").orderBy("id").collect()] == [1, 3, 5, 6]
+    for strategy in ("auto", "join", "asof"):
+        got = version_misses(fact, versions, "k", "d", "s", "e", strategy=strategy).orderBy("id").collect()
+        assert [r.id for r in got] == [1, 3, 5, 6]
 
 
 def test_orphan_rows_null_keys(spark):
@@ -126,6 +128,8 @@ def test_version_misses_strategies_agree(spark):
         facts.append((i, k, d))
     v = spark.createDataFrame(vers, "k string, s date, e date")
     f = spark.createDataFrame(facts, "id int, k string, d date")
-    asof = rows(version_misses(f, v, "k", "d", "s", "e"))
+    asof = rows(version_misses(f, v, "k", "d", "s", "e", strategy="asof"))
     join = rows(version_misses(f, v, "k", "d", "s", "e", strategy="join"))
-    assert asof == join and len(asof) > 0
+    auto_small = rows(version_misses(f, v, "k", "d", "s", "e"))
+    auto_big = rows(version_misses(f, v, "k", "d", "s", "e", broadcast_versions_per_key=1))
+    assert asof == join == auto_small == auto_big and len(asof) > 0
