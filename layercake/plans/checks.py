@@ -60,6 +60,7 @@ class Reference:
     table: str
     table_column: str | None = None
     name: str | None = None
+    ignore_null_keys: bool = False  # by default a NULL key counts as unmatched
 
 
 @dataclass(frozen=True)
@@ -154,7 +155,8 @@ def _table_checks(name: str, df: DataFrame, suite: Suite, tables: Mapping[str, D
     for i, keys in enumerate(key_sets):
         parts.append(key_groups(df, keys).select(F.col("duplicate_key_rows").alias(f"_dupk_{i}")))
     for i, ref in enumerate(references):
-        orphans = orphan_rows(df.select(c(ref.column)), tables[ref.table], ref.column, ref.table_column or ref.column)
+        orphans = orphan_rows(df.select(c(ref.column)), tables[ref.table], ref.column, ref.table_column or ref.column,
+                              ref.ignore_null_keys)
         parts.append(orphans.agg(F.count(F.lit(1)).alias(f"_orphans_{i}")))
     for j, vm in enumerate(versions):
         misses = version_misses(df.select(c(vm.key), c(vm.date)), tables[vm.table], vm.key, vm.date, vm.start, vm.end,

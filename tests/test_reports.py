@@ -81,7 +81,9 @@ def test_quality_report_checks_and_status(spark):
     suites = {
         "dim": Suite(keys=("id",), required=("id", "name")),
         "fact": Suite(required=("cid",), rules={"negative_amount": "amount < 0"},
-                      references=(Reference("cid", "dim", "id", "dim_reference"),), warn_only=frozenset({"negative_amount"})),
+                      references=(Reference("cid", "dim", "id", "dim_reference"),
+                                  Reference("cid", "dim", "id", "dim_reference_non_null", ignore_null_keys=True)),
+                      warn_only=frozenset({"negative_amount"})),
         "versions": Suite(overlaps=(Overlap("key", "s", "e"),)),
         "gone": Suite(),
     }
@@ -95,6 +97,7 @@ def test_quality_report_checks_and_status(spark):
     assert got[("dim", "table_exists")].details == "Table exists with 3 rows."
     assert got[("fact", "dim_reference")].failed_rows == 2  # 3 and NULL
     assert got[("fact", "dim_reference")].pass_percentage == 33.333
+    assert got[("fact", "dim_reference_non_null")].failed_rows == 1
     assert got[("fact", "negative_amount")].status == "WARN"
     assert got[("versions", "validity_overlap")].failed_rows == 1
     assert (got[("gone", "table_exists")].status, got[("gone", "table_exists")].details) == (
