@@ -76,7 +76,8 @@ CUSTOMER_RAW = (
     "END AS cst_create_date",
 )
 
-# a second, later record for customers of five nations (duplicate ids)
+# a second record for every customer (duplicate ids): newer than the first
+# for five nations, older for the rest, undated for every fourth customer
 CUSTOMER_RAW_UPDATES = (
     "CAST(c_custkey AS STRING) AS cst_id",
     "concat('AW', lpad(CAST(c_custkey AS STRING), 8, '0')) AS cst_key",
@@ -84,9 +85,9 @@ CUSTOMER_RAW_UPDATES = (
     "concat(split_part(c_name, '#', 2), '-b') AS cst_lastname",
     "CASE WHEN c_custkey % 2 = 0 THEN 'S' ELSE 'M' END AS cst_marital_status",
     "'F' AS cst_gndr",
-    "CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE '2021-06-30' END AS cst_create_date",
+    "CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_nationkey < 5 THEN '2021-06-30' ELSE '2001-01-01' END "
+    "AS cst_create_date",
 )
-CUSTOMER_UPDATE_FILTER = "c_nationkey < 5"
 
 # customer-dimension rows with PII for masking
 CUSTOMER_PII = (

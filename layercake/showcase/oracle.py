@@ -30,7 +30,7 @@ SPLIT_PREFIX = "regexp_extract(trim(product_key), '^([A-Za-z0-9]{2}-[A-Za-z0-9]{
 
 RAW_CUSTOMERS = (
     f"({_from('customer', I.CUSTOMER_RAW)[1:-1]} UNION ALL "
-    f"{_from('customer', I.CUSTOMER_RAW_UPDATES, I.CUSTOMER_UPDATE_FILTER)[1:-1]})"
+    f"{_from('customer', I.CUSTOMER_RAW_UPDATES)[1:-1]})"
 )
 CUSTOMER_RAW_COLS = ["cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr",
                      "cst_create_date"]

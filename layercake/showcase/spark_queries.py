@@ -161,7 +161,7 @@ CUSTOMER_SPEC = TableSpec(
 def raw_customers(spark, sf):
     cust = load(spark, sf, "customer")
     base = cust.selectExpr(*I.CUSTOMER_RAW)
-    updates = cust.filter(I.CUSTOMER_UPDATE_FILTER).selectExpr(*I.CUSTOMER_RAW_UPDATES)
+    updates = cust.selectExpr(*I.CUSTOMER_RAW_UPDATES)
     return base.unionByName(updates)
 
 
