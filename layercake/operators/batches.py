@@ -91,7 +91,9 @@ def assign_batches(
 
 
 def unreleased_batches(batches: DataFrame, released: DataFrame, name: str = BATCH_ID) -> DataFrame:
-    """Rows of batches not yet released (M4: releasing twice is refused)."""
-    return batches.join(released.select(name).distinct(), name, "left_anti")
+    """Rows of batches not yet released (M4: releasing twice is refused).
+    An anti join ignores duplicates on its right side, so the release log is
+    not de-duplicated (that would only add a shuffle)."""
+    return batches.join(released.select(name), name, "left_anti")
 
 

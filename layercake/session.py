@@ -7,7 +7,6 @@ setting is absent (tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,15 +57,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/layercake/{name}-{uuid.uuid4().hex}"
 
 
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use local paths."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def materialize(df, name: str = "materialized"):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back. This cuts lineage (a lost executor recomputes nothing upstream) and

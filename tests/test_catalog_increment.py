@@ -1,9 +1,8 @@
-import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from layercake.plans.catalog import RAW_SCHEMAS
+
 from layercake.plans.pipeline import run_increment
 from layercake.session import scratch_path
 from layercake.sources.csv import discover_tables

@@ -4,7 +4,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
 from layercake.operators import completeness, exact_duplicates, key_duplicates, null_profile, reconcile, rule_violations
 from layercake.plans.checks import Overlap, Reference, Suite, quality_report, report_summary
 from layercake.plans.reports import LayerPair, layer_report, profile_report

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from layercake.functions.columns import CRM_CUSTOMER_KEY_PREFIX, ERP_CUSTOMER_KEY_PREFIX
