@@ -393,6 +393,7 @@ def oracle_sql() -> dict[str, str]:
     li_keys = "(SELECT l_orderkey, l_linenumber FROM lineitem)"
     q["exact_duplicates"] = (f"SELECT 'lineitem' AS table_name, count(*) AS total_rows, {_distinct_rows(li_keys)} AS "
                              f"distinct_rows, count(*) - {_distinct_rows(li_keys)} AS exact_duplicate_rows FROM lineitem")
+    q["exact_duplicates_fingerprint"] = q["exact_duplicates"]
     dk = _dup_keys("lineitem", ["l_orderkey", "l_linenumber"])
     q["key_duplicates"] = (f"SELECT 'lineitem' AS table_name, '[\"l_orderkey\", \"l_linenumber\"]' AS keys, "
                            f"(SELECT count(*) FROM lineitem) AS total_rows, g AS duplicate_key_groups, "

@@ -320,6 +320,11 @@ def q_exact_duplicates(spark, sf):
     return exact_duplicates(load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), "lineitem")
 
 
+def q_exact_duplicates_fingerprint(spark, sf):
+    df = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return exact_duplicates(df, "lineitem", method="fingerprint")
+
+
 def q_key_duplicates(spark, sf):
     return key_duplicates(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem")
 
@@ -523,6 +528,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "completeness": q_completeness,
     "null_details": q_null_details,
     "exact_duplicates": q_exact_duplicates,
+    "exact_duplicates_fingerprint": q_exact_duplicates_fingerprint,
     "key_duplicates": q_key_duplicates,
     "rule_violations": q_rule_violations,
     "reconcile": q_reconcile,

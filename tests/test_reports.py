@@ -128,3 +128,20 @@ def test_profile_report_error_row_and_hybrid_variant(spark):
     assert rep["raw_t"].null_details == "{'a': 1, 'b': 1}"
     empty = profile_report({"e": spark.createDataFrame([], "a string")}, digits=2, empty=0.0).first()
     assert empty.completeness_percentage == 0.0
+
+
+def test_fingerprint_duplicates_equal_full(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(3000).select((F.col("id") % 700).alias("a"),
+                                  F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 5).alias("b"),
+                                  F.when(F.col("id") % 13 == 0, None).otherwise(F.lit("x")).alias("s"))
+    full = exact_duplicates(df, "t").first()
+    fp = exact_duplicates(df, "t", method="fingerprint").first()
+    assert (fp.total_rows, fp.distinct_rows) == (full.total_rows, full.distinct_rows)
+    capped = exact_duplicates(df, "t", method="fingerprint", candidate_limit=1).first()
+    assert capped.distinct_rows == full.distinct_rows
+    nulls = spark.createDataFrame([(1, None), (None, 1), (None, 1)], "a int, b int")
+    assert exact_duplicates(nulls, "t", method="fingerprint").first().exact_duplicate_rows == 1
+    unique = exact_duplicates(spark.range(50), "t", method="fingerprint").first()
+    assert unique.exact_duplicate_rows == 0
