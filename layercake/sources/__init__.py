@@ -2,3 +2,4 @@
 
 from layercake.sources.csv import discover_tables, ingest_sources, read_raw_csv
 from layercake.sources.sinks import publish_table, write_batches
+from layercake.sources.tables import load_tables, release_batch

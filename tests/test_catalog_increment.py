@@ -43,3 +43,34 @@ def test_run_increment_appends_then_recomputes(spark):
     assert out["diagnostic_gold"].count() == 54
     again, _ = run_increment(spark, landing, sinks)
     assert set(again.values()) == {0}
+
+
+def test_load_tables_and_missing_table_check(spark):
+    from layercake.plans.checks import Suite, quality_report
+    from layercake.sources.tables import load_tables
+
+    publish_table(spark.createDataFrame([(1,)], "id int"), "lc_db.present_t")
+    tables = load_tables(spark, ["present_t", "absent_t"], "lc_db")
+    assert tables["absent_t"] is None
+    rep = {(r.table_name, r.check_name): r.status for r in quality_report(
+        tables, {"present_t": Suite(keys=("id",)), "absent_t": Suite()}).collect()}
+    assert rep[("absent_t", "table_exists")] == "FAIL" and rep[("present_t", "table_exists")] == "PASS"
+
+
+def test_release_batches_in_order_and_refuse_twice(spark):
+    from layercake.operators.batches import assign_batches
+    from layercake.sources.sinks import write_batches
+    from layercake.sources.tables import release_batch
+
+    df = spark.range(1, 31).select(F.col("id").cast("string").alias("v"))
+    exported = scratch_path(spark, "rel-batches")
+    write_batches(assign_batches(df, ["v"], [10, 20]), exported)
+    landing, log = scratch_path(spark, "rel-landing"), scratch_path(spark, "rel-log")
+    assert release_batch(spark, exported, landing, log) == 1
+    assert spark.read.option("header", True).csv(landing).count() == 10
+    with pytest.raises(ValueError, match="already released"):
+        release_batch(spark, exported, landing, log, batch_id=1)
+    assert release_batch(spark, exported, landing, log, batch_id=3) == 3
+    assert release_batch(spark, exported, landing, log) == 2
+    assert release_batch(spark, exported, landing, log) is None
+    assert spark.read.option("header", True).csv(landing).count() == 30
