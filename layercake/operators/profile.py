@@ -160,7 +160,7 @@ def null_details_json(columns: Sequence[str], style: str = "counts", digits: int
     return F.concat(F.lit("{"), F.array_join(F.array(*parts), ", "), F.lit("}"))
 
 
-def _fingerprint_distinct(df: DataFrame, candidate_limit: int) -> DataFrame | None:
+def fingerprint_distinct(df: DataFrame, candidate_limit: int) -> DataFrame | None:
     """``(_rows, _distinct)`` computed in two exact phases, or None when the
     candidate set is larger than ``candidate_limit``.
 
@@ -198,12 +198,12 @@ def exact_duplicates(df: DataFrame, table_name: str, method: str = "full",
 
     ``method="full"``: one lazy ``count(DISTINCT struct(*))`` (shuffles every
     distinct row once). ``method="fingerprint"``: the two-phase exact count of
-    ``_fingerprint_distinct`` (two small jobs run now), falling back to
+    ``fingerprint_distinct`` (two small jobs run now), falling back to
     ``full`` when more than ``candidate_limit`` hashes repeat.
     """
     m = None
     if method == "fingerprint" and df.columns:
-        m = _fingerprint_distinct(df, candidate_limit)
+        m = fingerprint_distinct(df, candidate_limit)
     elif method not in ("full", "fingerprint"):
         raise ValueError(f"Unknown method: {method}")
     if m is None:

@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import rows
 from layercake.operators import completeness, exact_duplicates, key_duplicates, null_profile, reconcile, rule_violations
 from layercake.plans.checks import Overlap, Reference, Suite, quality_report, report_summary
 from layercake.plans.reports import LayerPair, layer_report, profile_report
@@ -145,3 +146,13 @@ def test_fingerprint_duplicates_equal_full(spark):
     assert exact_duplicates(nulls, "t", method="fingerprint").first().exact_duplicate_rows == 1
     unique = exact_duplicates(spark.range(50), "t", method="fingerprint").first()
     assert unique.exact_duplicate_rows == 0
+
+
+def test_quality_report_fingerprint_duplicates_equal_full(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "id int, v string")
+    suites = {"t": Suite(keys=("id",), required=("v",))}
+    full = rows(quality_report({"t": df}, suites))
+    fp = rows(quality_report({"t": df}, suites, duplicates="fingerprint"))
+    assert full == fp
+    dup = [r for r in fp if r[1] == "exact_duplicate_rows"][0]
+    assert dup[5] == 2
