@@ -84,3 +84,16 @@ def test_ingest_sources_streaming_mode(spark):
         "checkpointLocation", sink + "/_checkpoint").trigger(availableNow=True).start(sink)
     q.awaitTermination()
     assert spark.read.parquet(sink).first().cst_key == "AW1"
+
+
+def test_ingest_counts_every_micro_batch(spark):
+    landing, sink = scratch_path(spark, "many-land"), scratch_path(spark, "many-sink")
+    df = spark.range(0, 120).select(F.col("id").cast("string").alias("a"))
+    df.repartition(12).write.option("header", True).csv(landing)
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        n = ingest_increment(spark, landing, raw_string_schema("a"), sink, max_files_per_trigger=1)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    assert n == 120
