@@ -19,6 +19,7 @@ from layercake.operators.profile import (
     DISTINCT,
     ROWS,
     completeness_columns,
+    fingerprint_distinct,
     key_groups,
     merge_rows,
     null_details_json,
@@ -108,12 +109,17 @@ class LayerPair:
     dedupe_keys: Sequence[str] = ()
 
 
-def layer_row(pair: LayerPair) -> DataFrame:
+def layer_row(pair: LayerPair, duplicates: str = "full") -> DataFrame:
     """One cleaned-layer row (A1, A3-A8): source count, target profile with
-    exact duplicates, and duplicate groups/rows on the (renamed) dedupe keys."""
+    exact duplicates, and duplicate groups/rows on the (renamed) dedupe keys.
+    ``duplicates="fingerprint"`` uses the two-phase exact duplicate count."""
     target = pair.target
     cols = target.columns
-    metrics = table_metrics(target, distinct=True).select(
+    fingerprint = fingerprint_distinct(target, 10_000_000) if duplicates == "fingerprint" and cols else None
+    base = table_metrics(target, distinct=fingerprint is None)
+    if fingerprint is not None:
+        base = merge_rows([base, fingerprint.select(DISTINCT)])
+    metrics = base.select(
         *completeness_columns(cols),
         (F.col(ROWS) - F.col(DISTINCT)).alias("exact_duplicate_rows"),
         null_details_json(cols, "shares").alias("null_details"),
@@ -140,6 +146,6 @@ def layer_row(pair: LayerPair) -> DataFrame:
     )
 
 
-def layer_report(pairs: Sequence[LayerPair]) -> DataFrame:
+def layer_report(pairs: Sequence[LayerPair], duplicates: str = "full") -> DataFrame:
     """Cleaned-layer report (Q2), 14 columns, ordered by table name."""
-    return _union([layer_row(p) for p in pairs]).orderBy("table_name")
+    return _union([layer_row(p, duplicates) for p in pairs]).orderBy("table_name")

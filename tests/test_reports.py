@@ -156,3 +156,9 @@ def test_quality_report_fingerprint_duplicates_equal_full(spark):
     assert full == fp
     dup = [r for r in fp if r[1] == "exact_duplicate_rows"][0]
     assert dup[5] == 2
+
+
+def test_layer_report_fingerprint_equals_full(spark):
+    raw = spark.createDataFrame([("1", None), ("1", None), ("2", "y"), (None, None)], "id string, v string")
+    pair = [LayerPair("raw_t", raw, "clean_t", raw, ["id"])]
+    assert rows(layer_report(pair)) == rows(layer_report(pair, duplicates="fingerprint"))
