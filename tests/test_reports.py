@@ -162,3 +162,20 @@ def test_layer_report_fingerprint_equals_full(spark):
     raw = spark.createDataFrame([("1", None), ("1", None), ("2", "y"), (None, None)], "id string, v string")
     pair = [LayerPair("raw_t", raw, "clean_t", raw, ["id"])]
     assert rows(layer_report(pair)) == rows(layer_report(pair, duplicates="fingerprint"))
+
+
+def test_masked_view_checks_the_session_user_at_query_time(spark):
+    import datetime as dt
+
+    from layercake.operators.governance import CUSTOMER_COLUMN_METADATA, classify_columns, register_masked_view
+
+    me = spark.sql("SELECT session_user() AS u").first().u
+    df = classify_columns(spark.createDataFrame([(1, "Ann", dt.date(1990, 5, 6))],
+                                                "customer_id int, firstname string, birth_date date"),
+                          CUSTOMER_COLUMN_METADATA)
+    register_masked_view(df, "lc_secure_other", owners=["someone_else"])
+    register_masked_view(df, "lc_secure_mine", owners=[me])
+    masked = spark.table("lc_secure_other").first()
+    clear = spark.table("lc_secure_mine").first()
+    assert (masked.firstname, masked.birth_date) == ("A***", dt.date(1990, 1, 1))
+    assert (clear.firstname, clear.birth_date) == ("Ann", dt.date(1990, 5, 6))
