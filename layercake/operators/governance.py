@@ -96,6 +96,8 @@ _TABLE_SCHEMA = StructType(
         StructField("layer", StringType(), True),
         StructField("table_type", StringType(), False),
         StructField("comment", StringType(), True),
+        StructField("row_count", LongType(), False),
+        StructField("column_count", LongType(), False),
     ]
 )
 
@@ -118,7 +120,7 @@ def table_inventory(spark: SparkSession, tables: Mapping[str, DataFrame], commen
             )
         )
     if not rows:
-        return spark.createDataFrame([], _TABLE_SCHEMA.add("row_count", LongType()).add("column_count", LongType()))
+        return spark.createDataFrame([], _TABLE_SCHEMA)
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
