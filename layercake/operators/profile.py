@@ -36,8 +36,10 @@ def table_metrics(
     columns: Sequence[str] | None = None,
     rules: Mapping[str, Column] | None = None,
     distinct: bool = False,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """One-row aggregate: rows, NULLs per column, distinct rows, rule hits.
+    """One-row aggregate: rows, NULLs per column, distinct rows, rule hits
+    (plus any ``extra`` aggregate expressions, in the same pass).
 
     ``count_if`` over zero rows is 0 (not NULL), so empty inputs need no repair.
     A rule whose predicate is NULL counts as passing.
@@ -53,7 +55,7 @@ def table_metrics(
             exprs.append(F.count_distinct(F.struct(*[c(n) for n in df.columns])).alias(DISTINCT))
         else:
             exprs.append(F.lit(0).cast("long").alias(DISTINCT))
-    return df.agg(*exprs)
+    return df.agg(*exprs, *extra)
 
 
 def merge_rows(frames: Iterable[DataFrame]) -> DataFrame:

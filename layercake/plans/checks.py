@@ -160,10 +160,9 @@ def _table_checks(
     key_sets = [k for k in [suite.keys, *suite.secondary_keys] if k]
 
     fingerprint = fingerprint_distinct(df, 10_000_000) if duplicates == "fingerprint" and df.columns else None
-    main = table_metrics(df, suite.required, rules, distinct=fingerprint is None)
-    if versions:
-        dated = df.agg(*[F.count(c(vm.date)).alias(f"_dated_{j}") for j, vm in enumerate(versions)])
-    parts = [main] + ([dated] if versions else [])
+    dated = [F.count(c(vm.date)).alias(f"_dated_{j}") for j, vm in enumerate(versions)]
+    main = table_metrics(df, suite.required, rules, distinct=fingerprint is None, extra=dated)
+    parts = [main]
     if fingerprint is not None:
         parts.append(fingerprint.select(DISTINCT))
     for i, keys in enumerate(key_sets):
