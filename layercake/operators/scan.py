@@ -36,7 +36,7 @@ def pattern_hits(df: DataFrame, text_col: str, id_col: str, patterns: Mapping[st
     """Long form (id, pattern) for every row matching a pattern."""
     labels = list(patterns)
     flagged = flag_patterns(df.select(c(id_col), c(text_col)), text_col, patterns)
-    hits = F.array(*[F.when(F.col(f"hit_{lb}"), F.lit(lb)) for lb in labels])
+    hits = F.array(*[F.when(c(f"hit_{lb}"), F.lit(lb)) for lb in labels])
     return flagged.select(c(id_col), F.explode(F.array_compact(hits)).alias("pattern_name"))
 
 
@@ -46,7 +46,7 @@ def scan_patterns(df: DataFrame, text_col: str, patterns: Mapping[str, str] = SE
     flagged = flag_patterns(df.select(c(text_col)), text_col, patterns)
     agg = flagged.agg(
         F.count(F.lit(1)).alias("rows_scanned"),
-        *[F.count_if(F.col(f"hit_{lb}")).alias(f"n_{i}") for i, lb in enumerate(labels)],
+        *[F.count_if(c(f"hit_{lb}")).alias(f"n_{i}") for i, lb in enumerate(labels)],
     )
     entries = F.array(
         *[

@@ -79,7 +79,7 @@ def flag_overlaps(
     tie = list(tie)
     if mode == "previous":
         t = with_previous(df, keys, start, tie, [start, end], "__p_", skew)
-        prev_start, prev_end = F.col(f"__p_{start}"), F.col(f"__p_{end}")
+        prev_start, prev_end = c(f"__p_{start}"), c(f"__p_{end}")
         cond = prev_start.isNotNull() & (prev_end.isNull() | (c(start) <= prev_end))
     elif mode == "any":
         dated = c(start).isNotNull()
