@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     DateType,
+    IntegerType,
+    MapType,
     NumericType,
     StructField,
     StructType,
@@ -83,16 +85,20 @@ def _sampled(df: DataFrame, skew: Skew) -> tuple[DataFrame, float]:
     return df, float(skew.hot_rows)
 
 
-def hot_bounds(df: DataFrame, keys: Sequence[str], order: str, skew: Skew) -> DataFrame | None:
+def hot_bounds(
+    df: DataFrame, keys: Sequence[str], order: str, skew: Skew, tie: str | None = None
+) -> DataFrame | None:
     """Bucket bounds of the hot keys as a small literal DataFrame (columns
-    ``__bk<i>`` + ``__bounds``), or None when no key is hot.
-
-    Runs two small jobs: a top-k of per-key counts on the seeded sample (at
-    most ``max_hot_keys`` rows reach the driver) and, only if some key is hot,
-    per-key percentiles of its sampled rows (again at most ``max_hot_keys``
-    rows). Both results are bounded, so they are safe to collect and to
-    broadcast, and later branches of the plan reuse them instead of
-    recomputing the sample.
+    ``__bk<i>``, ``__bounds`` and ``__heavy``), or None when no key is hot.
+
+    Small jobs on the seeded sample: a top-k of per-key counts (at most
+    ``max_hot_keys`` rows reach the driver) and, only if some key is hot,
+    per-key percentiles of its sampled rows. A start value repeated ``m``
+    times among a key's bounds holds a large share of that key; its rows are
+    split again by ``m`` percentiles of the first tie-break column (one more
+    job, only when such values exist), kept in ``__heavy`` (value -> tie
+    bounds). All results are bounded, so they are safe to collect and to
+    broadcast, and later branches of the plan reuse them.
     """
     keys = list(keys)
     if not skew.enabled or not _splittable(df, order):
@@ -121,16 +127,51 @@ def hot_bounds(df: DataFrame, keys: Sequence[str], order: str, skew: Skew) -> Da
         .agg(F.percentile_approx(c(order), probs, skew.accuracy).alias("__bounds"))
         .collect()
     )
+    heavy: dict = {}
+    if tie is not None and _splittable(df, tie):
+        pairs = []
+        for r in bound_rows:
+            values = [v for v in (r["__bounds"] or []) if v is not None]
+            for v in sorted(set(values)):
+                if values.count(v) > 1:
+                    pairs.append((*[r[b] for b in bl], v, values.count(v)))
+        if pairs:
+            pair_schema = StructType(
+                [StructField(a, df.schema[k].dataType, True) for k, a in zip(keys, al)]
+                + [StructField("__v", df.schema[order].dataType, True), StructField("__m", IntegerType(), False)]
+            )
+            pair_df = spark.createDataFrame(pairs, pair_schema)
+            ties = (
+                counted.join(F.broadcast(pair_df), _on(keys, al, [c(order) == F.col("__v")]), "left_semi")
+                .groupBy(*[c(k).alias(b) for k, b in zip(keys, bl)], c(order).alias("__v"))
+                .agg(F.percentile_approx(c(tie), probs, skew.accuracy).alias("__tb"))
+                .collect()
+            )
+            repeats = {(*p[:-2], p[-2]): p[-1] for p in pairs}
+            for r in ties:
+                key = tuple(r[b] for b in bl)
+                m = repeats[(*key, r["__v"])]
+                grid = r["__tb"] or []
+                if grid:
+                    picks = [grid[min(len(grid) - 1, round(j * len(grid) / (m + 1)))] for j in range(1, m + 1)]
+                    heavy.setdefault(key, {})[r["__v"]] = picks
+    tie_type = df.schema[tie].dataType if tie is not None and tie in df.columns else df.schema[order].dataType
     bounds_schema = StructType(
         [StructField(b, df.schema[k].dataType, True) for k, b in zip(keys, bl)]
-        + [StructField("__bounds", ArrayType(df.schema[order].dataType), True)]
+        + [
+            StructField("__bounds", ArrayType(df.schema[order].dataType), True),
+            StructField("__heavy", MapType(df.schema[order].dataType, ArrayType(tie_type)), True),
+        ]
     )
-    return spark.createDataFrame(bound_rows, bounds_schema)
+    rows = [(*[r[b] for b in bl], r["__bounds"], heavy.get(tuple(r[b] for b in bl))) for r in bound_rows]
+    return spark.createDataFrame(rows, bounds_schema)
 
 
-def tag_buckets(df: DataFrame, keys: Sequence[str], order: str, skew: Skew, bounds: DataFrame | None = None) -> DataFrame:
-    """``df`` plus ``HOT`` (bool) and ``BUCKET`` (int, monotone in ``order``
-    within a key; NULL order values go to the last bucket)."""
+def tag_buckets(
+    df: DataFrame, keys: Sequence[str], order: str, skew: Skew, bounds: DataFrame | None = None, tie: str | None = None
+) -> DataFrame:
+    """``df`` plus ``HOT`` (bool) and ``BUCKET`` (int, monotone in
+    ``(order, tie)`` within a key; NULL order values go to the last bucket)."""
     keys = list(keys)
     cols = [c(n) for n in df.columns]
     if bounds is None:
@@ -138,13 +179,13 @@ def tag_buckets(df: DataFrame, keys: Sequence[str], order: str, skew: Skew, boun
     bl = _key_aliases(keys, "bk")
     tagged = df.join(F.broadcast(bounds), _on(keys, bl), "left")
     is_hot = F.col("__bounds").isNotNull()
-    below = F.size(F.filter(F.col("__bounds"), lambda b: b < c(order)))
-    bucket = (
-        F.when(~is_hot, F.lit(0))
-        .when(c(order).isNull(), F.lit(skew.buckets))
-        .otherwise(F.coalesce(below, F.lit(0)))
-        .cast("int")
-    )
+    below = F.coalesce(F.size(F.filter(F.col("__bounds"), lambda b: b < c(order))), F.lit(0))
+    bucket = F.when(~is_hot, F.lit(0)).when(c(order).isNull(), F.lit(skew.buckets))
+    if tie is not None:
+        sub = F.try_element_at(F.col("__heavy"), c(order))
+        split = F.when(c(tie).isNull(), F.size(sub)).otherwise(F.size(F.filter(sub, lambda b: b < c(tie))))
+        bucket = bucket.when(F.coalesce(F.map_contains_key(F.col("__heavy"), c(order)), F.lit(False)), below + split)
+    bucket = bucket.otherwise(below).cast("int")
     return tagged.select(*cols, is_hot.alias(HOT), bucket.alias(BUCKET))
 
 
@@ -172,8 +213,9 @@ def _order_key(order: str, tie: Sequence[str]) -> Column:
 def with_next(df, keys, order, tie=(), out="__next", skew: Skew = Skew()) -> DataFrame:
     """``df`` plus ``out``: the ``order`` value of the next row of the same key."""
     keys, tie = list(keys), list(tie)
-    bounds = hot_bounds(df, keys, order, skew)
-    t = tag_buckets(df, keys, order, skew, bounds)
+    first_tie = tie[0] if tie else None
+    bounds = hot_bounds(df, keys, order, skew, first_tie)
+    t = tag_buckets(df, keys, order, skew, bounds, first_tie)
     w = bucket_window(keys, order, tie)
     t = t.select("*", F.lead(F.lit(1)).over(w).isNotNull().alias("__has_next"), F.lead(c(order)).over(w).alias("__next_in"))
     if bounds is None:  # no hot key: exactly the plain window
@@ -194,8 +236,9 @@ def with_previous(df, keys, order, tie=(), cols=(), prefix="__prev_", skew: Skew
     """``df`` plus ``<prefix>exists`` and ``<prefix><col>`` for each of ``cols``:
     values of the previous row of the same key."""
     keys, tie, cols = list(keys), list(tie), list(cols)
-    bounds = hot_bounds(df, keys, order, skew)
-    t = tag_buckets(df, keys, order, skew, bounds)
+    first_tie = tie[0] if tie else None
+    bounds = hot_bounds(df, keys, order, skew, first_tie)
+    t = tag_buckets(df, keys, order, skew, bounds, first_tie)
     w = bucket_window(keys, order, tie)
     t = t.select(
         "*",
@@ -228,8 +271,9 @@ def with_prior_max(df, keys, order, tie=(), values: dict[str, Column] | None = N
     keys, tie = list(keys), list(tie)
     values = dict(values or {})
     names = list(values)
-    bounds = hot_bounds(df, keys, order, skew)
-    t = tag_buckets(df, keys, order, skew, bounds).select("*", *[e.alias(f"__v{i}") for i, e in enumerate(values.values())])
+    first_tie = tie[0] if tie else None
+    bounds = hot_bounds(df, keys, order, skew, first_tie)
+    t = tag_buckets(df, keys, order, skew, bounds, first_tie).select("*", *[e.alias(f"__v{i}") for i, e in enumerate(values.values())])
     w = bucket_window(keys, order, tie).rowsBetween(Window.unboundedPreceding, -1)
     t = t.select("*", *[F.max(f"__v{i}").over(w).alias(f"__in{i}") for i in range(len(names))])
     if bounds is None:  # no hot key: exactly the plain window

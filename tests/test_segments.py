@@ -52,3 +52,21 @@ def test_hot_key_is_split_into_buckets(spark):
     ends = derive_end_date(df, "k", "s", "e", skew=Skew(hot_rows=10, buckets=4, accuracy=1000, sample_fraction=None))
     got = {r.id: r.e for r in ends.collect()}
     assert all(got[i] == BASE + dt.timedelta(days=i) for i in range(59)) and got[59] is None and got[100] is None
+
+
+def test_dominant_start_value_is_split_by_tie(spark):
+    # one hot key, 80 % of its rows on the same start date
+    data = [(i, "hot", BASE if i % 5 else BASE + dt.timedelta(days=i), None) for i in range(200)]
+    data += [(1000 + i, "cold", BASE + dt.timedelta(days=i), None) for i in range(5)]
+    df = spark.createDataFrame(data, "id int, k string, s date, e date")
+    sk = Skew(hot_rows=20, buckets=8, accuracy=1000, sample_fraction=None)
+    bounds = hot_bounds(df, ["k"], "s", sk, "id")
+    tagged = tag_buckets(df, ["k"], "s", sk, bounds, "id")
+    same_day = {r["__seg_bucket"] for r in tagged.filter(f"k = 'hot' AND s = DATE'{BASE}'").collect()}
+    assert len(same_day) > 1
+    for fn in (
+        lambda skw: derive_end_date(df, "k", "s", "e", tie=["id"], skew=skw),
+        lambda skw: flag_overlaps(df, "k", "s", "e", "previous", ["id"], "f", skw),
+        lambda skw: flag_overlaps(df, "k", "s", "e", "any", ["id"], "f", skw),
+    ):
+        assert rows(fn(sk)) == rows(fn(PLAIN))
