@@ -233,6 +233,33 @@ def quality_checks_sql() -> str:
             orphans = f"(SELECT count(*) FROM {src} f WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{dcol} = f.{col}))"
             parts.append(_check(t, name, "referential_integrity", [col], n, orphans))
     parts.append(_check("supplier_dim", "table_exists", "existence", None, 1, 1, "'Table not found: supplier_dim'"))
+    win = "PARTITION BY user_id ORDER BY start_date ASC NULLS LAST"
+    overlaps = (f"(SELECT count(*) FROM (SELECT *, lag(start_date) OVER ({win}) AS ps, lag(end_date) OVER ({win}) AS pe "
+                f"FROM {SIGNUP_VERSIONS}) WHERE ps IS NOT NULL AND (pe IS NULL OR start_date <= pe))")
+    misses = (f"(SELECT count(*) FROM {PURCHASES} f WHERE f.event_date IS NOT NULL AND NOT EXISTS (SELECT 1 FROM "
+              f"{SIGNUP_VERSIONS} v WHERE v.user_id = f.user_id AND v.start_date <= f.event_date AND "
+              f"(v.end_date IS NULL OR f.event_date <= v.end_date)))")
+    for t, src, cols, keys, required in (
+        ("signups", SIGNUP_VERSIONS, ["user_id", "start_date", "end_date"], ["user_id", "start_date"],
+         ["user_id", "start_date"]),
+        ("purchases", PURCHASES, ["event_id", "user_id", "event_date"], ["event_id"],
+         ["event_id", "user_id", "event_date"]),
+    ):
+        n = f"(SELECT count(*) FROM {src})"
+        parts.append(_check(t, "table_exists", "existence", None, 1, 0,
+                            f"'Table exists with ' || CAST({n} AS VARCHAR) || ' rows.'"))
+        parts.append(_check(t, "table_not_empty", "row_count", None, f"greatest({n}, 1)",
+                            f"CASE WHEN {n} = 0 THEN 1 ELSE 0 END", f"'Row count: ' || CAST({n} AS VARCHAR)"))
+        parts.append(_check(t, "exact_duplicate_rows", "duplication", cols, n, f"{n} - {_distinct_rows(src)}"))
+        for c in required:
+            parts.append(_check(t, f"required_not_null:{c}", "nullability", [c], n,
+                                f"(SELECT count(*) - count({c}) FROM {src})"))
+        parts.append(_check(t, "unique_key:" + ",".join(keys), "uniqueness", keys, n,
+                            f"(SELECT r FROM {_dup_keys(src, keys)})"))
+    parts.append(_check("signups", "signup_validity_overlap", "temporal_integrity",
+                        ["user_id", "start_date", "end_date"], f"(SELECT count(*) FROM {SIGNUP_VERSIONS})", overlaps))
+    parts.append(_check("purchases", "active_signup_match", "temporal_integrity", ["user_id", "event_date"],
+                        f"(SELECT count(event_date) FROM {PURCHASES})", misses))
     return " UNION ALL ".join(parts)
 
 

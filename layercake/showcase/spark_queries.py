@@ -43,7 +43,7 @@ from layercake.operators import (
 from layercake.operators.governance import CUSTOMER_COLUMN_METADATA
 from layercake.operators.rules import date_default_format, null_future_dates
 from layercake.plans.legacy import LEGACY_SPECS, clean_legacy
-from layercake.plans.checks import Reference, Suite, quality_report, report_summary
+from layercake.plans.checks import Overlap, Reference, Suite, VersionMatch, quality_report, report_summary
 from layercake.plans.reports import LayerPair, layer_report, profile_report
 from layercake.plans.spec import TableSpec, clean
 from layercake.plans.star import Lookup, build_dimension, build_fact
@@ -373,12 +373,24 @@ def flagship_suites() -> dict[str, Suite]:
             ),
         ),
         "supplier_dim": Suite(keys=("s_suppkey",)),
+        "signups": Suite(
+            keys=("user_id", "start_date"),
+            required=("user_id", "start_date"),
+            overlaps=(Overlap("user_id", "start_date", "end_date", name="signup_validity_overlap"),),
+        ),
+        "purchases": Suite(
+            keys=("event_id",),
+            required=("event_id", "user_id", "event_date"),
+            versions=(VersionMatch("user_id", "event_date", "signups", "start_date", "end_date",
+                                   name="active_signup_match"),),
+        ),
     }
 
 
 def q_quality_report(spark, sf):
-    # the fact is derived by a join and read by five checks: materialise it
-    # once in the checkpoint folder instead of re-running the join per check
+    # derived inputs read by several checks (the fact by a join, the signup
+    # versions by a window) are materialised once in the checkpoint folder
+    # instead of being recomputed per check
     tables = {
         "customer": load(spark, sf, "customer"),
         "part": load(spark, sf, "part"),
@@ -386,6 +398,8 @@ def q_quality_report(spark, sf):
         "nation": load(spark, sf, "nation"),
         "supplier": load(spark, sf, "supplier"),
         "supplier_dim": None,
+        "signups": materialize(signup_versions(spark, sf), "signup-versions"),
+        "purchases": purchases(spark, sf),
     }
     return quality_report(tables, flagship_suites(), spark=spark)
 
