@@ -130,25 +130,21 @@ def table_inventory(spark: SparkSession, tables: Mapping[str, DataFrame], commen
 def column_inventory(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per column: position, type, nullability, comment, classification
     and the column's NULL count from a single aggregation per table (M2)."""
+    def lit(v):
+        return "CAST(NULL AS STRING)" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
     parts = []
     for name, df in tables.items():
         m = table_metrics(df)
-        entries = F.array(
-            *[
-                F.struct(
-                    F.lit(i + 1).alias("ordinal_position"),
-                    F.lit(f.name).alias("column_name"),
-                    F.lit(f.dataType.simpleString()).alias("data_type"),
-                    F.lit("YES" if f.nullable else "NO").alias("is_nullable"),
-                    F.lit((f.metadata or {}).get("comment")).cast("string").alias("comment"),
-                    F.lit((f.metadata or {}).get("classification")).cast("string").alias("classification"),
-                    F.col(null_alias(i)).alias("null_count"),
-                )
-                for i, f in enumerate(df.schema.fields)
-            ]
+        entries = ", ".join(
+            f"named_struct('ordinal_position', {i + 1}, 'column_name', {lit(f.name)}, "
+            f"'data_type', {lit(f.dataType.simpleString())}, 'is_nullable', {lit('YES' if f.nullable else 'NO')}, "
+            f"'comment', {lit((f.metadata or {}).get('comment'))}, "
+            f"'classification', {lit((f.metadata or {}).get('classification'))}, 'null_count', {null_alias(i)})"
+            for i, f in enumerate(df.schema.fields)
         )
         parts.append(
-            m.select(F.col(ROWS).alias("row_count"), F.inline(entries)).select(
+            m.selectExpr(f"{ROWS} AS row_count", f"inline(array({entries}))").select(
                 F.lit(name).alias("table_name"),
                 "column_name",
                 "ordinal_position",

@@ -23,6 +23,14 @@ ROWS = "_rows"
 DISTINCT = "_distinct"
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _s(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def null_alias(i: int) -> str:
     return f"_null_{i}"
 
@@ -46,15 +54,15 @@ def table_metrics(
     """
     columns = list(df.columns if columns is None else columns)
     require_columns(df, columns, "Profiled columns")
-    exprs = [F.count(F.lit(1)).alias(ROWS)]
-    exprs += [F.count_if(c(n).isNull()).alias(null_alias(i)) for i, n in enumerate(columns)]
+    # plain SQL text keeps plan building to a few gateway calls on wide tables
+    sql = [f"count(1) AS {ROWS}"]
+    sql += [f"count_if({_q(n)} IS NULL) AS {null_alias(i)}" for i, n in enumerate(columns)]
+    if distinct:
+        inner = ", ".join(_q(n) for n in df.columns)
+        sql.append(f"count(DISTINCT struct({inner})) AS {DISTINCT}" if df.columns else f"CAST(0 AS BIGINT) AS {DISTINCT}")
+    exprs = [F.expr(x) for x in sql]
     for j, cond in enumerate((rules or {}).values()):
         exprs.append(F.count_if(F.coalesce(cond, F.lit(False))).alias(rule_alias(j)))
-    if distinct:
-        if df.columns:
-            exprs.append(F.count_distinct(F.struct(*[c(n) for n in df.columns])).alias(DISTINCT))
-        else:
-            exprs.append(F.lit(0).cast("long").alias(DISTINCT))
     return df.agg(*exprs, *extra)
 
 
@@ -71,7 +79,8 @@ def merge_rows(frames: Iterable[DataFrame]) -> DataFrame:
     names: list[str] = []
     for f in frames:
         names += [n for n in f.columns if n not in names]
-    return merged.agg(*[F.max(c(n)).alias(n) for n in names])
+    q = [f"`{n.replace('`', '``')}`" for n in names]
+    return merged.agg(*[F.expr(f"max({x}) AS {x}") for x in q])
 
 
 def _pct(part: Column, whole: Column, digits: int, empty: float) -> Column:
@@ -86,17 +95,11 @@ def null_profile(df: DataFrame, table_name: str, digits: int = 4) -> DataFrame:
     """Long form: one row per column with its NULL count and share (A1)."""
     columns = df.columns
     m = table_metrics(df, columns)
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(i + 1).alias("ordinal_position"),
-                F.lit(n).alias("column_name"),
-                F.col(null_alias(i)).alias("null_count"),
-            )
-            for i, n in enumerate(columns)
-        ]
+    entries = ", ".join(
+        f"named_struct('ordinal_position', {i + 1}, 'column_name', {_s(n)}, 'null_count', {null_alias(i)})"
+        for i, n in enumerate(columns)
     )
-    return m.select(F.col(ROWS).alias("row_count"), F.inline(entries)).select(
+    return m.selectExpr(f"{ROWS} AS row_count", f"inline(array({entries}))").select(
         F.lit(table_name).alias("table_name"),
         "column_name",
         "ordinal_position",

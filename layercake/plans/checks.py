@@ -109,8 +109,15 @@ class Suite:
     warn_only: frozenset[str] = frozenset()
 
 
-def _json(cols: Sequence[str] | None) -> Column:
-    return F.lit(json.dumps(list(cols)) if cols is not None else None).cast("string")
+def _sql_str(value: str | None) -> str:
+    """SQL string literal (or NULL) for a Python string."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _json(cols: Sequence[str] | None) -> str:
+    return _sql_str(json.dumps(list(cols)) if cols is not None else None)
 
 
 def _rule(expr: RuleExpr, as_of) -> Column:
@@ -126,23 +133,23 @@ def _row(
     check: str,
     ctype: str,
     cols: Sequence[str] | None,
-    total: Column,
-    failed: Column,
-    details: Column | None = None,
-) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"),
-        F.lit(ctype).alias("check_type"),
-        _json(cols).alias("columns_checked"),
-        total.cast("long").alias("total_rows"),
-        failed.cast("long").alias("failed_rows"),
-        (details if details is not None else F.lit(None)).cast("string").alias("details"),
+    total: str,
+    failed: str,
+    details: str = "NULL",
+) -> str:
+    """One check row as a SQL ``named_struct`` over the metrics row's columns.
+    Rows are built as SQL text so a whole report is one expression per
+    table (one gateway call instead of hundreds of small Column calls)."""
+    return (
+        f"named_struct('table_name', {_sql_str(table)}, 'check_name', {_sql_str(check)}, "
+        f"'check_type', {_sql_str(ctype)}, 'columns_checked', {_json(cols)}, "
+        f"'total_rows', CAST({total} AS BIGINT), 'failed_rows', CAST({failed} AS BIGINT), "
+        f"'details', CAST({details} AS STRING))"
     )
 
 
-def _explode(one_row: DataFrame, rows: list[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*rows)))
+def _explode(one_row: DataFrame, rows: list[str]) -> DataFrame:
+    return one_row.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _table_checks(
@@ -181,26 +188,26 @@ def _table_checks(
         parts.append(flagged.agg(F.count_if(F.col("__ov")).alias(f"_overlap_{j}")))
     metrics = merge_rows(parts) if len(parts) > 1 else main
 
-    n = F.col(ROWS)
+    n = ROWS
     rows = [
-        _row(name, "table_exists", "existence", None, F.lit(1), F.lit(0),
-             F.concat(F.lit("Table exists with "), n.cast("string"), F.lit(" rows."))),
-        _row(name, "table_not_empty", "row_count", None, F.greatest(n, F.lit(1)),
-             F.when(n == 0, 1).otherwise(0), F.concat(F.lit("Row count: "), n.cast("string"))),
-        _row(name, "exact_duplicate_rows", "duplication", df.columns, n, n - F.col(DISTINCT)),
+        _row(name, "table_exists", "existence", None, "1", "0",
+             f"concat('Table exists with ', CAST({n} AS STRING), ' rows.')"),
+        _row(name, "table_not_empty", "row_count", None, f"greatest({n}, 1)",
+             f"CASE WHEN {n} = 0 THEN 1 ELSE 0 END", f"concat('Row count: ', CAST({n} AS STRING))"),
+        _row(name, "exact_duplicate_rows", "duplication", df.columns, n, f"{n} - {DISTINCT}"),
     ]
     rows += [
-        _row(name, f"required_not_null:{col}", "nullability", [col], n, F.col(null_alias(i)))
+        _row(name, f"required_not_null:{col}", "nullability", [col], n, null_alias(i))
         for i, col in enumerate(suite.required)
     ]
-    rows += [_row(name, rule, "business_rule", None, n, F.col(rule_alias(j))) for j, rule in enumerate(rules)]
-    rows += [_row(name, "unique_key:" + ",".join(keys), "uniqueness", keys, n, F.col(f"_dupk_{i}"))
+    rows += [_row(name, rule, "business_rule", None, n, rule_alias(j)) for j, rule in enumerate(rules)]
+    rows += [_row(name, "unique_key:" + ",".join(keys), "uniqueness", keys, n, f"_dupk_{i}")
              for i, keys in enumerate(key_sets)]
     rows += [_row(name, ref.name or f"{ref.column}_referential_integrity", "referential_integrity", [ref.column], n,
-                  F.col(f"_orphans_{i}")) for i, ref in enumerate(references)]
-    rows += [_row(name, vm.name, "temporal_integrity", [vm.key, vm.date], F.col(f"_dated_{j}"), F.col(f"_misses_{j}"))
+                  f"_orphans_{i}") for i, ref in enumerate(references)]
+    rows += [_row(name, vm.name, "temporal_integrity", [vm.key, vm.date], f"_dated_{j}", f"_misses_{j}")
              for j, vm in enumerate(versions)]
-    rows += [_row(name, ov.name, "temporal_integrity", [ov.key, ov.start, ov.end], n, F.col(f"_overlap_{j}"))
+    rows += [_row(name, ov.name, "temporal_integrity", [ov.key, ov.start, ov.end], n, f"_overlap_{j}")
              for j, ov in enumerate(suite.overlaps)]
     return _explode(metrics, rows)
 
@@ -208,7 +215,7 @@ def _table_checks(
 def _missing_table(spark: SparkSession, name: str) -> DataFrame:
     return _explode(
         spark.range(1),
-        [_row(name, "table_exists", "existence", None, F.lit(1), F.lit(1), F.lit(f"Table not found: {name}"))],
+        [_row(name, "table_exists", "existence", None, "1", "1", _sql_str(f"Table not found: {name}"))],
     )
 
 
