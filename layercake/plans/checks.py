@@ -1,6 +1,6 @@
 """Data-quality report over a star schema.
 
-``quality_report`` returns **one lazy DataFrame** with a row per check:
+``quality_report`` returns **one DataFrame** (one plan) with a row per check:
 
     table_name, check_name, check_type, columns_checked, total_rows,
     failed_rows, pass_percentage, status, details
@@ -8,10 +8,11 @@
 Per table, one aggregation yields row count, exact-duplicate count, NULL
 counts of required columns and business-rule violations; each key set adds
 one grouped count (map-side partial, so hot keys are harmless); cross-table
-checks are anti joins, the as-of version match and one window, each
+checks are anti joins, the temporal version match and one window, each
 reduced to a one-row failed count. These rows are merged (union + max) into
 one metrics row per table and exploded into check rows; pass percentage and
-status are computed in Spark. Nothing is collected.
+status are computed in Spark. Nothing but bounded sizing results (hot-key
+sets, the version table's size) reaches the driver.
 """
 
 from __future__ import annotations
@@ -238,7 +239,7 @@ def quality_report(
     spark: SparkSession | None = None,
     duplicates: str = "full",
 ) -> DataFrame:
-    """All checks of all suites as one lazy DataFrame (see module doc).
+    """All checks of all suites as one DataFrame (see module doc).
 
     ``duplicates="fingerprint"`` counts exact duplicate rows with the
     two-phase method of ``profile.exact_duplicates`` (two small eager jobs
