@@ -76,6 +76,13 @@ CUSTOMER_RAW = (
     "END AS cst_create_date",
 )
 
+# customer names and business keys with CRM-style prefixes
+CUSTOMER_KEYS = (
+    "c_custkey",
+    "c_name",
+    CUSTOMER_RAW[1].replace(" AS cst_key", " AS customer_key"),
+)
+
 # a second record for every customer (duplicate ids): newer than the first
 # for five nations, older for the rest, undated for every fourth customer
 CUSTOMER_RAW_UPDATES = (

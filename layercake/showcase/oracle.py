@@ -334,13 +334,12 @@ def _mask_source() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    cust_key = I.CUSTOMER_RAW[1].replace(" AS cst_key", " AS customer_key")
     q: dict[str, str] = {}
     q["trim_nullify"] = (f"SELECT o_orderkey, NULLIF(trim(o_orderpriority), '') AS o_orderpriority, "
                          f"NULLIF(trim(o_orderstatus), '') AS o_orderstatus FROM {_from('orders', I.ORDERS_PADDED)}")
     q["regex_rules"] = (f"SELECT c_custkey, regexp_replace(c_name, '(?i)^customer#0*', '') AS c_name, "
                         f"regexp_replace(customer_key, '(?i)^AW-?', '') AS customer_key "
-                        f"FROM {_from('customer', ['c_custkey', 'c_name', cust_key])}")
+                        f"FROM {_from('customer', I.CUSTOMER_KEYS)}")
     q["value_map"] = (f"SELECT o_orderkey, CASE lower(trim(o_orderstatus)) WHEN 'o' THEN 'Open' WHEN 'f' THEN 'Filled' "
                       f"ELSE o_orderstatus END AS o_orderstatus FROM {_from('orders', I.ORDERS_STATUS_VARIANTS)}")
     q["safe_cast"] = (f"SELECT p_partkey, brand_text, {_int_text('brand_text')} AS brand_number "

@@ -78,9 +78,7 @@ def q_trim_nullify(spark, sf):
 
 
 def q_regex_rules(spark, sf):
-    df = load(spark, sf, "customer").selectExpr(
-        "c_custkey", "c_name", I.CUSTOMER_RAW[1].replace(" AS cst_key", " AS customer_key")
-    )
+    df = _t("customer", *I.CUSTOMER_KEYS)(spark, sf)
     return regex_rules(df, {"c_name": [(r"(?i)^customer#0*", "")], "customer_key": [(fx.CRM_CUSTOMER_KEY_PREFIX, "")]})
 
 
