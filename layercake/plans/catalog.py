@@ -41,6 +41,11 @@ SOURCE_SYSTEM = {
 }
 
 
+# The sources that arrive as file streams in streaming mode
+# (the others stay batch).
+STREAMED_SOURCES = ("cust_info", "sales_details")
+
+
 def raw_table_name(source: str) -> str:
     return f"bronze_{SOURCE_SYSTEM[source]}_{source}"
 

@@ -83,8 +83,9 @@ def ingest_sources(
 
     Unknown files and read failures are **collected**; all good sources still
     load, then one error lists every problem (``strict=False`` returns them).
-    ``mode="streaming"`` reads the ``stream_sources`` as file streams and the
-    rest as batch; any other mode is an error.
+    ``mode="streaming"`` reads the ``stream_sources`` (the two transactional
+    CRM sources of ``plans.catalog.STREAMED_SOURCES`` in the retail catalog)
+    as file streams and the rest as batch; any other mode is an error.
     """
     if mode not in ("batch", "streaming"):
         raise ValueError(f"Unknown ingestion mode: {mode}")
