@@ -45,19 +45,6 @@ def source_name(path: str) -> str:
     return low[:-4] if low.endswith(".csv") else low
 
 
-def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """Files directly under ``folder`` (local paths, or any Hadoop filesystem)."""
-    local = folder[len("file:"):] if folder.startswith("file:") else folder
-    if "://" not in folder or folder.startswith("file:"):
-        local = local.lstrip("/")
-        local = "/" + local
-        return sorted(os.path.join(local, f) for f in os.listdir(local) if not f.startswith(("_", ".")))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isFile())
-
-
 @dataclass
 class IngestResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
