@@ -30,6 +30,15 @@ def _released(spark: SparkSession, log_path: str) -> DataFrame:
         return spark.createDataFrame([], _LOG_SCHEMA)
 
 
+def _committed(spark: SparkSession, folder: str) -> bool:
+    """True when a write job committed ``folder`` (its ``_SUCCESS`` marker exists)."""
+    try:
+        spark.read.format("text").load(f"{folder}/_SUCCESS").schema
+        return True
+    except Exception:
+        return False
+
+
 def release_batch(
     spark: SparkSession,
     batches_path: str,
@@ -44,6 +53,11 @@ def release_batch(
     of the batch ids against the log); ``None`` is returned when all are
     released. Asking for a batch that was already released raises. The log is
     per landing target, so each source's release is checked on its own.
+
+    Safe to retry after a lost job: each batch lands in its own folder
+    ``<landing>/batch_id=<n>``; a committed folder (``_SUCCESS`` present) is
+    never written again, so files a stream may already have ingested are not
+    duplicated, and an uncommitted one is overwritten.
     """
     batches = spark.read.option("header", True).csv(batches_path)
     ids = batches.select(F.col(BATCH_ID).cast("int").alias(BATCH_ID)).distinct()
@@ -54,8 +68,10 @@ def release_batch(
             return None
     elif pending.filter(F.col(BATCH_ID) == batch_id).limit(1).count() == 0:
         raise ValueError(f"Batch {batch_id} was already released or does not exist")
-    rows = batches.filter(F.col(BATCH_ID).cast("int") == batch_id).drop(BATCH_ID)
-    rows.write.mode("append").option("header", True).csv(landing_path)
+    target = f"{landing_path.rstrip('/')}/{BATCH_ID}={int(batch_id)}"
+    if not _committed(spark, target):
+        rows = batches.filter(F.col(BATCH_ID).cast("int") == batch_id).drop(BATCH_ID)
+        rows.write.mode("overwrite").option("header", True).csv(target)
     spark.createDataFrame([(int(batch_id), None)], _LOG_SCHEMA).withColumn(
         "released_at", F.current_timestamp()
     ).write.mode("append").parquet(log_path)

@@ -74,3 +74,7 @@ def test_release_batches_in_order_and_refuse_twice(spark):
     assert release_batch(spark, exported, landing, log) == 2
     assert release_batch(spark, exported, landing, log) is None
     assert spark.read.option("header", True).csv(landing).count() == 30
+    # a retry after a lost log write does not duplicate a committed batch
+    log2 = scratch_path(spark, "rel-log2")
+    assert release_batch(spark, exported, landing, log2, batch_id=2) == 2
+    assert spark.read.option("header", True).csv(landing).count() == 30
