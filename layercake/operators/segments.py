@@ -220,8 +220,8 @@ def with_next(df, keys, order, tie=(), out="__next", skew: Skew = Skew()) -> Dat
     t = t.select("*", F.lead(F.lit(1)).over(w).isNotNull().alias("__has_next"), F.lead(c(order)).over(w).alias("__next_in"))
     if bounds is None:  # no hot key: exactly the plain window
         return t.select(*[c(n) for n in df.columns], F.col("__next_in").alias(out))
-    # summaries are aggregated from the window's output, which is already
-    # partitioned by (key, bucket): no second scan, no second shuffle
+    # bucket summaries read only hot rows (broadcast filter) and aggregate them
+    # per (key, bucket) before shuffling: a filtered scan and a tiny shuffle
     firsts = t.filter(F.col(HOT)).groupBy(*[c(k) for k in keys], F.col(BUCKET)).agg(F.min(c(order)).alias("__first"))
     nxt = firsts.select(
         *[c(k) for k in keys], BUCKET,
