@@ -137,12 +137,23 @@ def folder_store() -> Store:
     return store
 
 
-def publish_all(outputs: Mapping[str, DataFrame], database: str | None = None) -> list[str]:
-    """Write every output as a table (for lazily built outputs)."""
+VIEWS = frozenset({"gold_dim_customers_secure"})
+
+
+def publish_all(
+    outputs: Mapping[str, DataFrame], database: str | None = None, views: frozenset[str] = VIEWS
+) -> list[str]:
+    """Write every output as a table (for lazily built outputs). Outputs named
+    in ``views`` (the masked customer view) are registered as temporary views
+    instead, so their owner check keeps running at query time."""
     from layercake.sources.sinks import publish_table
 
     written = []
     for name, df in outputs.items():
+        if name in views:
+            df.createOrReplaceTempView(name)
+            written.append(name)
+            continue
         target = f"{database}.{name}" if database else name
         written.append(publish_table(df, target))
     return written

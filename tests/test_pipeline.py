@@ -117,3 +117,14 @@ def test_legacy_flow(spark):
     prd = clean_legacy(raw_sources(spark)["prd_info"], LEGACY_SPECS["prd_info"])
     keys = {r.id: r.key for r in prd.collect()}
     assert keys["210"] == "FR-R92B-58" and keys["214"] == "ABC"
+
+
+def test_folder_store_and_publish_all(spark):
+    from layercake.plans.pipeline import folder_store, publish_all
+
+    out = run_batch(raw_sources(spark), as_of=D(2025, 6, 1), store=folder_store())
+    assert out["diagnostic_gold"].count() == 54
+    written = publish_all({k: out[k] for k in ("silver_product_category", "gold_dim_customers_secure")}, "lc_pub")
+    assert spark.catalog.tableExists("lc_pub.silver_product_category")
+    assert not spark.catalog.tableExists("lc_pub.gold_dim_customers_secure")
+    assert spark.table("gold_dim_customers_secure").count() == 2 and len(written) == 2
