@@ -137,3 +137,40 @@ PURCHASES = (
     "user_id",
     "CASE WHEN event_id % 19 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS event_date",
 )
+
+# parts as raw product rows: composite keys shared by several parts (versions),
+# text costs and dates, blank/padded product lines, some bad ids and dates
+PART_AS_PRODUCTS = (
+    "CASE WHEN p_partkey % 97 = 0 THEN concat('x', CAST(p_partkey AS STRING)) "
+    "ELSE CAST(p_partkey AS STRING) END AS prd_id",
+    "CASE WHEN p_partkey % 31 = 0 THEN '' ELSE concat(' ', upper(substr(p_type, 1, 2)), '-', "
+    "upper(substr(p_name, 1, 2)), '-', p_brand) END AS prd_key",
+    "p_name AS prd_nm",
+    "CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 17 = 0 THEN 'n/a' "
+    "ELSE CAST(CAST(floor(p_retailprice) AS BIGINT) AS STRING) END AS prd_cost",
+    "CASE p_size % 5 WHEN 0 THEN 'R ' WHEN 1 THEN ' M' WHEN 2 THEN '' ELSE 'S' END AS prd_line",
+    "CASE WHEN p_partkey % 23 = 0 THEN 'soon' ELSE concat('20', lpad(CAST(10 + p_size % 5 AS STRING), 2, '0'), '-', "
+    "lpad(CAST(1 + p_size % 12 AS STRING), 2, '0'), '-01') END AS prd_start_dt",
+    "'2000-01-01' AS prd_end_dt",
+)
+
+
+def _yyyymmdd(col: str) -> str:
+    return (f"concat(CAST(year({col}) AS STRING), lpad(CAST(month({col}) AS STRING), 2, '0'), "
+            f"lpad(CAST(day({col}) AS STRING), 2, '0'))")
+
+
+# line items joined with their orders as raw sales rows (yyyyMMdd text dates)
+SALES_FROM_LINEITEM = (
+    "concat('SO', CAST(l_orderkey AS STRING)) AS sls_ord_num",
+    "CAST(l_partkey AS STRING) AS sls_prd_key",
+    "CASE WHEN l_orderkey % 101 = 0 THEN concat('c', CAST(o_custkey AS STRING)) "
+    "ELSE CAST(o_custkey AS STRING) END AS sls_cust_id",
+    f"CASE WHEN l_linenumber = 7 THEN '0' ELSE {_yyyymmdd('o_orderdate')} END AS sls_order_dt",
+    f"{_yyyymmdd('l_shipdate')} AS sls_ship_dt",
+    f"CASE WHEN l_orderkey % 11 = 0 THEN '20991301' ELSE {_yyyymmdd('l_shipdate')} END AS sls_due_dt",
+    "CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) AS sls_sales",
+    "CAST(CAST(l_quantity AS BIGINT) AS STRING) AS sls_quantity",
+    "CASE WHEN l_linenumber = 3 THEN NULL "
+    "ELSE CAST(CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS STRING) END AS sls_price",
+)

@@ -80,6 +80,38 @@ SELECT cst_id AS id, cst_key AS key, cst_firstname AS firstname, cst_lastname AS
        cst_marital_status AS marital_status, cst_gndr, cst_create_date AS creation_date
 FROM c WHERE cst_id IS NOT NULL AND cst_key IS NOT NULL)"""
 
+PRD_COLS = ["prd_id", "prd_key", "prd_nm", "prd_cost", "prd_line", "prd_start_dt", "prd_end_dt"]
+_PFX = "regexp_extract(prd_key, '^([A-Za-z0-9]{2}-[A-Za-z0-9]{2})-', 1)"
+CLEAN_PRODUCTS = f"""(
+WITH t AS (SELECT {', '.join(f"NULLIF(trim({c}), '') AS {c}" for c in PRD_COLS)} FROM {_from('part', I.PART_AS_PRODUCTS)}),
+s AS (SELECT prd_id, regexp_replace(trim(prd_key), '^[A-Za-z0-9]{{2}}-[A-Za-z0-9]{{2}}-', '') AS prd_key, prd_nm,
+             prd_cost, prd_line, prd_start_dt, prd_end_dt,
+             CASE WHEN length({_PFX.replace('prd_key', 'trim(prd_key)')}) > 0
+                  THEN upper(replace({_PFX.replace('prd_key', 'trim(prd_key)')}, '-', '_')) END AS category_id FROM t),
+d AS (SELECT {_int_text('prd_id')} AS prd_id, prd_key, prd_nm, {_int_text('prd_cost')} AS prd_cost, prd_line,
+             TRY_CAST(prd_start_dt AS DATE) AS prd_start_dt, category_id FROM s),
+e AS (SELECT *, lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt ASC NULLS LAST,
+             prd_id ASC NULLS LAST) - 1 AS prd_end_dt FROM d)
+SELECT prd_id AS product_id, prd_key AS product_key, prd_nm AS product_name, prd_cost AS cost,
+       coalesce(prd_line, 'missing') AS product_line, prd_start_dt AS start_date, prd_end_dt AS end_date, category_id
+FROM e WHERE prd_id IS NOT NULL AND prd_key IS NOT NULL)"""
+
+SLS_COLS = ["sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales",
+            "sls_quantity", "sls_price"]
+CLEAN_SALES = f"""(
+WITH raw AS (SELECT {', '.join(I.SALES_FROM_LINEITEM)} FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+t AS (SELECT {', '.join(f"NULLIF(trim({c}), '') AS {c}" for c in SLS_COLS)} FROM raw),
+d AS (SELECT sls_ord_num, sls_prd_key, {_int_text('sls_cust_id')} AS sls_cust_id,
+             {', '.join(f"CAST(try_strptime({c}, '%Y%m%d') AS DATE) AS {c}" for c in ('sls_order_dt', 'sls_ship_dt', 'sls_due_dt'))},
+             {', '.join(f"{_int_text(c)} AS {c}" for c in ('sls_sales', 'sls_quantity', 'sls_price'))} FROM t),
+q AS (SELECT * FROM d WHERE sls_ord_num IS NOT NULL AND sls_prd_key IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY sls_ord_num, sls_prd_key ORDER BY
+      {', '.join(f"{c} ASC NULLS LAST" for c in SLS_COLS[2:])}) = 1)
+SELECT sls_ord_num AS order_number, sls_prd_key AS product_key, sls_cust_id AS customer_id,
+       sls_order_dt AS order_date, sls_ship_dt AS ship_date, sls_due_dt AS due_date, sls_sales AS sales_amount,
+       sls_quantity AS quantity, sls_price AS price
+FROM q WHERE sls_cust_id IS NOT NULL AND sls_sales IS NOT NULL AND sls_quantity IS NOT NULL)"""
+
 SIGNUP_VERSIONS = """(WITH s AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS start_date FROM events
                    WHERE event_type = 'signup')
 SELECT user_id, start_date, lead(start_date) OVER (PARTITION BY user_id ORDER BY start_date) - 1 AS end_date FROM s)"""
@@ -364,6 +396,8 @@ def oracle_sql() -> dict[str, str]:
                           f"o_orderdate AS order_date, o_orderpriority FROM {ORDERS_NULLS}")
     q["clean_table"] = f"SELECT * FROM {CLEAN_CUSTOMER}"
     q["clean_table_legacy"] = f"SELECT * FROM {CLEAN_CUSTOMER_LEGACY}"
+    q["clean_products"] = f"SELECT * FROM {CLEAN_PRODUCTS}"
+    q["clean_sales"] = f"SELECT * FROM {CLEAN_SALES}"
     q["dedupe_latest"] = (
         "SELECT * FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS "
         "o_orderdate, o_orderpriority FROM orders) QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY "

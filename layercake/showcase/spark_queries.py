@@ -42,6 +42,7 @@ from layercake.operators import (
 )
 from layercake.operators.governance import CUSTOMER_COLUMN_METADATA
 from layercake.operators.rules import date_default_format, null_future_dates
+from layercake.plans.catalog import SPECS
 from layercake.plans.legacy import LEGACY_SPECS, clean_legacy
 from layercake.plans.checks import Overlap, Reference, Suite, VersionMatch, quality_report, report_summary
 from layercake.plans.reports import LayerPair, layer_report, profile_report
@@ -167,6 +168,17 @@ def q_clean_table(spark, sf):
     return clean(raw_customers(spark, sf), CUSTOMER_SPEC)
 
 
+def q_clean_products(spark, sf):
+    return clean(_t("part", *I.PART_AS_PRODUCTS)(spark, sf), SPECS["prd_info"])
+
+
+def q_clean_sales(spark, sf):
+    li = load(spark, sf, "lineitem")
+    od = load(spark, sf, "orders")
+    raw = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner").selectExpr(*I.SALES_FROM_LINEITEM)
+    return clean(raw, SPECS["sales_details"])
+
+
 def q_clean_table_legacy(spark, sf):
     return clean_legacy(raw_customers(spark, sf), LEGACY_SPECS["cust_info"])
 
@@ -522,6 +534,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rename_strict": q_rename_strict,
     "clean_table": q_clean_table,
     "clean_table_legacy": q_clean_table_legacy,
+    "clean_products": q_clean_products,
+    "clean_sales": q_clean_sales,
     "dedupe_latest": q_dedupe_latest,
     "dedupe_any": q_dedupe_any,
     "derive_end_date": q_derive_end_date,
