@@ -174,3 +174,57 @@ SALES_FROM_LINEITEM = (
     "CASE WHEN l_linenumber = 3 THEN NULL "
     "ELSE CAST(CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS STRING) END AS sls_price",
 )
+
+# ---- raw retail sources for the whole pipeline (run_batch) -----------------
+# ERP demographics keyed like the CRM customers, some future/bad birth dates
+STAR_CUST_AZ12 = (
+    "CASE c_custkey % 3 WHEN 0 THEN concat('NASAW', lpad(CAST(c_custkey AS STRING), 8, '0')) "
+    "WHEN 1 THEN concat('AW-', lpad(CAST(c_custkey AS STRING), 8, '0')) "
+    "ELSE lpad(CAST(c_custkey AS STRING), 8, '0') END AS CID",
+    "CASE WHEN c_custkey % 43 = 0 THEN '2999-01-01' WHEN c_custkey % 47 = 0 THEN '?' "
+    "ELSE concat(CAST(1950 + c_custkey % 50 AS STRING), '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-', "
+    "lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0')) END AS BDATE",
+    "CASE c_nationkey % 4 WHEN 0 THEN 'F' WHEN 1 THEN ' male ' WHEN 2 THEN 'FEMALE' ELSE NULL END AS GEN",
+)
+
+# ERP locations: country codes in several spellings, some blank
+STAR_LOC_A101 = (
+    "CASE WHEN c_custkey % 2 = 0 THEN concat('AW', lpad(CAST(c_custkey AS STRING), 8, '0')) "
+    "ELSE lpad(CAST(c_custkey AS STRING), 8, '0') END AS CID",
+    "CASE c_nationkey WHEN 7 THEN 'DE' WHEN 24 THEN 'us' WHEN 23 THEN ' USA' WHEN 3 THEN '' "
+    "ELSE concat('N', CAST(c_nationkey AS STRING)) END AS CNTRY",
+)
+
+# CRM products: one business key per brand, versions starting 1995..2001
+STAR_PRD_INFO = (
+    "CAST(p_partkey AS STRING) AS prd_id",
+    "concat(upper(substr(p_type, 1, 2)), '-', upper(substr(p_name, 1, 2)), '-', p_brand) AS prd_key",
+    "p_name AS prd_nm",
+    "CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE CAST(CAST(floor(p_retailprice) AS BIGINT) AS STRING) END AS prd_cost",
+    "CASE p_size % 4 WHEN 0 THEN 'R ' WHEN 1 THEN 'M' WHEN 2 THEN '' ELSE 'T' END AS prd_line",
+    "concat(CAST(1995 + p_size % 7 AS STRING), '-', lpad(CAST(1 + p_partkey % 12 AS STRING), 2, '0'), '-01') "
+    "AS prd_start_dt",
+    "CAST(NULL AS STRING) AS prd_end_dt",
+)
+
+# ERP categories, one row per type/name prefix (grouped from the parts)
+STAR_PX_CAT_GROUP = "concat(upper(substr(p_type, 1, 2)), '_', upper(substr(p_name, 1, 2)))"
+STAR_PX_CAT = (
+    f"{STAR_PX_CAT_GROUP} AS ID",
+    "max(p_type) AS CAT",
+    "min(p_name) AS SUBCAT",
+    "CASE WHEN count(*) > 40 THEN 'Yes' ELSE 'No' END AS MAINTENANCE",
+)
+
+# CRM sales: line items of orders, product key = the part's brand key
+STAR_SALES = (
+    "concat('SO', CAST(l_orderkey AS STRING)) AS sls_ord_num",
+    "p_brand AS sls_prd_key",
+    "CAST(o_custkey AS STRING) AS sls_cust_id",
+    f"CASE WHEN l_linenumber = 7 THEN '0' ELSE {_yyyymmdd('o_orderdate')} END AS sls_order_dt",
+    f"{_yyyymmdd('l_shipdate')} AS sls_ship_dt",
+    f"{_yyyymmdd('l_shipdate')} AS sls_due_dt",
+    "CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) AS sls_sales",
+    "CAST(CAST(l_quantity AS BIGINT) AS STRING) AS sls_quantity",
+    "CAST(CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS STRING) AS sls_price",
+)

@@ -82,8 +82,9 @@ FROM c WHERE cst_id IS NOT NULL AND cst_key IS NOT NULL)"""
 
 PRD_COLS = ["prd_id", "prd_key", "prd_nm", "prd_cost", "prd_line", "prd_start_dt", "prd_end_dt"]
 _PFX = "regexp_extract(prd_key, '^([A-Za-z0-9]{2}-[A-Za-z0-9]{2})-', 1)"
-CLEAN_PRODUCTS = f"""(
-WITH t AS (SELECT {', '.join(f"NULLIF(trim({c}), '') AS {c}" for c in PRD_COLS)} FROM {_from('part', I.PART_AS_PRODUCTS)}),
+def clean_products_sql(raw: str) -> str:
+    return f"""(
+WITH t AS (SELECT {', '.join(f"NULLIF(trim({c}), '') AS {c}" for c in PRD_COLS)} FROM {raw}),
 s AS (SELECT prd_id, regexp_replace(trim(prd_key), '^[A-Za-z0-9]{{2}}-[A-Za-z0-9]{{2}}-', '') AS prd_key, prd_nm,
              prd_cost, prd_line, prd_start_dt, prd_end_dt,
              CASE WHEN length({_PFX.replace('prd_key', 'trim(prd_key)')}) > 0
@@ -96,10 +97,14 @@ SELECT prd_id AS product_id, prd_key AS product_key, prd_nm AS product_name, prd
        coalesce(prd_line, 'missing') AS product_line, prd_start_dt AS start_date, prd_end_dt AS end_date, category_id
 FROM e WHERE prd_id IS NOT NULL AND prd_key IS NOT NULL)"""
 
+
+CLEAN_PRODUCTS = clean_products_sql(_from("part", I.PART_AS_PRODUCTS))
+
 SLS_COLS = ["sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales",
             "sls_quantity", "sls_price"]
-CLEAN_SALES = f"""(
-WITH raw AS (SELECT {', '.join(I.SALES_FROM_LINEITEM)} FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+def clean_sales_sql(raw_sql: str) -> str:
+    return f"""(
+WITH raw AS {raw_sql},
 t AS (SELECT {', '.join(f"NULLIF(trim({c}), '') AS {c}" for c in SLS_COLS)} FROM raw),
 d AS (SELECT sls_ord_num, sls_prd_key, {_int_text('sls_cust_id')} AS sls_cust_id,
              {', '.join(f"CAST(try_strptime({c}, '%Y%m%d') AS DATE) AS {c}" for c in ('sls_order_dt', 'sls_ship_dt', 'sls_due_dt'))},
@@ -112,6 +117,11 @@ SELECT sls_ord_num AS order_number, sls_prd_key AS product_key, sls_cust_id AS c
        sls_quantity AS quantity, sls_price AS price
 FROM q WHERE sls_cust_id IS NOT NULL AND sls_sales IS NOT NULL AND sls_quantity IS NOT NULL)"""
 
+
+CLEAN_SALES = clean_sales_sql(
+    f"(SELECT {', '.join(I.SALES_FROM_LINEITEM)} FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
+)
+
 SIGNUP_VERSIONS = """(WITH s AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS start_date FROM events
                    WHERE event_type = 'signup')
 SELECT user_id, start_date, lead(start_date) OVER (PARTITION BY user_id ORDER BY start_date) - 1 AS end_date FROM s)"""
@@ -398,6 +408,7 @@ def oracle_sql() -> dict[str, str]:
     q["clean_table_legacy"] = f"SELECT * FROM {CLEAN_CUSTOMER_LEGACY}"
     q["clean_products"] = f"SELECT * FROM {CLEAN_PRODUCTS}"
     q["clean_sales"] = f"SELECT * FROM {CLEAN_SALES}"
+    q["star_report"] = star_report_sql()
     q["dedupe_latest"] = (
         "SELECT * FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS "
         "o_orderdate, o_orderpriority FROM orders) QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY "
@@ -508,3 +519,116 @@ def oracle_sql() -> dict[str, str]:
     q["ingest_increment"] = ("SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_date, props, "
                              "(SELECT count(*) FROM events) AS rows_ingested FROM events")
     return q
+
+
+# ------------------------------------------------ whole retail pipeline (C4)
+STAR_AS_OF = "DATE '2025-01-01'"
+_ERP = "'(?i)^(NAS)?AW-?'"
+
+
+def _gender_map(col: str) -> str:
+    return (f"CASE lower(trim({col})) WHEN 'm' THEN 'Male' WHEN 'f' THEN 'Female' WHEN 'male' THEN 'Male' "
+            f"WHEN 'female' THEN 'Female' ELSE {col} END")
+
+
+STAR_DEMOGRAPHICS = f"""(
+WITH t AS (SELECT NULLIF(trim(CID), '') AS CID, NULLIF(trim(BDATE), '') AS BDATE, NULLIF(trim(GEN), '') AS GEN
+           FROM {_from('customer', I.STAR_CUST_AZ12)}),
+d AS (SELECT regexp_replace(CID, {_ERP}, '') AS CID, TRY_CAST(BDATE AS DATE) AS BDATE, {_gender_map('GEN')} AS GEN FROM t),
+p AS (SELECT CID, CASE WHEN BDATE > {STAR_AS_OF} THEN NULL ELSE BDATE END AS BDATE, coalesce(GEN, 'missing') AS GEN FROM d),
+q AS (SELECT * FROM p WHERE CID IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY CID ORDER BY BDATE ASC NULLS LAST, GEN ASC NULLS LAST) = 1)
+SELECT CID AS customer_key, BDATE AS birth_date, GEN AS gender FROM q)"""
+
+STAR_LOCATION = f"""(
+WITH t AS (SELECT NULLIF(trim(CID), '') AS CID, NULLIF(trim(CNTRY), '') AS CNTRY FROM {_from('customer', I.STAR_LOC_A101)}),
+m AS (SELECT regexp_replace(CID, {_ERP}, '') AS CID,
+             coalesce(CASE lower(trim(CNTRY)) WHEN 'de' THEN 'Germany' WHEN 'us' THEN 'United States'
+                      WHEN 'usa' THEN 'United States' ELSE CNTRY END, 'missing') AS CNTRY FROM t),
+q AS (SELECT * FROM m WHERE CID IS NOT NULL QUALIFY row_number() OVER (PARTITION BY CID ORDER BY CNTRY ASC NULLS LAST) = 1)
+SELECT CID AS customer_key, CNTRY AS country FROM q)"""
+
+STAR_CATEGORIES = f"""(
+WITH g AS (SELECT {', '.join(I.STAR_PX_CAT)} FROM part GROUP BY {I.STAR_PX_CAT_GROUP}),
+t AS (SELECT NULLIF(trim(ID), '') AS ID, NULLIF(trim(CAT), '') AS CAT, NULLIF(trim(SUBCAT), '') AS SUBCAT,
+             NULLIF(trim(MAINTENANCE), '') AS MAINTENANCE FROM g),
+q AS (SELECT * FROM t WHERE ID IS NOT NULL QUALIFY row_number() OVER (PARTITION BY ID ORDER BY CAT ASC NULLS LAST,
+      SUBCAT ASC NULLS LAST, MAINTENANCE ASC NULLS LAST) = 1)
+SELECT ID AS category_id, CAT AS category, SUBCAT AS subcategory, MAINTENANCE AS maintenance FROM q)"""
+
+STAR_PRODUCTS = clean_products_sql(_from("part", I.STAR_PRD_INFO))
+STAR_SALES = clean_sales_sql(
+    f"(SELECT {', '.join(I.STAR_SALES)} FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
+    f"JOIN part ON l_partkey = p_partkey)"
+)
+
+DIM_CUSTOMERS = f"""(SELECT i.customer_id, i.customer_key, i.firstname, i.lastname, i.marital_status, i.gender,
+       l.country, d.birth_date, i.creation_date
+FROM {CLEAN_CUSTOMER} i LEFT JOIN {STAR_LOCATION} l ON i.customer_key = l.customer_key
+LEFT JOIN {STAR_DEMOGRAPHICS} d ON i.customer_key = d.customer_key)"""
+DIM_CUSTOMER_COLS = ["customer_id", "customer_key", "firstname", "lastname", "marital_status", "gender", "country",
+                     "birth_date", "creation_date"]
+
+DIM_PRODUCT = f"""(SELECT p.product_id, p.product_key, p.product_name, p.cost, p.product_line, p.start_date,
+       p.end_date, p.category_id, c.category, c.subcategory, c.maintenance
+FROM {STAR_PRODUCTS} p LEFT JOIN {STAR_CATEGORIES} c ON p.category_id = c.category_id)"""
+DIM_PRODUCT_COLS = ["product_id", "product_key", "product_name", "cost", "product_line", "start_date", "end_date",
+                    "category_id", "category", "subcategory", "maintenance"]
+
+FACT_COLS = ["order_number", "product_key", "customer_id", "order_date", "ship_date", "due_date", "sales_amount",
+             "quantity", "price"]
+FACT = f"(SELECT {', '.join(FACT_COLS)} FROM {STAR_SALES})"
+
+
+def _suite_sql(t, src, cols, key_sets, required, rules):
+    n = f"(SELECT count(*) FROM {src})"
+    parts = [
+        _check(t, "table_exists", "existence", None, 1, 0, f"'Table exists with ' || CAST({n} AS VARCHAR) || ' rows.'"),
+        _check(t, "table_not_empty", "row_count", None, f"greatest({n}, 1)", f"CASE WHEN {n} = 0 THEN 1 ELSE 0 END",
+               f"'Row count: ' || CAST({n} AS VARCHAR)"),
+        _check(t, "exact_duplicate_rows", "duplication", cols, n, f"{n} - {_distinct_rows(src)}"),
+    ]
+    parts += [_check(t, f"required_not_null:{c}", "nullability", [c], n, f"(SELECT count(*) - count({c}) FROM {src})")
+              for c in required]
+    parts += [_check(t, r, "business_rule", None, n, f"(SELECT count_if({cond}) FROM {src})") for r, cond in rules.items()]
+    parts += [_check(t, "unique_key:" + ",".join(k), "uniqueness", k, n, f"(SELECT r FROM {_dup_keys(src, k)})")
+              for k in key_sets]
+    return parts
+
+
+def star_report_sql() -> str:
+    parts = _suite_sql("gold_dim_customers", "dc", DIM_CUSTOMER_COLS, [["customer_id"], ["customer_key"]],
+                       DIM_CUSTOMER_COLS, {"future_birth_date": f"birth_date > {STAR_AS_OF}"})
+    parts += _suite_sql("gold_dim_product", "dp", DIM_PRODUCT_COLS, [["product_id"], ["product_key", "start_date"]],
+                        [c for c in DIM_PRODUCT_COLS if c != "end_date"],
+                        {"negative_cost": "cost < 0",
+                         "invalid_date_range": "end_date IS NOT NULL AND end_date < start_date"})
+    parts += _suite_sql("gold_fact_sales", "fs", FACT_COLS, [["order_number", "product_key"]], FACT_COLS,
+                        {"negative_sales_amount": "sales_amount < 0", "non_positive_quantity": "quantity <= 0",
+                         "negative_price": "price < 0",
+                         "ship_before_order": "ship_date IS NOT NULL AND order_date IS NOT NULL AND ship_date < order_date",
+                         "due_before_order": "due_date IS NOT NULL AND order_date IS NOT NULL AND due_date < order_date"})
+    n_fact = "(SELECT count(*) FROM fs)"
+    parts.append(_check("gold_fact_sales", "customer_referential_integrity", "referential_integrity", ["customer_id"],
+                        n_fact, "(SELECT count(*) FROM fs f WHERE NOT EXISTS (SELECT 1 FROM dc d "
+                                "WHERE d.customer_id = f.customer_id))"))
+    parts.append(_check("gold_fact_sales", "product_referential_integrity", "referential_integrity", ["product_key"],
+                        n_fact, "(SELECT count(*) FROM fs f WHERE NOT EXISTS (SELECT 1 FROM dp d "
+                                "WHERE d.product_key = f.product_key))"))
+    parts.append(_check("gold_fact_sales", "historical_product_version_match", "temporal_integrity",
+                        ["product_key", "order_date"], "(SELECT count(order_date) FROM fs)",
+                        "(SELECT count(*) FROM fs f WHERE f.order_date IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dp p "
+                        "WHERE p.product_key = f.product_key AND p.start_date <= f.order_date AND "
+                        "(p.end_date IS NULL OR f.order_date <= p.end_date)))"))
+    win = "PARTITION BY product_key ORDER BY start_date ASC NULLS LAST, product_id ASC NULLS LAST"
+    parts.append(_check("gold_dim_product", "product_validity_overlap", "temporal_integrity",
+                        ["product_key", "start_date", "end_date"], "(SELECT count(*) FROM dp)",
+                        f"(SELECT count(*) FROM (SELECT *, lag(start_date) OVER ({win}) AS ps, lag(end_date) OVER ({win}) "
+                        f"AS pe FROM dp) WHERE ps IS NOT NULL AND (pe IS NULL OR start_date <= pe))"))
+    return f"""WITH dc AS {DIM_CUSTOMERS}, dp AS {DIM_PRODUCT}, fs AS {FACT}
+SELECT table_name, check_name, check_type, columns_checked, total_rows, failed_rows,
+  CASE WHEN total_rows = 0 THEN CASE WHEN failed_rows = 0 THEN 100.0 ELSE 0.0 END
+       ELSE round(CAST(100.0 AS DOUBLE) * CAST(total_rows - failed_rows AS DOUBLE) / CAST(total_rows AS DOUBLE), 3)
+  END AS pass_percentage,
+  CASE WHEN failed_rows = 0 THEN 'PASS' ELSE 'FAIL' END AS status, details
+FROM ({' UNION ALL '.join(parts)})"""

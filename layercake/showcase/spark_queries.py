@@ -179,6 +179,33 @@ def q_clean_sales(spark, sf):
     return clean(raw, SPECS["sales_details"])
 
 
+STAR_AS_OF = dt.date(2025, 1, 1)
+
+
+def star_raw(spark, sf) -> dict[str, DataFrame]:
+    """The six retail raw sources, derived from whole driver tables."""
+    part = load(spark, sf, "part")
+    li = load(spark, sf, "lineitem")
+    od = load(spark, sf, "orders")
+    sales = li.join(od, li["l_orderkey"] == od["o_orderkey"]).join(part, li["l_partkey"] == part["p_partkey"])
+    return {
+        "cust_info": raw_customers(spark, sf),
+        "cust_az12": _t("customer", *I.STAR_CUST_AZ12)(spark, sf),
+        "loc_a101": _t("customer", *I.STAR_LOC_A101)(spark, sf),
+        "prd_info": _t("part", *I.STAR_PRD_INFO)(spark, sf),
+        "px_cat_g1v2": part.groupBy(F.expr(I.STAR_PX_CAT_GROUP).alias("ID")).agg(*[F.expr(e) for e in I.STAR_PX_CAT[1:]]),
+        "sales_details": sales.selectExpr(*I.STAR_SALES),
+    }
+
+
+def q_star_report(spark, sf):
+    from layercake.plans.pipeline import folder_store, run_batch
+
+    out = run_batch(star_raw(spark, sf), as_of=STAR_AS_OF, owners=["data_owner"], principal="analyst",
+                    store=folder_store())
+    return out["diagnostic_gold"]
+
+
 def q_clean_table_legacy(spark, sf):
     return clean_legacy(raw_customers(spark, sf), LEGACY_SPECS["cust_info"])
 
@@ -536,6 +563,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_table_legacy": q_clean_table_legacy,
     "clean_products": q_clean_products,
     "clean_sales": q_clean_sales,
+    "star_report": q_star_report,
     "dedupe_latest": q_dedupe_latest,
     "dedupe_any": q_dedupe_any,
     "derive_end_date": q_derive_end_date,
