@@ -70,12 +70,26 @@ STAR_SUITES = {
 Store = Callable[[str, DataFrame], DataFrame]
 
 
+def _keep_all(keep: Store, frames: Mapping[str, DataFrame], workers: int) -> dict[str, DataFrame]:
+    """Store independent tables of one layer; with ``workers > 1`` their jobs
+    are submitted concurrently from driver threads (Spark schedules them side
+    by side), as independent tables of a layer do not wait for each other."""
+    if workers <= 1 or len(frames) <= 1:
+        return {name: keep(name, df) for name, df in frames.items()}
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(keep, name, df) for name, df in frames.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def run_batch(
     raw: Mapping[str, DataFrame],
     as_of=None,
     owners: Sequence[str] = (),
     principal=None,
     store: Store | None = None,
+    workers: int = 4,
 ) -> dict[str, DataFrame]:
     """All layers from raw source DataFrames keyed by source name (C4).
 
@@ -83,36 +97,43 @@ def run_batch(
     ``table_store`` / ``folder_store``) each table is written as soon as it is
     built and later layers and reports read the written table, so no upstream
     plan is recomputed per consumer and a lost executor only redoes the
-    current layer.
+    current layer; independent tables of a layer are written concurrently.
     """
     keep = store or (lambda name, df: df)
+    workers = workers if store is not None else 1
     out: dict[str, DataFrame] = {}
-    raw_tables = {raw_table_name(s): keep(raw_table_name(s), df) for s, df in raw.items()}
+    raw_tables = _keep_all(keep, {raw_table_name(s): df for s, df in raw.items()}, workers)
     out.update(raw_tables)
-    out["diagnostics_bronze"] = keep("diagnostics_bronze", profile_report(raw_tables, prefix="bronze_"))
-    pairs = []
-    for source in raw:
-        spec = SPECS[source]
-        source_df = raw_tables[raw_table_name(source)]
-        cleaned = keep(spec.target, clean(source_df, spec, as_of))
-        out[spec.target] = cleaned
-        pairs.append(LayerPair(raw_table_name(source), source_df, spec.target, cleaned, spec.renamed_keys()))
-    out["silver_diagnostics"] = keep("silver_diagnostics", layer_report(pairs))
+    cleaned = _keep_all(
+        keep, {SPECS[s].target: clean(raw_tables[raw_table_name(s)], SPECS[s], as_of) for s in raw}, workers
+    )
+    out.update(cleaned)
+    pairs = [
+        LayerPair(raw_table_name(s), raw_tables[raw_table_name(s)], SPECS[s].target, cleaned[SPECS[s].target],
+                  SPECS[s].renamed_keys())
+        for s in raw
+    ]
+    gold: dict[str, DataFrame] = {}
     if {"silver_customer_info", "silver_customer_demographics", "silver_customer_location"} <= out.keys():
-        dim = customer_dimension(
+        gold["gold_dim_customers"] = customer_dimension(
             out["silver_customer_info"], out["silver_customer_demographics"], out["silver_customer_location"]
         )
-        out["gold_dim_customers"] = classify_columns(keep("gold_dim_customers", dim), CUSTOMER_COLUMN_METADATA)
-        # a view: masking is evaluated when it is read, so it is never stored
-        out["gold_dim_customers_secure"] = mask_columns(out["gold_dim_customers"], owners=owners, principal=principal)
     if {"silver_product_info", "silver_product_category"} <= out.keys():
-        out["gold_dim_product"] = keep(
-            "gold_dim_product", product_dimension(out["silver_product_info"], out["silver_product_category"])
-        )
+        gold["gold_dim_product"] = product_dimension(out["silver_product_info"], out["silver_product_category"])
     if "silver_sales_details" in out:
-        out["gold_fact_sales"] = keep("gold_fact_sales", build_fact(out["silver_sales_details"]))
-    gold = {name: out.get(name) for name in STAR_SUITES}
-    out["diagnostic_gold"] = keep("diagnostic_gold", quality_report(gold, STAR_SUITES, as_of=as_of))
+        gold["gold_fact_sales"] = build_fact(out["silver_sales_details"])
+    out.update(_keep_all(keep, gold, workers))
+    if "gold_dim_customers" in out:
+        out["gold_dim_customers"] = classify_columns(out["gold_dim_customers"], CUSTOMER_COLUMN_METADATA)
+        # a view: masking is evaluated when it is read, so it is never stored
+        out["gold_dim_customers_secure"] = mask_columns(out["gold_dim_customers"], owners=owners, principal=principal)
+    stars = {name: out.get(name) for name in STAR_SUITES}
+    reports = {
+        "diagnostics_bronze": profile_report(raw_tables, prefix="bronze_"),
+        "silver_diagnostics": layer_report(pairs),
+        "diagnostic_gold": quality_report(stars, STAR_SUITES, as_of=as_of),
+    }
+    out.update(_keep_all(keep, reports, workers))
     return out
 
 
