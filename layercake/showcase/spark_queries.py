@@ -199,7 +199,7 @@ def star_raw(spark, sf) -> dict[str, DataFrame]:
 
 
 def q_star_report(spark, sf):
-    from layercake.plans.pipeline import folder_store, run_batch
+    from layercake.plans.layers import folder_store, run_batch
 
     out = run_batch(star_raw(spark, sf), as_of=STAR_AS_OF, owners=["data_owner"], principal="analyst",
                     store=folder_store())

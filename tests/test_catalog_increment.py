@@ -3,12 +3,12 @@ import pytest
 from pyspark.sql import functions as F
 
 
-from layercake.plans.pipeline import run_increment
+from layercake.plans.layers import run_increment
 from layercake.session import scratch_path
 from layercake.sources.csv import discover_tables
 from layercake.sources.sinks import publish_table
 from layercake.streaming.ingest import stream_raw_csv
-from test_pipeline import raw_sources
+from test_layers import raw_sources
 
 
 def test_publish_discover_and_schema_guard(spark):

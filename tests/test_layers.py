@@ -1,7 +1,7 @@
 import datetime as dt
 
 from layercake.plans.catalog import RAW_SCHEMAS, SPECS
-from layercake.plans.pipeline import run_batch
+from layercake.plans.layers import run_batch
 from layercake.plans.spec import clean
 
 D = dt.date
@@ -93,7 +93,7 @@ def test_run_batch_end_to_end(spark):
 
 def test_run_batch_with_stored_layers_matches_lazy(spark):
     from conftest import rows
-    from layercake.plans.pipeline import table_store
+    from layercake.plans.layers import table_store
 
     raw = raw_sources(spark)
     lazy = run_batch(raw, as_of=D(2025, 6, 1))
@@ -120,7 +120,7 @@ def test_legacy_flow(spark):
 
 
 def test_folder_store_and_publish_all(spark):
-    from layercake.plans.pipeline import folder_store, publish_all
+    from layercake.plans.layers import folder_store, publish_all
 
     out = run_batch(raw_sources(spark), as_of=D(2025, 6, 1), store=folder_store())
     assert out["diagnostic_gold"].count() == 54
