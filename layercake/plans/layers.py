@@ -1,11 +1,12 @@
 """Whole-layer chains (C4 batch, C5 incremental).
 
 ``run_batch`` wires raw tables -> cleaned tables -> star tables -> reports ->
-masked customer view as lazy DataFrames; nothing runs until the caller
-publishes (writes) them. Independent tables are independent plans, so the
-caller may write them concurrently. ``publish_all`` writes every output
-table, which also cuts lineage between layers (each layer re-reads the
-written table), so a lost executor only recomputes from the last layer.
+masked customer view. Without a store the outputs are lazy DataFrames; with
+one (``table_store`` / ``folder_store``) every layer is written as it is
+built, its independent tables concurrently, and the next layer reads the
+written tables, so a lost executor only recomputes the current layer.
+``publish_all`` writes lazily built outputs; ``run_increment`` appends new
+landing files through file streams, then recomputes the layers.
 """
 
 from __future__ import annotations
