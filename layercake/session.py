@@ -39,15 +39,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); only when
     neither is set (a local test session) a private temp folder is created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a driver-side context (e.g. remote clients)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="layercake-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
