@@ -13,6 +13,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_FALLBACK: dict[int, str] = {}
+
+
+def _scratch_base(spark: SparkSession) -> str:
+    """Checkpoint folder of the session; one private folder per session only
+    when none is configured (local tests)."""
+    key = id(spark)
+    if key not in _FALLBACK:
+        _FALLBACK[key] = ensure_checkpoint_dir(spark)
+    return _FALLBACK[key]
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "layercake") -> SparkSession:
     """Session for tests and the local bench: UI off, AQE on, UTC."""
     builder = (
@@ -48,7 +60,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="layercake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
@@ -57,7 +68,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _scratch_base(spark)
     base = base.rstrip("/")
     return f"{base}/layercake/{name}-{uuid.uuid4().hex}"
 
