@@ -91,6 +91,7 @@ def run_batch(
     principal=None,
     store: Store | None = None,
     workers: int = 4,
+    duplicates: str = "full",
 ) -> dict[str, DataFrame]:
     """All layers from raw source DataFrames keyed by source name (C4).
 
@@ -99,6 +100,8 @@ def run_batch(
     built and later layers and reports read the written table, so no upstream
     plan is recomputed per consumer and a lost executor only redoes the
     current layer; independent tables of a layer are written concurrently.
+    ``duplicates="fingerprint"`` makes both reports use the two-phase exact
+    duplicate count (less shuffle on wide tables).
     """
     keep = store or (lambda name, df: df)
     workers = workers if store is not None else 1
@@ -131,8 +134,8 @@ def run_batch(
     stars = {name: out.get(name) for name in STAR_SUITES}
     reports = {
         "diagnostics_bronze": profile_report(raw_tables, prefix="bronze_"),
-        "silver_diagnostics": layer_report(pairs),
-        "diagnostic_gold": quality_report(stars, STAR_SUITES, as_of=as_of),
+        "silver_diagnostics": layer_report(pairs, duplicates),
+        "diagnostic_gold": quality_report(stars, STAR_SUITES, as_of=as_of, duplicates=duplicates),
     }
     out.update(_keep_all(keep, reports, workers))
     return out

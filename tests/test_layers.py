@@ -128,3 +128,12 @@ def test_folder_store_and_publish_all(spark):
     assert spark.catalog.tableExists("lc_pub.silver_product_category")
     assert not spark.catalog.tableExists("lc_pub.gold_dim_customers_secure")
     assert spark.table("gold_dim_customers_secure").count() == 2 and len(written) == 2
+
+
+def test_run_batch_fingerprint_reports_equal_full(spark):
+    from conftest import rows
+
+    full = run_batch(raw_sources(spark), as_of=D(2025, 6, 1))
+    fp = run_batch(raw_sources(spark), as_of=D(2025, 6, 1), duplicates="fingerprint")
+    for name in ("silver_diagnostics", "diagnostic_gold"):
+        assert rows(fp[name]) == rows(full[name]), name
