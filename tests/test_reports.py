@@ -179,3 +179,13 @@ def test_masked_view_checks_the_session_user_at_query_time(spark):
     clear = spark.table("lc_secure_mine").first()
     assert (masked.firstname, masked.birth_date) == ("A***", dt.date(1990, 1, 1))
     assert (clear.firstname, clear.birth_date) == ("Ann", dt.date(1990, 5, 6))
+
+
+def test_seven_column_cleaned_layer_variant(spark):
+    import json
+
+    df = spark.createDataFrame([(1, None), (2, "x"), (3, None), (4, "y")], "id int, v string")
+    rep = profile_report({"silver_t": df, "silver_diagnostics": df}, prefix="silver_", details="shares")
+    row = [r for r in rep.collect() if r.table_name == "silver_t"][0]
+    assert json.loads(row.null_details) == {"v": {"null_count": 2, "null_percentage": 50.0}}
+    assert row.null_details == '{"v": {"null_count": 2, "null_percentage": 50.0}}'
