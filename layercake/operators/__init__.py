@@ -2,7 +2,13 @@
 
 from layercake.operators.batches import assign_batches, global_row_number, unreleased_batches
 from layercake.operators.dedupe import dedupe, dedupe_latest
-from layercake.operators.governance import classify_columns, column_inventory, mask_columns, table_inventory
+from layercake.operators.governance import (
+    classify_columns,
+    column_inventory,
+    mask_columns,
+    register_masked_view,
+    table_inventory,
+)
 from layercake.operators.integrity import orphan_rows
 from layercake.operators.profile import (
     completeness,
@@ -28,3 +34,4 @@ from layercake.operators.rules import (
 )
 from layercake.operators.scan import pattern_hits, scan_patterns
 from layercake.operators.versions import derive_end_date, flag_overlaps, overlapping_versions, version_misses
+from layercake.operators.segments import PLAIN, Skew
