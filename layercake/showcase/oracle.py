@@ -409,6 +409,11 @@ def oracle_sql() -> dict[str, str]:
     q["clean_products"] = f"SELECT * FROM {CLEAN_PRODUCTS}"
     q["clean_sales"] = f"SELECT * FROM {CLEAN_SALES}"
     q["star_report"] = star_report_sql()
+    q["star_customers_secure"] = (
+        "SELECT customer_id, customer_key, CASE WHEN firstname IS NULL THEN NULL ELSE concat(substr(firstname, 1, 1), "
+        "'***') END AS firstname, CASE WHEN lastname IS NULL THEN NULL ELSE concat(substr(lastname, 1, 1), '***') END "
+        "AS lastname, marital_status, gender, country, CASE WHEN birth_date IS NULL THEN NULL ELSE "
+        f"make_date(CAST(year(birth_date) AS INTEGER), 1, 1) END AS birth_date, creation_date FROM {DIM_CUSTOMERS}")
     q["dedupe_latest"] = (
         "SELECT * FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS "
         "o_orderdate, o_orderpriority FROM orders) QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY "

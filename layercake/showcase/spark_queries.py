@@ -206,6 +206,16 @@ def q_star_report(spark, sf):
     return out["diagnostic_gold"]
 
 
+def q_star_customers_secure(spark, sf):
+    from layercake.operators.governance import classify_columns as classify
+    from layercake.plans.star import customer_dimension
+
+    raw = {k: v for k, v in star_raw(spark, sf).items() if k in ("cust_info", "cust_az12", "loc_a101")}
+    cleaned = {k: clean(v, SPECS[k], STAR_AS_OF) for k, v in raw.items()}
+    dim = customer_dimension(cleaned["cust_info"], cleaned["cust_az12"], cleaned["loc_a101"])
+    return mask_columns(classify(dim, CUSTOMER_COLUMN_METADATA), owners=["data_owner"], principal="analyst")
+
+
 def q_clean_table_legacy(spark, sf):
     return clean_legacy(raw_customers(spark, sf), LEGACY_SPECS["cust_info"])
 
@@ -564,6 +574,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_products": q_clean_products,
     "clean_sales": q_clean_sales,
     "star_report": q_star_report,
+    "star_customers_secure": q_star_customers_secure,
     "dedupe_latest": q_dedupe_latest,
     "dedupe_any": q_dedupe_any,
     "derive_end_date": q_derive_end_date,
