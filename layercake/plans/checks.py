@@ -109,6 +109,20 @@ class Suite:
     overlaps: tuple[Overlap, ...] = ()
     warn_only: frozenset[str] = frozenset()
 
+    @classmethod
+    def from_config(cls, config: Mapping, **extra) -> "Suite":
+        """Build a suite from a check dictionary with the keys ``keys``,
+        ``secondary_unique_keys``, ``required_columns`` and
+        ``invalid_conditions`` (name -> Column, SQL text or ``as_of -> Column``);
+        cross-table checks are passed as keyword arguments."""
+        return cls(
+            keys=tuple(config.get("keys") or ()),
+            secondary_keys=tuple(tuple(k) for k in config.get("secondary_unique_keys") or ()),
+            required=tuple(config.get("required_columns") or ()),
+            rules=dict(config.get("invalid_conditions") or {}),
+            **extra,
+        )
+
 
 def _sql_str(value: str | None) -> str:
     """SQL string literal (or NULL) for a Python string."""

@@ -68,6 +68,30 @@ class TableSpec:
         """Dedupe keys under their output names."""
         return [self.rename.get(k, k) for k in self.keys]
 
+    @classmethod
+    def from_config(cls, config: Mapping) -> "TableSpec":
+        """Build a spec from a cleaning-rule dictionary with the keys
+        ``target``, ``dedupe`` (``keys``, ``order_by``), ``regex_replace``,
+        ``special_transform``, ``value_maps``, ``dates``, ``casts``,
+        ``post_transform``, ``fillna``, ``required`` and ``rename``."""
+        dedupe_cfg = config.get("dedupe") or {}
+        special = config.get("special_transform")
+        post = config.get("post_transform")
+        return cls(
+            target=config.get("target", ""),
+            keys=tuple(dedupe_cfg.get("keys", ())),
+            order_by=tuple((c, d) for c, d in dedupe_cfg.get("order_by", ())),
+            regex={k: tuple(tuple(r) for r in v) for k, v in (config.get("regex_replace") or {}).items()},
+            transforms_before=(special,) if special else (),
+            value_maps=dict(config.get("value_maps") or {}),
+            dates=dict(config.get("dates") or {}),
+            casts=dict(config.get("casts") or {}),
+            transforms_after=(post,) if post else (),
+            fill=dict(config.get("fillna") or {}),
+            required=tuple(config.get("required") or ()),
+            rename=dict(config.get("rename") or {}),
+        )
+
 
 def _apply(df: DataFrame, transforms, as_of) -> DataFrame:
     for t in transforms:

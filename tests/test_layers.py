@@ -1,5 +1,7 @@
 import datetime as dt
 
+from conftest import rows
+
 from layercake.plans.catalog import RAW_SCHEMAS, SPECS
 from layercake.plans.layers import run_batch
 from layercake.plans.spec import clean
@@ -137,3 +139,32 @@ def test_run_batch_fingerprint_reports_equal_full(spark):
     fp = run_batch(raw_sources(spark), as_of=D(2025, 6, 1), duplicates="fingerprint")
     for name in ("silver_diagnostics", "diagnostic_gold"):
         assert rows(fp[name]) == rows(full[name]), name
+
+
+def test_specs_and_suites_from_config_dicts(spark):
+    from layercake.plans.catalog import SPECS
+    from layercake.plans.checks import Suite
+    from layercake.plans.layers import STAR_SUITES
+    from layercake.plans.spec import TableSpec
+
+    config = {
+        "target": "silver_product_info",
+        "dedupe": {"keys": ["prd_id"]},
+        "special_transform": "split_product_key",
+        "dates": {"prd_start_dt": None, "prd_end_dt": None},
+        "casts": {"prd_id": "int", "prd_cost": "int"},
+        "fillna": {"prd_line": "missing"},
+        "required": ["prd_id", "prd_key"],
+        "post_transform": "derive_product_end_date",
+        "rename": {"prd_id": "product_id", "prd_key": "product_key", "prd_nm": "product_name", "prd_cost": "cost",
+                   "prd_line": "product_line", "prd_start_dt": "start_date", "prd_end_dt": "end_date"},
+    }
+    assert TableSpec.from_config(config) == SPECS["prd_info"]
+    raw = raw_sources(spark)["prd_info"]
+    assert rows(clean(raw, TableSpec.from_config(config))) == rows(clean(raw, SPECS["prd_info"]))
+    suite = Suite.from_config({
+        "keys": ["product_id"], "secondary_unique_keys": [["product_key", "start_date"]],
+        "required_columns": list(STAR_SUITES["gold_dim_product"].required),
+        "invalid_conditions": dict(STAR_SUITES["gold_dim_product"].rules),
+    }, overlaps=STAR_SUITES["gold_dim_product"].overlaps)
+    assert suite == STAR_SUITES["gold_dim_product"]
