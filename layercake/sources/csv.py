@@ -72,7 +72,9 @@ def ingest_sources(
     load, then one error lists every problem (``strict=False`` returns them).
     ``mode="streaming"`` reads the ``stream_sources`` (the two transactional
     CRM sources of ``plans.catalog.STREAMED_SOURCES`` in the retail catalog)
-    as file streams and the rest as batch; any other mode is an error.
+    as file streams and the rest as batch; any other mode is an error. A
+    streamed source is read from the folder of its file, so each streamed
+    source needs a landing folder of its own (later drops land there too).
     """
     if mode not in ("batch", "streaming"):
         raise ValueError(f"Unknown ingestion mode: {mode}")
