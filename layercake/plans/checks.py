@@ -264,11 +264,12 @@ def quality_report(
     """
     parts: list[DataFrame] = []
     warn: set[str] = set()
+    present = [t for t in tables.values() if t is not None]
+    session = spark or (present[0].sparkSession if present else SparkSession.getActiveSession())
     for name, suite in suites.items():
         df = tables.get(name)
         warn |= set(suite.warn_only)
         if df is None:
-            session = spark or SparkSession.getActiveSession()
             parts.append(_missing_table(session, name))
             continue
         parts.append(_table_checks(name, df, suite, tables, as_of, duplicates))

@@ -86,7 +86,8 @@ def profile_report(
     names = sorted(n for n in tables if prefix is None or n.startswith(prefix))
     if not names:
         raise ValueError("No tables to profile")
-    session = spark or SparkSession.getActiveSession()
+    present = [t for t in tables.values() if t is not None]
+    session = spark or (present[0].sparkSession if present else SparkSession.getActiveSession())
     rows = []
     for n in names:
         df = tables[n]
