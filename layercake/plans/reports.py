@@ -150,3 +150,14 @@ def layer_row(pair: LayerPair, duplicates: str = "full") -> DataFrame:
 def layer_report(pairs: Sequence[LayerPair], duplicates: str = "full") -> DataFrame:
     """Cleaned-layer report (Q2), 14 columns, ordered by table name."""
     return _union([layer_row(p, duplicates) for p in pairs]).orderBy("table_name")
+
+
+def profile_catalog(spark, prefix: str, database: str | None = None, exclude=(), **options) -> DataFrame:
+    """Raw-layer report over catalog tables: discover tables whose name starts
+    with ``prefix`` (minus ``exclude``, e.g. the report table itself), load
+    them and profile them (Q1 with S6/S5)."""
+    from layercake.sources.csv import discover_tables
+    from layercake.sources.tables import load_tables
+
+    names = discover_tables(spark, prefix, database, exclude)
+    return profile_report(load_tables(spark, names, database), spark=spark, **options)

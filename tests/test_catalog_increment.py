@@ -78,3 +78,12 @@ def test_release_batches_in_order_and_refuse_twice(spark):
     log2 = scratch_path(spark, "rel-log2")
     assert release_batch(spark, exported, landing, log2, batch_id=2) == 2
     assert spark.read.option("header", True).csv(landing).count() == 30
+
+
+def test_profile_catalog(spark):
+    from layercake.plans.reports import profile_catalog
+
+    publish_table(spark.createDataFrame([(1, None), (2, "x")], "id int, v string"), "lc_prof.bronze_a")
+    publish_table(spark.createDataFrame([(1,)], "id int"), "lc_prof.diagnostics_bronze")
+    rep = profile_catalog(spark, "bronze_", "lc_prof").collect()
+    assert [(r.table_name, r.total_null_values) for r in rep] == [("bronze_a", 1)]
