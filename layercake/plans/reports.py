@@ -161,3 +161,23 @@ def profile_catalog(spark, prefix: str, database: str | None = None, exclude=(),
 
     names = discover_tables(spark, prefix, database, exclude)
     return profile_report(load_tables(spark, names, database), spark=spark, **options)
+
+
+def layer_catalog(spark, database: str | None = None, specs=None, duplicates: str = "full") -> DataFrame:
+    """Cleaned-layer report over catalog tables: each raw table is paired with
+    its cleaned target through the specs (Q2 with S5/S7); a missing table
+    raises, since the report would be meaningless without it."""
+    from layercake.plans.catalog import SPECS, raw_table_name
+    from layercake.sources.tables import load_tables
+
+    specs = SPECS if specs is None else specs
+    names = [n for s, spec in specs.items() for n in (raw_table_name(s), spec.target)]
+    tables = load_tables(spark, names, database)
+    missing = [n for n, df in tables.items() if df is None]
+    if missing:
+        raise RuntimeError(f"Missing tables for the cleaned-layer report: {missing}")
+    pairs = [
+        LayerPair(raw_table_name(s), tables[raw_table_name(s)], spec.target, tables[spec.target], spec.renamed_keys())
+        for s, spec in specs.items()
+    ]
+    return layer_report(pairs, duplicates)

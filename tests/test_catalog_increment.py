@@ -87,3 +87,15 @@ def test_profile_catalog(spark):
     publish_table(spark.createDataFrame([(1,)], "id int"), "lc_prof.diagnostics_bronze")
     rep = profile_catalog(spark, "bronze_", "lc_prof").collect()
     assert [(r.table_name, r.total_null_values) for r in rep] == [("bronze_a", 1)]
+
+
+def test_layer_catalog_after_stored_run(spark):
+    from layercake.plans.layers import run_batch, table_store
+    from layercake.plans.reports import layer_catalog
+
+    out = run_batch(raw_sources(spark), as_of="2025-06-01", store=table_store("lc_cat"))
+    from conftest import rows
+
+    assert rows(layer_catalog(spark, "lc_cat")) == rows(out["silver_diagnostics"])
+    with pytest.raises(RuntimeError, match="Missing"):
+        layer_catalog(spark, "lc_nowhere")
