@@ -99,3 +99,14 @@ def test_layer_catalog_after_stored_run(spark):
     assert rows(layer_catalog(spark, "lc_cat")) == rows(out["silver_diagnostics"])
     with pytest.raises(RuntimeError, match="Missing"):
         layer_catalog(spark, "lc_nowhere")
+
+
+def test_quality_catalog(spark):
+    from conftest import rows
+    from layercake.plans.checks import quality_catalog
+    from layercake.plans.layers import STAR_SUITES, run_batch, table_store
+
+    out = run_batch(raw_sources(spark), as_of="2025-06-01", store=table_store("lc_q"))
+    assert rows(quality_catalog(spark, STAR_SUITES, "lc_q", as_of="2025-06-01")) == rows(out["diagnostic_gold"])
+    missing = {(r.table_name, r.check_name): r.status for r in quality_catalog(spark, STAR_SUITES, "lc_none").collect()}
+    assert set(missing.values()) == {"FAIL"} and len(missing) == 3
