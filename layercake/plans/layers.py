@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from layercake.operators.governance import CUSTOMER_COLUMN_METADATA, classify_columns, mask_columns
 from layercake.plans.catalog import RAW_SCHEMAS, SPECS, raw_table_name
-from layercake.plans.checks import Overlap, Reference, Suite, VersionMatch, quality_report
+from layercake.plans.checks import Overlap, Reference, Suite, VersionMatch, assert_no_failures, quality_report
 from layercake.plans.reports import LayerPair, layer_report, profile_report
 from layercake.plans.spec import clean
 from layercake.plans.star import build_fact, customer_dimension, product_dimension
@@ -92,6 +92,7 @@ def run_batch(
     store: Store | None = None,
     workers: int = 4,
     duplicates: str = "full",
+    fail_on_failure: bool = False,
 ) -> dict[str, DataFrame]:
     """All layers from raw source DataFrames keyed by source name (C4).
 
@@ -101,7 +102,9 @@ def run_batch(
     plan is recomputed per consumer and a lost executor only redoes the
     current layer; independent tables of a layer are written concurrently.
     ``duplicates="fingerprint"`` makes both reports use the two-phase exact
-    duplicate count (less shuffle on wide tables).
+    duplicate count (less shuffle on wide tables). Failed checks are recorded,
+    not raised, unless ``fail_on_failure`` (then the star report is computed
+    and a ``RuntimeError`` names the number of failed checks).
     """
     keep = store or (lambda name, df: df)
     workers = workers if store is not None else 1
@@ -138,6 +141,8 @@ def run_batch(
         "diagnostic_gold": quality_report(stars, STAR_SUITES, as_of=as_of, duplicates=duplicates),
     }
     out.update(_keep_all(keep, reports, workers))
+    if fail_on_failure:
+        assert_no_failures(out["diagnostic_gold"])
     return out
 
 

@@ -168,3 +168,10 @@ def test_specs_and_suites_from_config_dicts(spark):
         "invalid_conditions": dict(STAR_SUITES["gold_dim_product"].rules),
     }, overlaps=STAR_SUITES["gold_dim_product"].overlaps)
     assert suite == STAR_SUITES["gold_dim_product"]
+
+
+def test_fail_on_failure_option(spark):
+    import pytest
+
+    with pytest.raises(RuntimeError, match="quality checks failed"):
+        run_batch(raw_sources(spark), as_of=D(2025, 6, 1), fail_on_failure=True)
