@@ -175,3 +175,24 @@ def test_fail_on_failure_option(spark):
 
     with pytest.raises(RuntimeError, match="quality checks failed"):
         run_batch(raw_sources(spark), as_of=D(2025, 6, 1), fail_on_failure=True)
+
+
+def test_ordering_options_d2_d3(spark):
+    from dataclasses import replace
+
+    from layercake.plans.catalog import RAW_SCHEMAS, SPECS
+
+    # The newest duplicate has no key -> dropped by `required` after dedupe
+    cust = spark.createDataFrame([("1", None, "A", "B", "M", "F", "2025-02-01"),
+                                  ("1", "AW1", "A", "B", "M", "F", "2025-01-01")], RAW_SCHEMAS["cust_info"])
+    assert clean(cust, SPECS["cust_info"]).count() == 0
+    kept = clean(cust, replace(SPECS["cust_info"], required_first=True)).collect()
+    assert [(r.customer_id, r.customer_key) for r in kept] == [(1, "1")]
+    # D3: a duplicated version (same id, same start) ends the day before it starts
+    prd = spark.createDataFrame([("5", "CO-RF-K1", "n", "1", "R", "2011-07-01", None),
+                                 ("5", "CO-RF-K1", "n", "1", "R", "2011-07-01", None),
+                                 ("6", "CO-RF-K1", "n", "1", "R", "2012-07-01", None)], RAW_SCHEMAS["prd_info"])
+    default = {r.product_id: r.end_date for r in clean(prd, SPECS["prd_info"]).collect()}
+    fixed = {r.product_id: r.end_date for r in clean(prd, replace(SPECS["prd_info"], dedupe_first=True)).collect()}
+    assert default[5] == D(2011, 6, 30)
+    assert fixed[5] == D(2012, 6, 30) and fixed[6] is None
