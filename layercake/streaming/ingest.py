@@ -10,10 +10,7 @@ readers) so the two are created and removed together.
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from layercake.sources.csv import RESCUE_COLUMN
@@ -39,43 +36,8 @@ def stream_raw_csv(
     return reader.csv(folder).select(*[schema[f.name].name for f in schema.fields])
 
 
-class _InputRows(StreamingQueryListener):
-    """Sums ``numInputRows`` of every progress event of one query run.
-
-    Listener events are delivered in order, so once this query's
-    termination event arrives every progress event has been counted; unlike
-    ``recentProgress`` nothing is lost when a run has many micro-batches.
-    """
-
-    def __init__(self):
-        self.run_id = None
-        self.rows = 0
-        self.done = threading.Event()
-        self._lock = threading.Lock()
-        self._early: list = []
-
-    def onQueryStarted(self, event):
-        pass
-
-    def onQueryProgress(self, event):
-        p = event.progress
-        with self._lock:
-            if self.run_id is None:
-                self._early.append((str(p.runId), p.numInputRows))
-            elif str(p.runId) == self.run_id:
-                self.rows += p.numInputRows
-
-    def onQueryIdle(self, event):
-        pass
-
-    def onQueryTerminated(self, event):
-        if self.run_id is not None and str(event.runId) == self.run_id:
-            self.done.set()
-
-    def bind(self, run_id: str) -> None:
-        with self._lock:
-            self.run_id = run_id
-            self.rows += sum(n for r, n in self._early if r == run_id)
+_RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
+_HISTORY = 10_000
 
 
 def ingest_increment(
@@ -88,15 +50,15 @@ def ingest_increment(
 ) -> int:
     """Append new files of ``folder`` to the parquet ``sink`` and return the
     number of rows added in this run, summed over **all** micro-batches
-    (K4, K5) through a query listener (the bounded progress history is only
-    a fallback)."""
+    (K4, K5): the progress history is kept large enough for every
+    micro-batch of the run (an error is raised rather than under-counting)."""
     checkpoint = checkpoint or sink.rstrip("/") + "/_checkpoint"
     stream = stream_raw_csv(spark, folder, schema, max_files_per_trigger)
-    counter = _InputRows()
-    try:
-        spark.streams.addListener(counter)
-    except Exception:  # listener unsupported: fall back to the progress history
-        counter = None
+    # keep the progress of every micro-batch of this run (the history size is
+    # read while the query runs; the session setting is restored afterwards)
+    previous = spark.conf.get(_RETENTION, None)
+    keep = max(_HISTORY, int(previous or 0))
+    spark.conf.set(_RETENTION, str(keep))
     try:
         query = (
             stream.writeStream.format("parquet")
@@ -104,17 +66,18 @@ def ingest_increment(
             .trigger(availableNow=True)
             .start(sink)
         )
-        if counter is not None:
-            counter.bind(str(query.runId))
         query.awaitTermination()
-        if query.exception() is not None:
-            raise query.exception()
-        if counter is not None and counter.done.wait(timeout=120):
-            return int(counter.rows)
-        return int(sum(int(p.get("numInputRows", 0)) for p in query.recentProgress))
     finally:
-        if counter is not None:
-            spark.streams.removeListener(counter)
+        if previous is None:
+            spark.conf.unset(_RETENTION)
+        else:
+            spark.conf.set(_RETENTION, previous)
+    if query.exception() is not None:
+        raise query.exception()
+    progress = query.recentProgress
+    if len(progress) >= keep:
+        raise RuntimeError("More micro-batches than the kept progress history; raise max_files_per_trigger")
+    return int(sum(int(p.get("numInputRows", 0)) for p in progress))
 
 
 def read_sink(spark: SparkSession, sink: str, schema: StructType) -> DataFrame:
