@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from layercake.llm import packing, simhash, tokenize
+from layercake.llm import decision_list, packing, simhash, tokenize
 from layercake.llm.common import table
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,7 +29,13 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BPE)
 
 
+def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the learned decision list over every document."""
+    docs = table(spark, sf_dir, "documents")
+    return decision_list.judge(docs, decision_list.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_transducer, op4_simhash_bk_trees, op5_vector_packing)
+    f.__name__: f for f in (op2_bpe_transducer, op4_simhash_bk_trees, op5_vector_packing, op8_decision_list)
 }
 ORACLE_SQL: dict[str, str] = {}
