@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from layercake.llm import decision_list, packing, simhash, tokenize
+from layercake.llm import decision_list, packing, simhash, tokenize, toxicity
 from layercake.llm.common import table
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,7 +35,13 @@ def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.judge(docs, decision_list.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_toxicity_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_transducer, op4_simhash_bk_trees, op5_vector_packing, op8_decision_list)
+    f.__name__: f for f in (op2_bpe_transducer, op4_simhash_bk_trees, op5_vector_packing, op8_decision_list, op9_toxicity_viterbi)
 }
 ORACLE_SQL: dict[str, str] = {}
