@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from layercake.llm import decision_list, packing, simhash, tokenize, toxicity
-from layercake.llm.common import table
+from layercake.llm import decision_list, kneser_ney, packing, simhash, tokenize, toxicity
+from layercake.llm.common import fold, table
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -41,7 +42,13 @@ def op9_toxicity_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a model of the training fold."""
+    docs = table(spark, sf_dir, "documents")
+    return kneser_ney.score(docs, kneser_ney.train(docs.where(fold(F.col("doc_id")) != 1)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_transducer, op4_simhash_bk_trees, op5_vector_packing, op8_decision_list, op9_toxicity_viterbi)
+    f.__name__: f for f in (op2_bpe_transducer, op4_simhash_bk_trees, op5_vector_packing, op8_decision_list, op9_toxicity_viterbi, op10_kneser_ney)
 }
 ORACLE_SQL: dict[str, str] = {}
