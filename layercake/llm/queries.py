@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import decision_list, kneser_ney, packing, simhash, tokenize, toxicity
+from layercake.llm import bitsliced, decision_list, kneser_ney, packing, simhash, tokenize, toxicity
 from layercake.llm.common import fold, table
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,12 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BPE)
 
 
+def op7_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best of all other vectors for every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return bitsliced.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and the learned decision list over every document."""
     docs = table(spark, sf_dir, "documents")
@@ -49,6 +55,20 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_transducer, op4_simhash_bk_trees, op5_vector_packing, op8_decision_list, op9_toxicity_viterbi, op10_kneser_ney)
+    f.__name__: f for f in (op2_bpe_transducer, op4_simhash_bk_trees, op5_vector_packing, op7_bit_sliced_topk, op8_decision_list, op9_toxicity_viterbi, op10_kneser_ney)
+}
+ORACLE_SQL: dict[str, str] = {
+    "op7_bit_sliced_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s QUALIFY rank <= 5
+    """,
 }
-ORACLE_SQL: dict[str, str] = {}
