@@ -90,6 +90,15 @@ def local_rows(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
+def keep_where(df: DataFrame, kept: Column) -> DataFrame:
+    """Filter by a condition on computed columns, after they are computed.
+
+    A plain filter would be pushed below them, with every use of a column
+    replaced by its whole expression, inside lambdas once for each element.
+    """
+    return df.withColumns({"__kept": kept, "__barrier": F.monotonically_increasing_id()}).where("__kept and __barrier >= 0").drop("__kept", "__barrier")
+
+
 # --- arrays in the shared folder, memory-mapped by the workers ----------------------------------------------------
 
 

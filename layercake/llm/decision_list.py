@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layercake.llm.common import SPACES, labelled_ids
+from layercake.llm.common import SPACES, keep_where, labelled_ids
 from layercake.session import materialize
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -96,11 +96,6 @@ def with_statistics(df: DataFrame, text: str, p: str = "") -> DataFrame:
     return df.drop(*[f"{p}__{n}" for n in ("words", "lines", "n", "joined", "hashes", "windows", "starts", "bang", "upper", "n_lines", "n_distinct")])
 
 
-def _keep_where(df: DataFrame, kept: Column) -> DataFrame:
-    """Filter after the statistics are computed: a plain filter would be pushed below them, with every use of a statistic inlined."""
-    return df.withColumns({"__kept": kept, "__barrier": F.monotonically_increasing_id()}).where("__kept and __barrier >= 0")
-
-
 def _histogram(rows: DataFrame, rule: list[tuple[int, bool, int]]) -> dict:
     """Counts ``[feature][bin][part, bad]`` of the rows that meet ``rule`` (one job, a bounded result)."""
     for f, above, b in rule:
@@ -204,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int =
     some = labelled_ids(labels, label, bound).select(F.col("doc_id").alias("__id"), F.col("label").alias("__label"))
     own = docs.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text"))
     own = own.join(F.broadcast(some), F.col("__doc") == F.col("__id"))  # at most ``bound`` rows of two numbers
-    rows = _keep_where(with_statistics(own, "__text"), ~F.col("base_failed"))
+    rows = keep_where(with_statistics(own, "__text"), ~F.col("base_failed"))
     rows = rows.select((F.col("__label") == 0).cast("int").alias("bad"), (F.pmod(F.xxhash64(F.lit(7), "__id"), F.lit(3)) == 0).cast("int").alias("part"), *FEATURES)
     return learn_rules(materialize(rows, "labelled-statistics"))
 
@@ -219,4 +214,4 @@ def keep_clean(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFr
     """The rows of ``docs``, all columns, that the base rules and the list keep."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     own = with_statistics(docs.select(whole.alias("__row"), F.col(text).alias("__text")), "__text")
-    return _keep_where(own, ~F.col("base_failed") & verdict(rules)).select("__row.*")
+    return keep_where(own, ~F.col("base_failed") & verdict(rules)).select("__row.*")

@@ -8,12 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import bitsliced, decision_list, html_trees, kneser_ney, packing, simhash, tokenize, toxicity
+from layercake.llm import bitsliced, decision_list, html_trees, importance, kneser_ney, licenses, packing, simhash, tokenize, toxicity
 from layercake.llm.common import fold, table
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log importance weight of every document and whether it is sampled."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document with the compiled lexicon."""
     docs = table(spark, sf_dir, "documents")
@@ -36,6 +41,11 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BPE)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice that a document holds."""
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.template_rows(spark))
+
+
 def op7_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best of all other vectors for every vector whose id is divisible by 50."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -61,7 +71,11 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_transducer, op3_html_boosted_trees, op4_simhash_bk_trees, op5_vector_packing, op7_bit_sliced_topk, op8_decision_list, op9_toxicity_viterbi, op10_kneser_ney)
+    f.__name__: f
+    for f in (
+        op1_importance_resampling, op2_bpe_transducer, op3_html_boosted_trees, op4_simhash_bk_trees, op5_vector_packing, op6_license_scan,
+        op7_bit_sliced_topk, op8_decision_list, op9_toxicity_viterbi, op10_kneser_ney,
+    )
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_bit_sliced_topk": """
