@@ -165,55 +165,32 @@ def null_details_json(columns: Sequence[str], style: str = "counts", digits: int
     return F.concat(F.lit("{"), F.array_join(F.array(*parts), ", "), F.lit("}"))
 
 
-def fingerprint_distinct(df: DataFrame, candidate_limit: int) -> DataFrame | None:
-    """``(_rows, _distinct)`` computed in two exact phases, or None when the
-    candidate set is larger than ``candidate_limit``.
-
-    Phase 1 shuffles only a 64-bit row hash with partial counts; a hash seen
-    once proves its row unique. Phase 2 compares full rows, but only rows
-    whose hash occurs more than once (a broadcast semi join with the
-    size-checked candidate set). Hash collisions merely add candidates, so
-    the result is exact.
+def distinct_metrics(df: DataFrame) -> DataFrame:
+    """One lazy row (``_rows``, ``_distinct``): NULLs compare equal (A5).
+
+    One grouping by a 64-bit hash of the row (partial counts before the
+    shuffle, so copies collapse there); a hash seen once proves its row unique.
+    Only rows whose hash repeats are compared in full, found by a semi join that
+    adaptive execution plans. Collisions merely add rows to compare, so the
+    result is exact whatever the share of repeated rows.
     """
+    if not df.columns:
+        return table_metrics(df, columns=[], distinct=True)
     cols = [c(n) for n in df.columns]
+    row = F.struct(*cols)
     fp = F.xxhash64(*[F.struct(F.lit(i), x.isNull(), x) for i, x in enumerate(cols)]).alias("__fp")
     groups = df.select(fp).groupBy("__fp").agg(F.count(F.lit(1)).alias("__n"))
-    sizes = groups.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
-        F.count_if(F.col("__n") > 1).alias("candidates"),
-        F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("candidate_rows"),
-    ).first()
-    if sizes["candidates"] > candidate_limit:
-        return None
-    spark = df.sparkSession
-    unique_rows = sizes["rows"] - sizes["candidate_rows"]
-    if sizes["candidates"] == 0:
-        return spark.range(1).select(F.lit(sizes["rows"]).cast("long").alias(ROWS),
-                                     F.lit(sizes["rows"]).cast("long").alias(DISTINCT))
-    cand = groups.filter(F.col("__n") > 1).select("__fp")
-    suspects = df.select(*cols, fp).join(F.broadcast(cand), "__fp", "left_semi").drop("__fp")
-    verified = suspects.agg(F.count_distinct(F.struct(*cols)).alias("__d"))
-    return verified.select(F.lit(sizes["rows"]).cast("long").alias(ROWS),
-                           (F.col("__d") + F.lit(unique_rows)).cast("long").alias(DISTINCT))
-
-
-def exact_duplicates(df: DataFrame, table_name: str, method: str = "full",
-                     candidate_limit: int = 10_000_000) -> DataFrame:
-    """Rows minus distinct rows; NULLs compare equal inside the struct (A5).
-
-    ``method="full"``: one lazy ``count(DISTINCT struct(*))`` (shuffles every
-    distinct row once). ``method="fingerprint"``: the two-phase exact count of
-    ``fingerprint_distinct`` (two small jobs run now), falling back to
-    ``full`` when more than ``candidate_limit`` hashes repeat.
-    """
-    m = None
-    if method == "fingerprint" and df.columns:
-        m = fingerprint_distinct(df, candidate_limit)
-    elif method not in ("full", "fingerprint"):
-        raise ValueError(f"Unknown method: {method}")
-    if m is None:
-        m = table_metrics(df, columns=[], distinct=True)
-    return m.select(
+    once = groups.agg(F.sum("__n").alias("__r"), F.count_if(F.col("__n") == 1).alias("__d"))
+    repeated = groups.filter(F.col("__n") > 1).select("__fp")
+    compared = df.select(row.alias("__row"), fp).join(repeated, "__fp", "left_semi").groupBy("__fp", "__row").agg(F.lit(1).alias("__one"))
+    again = compared.agg(F.lit(0).cast("bigint").alias("__r"), F.count(F.lit(1)).alias("__d"))
+    total = once.unionByName(again).agg(F.sum("__r"), F.sum("__d")).toDF("__r", "__d")
+    return total.select(F.coalesce("__r", F.lit(0)).cast("long").alias(ROWS), F.coalesce("__d", F.lit(0)).cast("long").alias(DISTINCT))
+
+
+def exact_duplicates(df: DataFrame, table_name: str) -> DataFrame:
+    """Rows minus distinct rows; NULLs compare equal (A5), see ``distinct_metrics``."""
+    return distinct_metrics(df).select(
         F.lit(table_name).alias("table_name"),
         F.col(ROWS).alias("total_rows"),
         F.col(DISTINCT).alias("distinct_rows"),

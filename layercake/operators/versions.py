@@ -20,7 +20,6 @@ from layercake.operators.rules import require_columns
 from layercake.operators.segments import Skew, with_next, with_previous, with_prior_max
 
 _FLAG = "__overlap"
-_FAR_FUTURE = "9999-12-31"
 
 
 def _as_list(keys) -> list[str]:
@@ -106,6 +105,12 @@ def overlapping_versions(
     return flag_overlaps(df, key, start, end, mode, tie, _FLAG, skew).filter(F.col(_FLAG)).drop(_FLAG)
 
 
+def _common_type(spark, *types: str) -> str:
+    """The type that Spark compares the given types in."""
+    nulls = ", ".join(f"CAST(NULL AS {t})" for t in types)
+    return spark.range(0).selectExpr(f"coalesce({nulls}) AS x").schema[0].dataType.simpleString()
+
+
 def version_misses(
     fact: DataFrame,
     versions: DataFrame,
@@ -114,70 +119,44 @@ def version_misses(
     start: str,
     end: str,
     version_key: str | None = None,
-    strategy: str = "auto",
     skew: Skew = Skew(),
-    broadcast_rows: int = 2_000_000,
-    broadcast_versions_per_key: int = 64,
 ) -> DataFrame:
     """Fact rows with a non-NULL ``date`` and no version where the key matches
     and ``start <= date`` and (``end`` is NULL or ``date <= end``) (J4).
 
-    ``strategy="auto"`` (default) sizes the version side with one small
-    aggregation (rows, largest versions-per-key): when both are within
-    ``broadcast_rows`` / ``broadcast_versions_per_key`` the version table is
-    broadcast (a proven bound) and facts are never shuffled; otherwise the
-    as-of strategy runs.
-
-    ``strategy="asof"``: facts and versions are unioned and ordered
-    per key by date, versions first on equal dates; a fact is covered exactly
-    when the running maximum of the ends of the versions before it (open end
-    = far future) reaches its date. Linear in the input, runs on segmented
-    windows (hot keys split), and never pairs a fact with the versions of
-    its key. A NULL fact key never matches, as in the anti join.
-
-    ``strategy="join"``: equi-join on the key with the range as a residual
-    predicate, as a left-anti join (AQE broadcasts a small version side and
-    splits hot fact partitions); cost grows with versions per key.
+    One rule for types: keys are compared in the common type of both keys,
+    ``date`` and the bounds in the common type of all three (a date against
+    timestamps is its midnight); a value that cannot be converted matches
+    nothing. A NULL key never matches.
+
+    Facts are first grouped to distinct ``(key, date)`` pairs (partial counts
+    before the shuffle, so a hot pair collapses). Pairs and versions are
+    ordered per key by date, versions first on equal dates; a pair is covered
+    exactly when a version before it is open or the running maximum of their
+    ends reaches its date. Uncovered pairs are joined back to the fact rows.
+    Linear in the input; no fact is ever paired with the versions of its key.
     """
     version_key = version_key or key
     require_columns(fact, [key, date], "version_misses fact columns")
     require_columns(versions, [version_key, start, end], "version_misses version columns")
-    broadcast = False
-    if strategy == "auto":
-        size = versions.groupBy(c(version_key)).agg(F.count(F.lit(1)).alias("__n")).agg(
-            F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.coalesce(F.max("__n"), F.lit(0)).alias("per_key")
-        ).first()
-        broadcast = size["rows"] <= broadcast_rows and size["per_key"] <= broadcast_versions_per_key
-        strategy = "join" if broadcast else "asof"
-    d = c(date).cast("date") if dict(fact.dtypes)[date] != "date" else c(date)
-    dated = fact.filter(c(date).isNotNull())
-    if strategy == "join":
-        v = versions.select(
-            c(version_key).alias("__v_key"), c(start).alias("__v_start"), c(end).alias("__v_end")
-        )
-        if broadcast:  # size checked above
-            v = F.broadcast(v)
-        cond = (
-            (c(key) == F.col("__v_key"))
-            & (F.col("__v_start") <= d)
-            & (F.col("__v_end").isNull() | (d <= F.col("__v_end")))
-        )
-        return dated.join(v, cond, "left_anti")
-    if strategy != "asof":
-        raise ValueError(f"Unknown strategy: {strategy}")
-    key_type = dict(fact.dtypes)[key]
-    facts = dated.select(
-        c(key).alias("__k"), d.alias("__d"), F.lit(1).alias("__kind"), F.lit(None).cast("date").alias("__end"),
-        F.struct(*[c(n) for n in fact.columns]).alias("__row"),
-    )
-    vers = versions.filter(c(version_key).isNotNull() & c(start).isNotNull()).select(
-        c(version_key).cast(key_type).alias("__k"), c(start).cast("date").alias("__d"), F.lit(0).alias("__kind"),
-        F.coalesce(c(end).cast("date"), F.lit(_FAR_FUTURE).cast("date")).alias("__end"),
-        F.lit(None).cast(facts.schema["__row"].dataType).alias("__row"),
+    f_types, v_types = dict(fact.dtypes), dict(versions.dtypes)
+    key_type = _common_type(fact.sparkSession, f_types[key], v_types[version_key])
+    date_type = _common_type(fact.sparkSession, f_types[date], v_types[start], v_types[end])
+    k, d = F.col("__k"), F.col("__d")
+    dated = fact.filter(c(date).isNotNull()).select(
+        *[c(n) for n in fact.columns], c(key).try_cast(key_type).alias("__k"), c(date).try_cast(date_type).alias("__d")
     )
+    pairs = dated.filter(k.isNotNull() & d.isNotNull()).groupBy("__k", "__d").agg(F.count(F.lit(1)).alias("__n"))
+    facts = pairs.select(k, d, F.lit(1).alias("__kind"), F.lit(None).cast(date_type).alias("__end"), F.lit(0).alias("__open"))
+    end_value = c(end).try_cast(date_type)
+    vers = versions.select(
+        c(version_key).try_cast(key_type).alias("__k"), c(start).try_cast(date_type).alias("__d"), F.lit(0).alias("__kind"),
+        end_value.alias("__end"), c(end).isNull().cast("int").alias("__open"),
+    ).filter(k.isNotNull() & d.isNotNull())
     both = facts.unionByName(vers)
-    covered = with_prior_max(both, ["__k"], "__d", ["__kind"], {"__reach": F.col("__end")}, skew)
-    miss = (F.col("__kind") == 1) & (
-        F.col("__k").isNull() | F.col("__reach").isNull() | (F.col("__reach") < F.col("__d"))
-    )
-    return covered.filter(miss).select("__row.*")
+    reached = with_prior_max(both, ["__k"], "__d", ["__kind"], {"__reach": F.col("__end"), "__opened": F.col("__open")}, skew)
+    covered = F.coalesce((F.col("__opened") == 1) | (F.col("__reach") >= d), F.lit(False))
+    missed = reached.filter((F.col("__kind") == 1) & ~covered).select("__k", "__d")
+    out = [c(n) for n in fact.columns]
+    unmatched = dated.filter(k.isNull() | d.isNull()).select(*out)
+    return dated.join(missed, ["__k", "__d"], "left_semi").select(*out).unionByName(unmatched)

@@ -31,7 +31,7 @@ from layercake.operators.integrity import orphan_rows
 from layercake.operators.profile import (
     DISTINCT,
     ROWS,
-    fingerprint_distinct,
+    distinct_metrics,
     key_groups,
     merge_rows,
     null_alias,
@@ -168,7 +168,7 @@ def _explode(one_row: DataFrame, rows: list[str]) -> DataFrame:
 
 
 def _table_checks(
-    name: str, df: DataFrame, suite: Suite, tables: Mapping[str, DataFrame | None], as_of, duplicates: str = "full"
+    name: str, df: DataFrame, suite: Suite, tables: Mapping[str, DataFrame | None], as_of
 ) -> DataFrame:
     """All checks of one table from ONE metrics row: the table's single
     aggregation (rows, distinct rows, required NULLs, rule hits, dated rows)
@@ -181,12 +181,9 @@ def _table_checks(
     references = [r for r in suite.references if tables.get(r.table) is not None]
     key_sets = [k for k in [suite.keys, *suite.secondary_keys] if k]
 
-    fingerprint = fingerprint_distinct(df, 10_000_000) if duplicates == "fingerprint" and df.columns else None
     dated = [F.count(c(vm.date)).alias(f"_dated_{j}") for j, vm in enumerate(versions)]
-    main = table_metrics(df, suite.required, rules, distinct=fingerprint is None, extra=dated)
-    parts = [main]
-    if fingerprint is not None:
-        parts.append(fingerprint.select(DISTINCT))
+    main = table_metrics(df, suite.required, rules, extra=dated)
+    parts = [main, distinct_metrics(df).select(DISTINCT)]
     for i, keys in enumerate(key_sets):
         parts.append(key_groups(df, keys).select(F.col("duplicate_key_rows").alias(f"_dupk_{i}")))
     for i, ref in enumerate(references):
@@ -201,7 +198,7 @@ def _table_checks(
         flagged = flag_overlaps(df.select(c(ov.key), c(ov.start), c(ov.end), *[c(t) for t in ov.tie]),
                                 ov.key, ov.start, ov.end, ov.mode, ov.tie, "__ov")
         parts.append(flagged.agg(F.count_if(F.col("__ov")).alias(f"_overlap_{j}")))
-    metrics = merge_rows(parts) if len(parts) > 1 else main
+    metrics = merge_rows(parts)
 
     n = ROWS
     rows = [
@@ -251,14 +248,9 @@ def quality_report(
     suites: Mapping[str, Suite],
     as_of=None,
     spark: SparkSession | None = None,
-    duplicates: str = "full",
 ) -> DataFrame:
     """All checks of all suites as one DataFrame (see module doc).
 
-    ``duplicates="fingerprint"`` counts exact duplicate rows with the
-    two-phase method of ``profile.exact_duplicates`` (two small eager jobs
-    per table, far less shuffle on wide tables).
-
     A table mapped to ``None`` yields a failing ``table_exists`` row and no
     other checks; cross-table checks run only when both tables are present.
     """
@@ -272,7 +264,7 @@ def quality_report(
         if df is None:
             parts.append(_missing_table(session, name))
             continue
-        parts.append(_table_checks(name, df, suite, tables, as_of, duplicates))
+        parts.append(_table_checks(name, df, suite, tables, as_of))
     checks = parts[0]
     for p in parts[1:]:
         checks = checks.unionByName(p)

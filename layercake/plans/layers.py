@@ -71,19 +71,36 @@ STAR_SUITES = {
 Store = Callable[[str, DataFrame], DataFrame]
 
 
-def _keep_all(keep: Store, frames: Mapping[str, DataFrame], workers: int) -> dict[str, DataFrame]:
-    """Store independent tables of one layer; with ``workers > 1`` their jobs
-    are submitted concurrently from driver threads (Spark schedules them side
-    by side), as independent tables of a layer do not wait for each other."""
-    if workers <= 1 or len(frames) <= 1:
-        return {name: keep(name, df) for name, df in frames.items()}
+#: A step: name, names of the tables it needs, and a function of them.
+Step = tuple[str, tuple[str, ...], Callable[..., DataFrame]]
+
+
+def _run_steps(steps: Sequence[Step], keep: Store, workers: int) -> dict[str, DataFrame]:
+    """Build and store each step's table. With ``workers > 1`` a table is built
+    and written from a driver thread as soon as its own inputs are stored
+    (no barrier between layers). Steps come after those they need, so a
+    waiting thread only ever waits for earlier ones."""
+    out: dict[str, DataFrame] = {}
+    if workers <= 1:
+        for name, needs, build in steps:
+            out[name] = keep(name, build(*[out[n] for n in needs]))
+        return out
     from concurrent.futures import ThreadPoolExecutor
 
+    futures: dict = {}
+
+    def run(name, needs, build):
+        return keep(name, build(*[futures[n].result() for n in needs]))
+
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = {name: pool.submit(keep, name, df) for name, df in frames.items()}
+        for name, needs, build in steps:
+            futures[name] = pool.submit(run, name, needs, build)
         return {name: f.result() for name, f in futures.items()}
 
 
+REPORTS = ("diagnostics_bronze", "silver_diagnostics", "diagnostic_gold")
+
+
 def run_batch(
     raw: Mapping[str, DataFrame],
     as_of=None,
@@ -91,58 +108,65 @@ def run_batch(
     principal=None,
     store: Store | None = None,
     workers: int = 4,
-    duplicates: str = "full",
+    reports: Sequence[str] = REPORTS,
     fail_on_failure: bool = False,
 ) -> dict[str, DataFrame]:
     """All layers from raw source DataFrames keyed by source name (C4).
 
     Without ``store`` every output is a lazy DataFrame. With ``store`` (see
-    ``table_store`` / ``folder_store``) each table is written as soon as it is
-    built and later layers and reports read the written table, so no upstream
-    plan is recomputed per consumer and a lost executor only redoes the
-    current layer; independent tables of a layer are written concurrently.
-    ``duplicates="fingerprint"`` makes both reports use the two-phase exact
-    duplicate count (less shuffle on wide tables). Failed checks are recorded,
-    not raised, unless ``fail_on_failure`` (then the star report is computed
-    and a ``RuntimeError`` names the number of failed checks).
+    ``table_store`` / ``folder_store``) this function writes: each table as soon
+    as its own inputs are stored, and later layers and reports read the
+    written table, so no upstream plan is recomputed per consumer and a lost
+    executor only redoes the current table; tables that do not need each other are
+    written concurrently. Only the ``reports`` asked for are built. Failed
+    checks are recorded, not raised, unless ``fail_on_failure`` (then the star
+    report is computed and a ``RuntimeError`` names the number of failed checks).
     """
-    keep = store or (lambda name, df: df)
-    workers = workers if store is not None else 1
-    out: dict[str, DataFrame] = {}
-    raw_tables = _keep_all(keep, {raw_table_name(s): df for s, df in raw.items()}, workers)
-    out.update(raw_tables)
-    cleaned = _keep_all(
-        keep, {SPECS[s].target: clean(raw_tables[raw_table_name(s)], SPECS[s], as_of) for s in raw}, workers
-    )
-    out.update(cleaned)
-    pairs = [
-        LayerPair(raw_table_name(s), raw_tables[raw_table_name(s)], SPECS[s].target, cleaned[SPECS[s].target],
-                  SPECS[s].renamed_keys())
-        for s in raw
-    ]
-    gold: dict[str, DataFrame] = {}
-    if {"silver_customer_info", "silver_customer_demographics", "silver_customer_location"} <= out.keys():
-        gold["gold_dim_customers"] = customer_dimension(
-            out["silver_customer_info"], out["silver_customer_demographics"], out["silver_customer_location"]
-        )
-    if {"silver_product_info", "silver_product_category"} <= out.keys():
-        gold["gold_dim_product"] = product_dimension(out["silver_product_info"], out["silver_product_category"])
-    if "silver_sales_details" in out:
-        gold["gold_fact_sales"] = build_fact(out["silver_sales_details"])
-    out.update(_keep_all(keep, gold, workers))
+    unknown = set(reports) - set(REPORTS)
+    if unknown:
+        raise ValueError(f"Unknown reports: {sorted(unknown)}")
+    steps: list[Step] = []
+    for source, df in raw.items():
+        spec, name = SPECS[source], raw_table_name(source)
+        steps.append((name, (), lambda df=df: df))
+        steps.append((spec.target, (name,), lambda t, spec=spec: clean(t, spec, as_of)))
+    have = {n for n, _, _ in steps}
+    for name, needs, build in (
+        ("gold_dim_customers", ("silver_customer_info", "silver_customer_demographics", "silver_customer_location"), customer_dimension),
+        ("gold_dim_product", ("silver_product_info", "silver_product_category"), product_dimension),
+        ("gold_fact_sales", ("silver_sales_details",), build_fact),
+    ):
+        if have.issuperset(needs):
+            steps.append((name, needs, build))
+    have = {n for n, _, _ in steps}
+    raw_names = tuple(raw_table_name(s) for s in raw)
+    targets = tuple(SPECS[s].target for s in raw)
+    stars = tuple(n for n in STAR_SUITES if n in have)
+
+    def layer(*tables):
+        n = len(raw_names)
+        return layer_report([
+            LayerPair(r, tables[i], SPECS[s].target, tables[n + i], SPECS[s].renamed_keys())
+            for i, (s, r) in enumerate(zip(raw, raw_names))
+        ])
+
+    def star(*tables):
+        found = dict(zip(stars, tables))
+        return quality_report({n: found.get(n) for n in STAR_SUITES}, STAR_SUITES, as_of=as_of)
+
+    built = {
+        "diagnostics_bronze": (raw_names, lambda *tables: profile_report(dict(zip(raw_names, tables)), prefix="bronze_")),
+        "silver_diagnostics": ((*raw_names, *targets), layer),
+        "diagnostic_gold": (stars, star),
+    }
+    steps += [(name, *built[name]) for name in REPORTS if name in reports]
+    out = _run_steps(steps, store or (lambda name, df: df), workers if store is not None else 1)
     if "gold_dim_customers" in out:
         out["gold_dim_customers"] = classify_columns(out["gold_dim_customers"], CUSTOMER_COLUMN_METADATA)
         # a view: masking is evaluated when it is read, so it is never stored
         out["gold_dim_customers_secure"] = mask_columns(out["gold_dim_customers"], owners=owners, principal=principal)
-    stars = {name: out.get(name) for name in STAR_SUITES}
-    reports = {
-        "diagnostics_bronze": profile_report(raw_tables, prefix="bronze_"),
-        "silver_diagnostics": layer_report(pairs, duplicates),
-        "diagnostic_gold": quality_report(stars, STAR_SUITES, as_of=as_of, duplicates=duplicates),
-    }
-    out.update(_keep_all(keep, reports, workers))
     if fail_on_failure:
-        assert_no_failures(out["diagnostic_gold"])
+        assert_no_failures(out["diagnostic_gold"] if "diagnostic_gold" in out else star(*[out[n] for n in stars]))
     return out
 
 
@@ -196,12 +220,15 @@ def run_increment(
     as_of=None,
     owners: Sequence[str] = (),
     store: Store | None = None,
+    options: Mapping[str, str] | None = None,
+    reports: Sequence[str] = REPORTS,
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
     """Append new landing files per source, then recompute every layer over
-    the full appended raw tables (C5). Returns new-row counts and outputs."""
+    the full appended raw tables (C5). Returns new-row counts and outputs.
+    ``options`` are CSV read options of the landing files."""
     counts = {}
     raw = {}
     for source, folder in landing.items():
-        counts[source] = ingest_increment(spark, folder, RAW_SCHEMAS[source], sinks[source])
+        counts[source] = ingest_increment(spark, folder, RAW_SCHEMAS[source], sinks[source], options=options)
         raw[source] = read_sink(spark, sinks[source], RAW_SCHEMAS[source])
-    return counts, run_batch(raw, as_of=as_of, owners=owners, store=store)
+    return counts, run_batch(raw, as_of=as_of, owners=owners, store=store, reports=reports)

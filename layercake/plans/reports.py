@@ -19,7 +19,7 @@ from layercake.operators.profile import (
     DISTINCT,
     ROWS,
     completeness_columns,
-    fingerprint_distinct,
+    distinct_metrics,
     key_groups,
     merge_rows,
     null_details_json,
@@ -110,16 +110,12 @@ class LayerPair:
     dedupe_keys: Sequence[str] = ()
 
 
-def layer_row(pair: LayerPair, duplicates: str = "full") -> DataFrame:
+def layer_row(pair: LayerPair) -> DataFrame:
     """One cleaned-layer row (A1, A3-A8): source count, target profile with
-    exact duplicates, and duplicate groups/rows on the (renamed) dedupe keys.
-    ``duplicates="fingerprint"`` uses the two-phase exact duplicate count."""
+    exact duplicates, and duplicate groups/rows on the (renamed) dedupe keys."""
     target = pair.target
     cols = target.columns
-    fingerprint = fingerprint_distinct(target, 10_000_000) if duplicates == "fingerprint" and cols else None
-    base = table_metrics(target, distinct=fingerprint is None)
-    if fingerprint is not None:
-        base = merge_rows([base, fingerprint.select(DISTINCT)])
+    base = merge_rows([table_metrics(target), distinct_metrics(target).select(DISTINCT)])
     metrics = base.select(
         *completeness_columns(cols),
         (F.col(ROWS) - F.col(DISTINCT)).alias("exact_duplicate_rows"),
@@ -147,9 +143,9 @@ def layer_row(pair: LayerPair, duplicates: str = "full") -> DataFrame:
     )
 
 
-def layer_report(pairs: Sequence[LayerPair], duplicates: str = "full") -> DataFrame:
+def layer_report(pairs: Sequence[LayerPair]) -> DataFrame:
     """Cleaned-layer report (Q2), 14 columns, ordered by table name."""
-    return _union([layer_row(p, duplicates) for p in pairs]).orderBy("table_name")
+    return _union([layer_row(p) for p in pairs]).orderBy("table_name")
 
 
 def profile_catalog(spark, prefix: str, database: str | None = None, exclude=(), **options) -> DataFrame:
@@ -163,7 +159,7 @@ def profile_catalog(spark, prefix: str, database: str | None = None, exclude=(),
     return profile_report(load_tables(spark, names, database), spark=spark, **options)
 
 
-def layer_catalog(spark, database: str | None = None, specs=None, duplicates: str = "full") -> DataFrame:
+def layer_catalog(spark, database: str | None = None, specs=None) -> DataFrame:
     """Cleaned-layer report over catalog tables: each raw table is paired with
     its cleaned target through the specs (Q2 with S5/S7); a missing table
     raises, since the report would be meaningless without it."""
@@ -180,4 +176,4 @@ def layer_catalog(spark, database: str | None = None, specs=None, duplicates: st
         LayerPair(raw_table_name(s), tables[raw_table_name(s)], spec.target, tables[spec.target], spec.renamed_keys())
         for s, spec in specs.items()
     ]
-    return layer_report(pairs, duplicates)
+    return layer_report(pairs)

@@ -228,3 +228,31 @@ STAR_SALES = (
     "CAST(CAST(l_quantity AS BIGINT) AS STRING) AS sls_quantity",
     "CAST(CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS STRING) AS sls_price",
 )
+
+# whole lineitem rows, two columns with NULLs; every 50th order's rows once more
+LINEITEM_WITH_NULLS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+    "CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_quantity END AS l_quantity",
+    "l_extendedprice", "l_discount", "l_tax",
+    "CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag",
+    "l_linestatus", "l_shipdate",
+)
+LINEITEM_COPIED = "l_orderkey % 50 = 0"
+
+# documents as text that a careless CSV export changes: padding, quotes, line breaks, '' and NULL
+DOCUMENTS_MESSY = (
+    "doc_id",
+    "CASE WHEN doc_id % 6 = 0 THEN '' WHEN doc_id % 6 = 1 THEN NULL "
+    "WHEN doc_id % 6 = 2 THEN concat('  ', text, ' \"q\"  ') "
+    "WHEN doc_id % 6 = 3 THEN concat('\"', chr(13), chr(10), text, chr(10), chr(9)) "
+    "WHEN doc_id % 6 = 4 THEN concat(text, ',', chr(92), '\"') ELSE text END AS text",
+)
+
+# purchases with a timestamp and with a zero-padded text key
+PURCHASES_STAMPED = ("event_id", "user_id", "ts AS event_time")
+PURCHASES_TEXT_KEY = (
+    "event_id",
+    "CASE WHEN event_id % 9 = 0 THEN concat('u', CAST(user_id AS STRING)) WHEN event_id % 9 = 1 THEN NULL "
+    "ELSE concat('00', CAST(user_id AS STRING)) END AS user_key",
+    "CAST(ts AS DATE) AS event_date",
+)

@@ -129,7 +129,8 @@ SELECT user_id, start_date, lead(start_date) OVER (PARTITION BY user_id ORDER BY
 ORDER_PERIODS = """(SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS start_date,
        CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INTEGER) AS end_date FROM orders)"""
 
-PURCHASES = _from("events", I.PURCHASES, "event_type = 'purchase'")
+_PURCHASE = "event_type = 'purchase'"
+PURCHASES = _from("events", I.PURCHASES, _PURCHASE)
 
 SALES = """(SELECT l.l_orderkey AS order_number, l.l_partkey AS product_key, o.o_custkey AS customer_id,
        CAST(o.o_orderdate AS DATE) AS order_date, CAST(l.l_shipdate AS DATE) AS ship_date,
@@ -444,6 +445,14 @@ def oracle_sql() -> dict[str, str]:
     q["version_misses_asof"] = q["version_misses"]
     closed = ("(SELECT user_id, CAST(ts AS DATE) AS start_date, CAST(ts AS DATE) + CAST(event_id % 5 AS INTEGER) "
               "AS end_date FROM events WHERE event_type = 'signup')")
+    q["version_misses_timestamps"] = (
+        f"SELECT f.event_id, f.user_id, f.event_time FROM {_from('events', I.PURCHASES_STAMPED, _PURCHASE)} f "
+        "WHERE NOT EXISTS (SELECT 1 FROM events v WHERE v.event_type = 'signup' AND v.user_id = f.user_id AND v.ts <= f.event_time "
+        "AND (v.event_id % 3 = 0 OR f.event_time <= v.ts + INTERVAL 36 HOUR))")
+    q["version_misses_mixed_keys"] = (
+        f"SELECT f.event_id, f.user_key, f.event_date FROM {_from('events', I.PURCHASES_TEXT_KEY, _PURCHASE)} f WHERE NOT EXISTS "
+        f"(SELECT 1 FROM {SIGNUP_VERSIONS} v WHERE v.user_id = TRY_CAST(f.user_key AS BIGINT) AND v.start_date <= f.event_date "
+        "AND (v.end_date IS NULL OR f.event_date <= v.end_date))")
     q["version_misses_closed"] = miss.format(f=PURCHASES, v=closed)
     orphan = ("SELECT o_orderkey, o_custkey FROM {f} f WHERE {extra}NOT EXISTS "
               "(SELECT 1 FROM customer c WHERE c.c_custkey = f.o_custkey)")
@@ -466,10 +475,11 @@ def oracle_sql() -> dict[str, str]:
     q["completeness"] = (f"SELECT 'orders' AS table_name, {_completeness_select(ORDERS_NULL_COLS)} "
                          f"FROM {_null_counts(ORDERS_NULLS, ORDERS_NULL_COLS)}")
     q["null_details"] = null_profile_sql(ORDERS_NULLS, ORDERS_NULL_COLS, "orders", only_nulls=True)
-    li_keys = "(SELECT l_orderkey, l_linenumber FROM lineitem)"
-    q["exact_duplicates"] = (f"SELECT 'lineitem' AS table_name, count(*) AS total_rows, {_distinct_rows(li_keys)} AS "
-                             f"distinct_rows, count(*) - {_distinct_rows(li_keys)} AS exact_duplicate_rows FROM lineitem")
-    q["exact_duplicates_fingerprint"] = q["exact_duplicates"]
+    copies = (f"(SELECT * FROM {_from('lineitem', I.LINEITEM_WITH_NULLS)} UNION ALL SELECT * FROM "
+              f"{_from('lineitem', I.LINEITEM_WITH_NULLS, I.LINEITEM_COPIED)})")
+    for name, src in (("exact_duplicates", copies), ("exact_duplicates_fingerprint", "(SELECT l_orderkey, l_linenumber FROM lineitem)")):
+        q[name] = (f"SELECT 'lineitem' AS table_name, count(*) AS total_rows, {_distinct_rows(src)} AS distinct_rows, "
+                   f"count(*) - {_distinct_rows(src)} AS exact_duplicate_rows FROM {src}")
     dk = _dup_keys("lineitem", ["l_orderkey", "l_linenumber"])
     q["key_duplicates"] = (f"SELECT 'lineitem' AS table_name, '[\"l_orderkey\", \"l_linenumber\"]' AS keys, "
                            f"(SELECT count(*) FROM lineitem) AS total_rows, g AS duplicate_key_groups, "
@@ -521,6 +531,25 @@ def oracle_sql() -> dict[str, str]:
         for k, p in SECRET_PATTERNS.items())
     q["raw_csv_roundtrip"] = ("SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, c_acctbal AS balance, "
                               "c_mktsegment AS segment FROM customer")
+    q["release_batches"] = (
+        f"SELECT doc_id, text, CAST(CASE WHEN n <= 60 THEN 1 WHEN n <= 150 THEN 2 ELSE 3 END AS INTEGER) AS batch_id "
+        f"FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM {_from('documents', I.DOCUMENTS_MESSY)})")
+    q["ingest_inferred"] = "SELECT event_id, user_id, event_type, value, (SELECT count(*) FROM events) AS rows_ingested FROM events"
+    q["catalog_roundtrip"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST({len(cols)} AS BIGINT) AS column_count, "
+        f"CAST({' + '.join(f'count_if({x} IS NULL)' for x in cols)} AS BIGINT) AS total_null_values FROM {src}"
+        for t, src, cols in (
+            ("raw_customer", "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]),
+            ("raw_orders", "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]),
+            ("raw_orders_nulls", ORDERS_NULLS, ORDERS_NULL_COLS),
+        )
+    ) + " UNION ALL SELECT 'raw_absent', NULL, NULL, NULL"
+    q["ingest_sources"] = (
+        "SELECT 'raw_customer' AS table_name, (SELECT count(*) FROM customer) AS row_count, "
+        "(SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE customer)) AS column_count, 2 AS errors UNION ALL SELECT 'raw_part', "
+        "(SELECT count(*) FROM part), (SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE part)), 2")
+    q["masked_view"] = q["star_customers_secure"]
+    q["star_increment"] = q["star_report"]
     q["ingest_increment"] = ("SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_date, props, "
                              "(SELECT count(*) FROM events) AS rows_ingested FROM events")
     return q

@@ -202,7 +202,7 @@ def q_star_report(spark, sf):
     from layercake.plans.layers import folder_store, run_batch
 
     out = run_batch(star_raw(spark, sf), as_of=STAR_AS_OF, owners=["data_owner"], principal="analyst",
-                    store=folder_store())
+                    store=folder_store(), reports=("diagnostic_gold",))
     return out["diagnostic_gold"]
 
 
@@ -268,8 +268,22 @@ def q_version_misses(spark, sf):
 
 def q_version_misses_asof(spark, sf):
     versions = signup_versions(spark, sf)
-    return version_misses(purchases(spark, sf), versions, "user_id", "event_date", "start_date", "end_date",
-                          strategy="asof")
+    return version_misses(purchases(spark, sf), versions, "user_id", "event_date", "start_date", "end_date")
+
+
+def q_version_misses_timestamps(spark, sf):
+    """Facts with a time of day against versions that begin and end at one."""
+    events = load(spark, sf, "events")
+    versions = events.filter(F.col("event_type") == "signup").selectExpr(
+        "user_id", "ts AS start_time", "CASE WHEN event_id % 3 = 0 THEN NULL ELSE ts + INTERVAL '36' HOUR END AS end_time")
+    facts = events.filter(F.col("event_type") == "purchase").selectExpr(*I.PURCHASES_STAMPED)
+    return version_misses(facts, versions, "user_id", "event_time", "start_time", "end_time")
+
+
+def q_version_misses_mixed_keys(spark, sf):
+    """Text keys (padded, unreadable, NULL) against numeric version keys."""
+    facts = load(spark, sf, "events").filter(F.col("event_type") == "purchase").selectExpr(*I.PURCHASES_TEXT_KEY)
+    return version_misses(facts, signup_versions(spark, sf), "user_key", "event_date", "start_date", "end_date", version_key="user_id")
 
 
 def q_version_misses_closed(spark, sf):
@@ -363,13 +377,18 @@ def q_null_details(spark, sf):
     )
 
 
+def lineitem_with_copies(spark, sf):
+    rows = load(spark, sf, "lineitem")
+    return rows.selectExpr(*I.LINEITEM_WITH_NULLS).unionByName(rows.where(I.LINEITEM_COPIED).selectExpr(*I.LINEITEM_WITH_NULLS))
+
+
 def q_exact_duplicates(spark, sf):
-    return exact_duplicates(load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), "lineitem")
+    return exact_duplicates(lineitem_with_copies(spark, sf), "lineitem")
 
 
 def q_exact_duplicates_fingerprint(spark, sf):
     df = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return exact_duplicates(df, "lineitem", method="fingerprint")
+    return exact_duplicates(df, "lineitem")
 
 
 def q_key_duplicates(spark, sf):
@@ -557,6 +576,115 @@ def q_ingest_increment(spark, sf):
     )
 
 
+def q_release_batches(spark, sf):
+    """Export numbered batches, release them all, read the landing folder back."""
+    from layercake.operators.batches import assign_batches as batches
+    from layercake.session import scratch_path
+    from layercake.sources.sinks import LOSSLESS_CSV, write_batches
+    from layercake.sources.tables import release_batch
+
+    docs = load(spark, sf, "documents").selectExpr(*I.DOCUMENTS_MESSY)
+    exported = write_batches(batches(docs, ["doc_id"], [60, 150]), scratch_path(spark, "export"))
+    landing, log = scratch_path(spark, "landing"), scratch_path(spark, "release-log")
+    while release_batch(spark, exported, landing, log) is not None:
+        pass
+    back = spark.read.schema("doc_id string, text string, batch_id int").options(**LOSSLESS_CSV).csv(landing)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "batch_id")
+
+
+def q_ingest_inferred(spark, sf):
+    """Incremental intake of a folder whose schema is inferred from it."""
+    from layercake.session import scratch_path
+    from layercake.streaming.ingest import ingest_increment, stream_raw_csv
+
+    events = load(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    landing, sink = scratch_path(spark, "landing"), scratch_path(spark, "sink")
+    total = 0
+    for part in (0, 1):
+        events.filter(F.col("event_id") % 2 == part).write.mode("append").option("header", True).csv(landing)
+        total += ingest_increment(spark, landing, None, sink)
+    out = spark.read.schema(stream_raw_csv(spark, landing).schema).parquet(sink)
+    return out.select(
+        F.col("event_id").cast("long").alias("event_id"), F.col("user_id").cast("long").alias("user_id"), "event_type",
+        F.col("value").cast("double").alias("value"), F.lit(total).cast("long").alias("rows_ingested"),
+    )
+
+
+def q_catalog_roundtrip(spark, sf):
+    """Publish tables to a schema, publish one again with its schema kept, discover them by prefix, load and profile them."""
+    import uuid
+
+    from layercake.sources.csv import discover_tables
+    from layercake.sources.sinks import publish_table
+    from layercake.sources.tables import load_tables
+
+    database = f"layercake_{uuid.uuid4().hex[:12]}"
+    for name in ("orders", "customer"):
+        publish_table(load(spark, sf, name), f"{database}.raw_{name}")
+    publish_table(load(spark, sf, "part"), f"{database}.other_part")
+    publish_table(orders_with_nulls(spark, sf), f"{database}.raw_orders_nulls")
+    publish_table(load(spark, sf, "customer"), f"{database}.raw_customer", check_schema=True)
+    names = discover_tables(spark, "raw_", database)
+    tables = load_tables(spark, [*names, "raw_absent"], database)
+    return profile_report(tables, spark=spark).select("table_name", "row_count", "column_count", "total_null_values")
+
+
+def q_ingest_sources(spark, sf):
+    """Register raw files by source name; unknown and unreadable ones are collected."""
+    from layercake.plans.catalog import raw_string_schema
+    from layercake.session import scratch_path
+    from layercake.sources.csv import ingest_sources
+
+    base = scratch_path(spark, "sources")
+    files = []
+    for name in ("customer", "part", "supplier"):
+        load(spark, sf, name).write.option("header", True).csv(f"{base}/{name}.csv")
+        files.append(f"{base}/{name}.csv")
+    registry = {n: raw_string_schema(*load(spark, sf, n).columns) for n in ("customer", "part", "nation")}
+    result = ingest_sources(spark, [*files, f"{base}/nation.csv"], registry, strict=False)
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count"))
+        for name, df in sorted(result.tables.items())
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("errors", F.lit(len(result.errors)))
+
+
+def q_masked_view(spark, sf):
+    """The masked customer dimension, read through its view's name by someone who is no owner."""
+    from layercake.operators.governance import classify_columns as classify
+    from layercake.operators.governance import register_masked_view
+    from layercake.plans.star import customer_dimension
+
+    raw = {k: v for k, v in star_raw(spark, sf).items() if k in ("cust_info", "cust_az12", "loc_a101")}
+    cleaned = {k: clean(v, SPECS[k], STAR_AS_OF) for k, v in raw.items()}
+    dim = customer_dimension(cleaned["cust_info"], cleaned["cust_az12"], cleaned["loc_a101"])
+    register_masked_view(classify(dim, CUSTOMER_COLUMN_METADATA), "customers_masked_view", owners=["data_owner"])
+    return spark.table("customers_masked_view")
+
+
+def q_star_increment(spark, sf):
+    """The star report after two increments of every source's landing folder."""
+    from layercake.plans.layers import folder_store, run_increment
+    from layercake.session import scratch_path
+    from layercake.sources.sinks import LOSSLESS_CSV
+
+    raw = star_raw(spark, sf)
+    landing = {s: scratch_path(spark, f"land-{s}") for s in raw}
+    sinks = {s: scratch_path(spark, f"sink-{s}") for s in raw}
+    for part in (0, 1):
+        for source, df in raw.items():
+            some = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+            some = some.filter(F.pmod(F.xxhash64(*some.columns), F.lit(2)) == part)
+            some.write.mode("append").options(**LOSSLESS_CSV).csv(landing[source])
+        counts, out = run_increment(
+            spark, landing, sinks, as_of=STAR_AS_OF, store=folder_store(), options=LOSSLESS_CSV, reports=("diagnostic_gold",) if part else ()
+        )
+    return out["diagnostic_gold"]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trim_nullify": q_trim_nullify,
     "regex_rules": q_regex_rules,
@@ -610,4 +738,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_pattern_hits": q_scan_pattern_hits,
     "raw_csv_roundtrip": q_raw_csv_roundtrip,
     "ingest_increment": q_ingest_increment,
+    "version_misses_timestamps": q_version_misses_timestamps,
+    "version_misses_mixed_keys": q_version_misses_mixed_keys,
+    "release_batches": q_release_batches,
+    "ingest_inferred": q_ingest_inferred,
+    "catalog_roundtrip": q_catalog_roundtrip,
+    "ingest_sources": q_ingest_sources,
+    "masked_view": q_masked_view,
+    "star_increment": q_star_increment,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType, TimestampType
 
 from layercake.operators.batches import BATCH_ID
+from layercake.sources.sinks import LOSSLESS_CSV, read_batches
 
 _LOG_SCHEMA = StructType([StructField(BATCH_ID, IntegerType(), False), StructField("released_at", TimestampType(), True)])
 
@@ -47,10 +48,12 @@ def release_batch(
     batch_id: int | None = None,
 ) -> int | None:
     """Append the rows of one exported batch (see ``write_batches``) to the
-    landing folder as header CSV and record it in the release log.
+    landing folder as header CSV (``LOSSLESS_CSV``: read it with the same
+    options to get the same text back) and record it in the release log.
+    Files are as large as the batch's stored partitions.
 
     Without ``batch_id`` the smallest unreleased batch is chosen (an anti join
-    of the batch ids against the log); ``None`` is returned when all are
+    of the export's manifest, one row a batch, against the log); ``None`` is returned when all are
     released. Asking for a batch that was already released raises. The log is
     per landing target, so each source's release is checked on its own.
 
@@ -59,8 +62,8 @@ def release_batch(
     never written again, so files a stream may already have ingested are not
     duplicated, and an uncommitted one is overwritten.
     """
-    batches = spark.read.option("header", True).csv(batches_path)
-    ids = batches.select(F.col(BATCH_ID).cast("int").alias(BATCH_ID)).distinct()
+    manifest = spark.read.parquet(f"{batches_path}/manifest")
+    ids = manifest.select(F.col(BATCH_ID).cast("int").alias(BATCH_ID))
     pending = ids.join(_released(spark, log_path).select(BATCH_ID), BATCH_ID, "left_anti")
     if batch_id is None:
         batch_id = pending.agg(F.min(BATCH_ID)).first()[0]
@@ -70,8 +73,8 @@ def release_batch(
         raise ValueError(f"Batch {batch_id} was already released or does not exist")
     target = f"{landing_path.rstrip('/')}/{BATCH_ID}={int(batch_id)}"
     if not _committed(spark, target):
-        rows = batches.filter(F.col(BATCH_ID).cast("int") == batch_id).drop(BATCH_ID)
-        rows.write.mode("overwrite").option("header", True).csv(target)
+        rows = read_batches(spark, batches_path).filter(F.col(BATCH_ID) == batch_id).drop(BATCH_ID)  # reads one folder
+        rows.write.mode("overwrite").options(**LOSSLESS_CSV).csv(target)
     spark.createDataFrame([(int(batch_id), None)], _LOG_SCHEMA).withColumn(
         "released_at", F.current_timestamp()
     ).write.mode("append").parquet(log_path)

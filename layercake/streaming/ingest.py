@@ -10,6 +10,8 @@ readers) so the two are created and removed together.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -21,63 +23,58 @@ def stream_raw_csv(
     folder: str,
     schema: StructType | None = None,
     max_files_per_trigger: int | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Streaming CSV source projected to the expected columns.
 
     File streams need a schema; with ``schema=None`` it is inferred once by a
     batch read of the folder (S11) and a rescued-data column is dropped.
     """
+    options = dict(options or {})
     if schema is None:
-        inferred = spark.read.option("header", True).option("inferSchema", True).csv(folder)
+        inferred = spark.read.options(**options).option("header", True).option("inferSchema", True).csv(folder)
         schema = StructType([f for f in inferred.schema.fields if f.name != RESCUE_COLUMN])
-    reader = spark.readStream.schema(schema).option("header", True)
+    reader = spark.readStream.schema(schema).options(**options).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(folder).select(*[schema[f.name].name for f in schema.fields])
 
 
-_RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
-_HISTORY = 10_000
+def _sink_rows(spark: SparkSession, sink: str, schema: StructType) -> int:
+    """Committed rows of the sink (a count reads parquet footers only); 0 before its first commit."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return 0
+    return spark.read.schema(schema).parquet(sink).count()
 
 
 def ingest_increment(
     spark: SparkSession,
     folder: str,
-    schema: StructType,
+    schema: StructType | None,
     sink: str,
     checkpoint: str | None = None,
     max_files_per_trigger: int | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> int:
     """Append new files of ``folder`` to the parquet ``sink`` and return the
-    number of rows added in this run, summed over **all** micro-batches
-    (K4, K5): the progress history is kept large enough for every
-    micro-batch of the run (an error is raised rather than under-counting)."""
+    number of rows added in this run, over all micro-batches (K4, K5): the
+    sink's committed rows after the run minus those before it, so no progress
+    history and no session setting is involved. ``schema=None`` infers the
+    schema from the folder (S11); ``options`` are CSV read options."""
     checkpoint = checkpoint or sink.rstrip("/") + "/_checkpoint"
-    stream = stream_raw_csv(spark, folder, schema, max_files_per_trigger)
-    # keep the progress of every micro-batch of this run (the history size is
-    # read while the query runs; the session setting is restored afterwards)
-    previous = spark.conf.get(_RETENTION, None)
-    keep = max(_HISTORY, int(previous or 0))
-    spark.conf.set(_RETENTION, str(keep))
-    try:
-        query = (
-            stream.writeStream.format("parquet")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start(sink)
-        )
-        query.awaitTermination()
-    finally:
-        if previous is None:
-            spark.conf.unset(_RETENTION)
-        else:
-            spark.conf.set(_RETENTION, previous)
+    stream = stream_raw_csv(spark, folder, schema, max_files_per_trigger, options)
+    before = _sink_rows(spark, sink, stream.schema)
+    query = (
+        stream.writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(sink)
+    )
+    query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    progress = query.recentProgress
-    if len(progress) >= keep:
-        raise RuntimeError("More micro-batches than the kept progress history; raise max_files_per_trigger")
-    return int(sum(int(p.get("numInputRows", 0)) for p in progress))
+    return _sink_rows(spark, sink, stream.schema) - before
 
 
 def read_sink(spark: SparkSession, sink: str, schema: StructType) -> DataFrame:

@@ -132,13 +132,15 @@ def test_folder_store_and_publish_all(spark):
     assert spark.table("gold_dim_customers_secure").count() == 2 and len(written) == 2
 
 
-def test_run_batch_fingerprint_reports_equal_full(spark):
+def test_run_batch_builds_only_requested_reports(spark):
     from conftest import rows
+    from layercake.plans.layers import folder_store
 
-    full = run_batch(raw_sources(spark), as_of=D(2025, 6, 1))
-    fp = run_batch(raw_sources(spark), as_of=D(2025, 6, 1), duplicates="fingerprint")
-    for name in ("silver_diagnostics", "diagnostic_gold"):
-        assert rows(fp[name]) == rows(full[name]), name
+    lazy = run_batch(raw_sources(spark), as_of=D(2025, 6, 1))
+    stored = run_batch(raw_sources(spark), as_of=D(2025, 6, 1), store=folder_store(), reports=("diagnostic_gold",))
+    assert rows(stored["diagnostic_gold"]) == rows(lazy["diagnostic_gold"])
+    assert "silver_diagnostics" not in stored and "diagnostics_bronze" not in stored
+    assert {"silver_sales_details", "gold_fact_sales", "gold_dim_customers_secure"} <= set(stored)
 
 
 def test_specs_and_suites_from_config_dicts(spark):

@@ -1,6 +1,7 @@
 """Plan-shape guards over every registered query (sf0.001)."""
 
 import __spark_entry__ as E
+from test_entry import core
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,7 +12,7 @@ def physical(df) -> str:
 
 def test_no_cross_or_nested_loop_joins(spark):
     bad = {}
-    for key, fn in E.queries().items():
+    for key, fn in core(E.queries()).items():
         plan = physical(fn(spark, SF))
         found = [p for p in ("CartesianProduct", "BroadcastNestedLoopJoin") if p in plan]
         if found:

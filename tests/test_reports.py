@@ -131,37 +131,29 @@ def test_profile_report_error_row_and_hybrid_variant(spark):
     assert empty.completeness_percentage == 0.0
 
 
-def test_fingerprint_duplicates_equal_full(spark):
+def test_exact_duplicates_equal_full_distinct(spark):
     from pyspark.sql import functions as F
 
     df = spark.range(3000).select((F.col("id") % 700).alias("a"),
                                   F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 5).alias("b"),
                                   F.when(F.col("id") % 13 == 0, None).otherwise(F.lit("x")).alias("s"))
-    full = exact_duplicates(df, "t").first()
-    fp = exact_duplicates(df, "t", method="fingerprint").first()
-    assert (fp.total_rows, fp.distinct_rows) == (full.total_rows, full.distinct_rows)
-    capped = exact_duplicates(df, "t", method="fingerprint", candidate_limit=1).first()
-    assert capped.distinct_rows == full.distinct_rows
+    for t in (df, df.union(df), df.select(F.lit(1).alias("x")), df.limit(0)):
+        got = exact_duplicates(t, "t").first()
+        assert (got.total_rows, got.distinct_rows) == (t.count(), t.distinct().count())
     nulls = spark.createDataFrame([(1, None), (None, 1), (None, 1)], "a int, b int")
-    assert exact_duplicates(nulls, "t", method="fingerprint").first().exact_duplicate_rows == 1
-    unique = exact_duplicates(spark.range(50), "t", method="fingerprint").first()
-    assert unique.exact_duplicate_rows == 0
+    assert exact_duplicates(nulls, "t").first().exact_duplicate_rows == 1
 
 
-def test_quality_report_fingerprint_duplicates_equal_full(spark):
+def test_quality_report_counts_exact_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "id int, v string")
-    suites = {"t": Suite(keys=("id",), required=("v",))}
-    full = rows(quality_report({"t": df}, suites))
-    fp = rows(quality_report({"t": df}, suites, duplicates="fingerprint"))
-    assert full == fp
-    dup = [r for r in fp if r[1] == "exact_duplicate_rows"][0]
-    assert dup[5] == 2
+    report = rows(quality_report({"t": df}, {"t": Suite(keys=("id",), required=("v",))}))
+    assert [r[5] for r in report if r[1] == "exact_duplicate_rows"] == [2]
 
 
-def test_layer_report_fingerprint_equals_full(spark):
+def test_layer_report_counts_exact_duplicates(spark):
     raw = spark.createDataFrame([("1", None), ("1", None), ("2", "y"), (None, None)], "id string, v string")
-    pair = [LayerPair("raw_t", raw, "clean_t", raw, ["id"])]
-    assert rows(layer_report(pair)) == rows(layer_report(pair, duplicates="fingerprint"))
+    row = layer_report([LayerPair("raw_t", raw, "clean_t", raw, ["id"])]).first()
+    assert row.exact_duplicate_rows == 1
 
 
 def test_masked_view_checks_the_session_user_at_query_time(spark):

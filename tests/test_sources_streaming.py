@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from layercake.plans.catalog import RAW_SCHEMAS, raw_string_schema
 from layercake.session import scratch_path
 from layercake.sources.csv import IngestError, ingest_sources, read_raw_csv, source_name
-from layercake.sources.sinks import write_batches
+from layercake.sources.sinks import LOSSLESS_CSV, read_batches, write_batches
 from layercake.streaming.ingest import ingest_increment, read_sink
 from layercake.operators.batches import assign_batches, unreleased_batches
 
@@ -66,8 +66,10 @@ def test_write_batches_and_release_guard(spark):
     batches = assign_batches(df, ["k"], [3, 5])
     out = scratch_path(spark, "t-batches")
     write_batches(batches, out)
-    back = spark.read.option("header", True).csv(out)
+    back = read_batches(spark, out)
     assert {r.batch_id for r in back.collect()} == {1, 2, 3}
+    manifest = spark.read.parquet(f"{out}/manifest").collect()
+    assert {(r.batch_id, r.rows) for r in manifest} == {(1, 3), (2, 2), (3, 2)}
     released = spark.createDataFrame([(1,)], "batch_id int")
     assert {r.batch_id for r in unreleased_batches(batches, released).collect()} == {2, 3}
 
@@ -97,3 +99,24 @@ def test_ingest_counts_every_micro_batch(spark):
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
     assert n == 120
+
+
+def test_lossless_csv_keeps_any_text(spark):
+    texts = ["a\nb", "a\r\nb", "  pad  ", "", None, 'q"uo"te', "c,omma", "\\", '\\"', "tab\t", "NULL", "\n", " ", "\u00e9\u4e2d"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    path = scratch_path(spark, "lossless")
+    df.write.options(**LOSSLESS_CSV).csv(path)
+    back = spark.read.schema("id string, t string").options(**LOSSLESS_CSV).csv(path)
+    assert sorted((int(r.id), r.t) for r in back.collect()) == sorted(enumerate(texts), key=lambda x: x[0])
+
+
+def test_concurrent_ingests_count_their_own_rows(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run(n):
+        landing, sink = scratch_path(spark, f"con-land-{n}"), scratch_path(spark, f"con-sink-{n}")
+        spark.range(0, n).select(F.col("id").cast("string").alias("a")).repartition(5).write.option("header", True).csv(landing)
+        return ingest_increment(spark, landing, raw_string_schema("a"), sink, max_files_per_trigger=1)
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(run, [70, 130])) == [70, 130]

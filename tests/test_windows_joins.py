@@ -14,6 +14,7 @@ from layercake.operators import (
     version_misses,
 )
 from layercake.operators.batches import assign_batches
+from layercake.operators.segments import Skew
 
 D = dt.date
 
@@ -87,9 +88,8 @@ def test_version_misses(spark):
     fact = spark.createDataFrame([(1, "A", D(2019, 12, 31)), (2, "A", D(2021, 1, 1)), (3, "B", D(2020, 2, 1)),
                                   (4, "B", None), (5, None, D(2020, 1, 5)), (6, "C", D(2020, 1, 5))],
                                  "id int, k string, d date")
-    for strategy in ("auto", "join", "asof"):
-        got = version_misses(fact, versions, "k", "d", "s", "e", strategy=strategy).orderBy("id").collect()
-        assert [r.id for r in got] == [1, 3, 5, 6]
+    got = version_misses(fact, versions, "k", "d", "s", "e").orderBy("id").collect()
+    assert [r.id for r in got] == [1, 3, 5, 6]
 
 
 def test_orphan_rows_null_keys(spark):
@@ -112,7 +112,7 @@ def test_assign_batches_cut_points_left_inclusive(spark):
     assert out == {1: 1, 2: 1, 3: 1, 4: 2, 5: 2, 6: 2, 7: 3, 8: 3, 9: 3, 10: 3}
 
 
-def test_version_misses_strategies_agree(spark):
+def test_version_misses_equal_nested_loop(spark):
     import random
 
     rnd = random.Random(7)
@@ -128,8 +128,31 @@ def test_version_misses_strategies_agree(spark):
         facts.append((i, k, d))
     v = spark.createDataFrame(vers, "k string, s date, e date")
     f = spark.createDataFrame(facts, "id int, k string, d date")
-    asof = rows(version_misses(f, v, "k", "d", "s", "e", strategy="asof"))
-    join = rows(version_misses(f, v, "k", "d", "s", "e", strategy="join"))
-    auto_small = rows(version_misses(f, v, "k", "d", "s", "e"))
-    auto_big = rows(version_misses(f, v, "k", "d", "s", "e", broadcast_versions_per_key=1))
-    assert asof == join == auto_small == auto_big and len(asof) > 0
+    got = {r.id for r in version_misses(f, v, "k", "d", "s", "e").collect()}
+    want = {i for i, k, d in facts if d and not any(k is not None and k == vk and s <= d and (e is None or d <= e) for vk, s, e in vers)}
+    assert got == want and want
+    split = Skew(hot_rows=3, buckets=4, sample_fraction=None)
+    assert {r.id for r in version_misses(f, v, "k", "d", "s", "e", skew=split).collect()} == want
+
+
+def test_version_misses_types(spark):
+    T = dt.datetime
+    fact = spark.createDataFrame([(1, D(2020, 1, 1)), (2, D(2020, 1, 2))], "id int, d date").selectExpr("id", "'A' AS k", "d")
+    stamped = spark.createDataFrame([("A", T(2020, 1, 1, 12), None)], "k string, s timestamp, e timestamp")
+    assert [r.id for r in version_misses(fact, stamped, "k", "d", "s", "e").collect()] == [1]  # midnight comes before noon
+    texts = spark.createDataFrame([(1, "007"), (2, "8"), (3, "x"), (4, None)], "id int, k string").selectExpr("*", "DATE'2020-01-01' AS d")
+    numbers = spark.createDataFrame([(7, D(2019, 1, 1), None), (5_000_000_000, D(2019, 1, 1), None)], "k bigint, s date, e date")
+    assert sorted(r.id for r in version_misses(texts, numbers, "k", "d", "s", "e").collect()) == [2, 3, 4]
+    ints = spark.createDataFrame([(1, 7), (2, 8)], "id int, k int").selectExpr("*", "DATE'2020-01-01' AS d")
+    assert [r.id for r in version_misses(ints, numbers, "k", "d", "s", "e").collect()] == [2]
+
+
+def test_hot_key_and_date_collapse_before_the_shuffle(spark):
+    fact = spark.range(20_000).selectExpr("id", "CAST(id % 1 AS STRING) AS k", "date_add(DATE'2020-01-01', CAST(id % 1 AS INT)) AS d")
+    versions = spark.createDataFrame([("0", D(2021, 1, 1), None)], "k string, s date, e date")
+    out = version_misses(fact, versions, "k", "d", "s", "e")
+    assert out.count() == 20_000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    window = plan[plan.index("Window"):]  # what is above the scan of the facts, from the window down
+    assert "HashAggregate(keys=[__k" in window and "HashAggregate(keys=[__k" in window[window.index("Exchange"):]
+
