@@ -74,7 +74,8 @@ def with_statistics(df: DataFrame, text: str, p: str = "") -> DataFrame:
         f"{p}word_chars": F.length(t["joined"]).cast("bigint"),
         f"{p}n_symbols": less(SYMBOLS),
         f"{p}n_dup_lines": (F.size(t["lines"]) - F.size(F.array_distinct(t["lines"]))).cast("bigint"),
-        f"{p}n_repeat_words": F.coalesce(covered, F.lit(0).cast("bigint")),
+        # the always-true condition on the row's place keeps later filters from being pushed below, with ``windows`` written out in each lambda
+        f"{p}n_repeat_words": F.when(F.monotonically_increasing_id() >= 0, F.coalesce(covered, F.lit(0).cast("bigint"))),
         f"{p}__bang": less("!?"),
         f"{p}__upper": less("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
         f"{p}__n_lines": F.size(t["lines"]),

@@ -47,6 +47,12 @@ def no_labels(spark):
     return spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
 
 
+@pytest.fixture(scope="session")
+def larger_sf():
+    """For accuracy on held-out rows, which takes some hundred labels."""
+    return "/root/testdata/sf0.01"
+
+
 @pytest.fixture(scope="session")
 def sf():
     return os.environ.get("LLM_TEST_SF", SF)
