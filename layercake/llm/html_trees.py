@@ -352,12 +352,16 @@ def marked(nodes: list[Node]) -> list[bool] | None:
     return out if any(out) else None
 
 
-def variants(page: str, other: str) -> list[tuple[str, str]]:
-    """The page; the page with foreign blocks grafted around and into its article; that page with telling tags taken away.
+def variants(page: str, other: str, rounds: int = 3) -> list[tuple[str, str]]:
+    """``(page, page that labels it)``: the page itself, and in each round a page with foreign blocks grafted in and the same without telling tags."""
+    return [(page, page), *(pair for k in range(rounds) for pair in _grafted(page, other, zlib.crc32(f"{k} {page}".encode())))]
 
-    ``other``: prose for the grafts. Of the third, labels are those of the second.
+
+def _grafted(page: str, other: str, pick: int) -> list[tuple[str, str]]:
+    """The page with foreign blocks around and in its article and an own part in it, as it is and with its structural tags made plain.
+
+    ``other``: prose for the grafts; ``pick``: what is grafted where. The second is labelled by the first.
     """
-    pick = zlib.crc32(page.encode())
     words = other.split() or ["text"]
     prose = lambda k, n: entities.escape(" ".join((words * (1 + (k + n) // len(words)))[k % len(words) :][:n]))
     tokens = sorted(FOREIGN_TOKENS)
@@ -384,7 +388,7 @@ def variants(page: str, other: str) -> list[tuple[str, str]]:
     grafted = re.sub(r"(</p>)(?=<p)", lambda m: m[1] + inner + own, grafted, count=1)
     grafted = re.sub(r"(</article>)", lambda m: (inner if "section" in inner else "") + m[1] + after, grafted, count=1)
     plain = re.sub(r"(</?)(?:article|main|nav|footer|header|aside|section)\b", r"\1div", grafted)
-    return [(page, page), (grafted, grafted), (plain, grafted)]
+    return [(grafted, grafted), (plain, grafted)]
 
 
 def fit(pages: DataFrame, bound: int = 400, page_id: str = "page_id", html: str = "html") -> Trees:
