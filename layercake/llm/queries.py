@@ -77,7 +77,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_bit_sliced_topk, op8_decision_list, op9_toxicity_viterbi, op10_kneser_ney,
     )
 }
+
+
+def _license_sql() -> str:
+    """The license scan by comparing every window with every template of its class."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    words = lambda x: (
+        f"list_filter(string_split_regex(translate(lower({x}), {quote(licenses._SIGNS)}, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')"
+    )
+    shingles = lambda w, a, b: f"list_transform(range({a}, least({b}, len({w}) - 4)), lambda i: array_to_string({w}[i + 1 : i + 5], ' '))"
+    rows = ", ".join(f"({quote(n)}, {quote(t)})" for n, t in sorted(licenses.TEMPLATES.items()))
+    return f"""
+        WITH t AS (
+            SELECT license, list_distinct({shingles("w", 0, "len(w)")}) AS s
+            FROM (SELECT license, {words("wording")} AS w FROM (VALUES {rows}) v(license, wording)) WHERE len(w) >= 5
+        ), c AS (SELECT license, s, CAST(pow(2, ceil(log2(len(s)))) AS BIGINT) AS c FROM t),
+        d AS (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents),
+        k AS (SELECT doc_id, w, c, unnest(range(0, greatest(len(w) - 4, 0), c)) AS start FROM d, (SELECT DISTINCT c FROM c)),
+        x AS (SELECT doc_id, c, start, {shingles("w", "start", "start + 2 * c")} AS h FROM k)
+        SELECT doc_id, license, max(len(list_intersect(h, s)) / len(s)) AS containment, CAST(min(start) AS INTEGER) AS first_word
+        FROM x JOIN c USING (c) WHERE len(list_intersect(h, s)) / len(s) >= 0.8 GROUP BY doc_id, license
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op6_license_scan": _license_sql(),
     "op7_bit_sliced_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
