@@ -50,6 +50,32 @@ def classify_columns(df: DataFrame, metadata: Mapping[str, tuple[str, str]]) ->
     return df
 
 
+# Labels of the customer dimension as a table.
+CUSTOMER_TABLE_LABELS = {"layer": "gold", "domain": "customer", "classification": "confidential"}
+
+_TABLE_KEY = "table"  # metadata of the first column that belongs to the whole table
+
+
+def label_table(df: DataFrame, labels: Mapping[str, str], comment: str | None = None) -> DataFrame:
+    """Attach labels (layer, domain, classification, ...) and a comment to the table as a whole.
+
+    They live in the first column's metadata under ``table``, so they travel
+    with the DataFrame and into parquet tables like the columns' own. A frame
+    without columns is returned as it is.
+    """
+    if not df.columns:
+        return df
+    first = df.schema.fields[0]
+    meta = dict(first.metadata or {})
+    meta[_TABLE_KEY] = {**meta.get(_TABLE_KEY, {}), **labels, **({"comment": comment} if comment else {})}
+    return df.withMetadata(first.name, meta)
+
+
+def table_labels(df: DataFrame) -> dict[str, str]:
+    """Labels and comment of a table (see ``label_table``)."""
+    return dict((df.schema.fields[0].metadata or {}).get(_TABLE_KEY, {})) if df.columns else {}
+
+
 def classification_of(df: DataFrame) -> dict[str, str]:
     return {f.name: (f.metadata or {}).get("classification") for f in df.schema.fields if (f.metadata or {}).get("classification")}
 
@@ -91,30 +117,43 @@ def mask_columns(
 
 
 _TABLE_SCHEMA = StructType(
-    [
-        StructField("table_name", StringType(), False),
-        StructField("layer", StringType(), True),
-        StructField("table_type", StringType(), False),
-        StructField("comment", StringType(), True),
-        StructField("row_count", LongType(), False),
-        StructField("column_count", LongType(), False),
-    ]
+    [StructField(n, StringType(), n != "table_name") for n in ("table_name", "layer", "domain", "classification", "table_type", "comment")]
+    + [StructField("row_count", LongType(), False), StructField("column_count", LongType(), False)]
 )
 
 
-def table_inventory(spark: SparkSession, tables: Mapping[str, DataFrame], comments: Mapping[str, str] | None = None) -> DataFrame:
-    """Name, layer (prefix before ``_``), type, comment and **row count** of
-    every table: a union of one-row aggregates, one scan per table (M1)."""
-    comments = comments or {}
+def _catalog_type(spark: SparkSession, name: str) -> str | None:
+    """What the session's catalog says the name is (MANAGED, EXTERNAL, VIEW, TEMPORARY); None for a name it does not hold."""
+    return spark.catalog.getTable(name).tableType if spark.catalog.tableExists(name) else None
+
+
+def table_inventory(
+    spark: SparkSession, tables: Mapping[str, DataFrame], comments: Mapping[str, str] | None = None,
+    catalog_names: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Name, labels, type, comment and **row count** of every table: a union of
+    one-row aggregates, one scan per table (M1).
+
+    Labels and comment come from ``label_table`` (``comments`` overrides; the
+    layer falls back to the name's prefix before ``_``). The type is the
+    catalog's for tables named in ``catalog_names`` (name -> catalog name)
+    and NULL for bare DataFrames.
+    """
+    comments, catalog_names = comments or {}, catalog_names or {}
     rows = []
     for name, df in tables.items():
-        layer = name.split("_", 1)[0] if "_" in name else None
+        labels = table_labels(df)
+        layer = labels.get("layer") or (name.split("_", 1)[0] if "_" in name else None)
+        kind = _catalog_type(spark, catalog_names[name]) if name in catalog_names else None
+        text = lambda v, n: F.lit(v).cast("string").alias(n)
         rows.append(
             df.agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(name).alias("table_name"),
-                F.lit(layer).cast("string").alias("layer"),
-                F.lit("MANAGED").alias("table_type"),
-                F.lit(comments.get(name)).cast("string").alias("comment"),
+                text(layer, "layer"),
+                text(labels.get("domain"), "domain"),
+                text(labels.get("classification"), "classification"),
+                text(kind, "table_type"),
+                text(comments.get(name, labels.get("comment")), "comment"),
                 F.col("row_count").cast("long").alias("row_count"),
                 F.lit(len(df.columns)).cast("long").alias("column_count"),
             )

@@ -342,24 +342,72 @@ TABLE_SCHEMAS = {
 }
 
 
+_NO_TEXT = "CAST(NULL AS VARCHAR)"
+
+
 def table_inventory_sql() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST({len(cols)} AS BIGINT) AS column_count FROM {t}"
-        for t, cols in TABLE_SCHEMAS.items()
+        f"SELECT '{t}' AS table_name, {_NO_TEXT} AS layer, {_NO_TEXT} AS domain, {_NO_TEXT} AS classification, {_NO_TEXT} AS table_type, "
+        f"{_NO_TEXT} AS comment, count(*) AS row_count, (SELECT count(*) FROM (DESCRIBE {t})) AS column_count FROM {t}"
+        for t in TABLE_SCHEMAS
     )
 
 
+#: Spark's names of the types that DuckDB reports (fixed values).
+_TYPE_NAMES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz", "DATE": "date", "FLOAT[]": "array<float>",
+}
+
+
+def _described(table: str, column: str) -> str:
+    """Type (by Spark's name) and nullability of a column as DuckDB reads the file."""
+    names = " ".join(f"WHEN '{d}' THEN '{n}'" for d, n in _TYPE_NAMES.items())
+    return (f"(SELECT CASE column_type {names} ELSE column_type END FROM (DESCRIBE {table}) WHERE column_name = '{column}') AS data_type, "
+            f"(SELECT \"null\" FROM (DESCRIBE {table}) WHERE column_name = '{column}') AS is_nullable")
+
+
 def column_inventory_sql() -> str:
     sels = []
     for t, cols in TABLE_SCHEMAS.items():
-        for i, (c, typ) in enumerate(cols):
+        for i, (c, _) in enumerate(cols):
             sels.append(
-                f"SELECT '{t}' AS table_name, '{c}' AS column_name, {i + 1} AS ordinal_position, '{typ}' AS data_type, "
-                f"'YES' AS is_nullable, count(*) AS row_count, count(*) - count({c}) AS null_count FROM {t}"
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, {i + 1} AS ordinal_position, {_described(t, c)}, "
+                f"count(*) AS row_count, count(*) - count({c}) AS null_count FROM {t}"
             )
     return " UNION ALL ".join(sels)
 
 
+#: Comment and classification of the customer dimension, and its types (fixed values).
+_CUSTOMER_COLUMNS = (
+    ("customer_id", "int", "Internal customer identifier", "internal_identifier"),
+    ("customer_key", "string", "Business customer key", "internal_identifier"),
+    ("firstname", "string", "Customer first name", "pii_name"),
+    ("lastname", "string", "Customer last name", "pii_name"),
+    ("marital_status", "string", "Customer marital status", "sensitive_demographic"),
+    ("gender", "string", "Customer gender value from source system", "sensitive_demographic"),
+    ("country", "string", "Customer country", "geographic"),
+    ("birth_date", "date", "Customer date of birth", "pii_birth_date"),
+    ("creation_date", "date", "Customer record creation date", "operational_metadata"),
+)
+
+
+def governed_tables_sql() -> str:
+    return (
+        "SELECT 'gold_dim_customers' AS table_name, 'gold' AS layer, 'customer' AS domain, 'confidential' AS classification, "
+        f"'MANAGED' AS table_type, 'Customer dimension' AS comment, count(*) AS row_count, CAST(9 AS BIGINT) AS column_count FROM {DIM_CUSTOMERS} "
+        f"UNION ALL SELECT 'governed_nation_view', 'governed', NULL, NULL, 'TEMPORARY', NULL, count(*), 3 FROM nation "
+        "UNION ALL SELECT 'region', NULL, NULL, NULL, NULL, 'World regions', count(*), 2 FROM region"
+    )
+
+
+def governed_columns_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT 'gold_dim_customers' AS table_name, '{n}' AS column_name, {i + 1} AS ordinal_position, '{t}' AS data_type, '{comment}' AS comment, "
+        f"'{label}' AS classification, count(*) AS row_count, count(*) - count({n}) AS null_count FROM {DIM_CUSTOMERS}"
+        for i, (n, t, comment, label) in enumerate(_CUSTOMER_COLUMNS)
+    )
+
+
 SECRET_PATTERNS = {
     "platform_token": r"\bdapi[a-zA-Z0-9]{20,}\b",
     "cloud_access_key": r"\bAKIA[0-9A-Z]{16}\b",
@@ -523,6 +571,8 @@ def oracle_sql() -> dict[str, str]:
         "row_number() OVER (ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS rn FROM orders)")
     q["table_inventory"] = table_inventory_sql()
     q["column_inventory"] = column_inventory_sql()
+    q["governed_tables"] = governed_tables_sql()
+    q["governed_columns"] = governed_columns_sql()
     q["scan_patterns"] = " UNION ALL ".join(
         f"SELECT '{k}' AS pattern_name, '{p}' AS pattern, count(*) AS rows_scanned, "
         f"CAST(count_if(regexp_matches(text, '{p}')) AS BIGINT) AS matching_rows FROM documents" for k, p in SECRET_PATTERNS.items())

@@ -517,13 +517,47 @@ def all_tables(spark, sf):
 
 
 def q_table_inventory(spark, sf):
-    return table_inventory(spark, all_tables(spark, sf)).drop("layer", "table_type", "comment")
+    return table_inventory(spark, all_tables(spark, sf))
 
 
 def q_column_inventory(spark, sf):
     return column_inventory(spark, all_tables(spark, sf)).drop("comment", "classification")
 
 
+def _customer_dimension(spark, sf):
+    from layercake.plans.star import customer_dimension
+
+    raw = {k: v for k, v in star_raw(spark, sf).items() if k in ("cust_info", "cust_az12", "loc_a101")}
+    cleaned = {k: clean(v, SPECS[k], STAR_AS_OF) for k, v in raw.items()}
+    return customer_dimension(cleaned["cust_info"], cleaned["cust_az12"], cleaned["loc_a101"])
+
+
+def q_governed_tables(spark, sf):
+    """Inventory of a labelled table in the catalog, a view and a bare DataFrame."""
+    import uuid
+
+    from layercake.operators.governance import CUSTOMER_TABLE_LABELS, label_table
+    from layercake.sources.sinks import publish_table
+
+    database = f"layercake_{uuid.uuid4().hex[:12]}"
+    dim = label_table(_customer_dimension(spark, sf), CUSTOMER_TABLE_LABELS, "Customer dimension")
+    publish_table(dim, f"{database}.gold_dim_customers")
+    load(spark, sf, "nation").createOrReplaceTempView("governed_nation_view")
+    tables = {
+        "gold_dim_customers": spark.table(f"{database}.gold_dim_customers"), "governed_nation_view": spark.table("governed_nation_view"),
+        "region": load(spark, sf, "region"),
+    }
+    names = {"gold_dim_customers": f"{database}.gold_dim_customers", "governed_nation_view": "governed_nation_view"}
+    return table_inventory(spark, tables, {"region": "World regions"}, names)
+
+
+def q_governed_columns(spark, sf):
+    """Column inventory of the classified customer dimension."""
+    from layercake.operators.governance import classify_columns as classify
+
+    return column_inventory(spark, {"gold_dim_customers": classify(_customer_dimension(spark, sf), CUSTOMER_COLUMN_METADATA)}).drop("is_nullable")
+
+
 def q_scan_patterns(spark, sf):
     return scan_patterns(load(spark, sf, "documents"), "text")
 
@@ -734,6 +768,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_batches": q_assign_batches,
     "table_inventory": q_table_inventory,
     "column_inventory": q_column_inventory,
+    "governed_tables": q_governed_tables,
+    "governed_columns": q_governed_columns,
     "scan_patterns": q_scan_patterns,
     "scan_pattern_hits": q_scan_pattern_hits,
     "raw_csv_roundtrip": q_raw_csv_roundtrip,
