@@ -8,11 +8,13 @@ repaired from a per-bucket summary.
 
 Sizes are bounded by construction, which makes the broadcasts safe:
 
-* hot keys = at most ``max_hot_keys`` of the largest keys with more than
-  ``hot_rows`` rows (a top-k over per-key counts of a seeded sample);
-* bucket bounds = one row per hot key (``buckets - 1`` approximate
-  percentiles of its sampled rows);
-* bucket summaries = at most ``max_hot_keys * (buckets + 1)`` rows.
+* hot keys = the largest keys with more than ``hot_rows`` rows, as many as
+  there are shuffle partitions (a top-k over per-key counts of a seeded
+  sample): any key beyond those holds less than one partition's share;
+* bucket bounds = one row per hot key (``buckets - 1`` quantiles of its
+  sampled rows; approximate percentiles for numbers and times, ranks for
+  any other orderable type);
+* bucket summaries = at most ``partitions * (buckets + 1)`` rows.
 
 Hot keys and bounds are resolved eagerly (two small jobs; bounded results)
 and enter the plan as literal broadcast tables. With no hot key the operator
@@ -30,6 +32,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    AtomicType,
+    BinaryType,
     DateType,
     IntegerType,
     MapType,
@@ -52,7 +56,6 @@ class Skew:
 
     enabled: bool = True
     hot_rows: int = 1_000_000
-    max_hot_keys: int = 1000
     buckets: int = 32
     accuracy: int = 10_000
     # hot keys are found on a seeded sample (None = exact counts): a key with
@@ -65,11 +68,32 @@ class Skew:
 PLAIN = Skew(enabled=False)
 
 
-def _splittable(df: DataFrame, order: str) -> bool:
+def _has_percentiles(df: DataFrame, order: str) -> bool:
     t = df.schema[order].dataType
     return isinstance(t, (NumericType, DateType, TimestampType, TimestampNTZType))
 
 
+def _splittable(df: DataFrame, order: str) -> bool:
+    t = df.schema[order].dataType
+    return isinstance(t, AtomicType) and not isinstance(t, BinaryType)
+
+
+def _quantiles(rows: DataFrame, keys: list[Column], column: str, skew: Skew, name: str) -> DataFrame:
+    """Per key (aliased columns ``keys``), an array of ``buckets - 1`` quantiles of ``column``, NULLs left out."""
+    if _has_percentiles(rows, column):
+        probs = [i / skew.buckets for i in range(1, skew.buckets)]
+        return rows.groupBy(*keys).agg(F.percentile_approx(c(column), probs, skew.accuracy).alias(name))
+    flat = rows.select(*keys, c(column).alias("__q")).where("__q IS NOT NULL")
+    names = [n for n in flat.columns if n != "__q"]
+    by_key = Window.partitionBy(*names)
+    ranked = flat.select("*", F.row_number().over(by_key.orderBy("__q")).alias("__i"), F.count(F.lit(1)).over(by_key).alias("__m"))
+    # the i-th quantile is the row of rank ceil(i * m / buckets); a row may be several of them
+    grid = F.explode(F.sequence(F.lit(1), F.lit(skew.buckets - 1)))
+    picked = ranked.where(F.floor(F.col("__i") * skew.buckets / F.col("__m")) > F.floor((F.col("__i") - 1) * skew.buckets / F.col("__m")))
+    picked = picked.select("*", grid.alias("__b")).where(F.col("__i") == F.ceil(F.col("__b") * F.col("__m") / skew.buckets))
+    return picked.groupBy(*names).agg(F.transform(F.sort_array(F.collect_list(F.struct("__b", "__q"))), lambda x: x["__q"]).alias(name))
+
+
 def _key_aliases(keys: Sequence[str], tag: str) -> list[str]:
     return [f"__{tag}{i}" for i in range(len(keys))]
 
@@ -91,11 +115,11 @@ def hot_bounds(
     """Bucket bounds of the hot keys as a small literal DataFrame (columns
     ``__bk<i>``, ``__bounds`` and ``__heavy``), or None when no key is hot.
 
-    Small jobs on the seeded sample: a top-k of per-key counts (at most
-    ``max_hot_keys`` rows reach the driver) and, only if some key is hot,
-    per-key percentiles of its sampled rows. A start value repeated ``m``
+    Small jobs on the seeded sample: a top-k of per-key counts (one row for
+    each shuffle partition at most reaches the driver) and, only if some key is hot,
+    per-key quantiles of its sampled rows. A start value repeated ``m``
     times among a key's bounds holds a large share of that key; its rows are
-    split again by ``m`` percentiles of the first tie-break column (one more
+    split again by ``m`` quantiles of the first tie-break column (one more
     job, only when such values exist), kept in ``__heavy`` (value -> tie
     bounds). All results are bounded, so they are safe to collect and to
     broadcast, and later branches of the plan reuse them.
@@ -110,7 +134,7 @@ def hot_bounds(
         .agg(F.count(F.lit(1)).alias("__n"))
         .filter(F.col("__n") > threshold)
         .orderBy(F.col("__n").desc())
-        .limit(skew.max_hot_keys)
+        .limit(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         .drop("__n")
         .collect()
     )
@@ -119,14 +143,9 @@ def hot_bounds(
     spark = df.sparkSession
     key_schema = StructType([StructField(a, df.schema[k].dataType, True) for k, a in zip(keys, al)])
     hot = spark.createDataFrame(hot_rows, key_schema)
-    probs = [i / skew.buckets for i in range(1, skew.buckets)]
     bl = _key_aliases(keys, "bk")
-    bound_rows = (
-        counted.join(F.broadcast(hot), _on(keys, al), "left_semi")
-        .groupBy(*[c(k).alias(b) for k, b in zip(keys, bl)])
-        .agg(F.percentile_approx(c(order), probs, skew.accuracy).alias("__bounds"))
-        .collect()
-    )
+    of_hot = counted.join(F.broadcast(hot), _on(keys, al), "left_semi")
+    bound_rows = _quantiles(of_hot, [c(k).alias(b) for k, b in zip(keys, bl)], order, skew, "__bounds").collect()
     heavy: dict = {}
     if tie is not None and _splittable(df, tie):
         pairs = []
@@ -141,12 +160,8 @@ def hot_bounds(
                 + [StructField("__v", df.schema[order].dataType, True), StructField("__m", IntegerType(), False)]
             )
             pair_df = spark.createDataFrame(pairs, pair_schema)
-            ties = (
-                counted.join(F.broadcast(pair_df), _on(keys, al, [c(order) == F.col("__v")]), "left_semi")
-                .groupBy(*[c(k).alias(b) for k, b in zip(keys, bl)], c(order).alias("__v"))
-                .agg(F.percentile_approx(c(tie), probs, skew.accuracy).alias("__tb"))
-                .collect()
-            )
+            of_pair = counted.join(F.broadcast(pair_df), _on(keys, al, [c(order) == F.col("__v")]), "left_semi")
+            ties = _quantiles(of_pair, [*[c(k).alias(b) for k, b in zip(keys, bl)], c(order).alias("__v")], tie, skew, "__tb").collect()
             repeats = {(*p[:-2], p[-2]): p[-1] for p in pairs}
             for r in ties:
                 key = tuple(r[b] for b in bl)

@@ -7,7 +7,7 @@ from conftest import rows
 from layercake.operators.segments import PLAIN, Skew, hot_bounds, tag_buckets
 from layercake.operators.versions import derive_end_date, flag_overlaps
 
-TINY = Skew(hot_rows=3, max_hot_keys=2, buckets=3, accuracy=100, sample_fraction=None)
+TINY = Skew(hot_rows=3, buckets=3, accuracy=100, sample_fraction=None)
 BASE = dt.date(2020, 1, 1)
 
 periods = st.lists(
@@ -70,3 +70,27 @@ def test_dominant_start_value_is_split_by_tie(spark):
         lambda skw: flag_overlaps(df, "k", "s", "e", "any", ["id"], "f", skw),
     ):
         assert rows(fn(sk)) == rows(fn(PLAIN))
+
+
+def test_text_starts_and_text_ties_are_split(spark):
+    data = [(i, "hot", f"2020-{1 + i % 12:02d}-{1 + i % 28:02d}", f"t{i:03d}") for i in range(90)] + [(200, "cold", None, "x"), (201, "hot", None, "y")]
+    df = spark.createDataFrame(data, "id int, k string, s string, t string")
+    sk = Skew(hot_rows=10, buckets=4, sample_fraction=None)
+    tagged = tag_buckets(df, ["k"], "s", sk, hot_bounds(df, ["k"], "s", sk))
+    assert len({r["__seg_bucket"] for r in tagged.filter("k = 'hot' and s is not null").collect()}) == 4
+    same = df.selectExpr("id", "k", "'2020-01-01' AS s", "t")
+    tagged = tag_buckets(same, ["k"], "s", sk, hot_bounds(same, ["k"], "s", sk, "t"), "t")
+    assert len({r["__seg_bucket"] for r in tagged.filter("k = 'hot'").collect()}) > 2
+    for t in (df, same):
+        for mode in ("previous", "any"):
+            ends = t.selectExpr("*", "concat(substr(s, 1, 8), '31') AS e")
+            assert rows(flag_overlaps(ends, "k", "s", "e", mode, ["t", "id"], "f", sk)) == rows(flag_overlaps(ends, "k", "s", "e", mode, ["t", "id"], "f", PLAIN))
+
+
+def test_no_hot_key_is_left_out(spark):
+    data = [(i, f"k{i % 12}", BASE + dt.timedelta(days=i)) for i in range(240)] + [(1000 + i, "k0", BASE + dt.timedelta(days=i)) for i in range(100)]
+    df = spark.createDataFrame(data, "id int, k string, s date")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = hot_bounds(df, ["k"], "s", Skew(hot_rows=5, buckets=3, sample_fraction=None))
+    split = {r["__bk0"] for r in bounds.collect()}
+    assert "k0" in split and len(split) == min(parts, 12)  # every key over a partition's share of the 340 rows
