@@ -189,10 +189,12 @@ def search(
     """
     folder, blocks = index(vectors, vec_id, embedding, block_rows)
     asked = _valid(queries, vec_id, embedding).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    # the stated queries against all rows, in blocks: each query goes to each block once
+    # the stated queries against all rows, in blocks: each query goes to each block once; few bytes but much
+    # work, so the number of partitions is given (else adaptive execution would join them by size)
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = (
         asked.select(F.col("vec_id").alias("query_id"), "embedding", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-        .repartition("block", F.pmod(F.xxhash64("query_id"), F.lit(16)))
+        .repartition(parts, "block", F.pmod(F.xxhash64("query_id"), F.lit(16)))
         .sortWithinPartitions("block", "query_id")
     )
 
