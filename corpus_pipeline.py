@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from layercake.llm import decision_list, packing, simhash, toxicity
-from layercake.llm.common import table
+from layercake.llm.common import ship, table
 from layercake.llm.queries import BPE
 from layercake.session import materialize
 
@@ -30,11 +30,13 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by SimHash (three-word shingles, at most 3 bits apart)."""
+    ship(spark)
     return simhash.keep_one(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens."""
+    ship(spark)
     return packing.pack_documents(docs, BPE)
 
 
