@@ -8,6 +8,9 @@ window; with 64 bands of one row, the window and the template meet in a band
 with a probability of 1 - 0.81**64, over 0.99999. Windows without any shingle
 of a template can't meet one and are not signed: that drops no match.
 Windows that meet a template are verified by containment of the shingles' text.
+
+A template of under five words is one shingle, its whole word sequence: texts
+are shingled at that length too and compared with it directly.
 """
 
 from __future__ import annotations
@@ -53,6 +56,7 @@ TEMPLATES = {
     " If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell,"
     " or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "proprietary-line": "All rights reserved.",
     "proprietary": "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means"
     " without the prior written permission of the publisher.",
 }
@@ -71,12 +75,12 @@ def _words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[ \t\n\x0B\f\r]+"))
 
 
-def _starts(words: Column) -> Column:
-    return F.when(F.size(words) >= SHINGLE, F.sequence(F.lit(0), F.size(words) - SHINGLE)).otherwise(F.array().cast("array<int>"))
+def _starts(words: Column, n: int = SHINGLE) -> Column:
+    return F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
 
 
-def _hashes(words: Column) -> Column:
-    return F.transform(_starts(words), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)]))
+def _hashes(words: Column, n: int = SHINGLE) -> Column:
+    return F.transform(_starts(words, n), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)]))
 
 
 def _texts(words: Column) -> Column:
@@ -93,14 +97,18 @@ def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: st
 
     ``containment`` is the best window's, ``first_word`` where the first such
     window begins. Wording is compared lower-cased and without signs; null or
-    short texts hold nothing; templates of under five words are never found;
+    blank texts hold nothing; a template of under five words is held where all
+    its words stand in a row, a template without words nowhere;
     rows that share an id give one row for each template. Templates may hold
     ``most`` shingles in all (they are sent to every task); more raise an error.
     """
-    t = templates.select("license", _words(F.col("wording")).alias("w")).where(F.size("w") >= SHINGLE)
-    t = t.select("license", F.array_distinct(_hashes(F.col("w"))).alias("h"), F.array_distinct(_texts(F.col("w"))).alias("s"))
+    every = templates.select("license", _words(F.col("wording")).alias("w"))
+    brief = every.where(F.size("w").between(1, SHINGLE - 1)).select("license", F.size("w").alias("n"), F.concat_ws(" ", "w").alias("words"), *[
+        F.get(_hashes(F.col("w"), n), F.lit(0)).alias(f"h{n}") for n in range(1, SHINGLE)
+    ]).collect()
+    t = every.where(F.size("w") >= SHINGLE).select("license", F.array_distinct(_hashes(F.col("w"))).alias("h"), F.array_distinct(_texts(F.col("w"))).alias("s"))
     known = t.select("license", "h", "s", _bands(F.col("h")).alias("bands")).collect()
-    if sum(len(r["h"]) for r in known) > most:
+    if sum(len(r["h"]) for r in known) + len(brief) > most:
         raise ValueError(f"templates hold more than {most} shingles")
     spark = docs.sparkSession
     classes = {r["license"]: 1 << math.ceil(math.log2(len(r["h"]))) for r in known}
@@ -112,8 +120,11 @@ def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: st
     own = docs.select(F.col(doc_id).alias("doc_id"), _words(F.col(text)).alias("w"))
     own = own.withColumn("h", _hashes(F.col("w")))
     own = own.withColumn("at", F.filter(F.transform("h", lambda h, i: F.when(h.isin(shingles), i)), lambda x: x.isNotNull()))
+    own = own.withColumn("brief", F.flatten(F.array(F.array().cast("array<struct<n:int,start:int>>"), *[
+        _briefly(n, sorted({r[f"h{n}"] for r in brief if r["n"] == n})) for n in sorted({r["n"] for r in brief})
+    ])))
     # few texts hold any shingle of a template: they are stored, and dealt out anew with all that follows
-    own = materialize(keep_where(own, F.size("at") > 0), "license-texts")
+    own = materialize(keep_where(own, (F.size("at") > 0) | (F.size("brief") > 0)), "license-texts")
     none = F.array().cast("array<struct<class:int,start:int>>")
     cuts = F.flatten(F.array(none, *[_windows(c) for c in sorted(set(classes.values()))]))
     windows = own.select("doc_id", "w", "h", F.explode(cuts).alias("c")).select("doc_id", "w", "h", "c.class", "c.start")
@@ -125,6 +136,14 @@ def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: st
     found = met.join(F.broadcast(by_band), ["value", "class"])  # bounded by ``most``
     share = F.size(F.array_intersect(_texts(F.col("w")), F.col("shingles"))) / F.size("shingles")
     checked = found.select("doc_id", "license", "start", share.alias("share")).where(F.col("share") >= CONTAINED)
+    if brief:
+        wording = spark.createDataFrame([(r["license"], r["n"], r["words"]) for r in brief], "license string, n int, words string")
+        stand = own.select("doc_id", "w", F.explode("brief").alias("b")).select(
+            "doc_id", F.col("b.n").alias("n"), F.concat_ws(" ", F.slice("w", F.col("b.start") + 1, F.col("b.n"))).alias("words"),
+            F.greatest(F.col("b.start") - 1, F.lit(0)).alias("start"),  # the first window of two shingles that holds it
+        )
+        stand = stand.join(F.broadcast(wording), ["n", "words"])  # bounded by ``most``
+        checked = checked.union(stand.select("doc_id", "license", "start", F.lit(1.0).alias("share")))
     return checked.groupBy("doc_id", "license").agg(F.max("share").alias("containment"), F.min("start").alias("first_word"))
 
 
@@ -132,3 +151,9 @@ def _windows(c: int) -> Column:
     """``(class, start)`` of a class's windows that hold any of the shingles ``at``: those that start at its multiple of c, or one step before."""
     starts = F.array_distinct(F.flatten(F.transform("at", lambda i: F.array(i - i % c, F.greatest(i - i % c - c, F.lit(0))))))
     return F.transform(starts, lambda s: F.struct(F.lit(c).alias("class"), s.alias("start")))
+
+
+def _briefly(n: int, hashes: list[int]) -> Column:
+    """``(n, start)`` of a text's shingles of ``n`` words that have one of the hashes."""
+    found = F.transform(_hashes(F.col("w"), n), lambda h, i: F.when(h.isin(hashes), F.struct(F.lit(n).alias("n"), i.alias("start"))))
+    return F.filter(found, lambda x: x.isNotNull())

@@ -234,3 +234,38 @@ def test_licenses_of_odd_rows(spark, odd_docs, no_docs):
     assert licenses.scan(odd_docs, templates.limit(0)).count() == 0
     short = spark.createDataFrame([("four", "only four words here"), ("kappa", "beta gamma delta epsilon zeta eta")], "license string, wording string")
     assert sorted(str(r["doc_id"]) for r in licenses.scan(odd_docs, short).collect()) == ["1", "None"]
+
+
+def test_brief_notices_of_whole_table(spark, sf):
+    """Every template at its own shingle length, also those of under five words."""
+
+    def cut(text, n):
+        words = text.lower().translate({ord(c): None for c in licenses._SIGNS}).split()
+        return [" ".join(words[i : i + n]) for i in range(len(words) - n + 1)]
+
+    want, brief = set(), {}
+    for i, text in (tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()):
+        for name, wording in licenses.TEMPLATES.items():
+            n = min(licenses.SHINGLE, len(cut(wording, 1)))
+            have, need = cut(text or "", n), set(cut(wording, n))
+            if len(need & set(have)) >= 0.8 * len(need):
+                want.add((i, name))
+                if n < licenses.SHINGLE:
+                    brief[i, name] = (1.0, max(0, have.index(*need) - 1))
+    rows = op6_license_scan(spark, sf).collect()
+    assert {tuple(r)[:2] for r in rows} == want
+    assert brief and {tuple(r)[:2]: tuple(r)[2:] for r in rows if tuple(r)[:2] in brief} == brief
+
+
+def test_brief_templates_of_every_length(spark):
+    t = [("one", "Proprietary!"), ("two", "all rights"), ("three", "All rights reserved."), ("same", "ALL rights; reserved"), ("four", "no rights are reserved"), ("none", "..."), ("five", "a b c d e")]
+    docs = [(1, "All\nRights reserved"), (2, "not all rights, reserved or proprietary"), (3, "all right reserved"), (4, None), (5, "rights reserved all"), (6, "x a b c d e"), (7, "no rights are reserved")]
+    docs = spark.createDataFrame(docs, "doc_id int, text string")
+    got = sorted(tuple(r) for r in licenses.scan(docs, spark.createDataFrame(t, "license string, wording string")).collect())
+    assert got == [
+        (1, "same", 1.0, 0), (1, "three", 1.0, 0), (1, "two", 1.0, 0),
+        (2, "one", 1.0, 4), (2, "same", 1.0, 0), (2, "three", 1.0, 0), (2, "two", 1.0, 0),
+        (6, "five", 1.0, 0), (7, "four", 1.0, 0),
+    ]
+    with pytest.raises(ValueError):
+        licenses.scan(docs, spark.createDataFrame(t[:4], "license string, wording string"), most=3)
