@@ -1,10 +1,11 @@
 """Toxicity scores over text restored by a noisy-channel decoder.
 
 A character trigram model is counted over the corpus. Written text may be
-disguised: look-alike signs for letters, letters set apart by spaces or dots,
-letters repeated. Every suspicious token becomes a lattice (for each written
-character the letters it may stand for, or nothing), and Viterbi takes the
-path that is likeliest under the character model and the channel's prices. A
+disguised: look-alike signs for letters, letters or pieces of words set apart
+by spaces or dots, letters repeated. Every suspicious token, run of single
+letters and run of pieces that would make a watched word becomes a lattice
+(for each written character the letters it may stand for, or nothing, for each
+separator nothing or the end of a word), and Viterbi takes the path that is likeliest under the character model and the channel's prices. A
 token that can only be read one way is its own reading, so only suspicious
 tokens are decoded. Restored words are scored by learned evidence (whole words
 and their beginnings) under a logistic model of a few document totals.
@@ -33,10 +34,14 @@ LOOKALIKES = {
 }
 #: Signs that may stand between letters and mean nothing (fixed values).
 FILLERS = ".-_*~'’"
+#: Fillers and signs that may stand for the end of a word (fixed values).
+JOINERS = ".-_~"
 PRICE_LOOKALIKE, PRICE_KEPT_SIGN, PRICE_FILLER, PRICE_REPEAT, PRICE_DOUBLE = -0.7, -6.0, -0.4, -0.3, -0.1
 
 _SUSPICIOUS = re.compile(r"[0-9@$!|+€£(*#]|(.)\1\1|[^\W\d_][._~’\-][^\W\d_]")
-_SPACED = re.compile(r"(?<!\S)[^\W_](?:[ \t.\-_*]{1,2}[^\W_]){2,}(?!\S)|(?<!\S)[^\W_](?: [\w@$!|+*]){2,}(?!\S)")
+_UNIT = r"(?:[^\W_]|[@$!|+€£(*#])"
+#: Single letters or look-alikes set apart; signs and punctuation may stand before and after.
+_SPACED = re.compile(rf"(?<![\w@$|+€£*#]){_UNIT}(?:[ \t.\-_*~]{{1,2}}{_UNIT}){{2,}}(?![@$!|+€£*#]*\w)")
 _EDGES = " \t\n\r\x0b\x0c.,;:?\"'`´()[]{}<>«»“”„‘’…-–—_~/\\=&%^"
 _SIGNS = "@$!|+*#"
 
@@ -100,40 +105,68 @@ class CharacterModel:
         return value
 
 
+def _written(path: tuple) -> str:
+    """A path (the path before, last letter) as text."""
+    letters = []
+    while path:
+        path, letter = path
+        letters.append(letter)
+    return "".join(reversed(letters))
+
+
+def _last_word(path: tuple) -> str:
+    letters = []
+    while path and path[1] != " ":
+        path, letter = path
+        letters.append(letter)
+    return "".join(reversed(letters))
+
+
 def decode_token(written: str, model: CharacterModel, bonus=None) -> str:
-    """Viterbi reading of one written token (lower case, no spaces); ties go to the reading that sorts first.
+    """Viterbi reading of written tokens (lower case): words set apart by single spaces; ties go to the reading that sorts first.
 
-    States are the last two letters read. Each written character may be
+    States are the last two letters read and the last letter written. Each written character may be
     itself, a letter it looks like, nothing (fillers), or a repetition of the
-    letter before (once more for a double letter, else nothing). ``bonus``
-    gives a log-odds for a complete reading, such as a word known to be one.
+    letter before (once more for a double letter, else nothing). A space or a joining
+    filler may also end a word and begin the next; spaces vanish at no price. ``bonus``
+    gives a log-odds for a complete word, such as a word known to be one.
     """
-    best: dict[tuple[str, str], tuple[float, str]] = {("^^", ""): (0.0, "")}  # (last two letters, last written) -> score, reading
+
+    def closed(history, score, path):
+        return score + model(history, "$") + (bonus(_last_word(path)) if bonus else 0.0)
+
+    best: dict[tuple[str, str], tuple[float, tuple]] = {("^^", ""): (0.0, ())}  # (last two letters, last written) -> score, path
     for ch in written:
-        options = [(x, PRICE_LOOKALIKE) for x in LOOKALIKES.get(ch, "")]
-        options.append((ch, 0.0 if ch.isalpha() else PRICE_KEPT_SIGN))
-        if ch in FILLERS or ch in _SIGNS:
-            options.append(("", PRICE_FILLER if ch in FILLERS else -1.5))
-        new: dict[tuple[str, str], tuple[float, str]] = {}
-        for (history, before), (score, reading) in best.items():
+        space = ch.isspace()
+        options = [] if space else [(x, PRICE_LOOKALIKE) for x in LOOKALIKES.get(ch, "")]
+        if space:
+            options.append(("", 0.0))
+        else:
+            options.append((ch, 0.0 if ch.isalpha() else PRICE_KEPT_SIGN))
+            if ch in FILLERS or ch in _SIGNS:
+                options.append(("", PRICE_FILLER if ch in FILLERS else -1.5))
+        new: dict[tuple[str, str], tuple[float, tuple]] = {}
+        for (history, before), (score, path) in best.items():
             for letter, price in options:
                 if letter == "":
-                    steps = [(history, score + price, reading)]
+                    steps = [(history, before if space else ch, score + price, path)]
+                    if (space or ch in JOINERS) and history != "^^":
+                        steps.append(("^^", "", closed(history, score + price, path), (path, " ")))
                 elif before == ch and history[1] == letter:
-                    steps = [(history, score + PRICE_REPEAT, reading)]
-                    if len(reading) < 2 or not reading.endswith(letter * 2):
-                        steps.append((history[1] + letter, score + price + PRICE_DOUBLE + model(history, letter), reading + letter))
+                    steps = [(history, ch, score + PRICE_REPEAT, path)]
+                    if history != letter * 2:
+                        steps.append((history[1] + letter, ch, score + price + PRICE_DOUBLE + model(history, letter), (path, letter)))
                 else:
-                    steps = [(history[1] + letter, score + price + model(history, letter), reading + letter)]
-                for to, value, text in steps:
-                    key = (to, ch)
+                    steps = [(history[1] + letter, ch, score + price + model(history, letter), (path, letter))]
+                for to, last, value, way in steps:
+                    key = (to, last)
                     old = new.get(key)
-                    if old is None or value > old[0] or (value == old[0] and text < old[1]):
-                        new[key] = (value, text)
+                    if old is None or value > old[0] or (value == old[0] and way is not old[1] and _written(way) < _written(old[1])):
+                        new[key] = (value, way)
         if len(new) > 64:
-            new = dict(sorted(new.items(), key=lambda x: (-x[1][0], x[1][1]))[:64])
+            new = dict(sorted(new.items(), key=lambda x: (-x[1][0], _written(x[1][1])))[:64])
         best = new
-    ends = [(v[0] + model(k[0], "$") + (bonus(v[1]) if bonus else 0.0), v[1]) for k, v in best.items()]
+    ends = [(v[0] if k[0] == "^^" else closed(k[0], *v), _written(v[1]).strip()) for k, v in best.items()]
     return min(ends, key=lambda x: (-x[0], x[1]))[1] if ends else ""
 
 
@@ -151,9 +184,13 @@ def readings(word: str, model: CharacterModel, bonus=None) -> str:
 
 
 def spaced_runs(text: str) -> list[str]:
-    """Letters set apart by single separators, joined: 'x y z' is read as 'xyz', and as 'yz' and 'xy' in case an end stands by itself."""
-    joined = [re.sub(r"[ \t.\-_]", "", m.group()) for m in _SPACED.finditer(text)]
-    return [part for run in joined for part in ((run, run[1:], run[:-1]) if len(run) > 3 else (run,))]
+    """Letters set apart by single separators, joined: 'x y z' is read as 'xyz'."""
+    return [re.sub(r"[ \t.\-_~]", "", m.group()) for m in _SPACED.finditer(text)]
+
+
+def spaced_texts(text: str) -> list[str]:
+    """The runs as written, for the lattice; its separators may vanish or end words."""
+    return [" ".join(run) for run in (m.group().split() for m in _SPACED.finditer(text)) if len(run) > 1 and any(x.isalpha() for y in run for x in y)]
 
 
 # --- evidence -----------------------------------------------------------------------------------------------------
@@ -183,27 +220,53 @@ class Scorer:
         self.model, self.characters = model, CharacterModel(model.characters)
         self.watched = model.weight if watched is None else watched
         self.known = Memo(self._known)
+        self.whole = {f[1:] for f in self.watched if f[0] == "=" and (not model.weight or model.weight.get(f, 0.0) > 0)}
+        self.longest = max(map(len, self.whole), default=0)
+        self.starts = {w[:k] for w in self.whole for k in range(1, len(w))}
 
     def _bonus(self, reading: str) -> float:
         return max(0.0, min(6.0, 2.0 * sum(self.model.weight.get(f, 0.0) for f in word_features(reading))))
 
     def read(self, word: str) -> str:
-        return readings(word, self.characters, self._bonus if self.model.weight else None)
-
-    def _known(self, word: str) -> tuple[str, list[str]] | None:
-        reading = self.read(word)
-        found = [f for f in word_features(reading) if f in self.watched]
-        return (reading, found) if found else None
+        """The words a token or a run of pieces is read as, set apart by spaces."""
+        bonus = self._bonus if self.model.weight else None
+        return decode_token(word, self.characters, bonus) if " " in word else readings(word, self.characters, bonus)
+
+    def _known(self, word: str) -> list[tuple[str, list[str]]]:
+        found = [(w, [f for f in word_features(w) if f in self.watched]) for w in self.read(word).split(" ")]
+        return [x for x in found if x[1]]
+
+    def pieces(self, tokens: list[str]) -> list[str]:
+        """Neighbouring tokens that make a watched word if joined, for the lattice to join or not."""
+        found: list[str] = []
+        if not self.starts:
+            return found
+        for i, first in enumerate(tokens):
+            if not first[0].isalpha():
+                first = first.strip(_EDGES)
+            if first not in self.starts:
+                continue
+            run, joined = [first], first
+            for token in tokens[i + 1 : i + 1 + self.longest]:
+                piece = token.strip(_EDGES + _SIGNS)
+                run.append(piece)
+                joined += piece
+                if joined in self.whole and len(run) > 1 and piece:
+                    found.append(" ".join(run))
+                if joined not in self.starts or piece != token:
+                    break
+        return found
 
     def words(self, text: str) -> set[str]:
         lower = text.lower()
-        return {*lower.split(), *spaced_runs(lower)}
+        tokens = lower.split()
+        return {*tokens, *spaced_texts(lower), *self.pieces(tokens)}
 
     def features(self, text: str) -> dict[str, int]:
         """For each watched feature, how many distinct words as read have it, at most ``MOST``."""
         self.known.trim()
         count: dict[str, int] = {}
-        for features in dict(filter(None, map(self.known.__getitem__, self.words(text)))).values():
+        for features in {w: x for found in map(self.known.__getitem__, self.words(text)) for w, x in found}.values():
             for f in features:
                 count[f] = min(MOST, count.get(f, 0) + 1)
         return count
@@ -262,7 +325,7 @@ def fit(
         for batch in slices(batches, "text"):
             scorer.known.trim()
             for t, kind in zip(strings(batch.column("text")), batch.column("label").to_pylist()):
-                (bad if kind else good).update({f for w in {scorer.read(w) for w in scorer.words(t)} for f in word_features(w)})
+                (bad if kind else good).update({f for w in {x for w in scorer.words(t) for x in scorer.read(w).split(" ")} for f in word_features(w)})
         every = sorted(bad.keys() | good.keys())
         yield pa.RecordBatch.from_arrays(
             [pa.array(every, pa.string()), pa.array([bad[f] for f in every], pa.int64()), pa.array([good[f] for f in every], pa.int64())], ["f", "bad", "good"]

@@ -152,6 +152,19 @@ def test_toxicity_on_held_out_rows(spark, larger_sf):
     assert better >= 0.8  # area under the curve
 
 
+def test_spacing_is_part_of_the_lattice(spark, toxic_corpus):
+    docs, labels, plain = toxic_corpus
+    scorer = toxicity.Scorer(toxicity.fit(docs, labels))
+    for written in (
+        "v i l e t a b l e", "t h e r i v e r v i l e m u s i c", "a v i l e a", "v i l e.", "r a i n, v i l e,", '"v ! l e"', "v 1 l e!", "vi le", "the vi le, river",
+        "v i le", "table_vile", "r.a.i.n v.i.l.e",
+    ):
+        assert any(w == "vile" for x in scorer.words(written) for w in scorer.read(x).split(" ")), written
+    assert "stone" in scorer.read("$ t o n e").split(" ")
+    assert scorer.score(plain + " t h e n a s t y r i v e r r o t t e n v i l e") > 0.5
+    assert scorer.score(plain + " t h e g r e e n r i v e r") < 0.1
+
+
 # --- importance resampling ----------------------------------------------------------------------------------------
 
 
