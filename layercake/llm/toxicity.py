@@ -38,6 +38,8 @@ FILLERS = ".-_*~'’"
 JOINERS = ".-_~"
 PRICE_LOOKALIKE, PRICE_KEPT_SIGN, PRICE_FILLER, PRICE_REPEAT, PRICE_DOUBLE = -0.7, -6.0, -0.4, -0.3, -0.1
 
+_DOUBLED = re.compile(r"([^\W\d_])\1")
+_STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
 _SUSPICIOUS = re.compile(r"[0-9@$!|+€£(*#]|(.)\1\1|[^\W\d_][._~’\-][^\W\d_]")
 _UNIT = r"(?:[^\W_]|[@$!|+€£(*#])"
 #: Single letters or look-alikes set apart; signs and punctuation may stand before and after.
@@ -128,7 +130,7 @@ def decode_token(written: str, model: CharacterModel, bonus=None) -> str:
     States are the last two letters read and the last letter written. Each written character may be
     itself, a letter it looks like, nothing (fillers), or a repetition of the
     letter before (once more for a double letter, else nothing). A space or a joining
-    filler may also end a word and begin the next; spaces vanish at no price. ``bonus``
+    filler may also end a word and begin the next; spaces vanish at no price, and so do repetitions of a sign that vanished. ``bonus``
     gives a log-odds for a complete word, such as a word known to be one.
     """
 
@@ -149,7 +151,9 @@ def decode_token(written: str, model: CharacterModel, bonus=None) -> str:
         for (history, before), (score, path) in best.items():
             for letter, price in options:
                 if letter == "":
-                    steps = [(history, before if space else ch, score + price, path)]
+                    if ch in _SIGNS and before == ch * 2:  # a run of one sign is one ornament
+                        price = 0.0
+                    steps = [(history, before if space else ch * 2, score + price, path)]
                     if (space or ch in JOINERS) and history != "^^":
                         steps.append(("^^", "", closed(history, score + price, path), (path, " ")))
                 elif before == ch and history[1] == letter:
@@ -163,24 +167,27 @@ def decode_token(written: str, model: CharacterModel, bonus=None) -> str:
                     old = new.get(key)
                     if old is None or value > old[0] or (value == old[0] and way is not old[1] and _written(way) < _written(old[1])):
                         new[key] = (value, way)
-        if len(new) > 64:
-            new = dict(sorted(new.items(), key=lambda x: (-x[1][0], _written(x[1][1])))[:64])
         best = new
     ends = [(v[0] if k[0] == "^^" else closed(k[0], *v), _written(v[1]).strip()) for k, v in best.items()]
     return min(ends, key=lambda x: (-x[0], x[1]))[1] if ends else ""
 
 
-def readings(word: str, model: CharacterModel, bonus=None) -> str:
-    """A lower-case token as it is read: its edges stripped and, if suspicious, decoded."""
+def readings(word: str, model: CharacterModel, bonus=None, within=None) -> str:
+    """A lower-case token as it is read: its edges stripped and, if suspicious, decoded.
+
+    Letters in a row are first cut to two, which leaves the lattice's choice as it
+    is: each further one adds the same price to every path. A plain word whose only
+    suspicion is a doubled letter is decoded if ``within`` says that its shortest reading may matter.
+    """
     core = word.strip(_EDGES)
-    bare = core.strip(_SIGNS)
-    if bare.isalpha() and not _SUSPICIOUS.search(bare) and len(core) - len(bare) != 1:
-        return bare
-    if len(core) - len(bare) > 1:  # runs of signs at the edge are ornaments
-        core = bare
-    if not any(x.isalpha() for x in core) or len(core) > 48 or not _SUSPICIOUS.search(core):
-        return bare
-    return decode_token(core, model, bonus)
+    if not any(x.isalpha() for x in core):
+        return core.strip(_SIGNS)
+    if core.isalpha() and not _STRETCHED.search(core):
+        if not _DOUBLED.search(core) or (within and not within(_DOUBLED.sub(r"\1", core))):
+            return core
+    elif not _SUSPICIOUS.search(core):
+        return core.strip(_SIGNS) if not _DOUBLED.search(core) else decode_token(core, model, bonus)
+    return decode_token(_STRETCHED.sub(r"\1\1", core), model, bonus)
 
 
 def spaced_runs(text: str) -> list[str]:
@@ -221,6 +228,7 @@ class Scorer:
         self.watched = model.weight if watched is None else watched
         self.known = Memo(self._known)
         self.whole = {f[1:] for f in self.watched if f[0] == "=" and (not model.weight or model.weight.get(f, 0.0) > 0)}
+        self.singled = {_DOUBLED.sub(r"\1", _STRETCHED.sub(r"\1", f)) for f in self.watched}
         self.longest = max(map(len, self.whole), default=0)
         self.starts = {w[:k] for w in self.whole for k in range(1, len(w))}
 
@@ -230,7 +238,11 @@ class Scorer:
     def read(self, word: str) -> str:
         """The words a token or a run of pieces is read as, set apart by spaces."""
         bonus = self._bonus if self.model.weight else None
-        return decode_token(word, self.characters, bonus) if " " in word else readings(word, self.characters, bonus)
+        return decode_token(word, self.characters, bonus) if " " in word else readings(word, self.characters, bonus, self._within if self.watched else None)
+
+    def _within(self, shortest: str) -> bool:
+        """Whether a word can have a watched feature if doubled letters are read as one or two; ``shortest`` has one of each."""
+        return "=" + shortest in self.singled or any(shortest[:k] in self.singled for k in range(1, 9))
 
     def _known(self, word: str) -> list[tuple[str, list[str]]]:
         found = [(w, [f for f in word_features(w) if f in self.watched]) for w in self.read(word).split(" ")]

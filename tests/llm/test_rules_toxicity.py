@@ -165,6 +165,35 @@ def test_spacing_is_part_of_the_lattice(spark, toxic_corpus):
     assert scorer.score(plain + " t h e g r e e n r i v e r") < 0.1
 
 
+def test_no_gate_before_the_decoder(spark, toxic_corpus):
+    scorer = toxicity.Scorer(toxicity.fit(*toxic_corpus[:2]))
+    for written, read in (
+        ("$tone!", "stone"), ("$t0ne!!!", "stone"), ("mu$ic!", "music"), ("n" + "a" * 60 + "sty", "nasty"), ("table_river_stone_window_music_green_later_under_vile", "vile"),
+        ("naassty", "nasty"), ("viile", "vile"), ("vile$$$", "vile"), ("***stone***", "stone"), ("+able!", "table"), ("st**n*", "ston"),
+    ):
+        assert any(w.startswith(read) for w in scorer.read(written).split(" ")), (written, scorer.read(written))
+
+
+def test_decoder_is_exact(spark):
+    """No path beats Viterbi's on tokens with several open signs (full enumeration of letters and nothing)."""
+    from itertools import product
+
+    model = toxicity.CharacterModel({"^^b": 3, "^ba": 3, "bac": 2, "ac$": 2, "bad": 1, "ad$": 1, "^^c": 2, "^ce": 2, "ceb": 1, "eb$": 1})
+    for written in ("b*c*d", "*c*b*", "*b*c*d*e*"):
+        got = toxicity.decode_token(written, model)
+        price, best = {"": toxicity.PRICE_FILLER}, []
+        for way in product(*[[*"aeiou", "*", ""] if c == "*" else [c] for c in written]):
+            value, history = 0.0, "^^"
+            for c, x in zip(written, way):
+                value += 0.0 if c == x and c != "*" else price.get(x, toxicity.PRICE_KEPT_SIGN if x == "*" else toxicity.PRICE_LOOKALIKE)
+                if x:
+                    value += model(history, x)
+                    history = history[1] + x
+            best.append((-(value + model(history, "$")), "".join(way)))
+        low = min(best)[0]
+        assert got in {w for v, w in best if v < low + 1e-9}, (written, got)
+
+
 # --- importance resampling ----------------------------------------------------------------------------------------
 
 
