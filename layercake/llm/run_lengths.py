@@ -198,7 +198,8 @@ def pair_values(counts: DataFrame, groups: DataFrame, block: int = BLOCK_COUNTS,
     ``counts`` from ``kept_counts``; ``groups``: lang, source, total (the column's occurrences), v (kept terms).
     """
     banded = counts.select("lang", "term", "source", "n", F.floor(F.log2("all_n")).cast("int").alias("band"))
-    sizes = banded.groupBy("lang", "band").agg(F.ceil(F.count(F.lit(1)) / block).alias("buckets"))
+    # stored, so that its small size is known when the join is planned and no hot band is shuffled for it
+    sizes = materialize(banded.groupBy("lang", "band").agg(F.ceil(F.count(F.lit(1)) / block).alias("buckets")), "band-sizes")
     dealt = banded.join(sizes, ["lang", "band"]).withColumn("bucket", F.pmod(F.xxhash64("term"), F.col("buckets")))
     key = ["lang", "band", "bucket"]
     encoded = dealt.groupBy(*key).applyInArrow(
