@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import bitsliced, decision_list, html_trees, importance, kneser_ney, licenses, packing, prefix_trie, run_lengths, simhash, tokenize, toxicity
+from layercake.llm import bitsliced, decision_list, html_trees, importance, kneser_ney, licenses, packing, personal_data, prefix_trie, run_lengths, simhash, tokenize, toxicity
 from layercake.llm.common import fold, table
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +75,12 @@ def op11_run_length_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_lengths.divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of personal data in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.find(docs, personal_data.fit(docs)).drop("found")
+
+
 def op13_adaptive_radix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of the rebuilt conversations."""
     return prefix_trie.rebuilt_nodes(table(spark, sf_dir, "conversations"))
@@ -84,7 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_importance_resampling, op2_bpe_transducer, op3_html_boosted_trees, op4_simhash_bk_trees, op5_vector_packing, op6_license_scan,
-        op7_bit_sliced_topk, op8_decision_list, op9_toxicity_viterbi, op10_kneser_ney, op11_run_length_divergence, op13_adaptive_radix_trie,
+        op7_bit_sliced_topk, op8_decision_list, op9_toxicity_viterbi, op10_kneser_ney, op11_run_length_divergence, op12_boosted_candidates,
+        op13_adaptive_radix_trie,
     )
 }
 
