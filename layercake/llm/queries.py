@@ -105,15 +105,20 @@ def _license_sql() -> str:
     shingles = lambda w, a, b: f"list_transform(range({a}, least({b}, len({w}) - 4)), lambda i: array_to_string({w}[i + 1 : i + 5], ' '))"
     rows = ", ".join(f"({quote(n)}, {quote(t)})" for n, t in sorted(licenses.TEMPLATES.items()))
     return f"""
-        WITH t AS (
-            SELECT license, list_distinct({shingles("w", 0, "len(w)")}) AS s
-            FROM (SELECT license, {words("wording")} AS w FROM (VALUES {rows}) v(license, wording)) WHERE len(w) >= 5
-        ), c AS (SELECT license, s, CAST(pow(2, ceil(log2(len(s)))) AS BIGINT) AS c FROM t),
+        WITH v AS (SELECT license, {words("wording")} AS w FROM (VALUES {rows}) v(license, wording)),
+        t AS (SELECT license, list_distinct({shingles("w", 0, "len(w)")}) AS s FROM v WHERE len(w) >= 5),
+        c AS (SELECT license, s, CAST(pow(2, ceil(log2(len(s)))) AS BIGINT) AS c FROM t),
         d AS (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents),
         k AS (SELECT doc_id, w, c, unnest(range(0, greatest(len(w) - 4, 0), c)) AS start FROM d, (SELECT DISTINCT c FROM c)),
-        x AS (SELECT doc_id, c, start, {shingles("w", "start", "start + 2 * c")} AS h FROM k)
-        SELECT doc_id, license, max(len(list_intersect(h, s)) / len(s)) AS containment, CAST(min(start) AS INTEGER) AS first_word
-        FROM x JOIN c USING (c) WHERE len(list_intersect(h, s)) / len(s) >= 0.8 GROUP BY doc_id, license
+        x AS (SELECT doc_id, c, start, {shingles("w", "start", "start + 2 * c")} AS h FROM k),
+        m AS (
+            SELECT doc_id, license, len(list_intersect(h, s)) / len(s) AS share, start
+            FROM x JOIN c USING (c) WHERE len(list_intersect(h, s)) / len(s) >= 0.8
+        ), b AS (SELECT license, w AS own FROM v WHERE len(w) BETWEEN 1 AND 4),
+        y AS (SELECT doc_id, w, license, own, unnest(range(0, greatest(len(w) - len(own) + 1, 0))) AS i FROM d, b),
+        z AS (SELECT doc_id, license, 1.0::DOUBLE AS share, greatest(i - 1, 0) AS start FROM y WHERE w[i + 1 : i + len(own)] = own)
+        SELECT doc_id, license, max(share) AS containment, CAST(min(start) AS INTEGER) AS first_word
+        FROM (SELECT * FROM m UNION ALL SELECT * FROM z) GROUP BY doc_id, license
     """
 
 

@@ -25,8 +25,8 @@ from layercake.session import materialize
 SCALE = 1_000_000_000
 #: Added to each count.
 ADDED = 5
-#: About so many non-zero counts make a block, so many columns a tile.
-BLOCK_COUNTS, TILE = 1_000_000, 128
+#: A block holds about so many non-zero counts a column of its language, and at least so many in all; columns of a tile.
+COLUMN_COUNTS, BLOCK_COUNTS, TILE = 2_000, 50_000, 128
 #: Columns by whose counts the terms of a block are ordered.
 _LEADING = 32
 #: Upper-case ASCII letters lowered; every ASCII byte that is no letter separates (fixed by the term rule ``[^\x00-\x40\x5B-\x60\x7B-\x7F]+``).
@@ -199,14 +199,17 @@ def pair_values(counts: DataFrame, groups: DataFrame, block: int = BLOCK_COUNTS,
     """
     banded = counts.select("lang", "term", "source", "n", F.floor(F.log2("all_n")).cast("int").alias("band"))
     # stored, so that its small size is known when the join is planned and no hot band is shuffled for it
-    sizes = materialize(banded.groupBy("lang", "band").agg(F.ceil(F.count(F.lit(1)) / block).alias("buckets")), "band-sizes")
+    columns = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("columns"))
+    wanted = F.ceil(F.col("counts") / F.greatest(F.lit(block), F.col("columns") * COLUMN_COUNTS))
+    sizes = banded.groupBy("lang", "band").agg(F.count(F.lit(1)).alias("counts")).join(columns, "lang").select("lang", "band", wanted.alias("buckets"))
+    sizes = materialize(sizes, "band-sizes")
     dealt = banded.join(sizes, ["lang", "band"]).withColumn("bucket", F.pmod(F.xxhash64("term"), F.col("buckets")))
     key = ["lang", "band", "bucket"]
     encoded = dealt.groupBy(*key).applyInArrow(
         _encode_block, "lang string, band int, bucket bigint, size bigint, source string, starts array<bigint>, counts array<bigint>"
     )
     encoded = materialize(encoded, "run-lengths")
-    tiles = groups.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
+    tiles = columns.select("lang", F.ceil(F.col("columns") / tile).alias("tiles"))
     tiled = groups.where("v > 0").join(tiles, "lang").withColumn("tile", F.pmod(F.xxhash64("source"), F.col("tiles")))
     blocks = encoded.groupBy(*key).agg(F.first("size").alias("size"))  # one row a block; each meets every column of its language
     whole = blocks.join(tiled, "lang").join(encoded.drop("size"), [*key, "source"], "left")

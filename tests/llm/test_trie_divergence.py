@@ -148,6 +148,7 @@ def test_divergence_in_small_blocks_and_tiles(spark, sf, monkeypatch):
     rows = [tuple(r) for r in table(spark, sf, "documents").select("lang", "source", "text").collect()]
     docs = table(spark, sf, "documents")
     pairs = run_lengths.pair_values
+    monkeypatch.setattr(run_lengths, "COLUMN_COUNTS", 1)
     monkeypatch.setattr(run_lengths, "pair_values", lambda counts, groups: pairs(counts, groups, 40, 3))
     got = {tuple(r) for r in run_lengths.divergence(docs, least=3).select(DIVERGENCE).collect()}
     assert got == divergence_by_hand(rows, 3)
