@@ -17,13 +17,16 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from layercake.llm.common import fold, labelled_ids, ship, slices, strings
+from layercake.llm.common import fold, labelled_ids, open_array, save_array, shared_folder, ship, slices, strings
 from layercake.llm.tokenize import Memo
 from layercake.session import materialize
 
@@ -51,11 +54,35 @@ _SIGNS = "@$!|+*#"
 # --- character model ----------------------------------------------------------------------------------------------
 
 
-def count_characters(docs: DataFrame, text: str = "text") -> dict[str, int]:
-    """Character trigram counts over the lower-cased words of all texts, words set in '^' and '$'.
+@dataclass(frozen=True)
+class Characters:
+    """Where the character counts are: sorted hashes of grams and their counts, in pieces by hash; ``total`` letters."""
 
-    Tasks add up their own counts. Letters only, and what reaches the driver
-    is one count for each of the ``64`` commonest letters in third power at most.
+    folder: str = ""
+    shards: int = 0
+    total: int = 0
+
+    def get(self, key: str, default: int = 0) -> int:
+        if not self.shards:
+            return default
+        h = int(np.uint64(xxhash.xxh64_intdigest(key.encode(), 42)).astype(np.int64))
+        keys, counts = _piece(self.folder, h % self.shards)
+        at = int(np.searchsorted(keys, h))
+        return int(counts[at]) if at < len(keys) and keys[at] == h else default
+
+
+@lru_cache(maxsize=4096)
+def _piece(folder: str, shard: int) -> tuple[np.ndarray, np.ndarray]:
+    try:
+        return open_array(folder, f"keys-{shard}"), open_array(folder, f"counts-{shard}")
+    except FileNotFoundError:  # no gram has this remainder
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+def count_characters(docs: DataFrame, text: str = "text") -> Characters:
+    """Character trigram counts over the lower-cased words of all texts, words set in '^' and '$', for letters of every script.
+
+    Tasks add up their own counts; the sums lie in the shared checkpoint folder, sorted, and workers map them.
     """
 
     def run(batches):
@@ -68,45 +95,94 @@ def count_characters(docs: DataFrame, text: str = "text") -> dict[str, int]:
                     word = f"^^{word}$"
                     for i in range(len(word) - 2):
                         grams[word[i : i + 3]] += n
+            if len(grams) > 500_000:
+                yield pa.RecordBatch.from_arrays([pa.array(grams.keys(), pa.string()), pa.array(grams.values(), pa.int64())], ["g", "n"])
+                grams.clear()
         if grams:
             yield pa.RecordBatch.from_arrays([pa.array(grams.keys(), pa.string()), pa.array(grams.values(), pa.int64())], ["g", "n"])
 
+    spark = docs.sparkSession
     counts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "g string, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
     counts = materialize(counts, "character-counts")
-    letters = counts.groupBy(F.substring("g", 3, 1).alias("c")).agg(F.sum("n").alias("n")).where("c <> '$'").orderBy(F.desc("n"), "c").limit(64)
-    known = {r["c"] for r in letters.collect()} | {"^", "$"}
-    inside = F.lit(True)
-    for i in (1, 2, 3):
-        inside = inside & F.substring("g", i, 1).isin(*known)
-    return {r["g"]: r["n"] for r in counts.where(inside).collect()}
+    folder, shards = shared_folder(spark, "characters"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = lambda kind, at, n: F.concat(F.lit(kind), F.substring("g", at, n))
+    kinds = F.explode(F.array(cut("3", 1, 3), cut("b", 2, 2), cut("u", 3, 1), cut("2", 1, 2), cut("1", 2, 1)))
+    sums = counts.select(kinds.alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
+    keyed = sums.select(F.xxhash64("gram").alias("key"), "n").withColumn("shard", F.pmod("key", F.lit(shards)))
+
+    def write(batches):
+        held = [(b.column("shard").to_numpy(), b.column("key").to_numpy(), b.column("n").to_numpy()) for b in batches]
+        if held:
+            shard, key, n = (np.concatenate(x) for x in zip(*held))
+            for k in np.unique(shard):
+                save_array(folder, f"keys-{k}", key[shard == k])
+                save_array(folder, f"counts-{k}", n[shard == k])
+            yield pa.RecordBatch.from_arrays([pa.array([len(key)], pa.int64())], ["n"])
+
+    keyed.repartition(shards, "shard").sortWithinPartitions("key").mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
+    return Characters(folder, shards, counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).first()[0])
 
 
 class CharacterModel:
-    """Interpolated trigram log-probabilities of a letter after two others."""
+    """Interpolated trigram log-probabilities of a letter after two others, from ``Characters`` or a dictionary of trigram counts."""
 
-    def __init__(self, counts: dict[str, int]):
-        self.tri, self.bi, self.uni = counts, Counter(), Counter()
-        self.after2, self.after1 = Counter(), Counter()
-        for g, n in counts.items():
-            self.after2[g[:2]] += n
-            self.bi[g[1:]] += n
-            self.after1[g[1]] += n
-            self.uni[g[2]] += n
-        self.total = sum(self.uni.values())
+    def __init__(self, counts: Characters | dict[str, int]):
         self.seen: dict[str, float] = {}
+        if isinstance(counts, Characters):
+            self.count, self.total = Memo(counts.get), counts.total
+            return
+        own: Counter = Counter()
+        for g, n in counts.items():
+            for key in ("3" + g, "b" + g[1:], "u" + g[2], "2" + g[:2], "1" + g[1]):
+                own[key] += n
+        self.count, self.total = own, sum(counts.values())
 
     def __call__(self, history: str, letter: str) -> float:
         """``history``: the two letters before."""
         g = history + letter
         value = self.seen.get(g)
         if value is None:
-            p = (self.uni[letter] + 0.1) / (self.total + 10)
-            p = (self.bi[g[1:]] + 4 * p) / (self.after1[history[1]] + 4)
-            p = (self.tri.get(g, 0) + 4 * p) / (self.after2[history] + 4)
+            n = self.count.__getitem__
+            p = (n("u" + letter) + 0.1) / (self.total + 10)
+            p = (n("b" + g[1:]) + 4 * p) / (n("1" + history[1]) + 4)
+            p = (n("3" + g) + 4 * p) / (n("2" + history) + 4)
+            if len(self.seen) > 1_000_000:
+                self.seen.clear()
+                self.count.clear() if isinstance(self.count, Memo) else None
             value = self.seen[g] = math.log(p)
         return value
 
 
+class WordBonus:
+    """The log-odds that complete words get, as an automaton that the lattice carries along.
+
+    States are the beginnings of weighted words and features; a word that leaves them keeps the sum it has
+    gathered, so two paths in the same state get the same bonus whatever follows, and Viterbi stays exact.
+    """
+
+    def __init__(self, weight: dict[str, float]):
+        starts = {""} | {w[:k] for f in weight for w in [f.removeprefix("=")] for k in range(1, len(w) + 1)}
+        number = {w: i for i, w in enumerate(sorted(starts))}
+        sums = {w: sum(weight.get(w[:k], 0.0) for k in range(3, min(8, len(w)) + 1)) for w in number}
+        off = {v: len(number) + i for i, v in enumerate(sorted(set(sums.values())))}
+        self.step = {(number[w[:-1]], w[-1]): i for w, i in number.items() if w}
+        self.left = {number[w]: off[v] for w, v in sums.items()} | {i: i for i in off.values()}
+        clip = lambda x: max(0.0, min(6.0, 2.0 * x))
+        self.value = {number[w]: clip(v + weight.get("=" + w, 0.0)) for w, v in sums.items()} | {i: clip(v) for v, i in off.items()}
+        self.start = number[""]
+
+    def after(self, state: int, letter: str) -> int:
+        to = self.step.get((state, letter))
+        return self.left[state] if to is None else to
+
+
+class NoBonus:
+    start, value = 0, {0: 0.0}
+
+    def after(self, state: int, letter: str) -> int:
+        return 0
+
+
 def _written(path: tuple) -> str:
     """A path (the path before, last letter) as text."""
     letters = []
@@ -116,28 +192,21 @@ def _written(path: tuple) -> str:
     return "".join(reversed(letters))
 
 
-def _last_word(path: tuple) -> str:
-    letters = []
-    while path and path[1] != " ":
-        path, letter = path
-        letters.append(letter)
-    return "".join(reversed(letters))
-
-
-def decode_token(written: str, model: CharacterModel, bonus=None) -> str:
+def decode_token(written: str, model: CharacterModel, bonus: WordBonus | None = None) -> str:
     """Viterbi reading of written tokens (lower case): words set apart by single spaces; ties go to the reading that sorts first.
 
-    States are the last two letters read and the last letter written. Each written character may be
+    States are the last two letters read, the last letter written and the word bonus's state. Each written character may be
     itself, a letter it looks like, nothing (fillers), or a repetition of the
     letter before (once more for a double letter, else nothing). A space or a joining
     filler may also end a word and begin the next; spaces vanish at no price, and so do repetitions of a sign that vanished. ``bonus``
     gives a log-odds for a complete word, such as a word known to be one.
     """
+    bonus = bonus or NoBonus()
 
-    def closed(history, score, path):
-        return score + model(history, "$") + (bonus(_last_word(path)) if bonus else 0.0)
+    def closed(history, state, score):
+        return score + model(history, "$") + bonus.value[state]
 
-    best: dict[tuple[str, str], tuple[float, tuple]] = {("^^", ""): (0.0, ())}  # (last two letters, last written) -> score, path
+    best: dict[tuple[str, str, int], tuple[float, tuple]] = {("^^", "", bonus.start): (0.0, ())}  # state -> score, path
     for ch in written:
         space = ch.isspace()
         options = [] if space else [(x, PRICE_LOOKALIKE) for x in LOOKALIKES.get(ch, "")]
@@ -147,43 +216,104 @@ def decode_token(written: str, model: CharacterModel, bonus=None) -> str:
             options.append((ch, 0.0 if ch.isalpha() else PRICE_KEPT_SIGN))
             if ch in FILLERS or ch in _SIGNS:
                 options.append(("", PRICE_FILLER if ch in FILLERS else -1.5))
-        new: dict[tuple[str, str], tuple[float, tuple]] = {}
-        for (history, before), (score, path) in best.items():
+        new: dict[tuple[str, str, int], tuple[float, tuple]] = {}
+        for (history, before, state), (score, path) in best.items():
             for letter, price in options:
                 if letter == "":
                     if ch in _SIGNS and before == ch * 2:  # a run of one sign is one ornament
                         price = 0.0
-                    steps = [(history, before if space else ch * 2, score + price, path)]
+                    steps = [(history, before if space else ch * 2, state, score + price, path)]
                     if (space or ch in JOINERS) and history != "^^":
-                        steps.append(("^^", "", closed(history, score + price, path), (path, " ")))
+                        steps.append(("^^", "", bonus.start, closed(history, state, score + price), (path, " ")))
                 elif before == ch and history[1] == letter:
-                    steps = [(history, ch, score + PRICE_REPEAT, path)]
+                    steps = [(history, ch, state, score + PRICE_REPEAT, path)]
                     if history != letter * 2:
-                        steps.append((history[1] + letter, ch, score + price + PRICE_DOUBLE + model(history, letter), (path, letter)))
+                        steps.append((history[1] + letter, ch, bonus.after(state, letter), score + price + PRICE_DOUBLE + model(history, letter), (path, letter)))
                 else:
-                    steps = [(history[1] + letter, ch, score + price + model(history, letter), (path, letter))]
-                for to, last, value, way in steps:
-                    key = (to, last)
+                    steps = [(history[1] + letter, ch, bonus.after(state, letter), score + price + model(history, letter), (path, letter))]
+                for to, last, at, value, way in steps:
+                    key = (to, last, at)
                     old = new.get(key)
                     if old is None or value > old[0] or (value == old[0] and way is not old[1] and _written(way) < _written(old[1])):
                         new[key] = (value, way)
         best = new
-    ends = [(v[0] if k[0] == "^^" else closed(k[0], *v), _written(v[1]).strip()) for k, v in best.items()]
+    ends = [(v[0] if k[0] == "^^" else closed(k[0], k[2], v[0]), _written(v[1]).strip()) for k, v in best.items()]
     return min(ends, key=lambda x: (-x[0], x[1]))[1] if ends else ""
 
 
+class Reach:
+    """What the lattice can read at all, without prices: which features, and which words set apart into pieces."""
+
+    def __init__(self, features: set[str], whole: set[str]):
+        self.kids: list[dict[str, int]] = [{}]
+        self.hit, self.end = {0: False}, {0: False}
+        for f in features:
+            self.hit[self._add(f.removeprefix("="))] = True
+        for w in whole:
+            self.end[self._add(w)] = True
+        self.starts = Memo(lambda token: self.through(frozenset([0]), token))
+        self.more = Memo(lambda pair: self.through(*pair))
+
+    def _add(self, word: str) -> int:
+        at = 0
+        for c in word:
+            if c not in self.kids[at]:
+                self.kids[at][c] = len(self.kids)
+                self.kids.append({})
+                self.hit[len(self.kids) - 1] = self.end[len(self.kids) - 1] = False
+            at = self.kids[at][c]
+        return at
+
+    def _letters(self, at, ch: str, last: str) -> set[int]:
+        new = set()
+        for letter in (ch, *LOOKALIKES.get(ch, "")):
+            new |= {self.kids[i][letter] for i in at if letter in self.kids[i]}
+        if ch == last or ch in FILLERS or ch in _SIGNS:
+            new |= at
+        return new
+
+    def any_feature(self, written: str) -> bool:
+        """Whether some reading has a feature at the beginning of one of its words."""
+        at, last = {0}, ""
+        for ch in written:
+            if ch.isspace():
+                at = at | {0}
+                continue
+            at = self._letters(at, ch, last)
+            last = ch
+            if any(self.hit[i] for i in at):
+                return True
+            if ch in JOINERS:
+                at.add(0)
+        return False
+
+    def through(self, at: frozenset, token: str) -> frozenset:
+        """States of words that are not over yet, after one more piece."""
+        last = ""
+        for ch in token:
+            at = self._letters(at, ch, last)
+            last = ch
+            if not at:
+                break
+        return frozenset(at - {0})
+
+    def trim(self) -> None:
+        self.starts.trim()
+        self.more.trim()
+
+
 def readings(word: str, model: CharacterModel, bonus=None, within=None) -> str:
     """A lower-case token as it is read: its edges stripped and, if suspicious, decoded.
 
     Letters in a row are first cut to two, which leaves the lattice's choice as it
     is: each further one adds the same price to every path. A plain word whose only
-    suspicion is a doubled letter is decoded if ``within`` says that its shortest reading may matter.
+    suspicion is a doubled letter is decoded if ``within`` says that one of its readings may matter.
     """
     core = word.strip(_EDGES)
     if not any(x.isalpha() for x in core):
         return core.strip(_SIGNS)
     if core.isalpha() and not _STRETCHED.search(core):
-        if not _DOUBLED.search(core) or (within and not within(_DOUBLED.sub(r"\1", core))):
+        if not _DOUBLED.search(core) or (within and not within(core)):
             return core
     elif not _SUSPICIOUS.search(core):
         return core.strip(_SIGNS) if not _DOUBLED.search(core) else decode_token(core, model, bonus)
@@ -207,7 +337,7 @@ def spaced_texts(text: str) -> list[str]:
 class Model:
     """``weight``: of a feature, a whole word ('=word') or the beginning of one, for each of up to ``MOST`` words that have it."""
 
-    characters: dict[str, int]
+    characters: Characters = field(compare=False)
     weight: dict[str, float] = field(default_factory=dict)
     constant: float = 0.0
 
@@ -228,44 +358,44 @@ class Scorer:
         self.watched = model.weight if watched is None else watched
         self.known = Memo(self._known)
         self.whole = {f[1:] for f in self.watched if f[0] == "=" and (not model.weight or model.weight.get(f, 0.0) > 0)}
-        self.singled = {_DOUBLED.sub(r"\1", _STRETCHED.sub(r"\1", f)) for f in self.watched}
-        self.longest = max(map(len, self.whole), default=0)
-        self.starts = {w[:k] for w in self.whole for k in range(1, len(w))}
-
-    def _bonus(self, reading: str) -> float:
-        return max(0.0, min(6.0, 2.0 * sum(self.model.weight.get(f, 0.0) for f in word_features(reading))))
+        self.reach = Reach(set(self.watched), self.whole)
+        self.bonus = WordBonus(model.weight) if model.weight else None
 
     def read(self, word: str) -> str:
         """The words a token or a run of pieces is read as, set apart by spaces."""
-        bonus = self._bonus if self.model.weight else None
-        return decode_token(word, self.characters, bonus) if " " in word else readings(word, self.characters, bonus, self._within if self.watched else None)
-
-    def _within(self, shortest: str) -> bool:
-        """Whether a word can have a watched feature if doubled letters are read as one or two; ``shortest`` has one of each."""
-        return "=" + shortest in self.singled or any(shortest[:k] in self.singled for k in range(1, 9))
+        return decode_token(word, self.characters, self.bonus) if " " in word else readings(word, self.characters, self.bonus, self.reach.any_feature if self.watched else None)
 
     def _known(self, word: str) -> list[tuple[str, list[str]]]:
+        # a token none of whose readings has a watched feature needs no decoding: its best reading has none
+        if not self.reach.any_feature(word.strip(_EDGES)):
+            return []
         found = [(w, [f for f in word_features(w) if f in self.watched]) for w in self.read(word).split(" ")]
         return [x for x in found if x[1]]
 
     def pieces(self, tokens: list[str]) -> list[str]:
-        """Neighbouring tokens that make a watched word if joined, for the lattice to join or not."""
+        """Neighbouring tokens, disguised or not, that can be read as one watched word, for the lattice to join or not."""
         found: list[str] = []
-        if not self.starts:
+        if not self.whole:
             return found
+        starts, more, end = self.reach.starts, self.reach.more, self.reach.end
         for i, first in enumerate(tokens):
-            if not first[0].isalpha():
-                first = first.strip(_EDGES)
-            if first not in self.starts:
-                continue
-            run, joined = [first], first
-            for token in tokens[i + 1 : i + 1 + self.longest]:
-                piece = token.strip(_EDGES + _SIGNS)
+            at = starts[first]
+            if not at:
+                bare = first.strip(_EDGES)
+                at = starts[bare] if bare != first else at
+                if not at:
+                    continue
+                first = bare
+            run = [first]
+            for token in tokens[i + 1 :]:
+                piece = token.strip(_EDGES)
+                at = more[at, piece]
+                if not at:
+                    break
                 run.append(piece)
-                joined += piece
-                if joined in self.whole and len(run) > 1 and piece:
+                if any(end[k] for k in at):
                     found.append(" ".join(run))
-                if joined not in self.starts or piece != token:
+                if piece != token:
                     break
         return found
 
@@ -277,6 +407,7 @@ class Scorer:
     def features(self, text: str) -> dict[str, int]:
         """For each watched feature, how many distinct words as read have it, at most ``MOST``."""
         self.known.trim()
+        self.reach.trim()
         count: dict[str, int] = {}
         for features in {w: x for found in map(self.known.__getitem__, self.words(text)) for w, x in found}.values():
             for f in features:
@@ -381,12 +512,15 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text", limit: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, that score under ``limit``."""
-    names = docs.columns
+    shape = docs.schema
 
     def run(batches):
         scorer = Scorer(model)
-        for batch in slices(batches, "__text"):
-            clean = [scorer.score(t) < limit for t in strings(batch.column("__text"))]
-            yield batch.filter(pa.array(clean, pa.bool_())).select(names)
+        for batch in slices(batches, "text"):
+            clean = [scorer.score(t) < limit for t in strings(batch.column("text"))]
+            yield batch.filter(pa.array(clean, pa.bool_())).select(["row"])
 
-    return docs.withColumn("__text", F.col(text).cast("string")).mapInArrow(run, docs.schema)
+    ship(docs.sparkSession)
+    # the rows travel in a struct, so no column name of theirs can clash
+    whole = docs.select(F.struct(*[F.col(f"`{n.replace('`', '``')}`") for n in docs.columns]).alias("row"), F.col(text).cast("string").alias("text"))
+    return whole.mapInArrow(run, StructType([StructField("row", shape)])).select("row.*")

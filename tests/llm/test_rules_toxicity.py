@@ -1,5 +1,6 @@
 """Quality rules (op 8), toxicity (op 9), importance resampling (op 1) and license scans (op 6)."""
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -194,6 +195,86 @@ def test_decoder_is_exact(spark):
         assert got in {w for v, w in best if v < low + 1e-9}, (written, got)
 
 
+def all_readings(written, model, weight):
+    """``(value, reading)`` of every way through the lattice, by its rules spelt out, the word bonus taken from whole words."""
+
+    def bonus(word):
+        return max(0.0, min(6.0, 2.0 * sum(weight.get(f, 0.0) for f in toxicity.word_features(word))))
+
+    def closed(history, word):
+        return model(history, "$") + bonus(word)
+
+    ways = [("^^", "", "", "", 0.0)]  # history, last written, finished words, the word, value
+    for ch in written:
+        new = []
+        for history, before, done, word, value in ways:
+            options = [(x, toxicity.PRICE_LOOKALIKE) for x in toxicity.LOOKALIKES.get(ch, "")] if ch != " " else [("", 0.0)]
+            if ch != " ":
+                options.append((ch, 0.0 if ch.isalpha() else toxicity.PRICE_KEPT_SIGN))
+                if ch in toxicity.FILLERS or ch in toxicity._SIGNS:
+                    options.append(("", toxicity.PRICE_FILLER if ch in toxicity.FILLERS else -1.5))
+            for letter, price in options:
+                if letter == "":
+                    if ch in toxicity._SIGNS and before == ch * 2:
+                        price = 0.0
+                    new.append((history, before if ch == " " else ch * 2, done, word, value + price))
+                    if (ch == " " or ch in toxicity.JOINERS) and word:
+                        new.append(("^^", "", done + word + " ", "", value + price + closed(history, word)))
+                elif before == ch and history[1] == letter:
+                    new.append((history, ch, done, word, value + toxicity.PRICE_REPEAT))
+                    if history != letter * 2:
+                        new.append((history[1] + letter, ch, done, word + letter, value + price + toxicity.PRICE_DOUBLE + model(history, letter)))
+                else:
+                    new.append((history[1] + letter, ch, done, word + letter, value + price + model(history, letter)))
+        ways = new
+    return [(v + (closed(h, w) if w else 0.0), (d + w).strip()) for h, _, d, w, v in ways]
+
+
+def test_decoder_is_exact_with_bonus_spaces_and_repeats():
+    model = toxicity.CharacterModel({"^^v": 3, "^vi": 2, "vil": 2, "ile": 2, "le$": 2, "^vl": 4, "vll": 3, "lle": 2, "^^a": 2, "^ab": 2, "abe": 1, "be$": 1})
+    weight = {"=vile": 2.0, "vil": 0.4, "abe": -0.5, "=able": 1.5, "abl": 0.2, "=vi": 0.7}
+    bonus = toxicity.WordBonus(weight)
+    for written in ("v1le", "v*le", "v1 le", "v.i.l.e", "vv11lle", "a8le", "@b!e", "vi1e_ab|e", "v i l e a", "vile$$", "a--b  le", "v11le"):
+        ways = all_readings(written, model, weight)
+        top = max(v for v, _ in ways)
+        assert toxicity.decode_token(written, model, bonus) in {w for v, w in ways if v > top - 1e-9}, written
+    assert toxicity.decode_token("v1le", model, bonus) == "vile"
+
+
+def test_undecoded_tokens_have_no_watched_feature(spark, toxic_corpus):
+    """What is left undecoded because no reading can matter gives the same features when decoded."""
+    scorer = toxicity.Scorer(toxicity.fit(*toxic_corpus[:2]))
+    pick = random.Random(2)
+    for _ in range(3000):
+        word = "".join(pick.choice("vilenastyrotten1$@!.*- _0xx") for _ in range(pick.randrange(1, 9))).strip()
+        if word:
+            found = [(w, [f for f in toxicity.word_features(w) if f in scorer.watched]) for w in scorer.read(word).split(" ")]
+            assert scorer._known(word) == [x for x in found if x[1]], word
+
+
+def test_disguised_pieces_are_joined(spark, toxic_corpus):
+    docs, labels, plain = toxic_corpus
+    scorer = toxicity.Scorer(toxicity.fit(docs, labels))
+    for written in ("v1 le", "n4 sty", "na $ty", "r0t ten", "v! 1e"):
+        assert any(w in WORDS for x in scorer.words(written) for w in scorer.read(x).split(" ")), written
+        assert scorer.score(plain + " " + written) > scorer.score(plain)
+
+
+def test_characters_of_every_script_are_counted(spark):
+    letters = [chr(0x4E00 + i) for i in range(300)]
+    docs = spark.createDataFrame([(a + b,) for a, b in zip(letters, letters[1:])], "text string")
+    stored, plain = toxicity.count_characters(docs), toxicity.CharacterModel({f"^{a}{b}": 1 for a, b in zip(letters, letters[1:])})
+    assert stored.total == 3 * 299
+    for a, b in zip(letters, letters[1:]):
+        assert stored.get("3^" + a + b) == 1 == plain.count["3^" + a + b] and stored.get("3" + b + a + "x") == 0
+
+
+def test_clashing_names_stay(spark, toxic_corpus):
+    docs = toxic_corpus[0].limit(40).selectExpr("*", "'mine' as __text", "map(1, 2) as row")
+    kept = toxicity.keep_clean(docs, toxicity.fit(*toxic_corpus[:2]))
+    assert kept.columns == docs.columns and {r["__text"] for r in kept.collect()} == {"mine"}
+
+
 # --- importance resampling ----------------------------------------------------------------------------------------
 
 
