@@ -39,6 +39,7 @@ LOOKALIKES = {
 FILLERS = ".-_*~'’"
 #: Fillers and signs that may stand for the end of a word (fixed values).
 JOINERS = ".-_~"
+_REOPENED = re.compile(r"[.\-_~\s]")
 PRICE_LOOKALIKE, PRICE_KEPT_SIGN, PRICE_FILLER, PRICE_REPEAT, PRICE_DOUBLE = -0.7, -6.0, -0.4, -0.3, -0.1
 
 _DOUBLED = re.compile(r"([^\W\d_])\1")
@@ -251,8 +252,11 @@ class Reach:
             self.hit[self._add(f.removeprefix("="))] = True
         for w in whole:
             self.end[self._add(w)] = True
-        self.starts = Memo(lambda token: self.through(frozenset([0]), token))
+        self.first = {f.removeprefix("=")[:3] for f in features}
+        self.starts = Memo(lambda token: self.through(frozenset([0]), token if token[0].isalpha() else token.strip(_EDGES)))
         self.more = Memo(lambda pair: self.through(*pair))
+        # sets of states by number, and the moves between them as they are met
+        self.sets, self.number, self.moves = [frozenset(), frozenset([0])], {frozenset(): 0, frozenset([0]): 1}, {}
 
     def _add(self, word: str) -> int:
         at = 0
@@ -272,19 +276,36 @@ class Reach:
             new |= at
         return new
 
+    def _move(self, state: int, ch: str, again: bool) -> int:
+        """The next set of states; -1 if a feature is reached."""
+        at = self.sets[state]
+        if ch.isspace():
+            at = at | {0}
+        else:
+            at = frozenset(self._letters(at, ch, ch if again else ""))
+            if any(self.hit[i] for i in at):
+                return -1
+            if ch in JOINERS:
+                at = at | {0}
+        if at not in self.number:
+            self.number[at] = len(self.sets)
+            self.sets.append(at)
+        return self.number[at]
+
     def any_feature(self, written: str) -> bool:
         """Whether some reading has a feature at the beginning of one of its words."""
-        at, last = {0}, ""
-        for ch in written:
-            if ch.isspace():
-                at = at | {0}
-                continue
-            at = self._letters(at, ch, last)
-            last = ch
-            if any(self.hit[i] for i in at):
+        state, last, moves = 1, "", self.moves
+        for i, ch in enumerate(written):
+            key = (state, ch, ch == last)
+            state = moves.get(key)
+            if state is None:
+                state = moves[key] = self._move(*key)
+            if state < 0:
                 return True
-            if ch in JOINERS:
-                at.add(0)
+            if not state and not _REOPENED.search(written, i):
+                return False
+            if not ch.isspace():
+                last = ch
         return False
 
     def through(self, at: frozenset, token: str) -> frozenset:
@@ -300,6 +321,8 @@ class Reach:
     def trim(self) -> None:
         self.starts.trim()
         self.more.trim()
+        if len(self.moves) > 500_000:
+            self.moves.clear()
 
 
 def readings(word: str, model: CharacterModel, bonus=None, within=None) -> str:
@@ -378,15 +401,9 @@ class Scorer:
         if not self.whole:
             return found
         starts, more, end = self.reach.starts, self.reach.more, self.reach.end
-        for i, first in enumerate(tokens):
-            at = starts[first]
-            if not at:
-                bare = first.strip(_EDGES)
-                at = starts[bare] if bare != first else at
-                if not at:
-                    continue
-                first = bare
-            run = [first]
+        for i in [i for i, token in enumerate(tokens) if starts[token]]:
+            first = tokens[i]
+            at, run = starts[first], [first if first[0].isalpha() else first.strip(_EDGES)]
             for token in tokens[i + 1 :]:
                 piece = token.strip(_EDGES)
                 at = more[at, piece]
@@ -409,7 +426,10 @@ class Scorer:
         self.known.trim()
         self.reach.trim()
         count: dict[str, int] = {}
-        for features in {w: x for found in map(self.known.__getitem__, self.words(text)) for w, x in found}.values():
+        # a plain word without doubled letters is its own reading
+        first = self.reach.first
+        words = [w for w in self.words(text) if w[:3] in first or not w.isalpha() or _DOUBLED.search(w)]
+        for features in {w: x for found in map(self.known.__getitem__, words) for w, x in found}.values():
             for f in features:
                 count[f] = min(MOST, count.get(f, 0) + 1)
         return count
