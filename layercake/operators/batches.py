@@ -71,6 +71,42 @@ def global_row_number(
     )
 
 
+#: Splits whose starting positions may be broadcast (a path and two numbers each).
+_BROADCAST_SPLITS = 200_000
+
+
+def file_row_number(read: DataFrame, name: str = ROW_NUMBER) -> DataFrame:
+    """1-based position of every row of files as they lie: by path, then place in the file.
+
+    ``read`` is a plain scan (``spark.read...load(path)``). Nothing is sorted, shuffled or copied: a row's place in its split comes from the
+    scan itself, and the splits' starts are running sums over one row a split, counted by a scan that reads no
+    column (footers only for parquet). Splits depend on the files and the session's settings only, so a lost task finds its rows again.
+    """
+    split = [F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__at")]
+    counts = read.select(*split).groupBy("__path", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    counts = materialize(counts, "split-counts")
+    running = Window.orderBy("__path", "__block").rowsBetween(Window.unboundedPreceding, 0)  # one row a split
+    starts = counts.select(F.col("__path").alias("__p"), F.col("__block").alias("__b"), (F.sum("__n").over(running) - F.col("__n") - F.col("__first")).alias("__shift"))
+    if counts.count() <= _BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
+    rows = read.select(*[c(x) for x in read.columns], *split).join(starts, (F.col("__path") == F.col("__p")) & (F.col("__block") == F.col("__b")))
+    return rows.select(*[c(x) for x in read.columns], (F.col("__at") + F.col("__shift") + 1).alias(name))
+
+
+def _by_cuts(numbered: DataFrame, cuts: Sequence[int], name: str, keep_row_number: bool) -> DataFrame:
+    cuts = sorted(int(x) for x in cuts)
+    batch = F.lit(len(cuts) + 1)
+    for i, cut in reversed(list(enumerate(cuts))):
+        batch = F.when(F.col(ROW_NUMBER) <= cut, F.lit(i + 1)).otherwise(batch)
+    out = numbered.withColumn(name, batch.cast("int"))
+    return out if keep_row_number else out.drop(ROW_NUMBER)
+
+
+def assign_file_batches(read: DataFrame, cuts: Sequence[int], name: str = BATCH_ID, keep_row_number: bool = False) -> DataFrame:
+    """``batch_id`` by position in the files (F3), see ``file_row_number``; cuts as in ``assign_batches``."""
+    return _by_cuts(file_row_number(read), cuts, name, keep_row_number)
+
+
 def assign_batches(
     df: DataFrame,
     order_cols: Sequence[str],
@@ -81,13 +117,7 @@ def assign_batches(
     """``batch_id`` 1..len(cuts)+1 by global position; a cut point belongs to
     the batch on its left (``<= a``, ``(a, b]``, ``> b``).
     """
-    cuts = sorted(int(x) for x in cuts)
-    numbered = global_row_number(df, order_cols)
-    batch = F.lit(len(cuts) + 1)
-    for i, cut in reversed(list(enumerate(cuts))):
-        batch = F.when(F.col(ROW_NUMBER) <= cut, F.lit(i + 1)).otherwise(batch)
-    out = numbered.withColumn(name, batch.cast("int"))
-    return out if keep_row_number else out.drop(ROW_NUMBER)
+    return _by_cuts(global_row_number(df, order_cols), cuts, name, keep_row_number)
 
 
 def unreleased_batches(batches: DataFrame, released: DataFrame, name: str = BATCH_ID) -> DataFrame:

@@ -188,6 +188,40 @@ def distinct_metrics(df: DataFrame) -> DataFrame:
     return total.select(F.coalesce("__r", F.lit(0)).cast("long").alias(ROWS), F.coalesce("__d", F.lit(0)).cast("long").alias(DISTINCT))
 
 
+def grouping_metrics(df: DataFrame, key_sets: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """One lazy row for A5 and all A6 key sets of a table: ``_rows``, ``_distinct``, and for each key set i
+    ``_groups_<i>`` (keys that occur more than once) and ``_extra_<i>`` (rows beyond the first).
+
+    The table is read once and expanded by key set; copies are counted before
+    the one shuffle that all groupings share, so hot keys collapse there. Keys are compared
+    as they are, NULLs equal. Whole rows are compared by a 128-bit hash (two 64-bit hashes of different
+    beginnings): among 10^12 rows one wrong match has a chance of about 10^-15; ``distinct_metrics`` compares the rows themselves.
+    """
+    key_sets = [list(k) for k in key_sets]
+    for keys in key_sets:
+        require_columns(df, keys, "Key columns")
+    row = [F.struct(F.lit(i), c(n).isNull(), c(n)) for i, n in enumerate(df.columns)]
+    names = sorted({k for keys in key_sets for k in keys})
+    hashes = [F.xxhash64(F.lit(seed), *row).alias(f"__h{seed}") for seed in (1, 2)]
+    sources = df.select(*hashes, *[c(n).alias(f"__k{i}") for i, n in enumerate(names)])
+    columns = sources.columns
+    sets = [["__h1", "__h2"], *[[f"__k{names.index(k)}" for k in dict.fromkeys(keys)] for keys in key_sets]]
+
+    def number(wanted: list[str]) -> int:
+        return sum(1 << (len(columns) - 1 - i) for i, n in enumerate(columns) if n not in wanted)
+
+    counted = sources.groupingSets(list({number(x): x for x in sets}.values()), *columns).agg(
+        F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set")
+    )
+    zero = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("long")
+    mine = F.col("__set") == number(sets[0])
+    out = [zero(F.when(mine, F.col("__n"))).alias(ROWS), F.count_if(mine).alias(DISTINCT)]
+    for i, wanted in enumerate(sets[1:]):
+        again = (F.col("__set") == number(wanted)) & (F.col("__n") > 1)
+        out += [F.count_if(again).alias(f"_groups_{i}"), zero(F.when(again, F.col("__n") - 1)).alias(f"_extra_{i}")]
+    return counted.agg(*out)
+
+
 def exact_duplicates(df: DataFrame, table_name: str) -> DataFrame:
     """Rows minus distinct rows; NULLs compare equal (A5), see ``distinct_metrics``."""
     return distinct_metrics(df).select(

@@ -5,9 +5,9 @@
     table_name, check_name, check_type, columns_checked, total_rows,
     failed_rows, pass_percentage, status, details
 
-Per table, one aggregation yields row count, exact-duplicate count, NULL
-counts of required columns and business-rule violations; each key set adds
-one grouped count (map-side partial, so hot keys are harmless); cross-table
+Per table, one aggregation yields row count, NULL
+counts of required columns and business-rule violations, and one expanded pass with one shuffle the exact duplicates
+and the duplicates of every key set (partial counts first, so hot keys are harmless); cross-table
 checks are anti joins, the temporal version match and one window, each
 reduced to a one-row failed count. These rows are merged (union + max) into
 one metrics row per table and exploded into check rows; pass percentage and
@@ -31,8 +31,7 @@ from layercake.operators.integrity import orphan_rows
 from layercake.operators.profile import (
     DISTINCT,
     ROWS,
-    distinct_metrics,
-    key_groups,
+    grouping_metrics,
     merge_rows,
     null_alias,
     rule_alias,
@@ -183,9 +182,8 @@ def _table_checks(
 
     dated = [F.count(c(vm.date)).alias(f"_dated_{j}") for j, vm in enumerate(versions)]
     main = table_metrics(df, suite.required, rules, extra=dated)
-    parts = [main, distinct_metrics(df).select(DISTINCT)]
-    for i, keys in enumerate(key_sets):
-        parts.append(key_groups(df, keys).select(F.col("duplicate_key_rows").alias(f"_dupk_{i}")))
+    grouped = grouping_metrics(df, key_sets)
+    parts = [main, grouped.select(DISTINCT, *[F.col(f"_extra_{i}").alias(f"_dupk_{i}") for i in range(len(key_sets))])]
     for i, ref in enumerate(references):
         orphans = orphan_rows(df.select(c(ref.column)), tables[ref.table], ref.column, ref.table_column or ref.column,
                               ref.ignore_null_keys)

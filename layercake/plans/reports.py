@@ -19,8 +19,7 @@ from layercake.operators.profile import (
     DISTINCT,
     ROWS,
     completeness_columns,
-    distinct_metrics,
-    key_groups,
+    grouping_metrics,
     merge_rows,
     null_details_json,
     table_metrics,
@@ -115,17 +114,18 @@ def layer_row(pair: LayerPair) -> DataFrame:
     exact duplicates, and duplicate groups/rows on the (renamed) dedupe keys."""
     target = pair.target
     cols = target.columns
-    base = merge_rows([table_metrics(target), distinct_metrics(target).select(DISTINCT)])
+    keys = list(pair.dedupe_keys)
+    grouped = grouping_metrics(target, [keys] if keys else [])
+    repeats = [F.col("_groups_0"), F.col("_extra_0")] if keys else [F.lit(0).cast("long")] * 2
+    grouped = grouped.select(DISTINCT, repeats[0].alias("duplicate_key_groups"), repeats[1].alias("duplicate_key_rows"))
+    base = merge_rows([table_metrics(target), grouped, pair.source.agg(F.count(F.lit(1)).alias("source_row_count"))])
     metrics = base.select(
+        "source_row_count", "duplicate_key_groups", "duplicate_key_rows",
         *completeness_columns(cols),
         (F.col(ROWS) - F.col(DISTINCT)).alias("exact_duplicate_rows"),
         null_details_json(cols, "shares").alias("null_details"),
     )
-    keys = list(pair.dedupe_keys)
-    groups = key_groups(target, keys).select("duplicate_key_groups", "duplicate_key_rows")
-    source = pair.source.agg(F.count(F.lit(1)).alias("source_row_count"))
-    merged = merge_rows([source, metrics, groups])
-    return merged.select(
+    return metrics.select(
         F.lit(pair.table_name).alias("table_name"),
         F.lit(pair.source_table).alias("source_table"),
         "source_row_count",

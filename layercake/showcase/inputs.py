@@ -256,3 +256,10 @@ PURCHASES_TEXT_KEY = (
     "ELSE concat('00', CAST(user_id AS STRING)) END AS user_key",
     "CAST(ts AS DATE) AS event_date",
 )
+
+# documents as CSV lines: a field missing, one too many, an unreadable number
+DOCUMENT_LINE = (
+    "concat(CASE WHEN doc_id % 29 = 0 THEN 'x' ELSE '' END, CAST(doc_id AS STRING), ',', lang, ',', hex(text), "
+    "CASE WHEN doc_id % 17 = 0 THEN '' ELSE concat(',', CAST(n_chars AS STRING)) END, "
+    "CASE WHEN doc_id % 23 = 0 THEN ',more' ELSE '' END)"
+)

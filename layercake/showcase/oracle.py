@@ -600,6 +600,37 @@ def oracle_sql() -> dict[str, str]:
         "(SELECT count(*) FROM part), (SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE part)), 2")
     q["masked_view"] = q["star_customers_secure"]
     q["star_increment"] = q["star_report"]
+    q["intake_streams"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS source, count(*) * {int(t != 'supplier')} AS first_rows, {'true' if t == 'supplier' else 'false'} AS first_rows_failed, "
+        f"0::BIGINT AS again_rows, {'true' if t == 'supplier' else 'false'} AS again_rows_failed FROM {t}"
+        for t in ("customer", "part", "orders", "lineitem", "supplier", "nation")
+    )
+    # a line with a field too few and one too many has the right number again, but no number at its end
+    bad = "(doc_id % 17 = 0 OR doc_id % 23 = 0 OR doc_id % 29 = 0)"
+    q["checked_intake"] = f"""
+        SELECT CASE WHEN NOT {bad} THEN doc_id END AS doc_id, CASE WHEN NOT {bad} THEN lang END AS lang, CASE WHEN NOT {bad} THEN text END AS text,
+               CASE WHEN NOT {bad} THEN n_chars END AS n_chars, CASE WHEN {bad} THEN {I.DOCUMENT_LINE} END AS line,
+               count(*) OVER () AS rows_read, count(*) FILTER ({bad}) OVER () AS rows_rejected
+        FROM documents"""
+    padded = _from("orders", I.ORDERS_PADDED)
+    q["publish_atomic"] = f"""
+        SELECT o_orderkey, o_orderpriority, o_orderstatus, 1 AS step FROM {padded}
+        UNION ALL SELECT o_orderkey, NULLIF(trim(o_orderpriority), ''), NULLIF(trim(o_orderstatus), ''), 2 FROM {padded}"""
+    q["release_concurrent"] = """
+        SELECT batch_id, 1::BIGINT AS times_taken, count(*) AS rows_landed, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+        FROM (SELECT o_orderkey, CAST(1 + least(4, (row_number() OVER (ORDER BY o_orderkey) - 1) // 2000) AS INTEGER) AS batch_id FROM orders) GROUP BY batch_id"""
+    q["assign_batches_file_order"] = """
+        SELECT o_orderkey, row_number, CASE WHEN row_number <= 6000 THEN 1 WHEN row_number <= 12000 THEN 2 ELSE 3 END AS batch_id
+        FROM (SELECT o_orderkey, row_number() OVER () AS row_number FROM orders)"""
+    q["read_by_header"] = """
+        SELECT c_custkey, c_name, CAST(CASE WHEN c_custkey % 3 <> 1 THEN c_nationkey END AS BIGINT) AS c_nationkey,
+               CASE WHEN c_custkey % 3 <> 2 THEN c_mktsegment END AS c_mktsegment FROM customer"""
+    q["raw_csv_inferred"] = "SELECT * EXCLUDE (l_shipdate), 'int,int,int,int,double,double,double,double,string,string' AS inferred_types FROM lineitem"
+    q["column_contracts"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, '{t} missing: [''{t}_note'', ''checked_at'']' AS message FROM {t}"
+        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+                  "pages", "benchmark", "labels", "conversations")
+    )
     q["ingest_increment"] = ("SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_date, props, "
                              "(SELECT count(*) FROM events) AS rows_ingested FROM events")
     return q

@@ -700,23 +700,158 @@ def q_masked_view(spark, sf):
 
 
 def q_star_increment(spark, sf):
-    """The star report after two increments of every source's landing folder."""
-    from layercake.plans.layers import folder_store, run_increment
+    """The star report after three increments of every source's landing folder, each recomputing the keys it touches."""
+    from layercake.plans.catalog import RAW_SCHEMAS
+    from layercake.plans.incremental import IncrementalStar, run_keyed_increment
+    from layercake.plans.layers import STAR_SUITES
     from layercake.session import scratch_path
     from layercake.sources.sinks import LOSSLESS_CSV
+    from layercake.streaming.intake import Intake
 
     raw = star_raw(spark, sf)
-    landing = {s: scratch_path(spark, f"land-{s}") for s in raw}
-    sinks = {s: scratch_path(spark, f"sink-{s}") for s in raw}
-    for part in (0, 1):
-        for source, df in raw.items():
-            some = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-            some = some.filter(F.pmod(F.xxhash64(*some.columns), F.lit(2)) == part)
-            some.write.mode("append").options(**LOSSLESS_CSV).csv(landing[source])
-        counts, out = run_increment(
-            spark, landing, sinks, as_of=STAR_AS_OF, store=folder_store(), options=LOSSLESS_CSV, reports=("diagnostic_gold",) if part else ()
-        )
-    return out["diagnostic_gold"]
+    star = IncrementalStar(spark, scratch_path(spark, "star"), buckets=8, as_of=STAR_AS_OF)
+    jobs = [Intake(s, scratch_path(spark, f"land-{s}"), scratch_path(spark, f"sink-{s}"), RAW_SCHEMAS[s], LOSSLESS_CSV) for s in raw]
+    text = {s: df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]) for s, df in raw.items()}
+    parts = {s: materialize(df.withColumn("__part", F.pmod(F.xxhash64(*df.columns), F.lit(3))), f"raw-{s}") for s, df in text.items()}
+    for part in (0, 1, 2):
+        for job in jobs:
+            parts[job.name].where(F.col("__part") == part).drop("__part").write.mode("append").options(**LOSSLESS_CSV).csv(job.folder)
+        run_keyed_increment(star, jobs)
+    tables = star.tables()
+    return quality_report({n: tables.get(n) for n in STAR_SUITES}, STAR_SUITES, as_of=STAR_AS_OF, spark=spark)
+
+
+def q_intake_streams(spark, sf):
+    """Six sources taken in at once, one of them broken, and once more without new files."""
+    from layercake.plans.catalog import raw_string_schema
+    from layercake.session import scratch_path
+    from layercake.streaming.intake import Intake, outcome_rows, run_streams
+
+    base, jobs = scratch_path(spark, "intake"), []
+    for name in ("customer", "part", "orders", "lineitem", "supplier", "nation"):
+        df = load(spark, sf, name)
+        df.write.option("header", True).csv(f"{base}/{name}")
+        columns = df.columns[:-1] if name == "supplier" else df.columns  # a column short: strict reading fails
+        jobs.append(Intake(name, f"{base}/{name}", f"{base}/sink-{name}", raw_string_schema(*columns), {"mode": "FAILFAST"} if name == "supplier" else {}))
+    first, again = outcome_rows(spark, run_streams(spark, jobs)), outcome_rows(spark, run_streams(spark, jobs))
+    kept = lambda df, name: df.select("source", F.col("rows").alias(name), F.col("error").isNotNull().alias(f"{name}_failed"))
+    return kept(first, "first_rows").join(kept(again, "again_rows"), "source")
+
+
+def q_checked_intake(spark, sf):
+    """Documents as CSV lines, some of them malformed, through a file stream that keeps those apart."""
+    from layercake.session import scratch_path
+    from layercake.streaming.intake import Intake, read_checked_sink, run_streams
+
+    landing, sink = scratch_path(spark, "landing"), scratch_path(spark, "sink")
+    load(spark, sf, "documents").selectExpr(f"{I.DOCUMENT_LINE} AS value").write.text(landing)
+    schema = spark.createDataFrame([], "doc_id bigint, lang string, text_hex string, n_chars bigint").schema
+    outcome = run_streams(spark, [Intake("documents", landing, sink, schema, {"header": "false", "maxCharsPerColumn": "-1"}, rejects=True)])[0]
+    found = read_checked_sink(spark, sink, schema)
+    kept = found.kept.select("doc_id", "lang", F.decode(F.unhex("text_hex"), "UTF-8").alias("text"), "n_chars", F.lit(None).cast("string").alias("line"))
+    rejected = found.rejected.select(*[F.lit(None).cast(t).alias(n) for n, t in kept.dtypes[:-1]], F.col("_line").alias("line"))
+    counts = [F.lit(outcome.rows).alias("rows_read"), F.lit(outcome.rejected).alias("rows_rejected")]
+    return kept.unionByName(rejected).select("*", *[x.cast("bigint") for x in counts])
+
+
+def q_publish_atomic(spark, sf):
+    """A table published, published again by a job that dies between writing and the swap, and then by one that does not."""
+    from layercake.session import scratch_path
+    from layercake.sources.versioned import VersionedStore, publish_atomic
+
+    root = scratch_path(spark, "published")
+    publish_atomic(orders_padded(spark, sf), root, "orders")
+
+    def dies():
+        raise RuntimeError("lost before the swap")
+
+    cleaned = trim_nullify(orders_padded(spark, sf))
+    try:
+        publish_atomic(cleaned, root, "orders", before_swap=dies)
+    except RuntimeError:
+        pass
+    store = VersionedStore(spark, root)
+    after_loss = store.read("orders")  # pinned to the version of now
+    publish_atomic(cleaned, root, "orders", check_schema=True)
+    return after_loss.withColumn("step", F.lit(1)).unionByName(store.read("orders").withColumn("step", F.lit(2)))
+
+
+def q_release_concurrent(spark, sf):
+    """Two releasers at once over all batches: how often each batch was taken, and the rows that landed."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from layercake.operators.batches import assign_batches as batches
+    from layercake.session import scratch_path
+    from layercake.sources.sinks import LOSSLESS_CSV, write_batches
+    from layercake.sources.tables import release_batch
+
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    exported = write_batches(batches(orders, ["o_orderkey"], [2000, 4000, 6000, 8000]), scratch_path(spark, "export"))
+    landing, log = scratch_path(spark, "landing"), scratch_path(spark, "release-log")
+
+    def work(_):
+        taken = []
+        while (batch := release_batch(spark, exported, landing, log)) is not None:
+            taken.append(batch)
+        return taken
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        taken = spark.createDataFrame([(b,) for mine in pool.map(work, range(2)) for b in mine], "batch_id int")
+    landed = spark.read.schema("o_orderkey bigint, o_custkey bigint, batch_id int").options(**LOSSLESS_CSV).csv(landing)
+    landed = landed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows_landed"), F.sum("o_orderkey").alias("key_sum"))
+    return taken.groupBy("batch_id").agg(F.count(F.lit(1)).alias("times_taken")).join(landed, "batch_id", "full")
+
+
+def q_assign_batches_file_order(spark, sf):
+    from layercake.operators.batches import assign_file_batches
+
+    return assign_file_batches(load(spark, sf, "orders"), [6000, 12000], keep_row_number=True).select("o_orderkey", "row_number", "batch_id")
+
+
+def q_read_by_header(spark, sf):
+    """Customer files with columns in another order, columns missing and columns that the schema does not know."""
+    from layercake.plans.catalog import raw_string_schema
+    from layercake.session import scratch_path
+    from layercake.sources.csv import read_csv_by_header
+
+    cust = load(spark, sf, "customer")
+    path = scratch_path(spark, "by-header")
+    layouts = (("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), ("C_NAME", "c_mktsegment", "c_custkey"), ("c_acctbal", "c_nationkey", "c_custkey", "c_name"))
+    for part, columns in enumerate(layouts):
+        cust.where(F.col("c_custkey") % 3 == part).select(*[F.col(c).alias(c) for c in columns]).write.mode("append").option("header", True).csv(path)
+    raw = read_csv_by_header(spark, path, raw_string_schema("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    return raw.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", F.col("c_nationkey").cast("bigint").alias("c_nationkey"), "c_mktsegment")
+
+
+def q_raw_csv_inferred(spark, sf):
+    """All line items through CSV files whose types are inferred."""
+    from layercake.session import scratch_path
+    from layercake.sources.csv import read_raw_csv
+
+    path = scratch_path(spark, "csv-inferred")
+    items = load(spark, sf, "lineitem").drop("l_shipdate")
+    items.write.option("header", True).csv(path)
+    back = read_raw_csv(spark, path)
+    return back.select(*[F.col(n).cast(t).alias(n) for n, t in items.dtypes], F.lit(",".join(t for _, t in back.dtypes)).alias("inferred_types"))
+
+
+def q_column_contracts(spark, sf):
+    """What the column contract of every table says about a list of names that it has only in part."""
+    from layercake.operators.rules import require_columns
+
+    found = []
+    for name in TABLES:
+        df = load(spark, sf, name)
+        try:
+            require_columns(df, [*df.columns, f"{name}_note", "checked_at"], name)
+            message = None
+        except ValueError as exc:
+            message = str(exc)
+        found.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count", F.lit(message).alias("message")))
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -782,4 +917,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_sources": q_ingest_sources,
     "masked_view": q_masked_view,
     "star_increment": q_star_increment,
+    "intake_streams": q_intake_streams,
+    "checked_intake": q_checked_intake,
+    "publish_atomic": q_publish_atomic,
+    "release_concurrent": q_release_concurrent,
+    "assign_batches_file_order": q_assign_batches_file_order,
+    "read_by_header": q_read_by_header,
+    "raw_csv_inferred": q_raw_csv_inferred,
+    "column_contracts": q_column_contracts,
 }

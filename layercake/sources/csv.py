@@ -13,7 +13,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 RESCUE_COLUMN = "_rescued_data"
 
@@ -38,6 +39,57 @@ def read_raw_csv(
     return df
 
 
+def read_csv_by_header(
+    spark: SparkSession, folder: str, schema: StructType, options: Mapping[str, str] | None = None, ignore_case: bool = True,
+) -> DataFrame:
+    """CSV files of a folder bound by the names in their headers (S1), whatever the order of their columns.
+
+    A column that a file lacks is NULL, one that the schema lacks is left out. Each
+    file's header line is read on its own (a few bytes a file, by some threads of the driver); files with
+    the same header are one scan, so the plan has as many scans as there are different headers.
+    A header that names a column twice is an error.
+    """
+    import csv as lines
+    import io
+    from concurrent.futures import ThreadPoolExecutor
+
+    options = dict(options or {})
+    base = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted(
+        s.getPath().toString() for s in fs.listStatus(base) if s.isFile() and s.getLen() and not s.getPath().getName().startswith(("_", "."))
+    )
+
+    def header(path: str) -> tuple[str, ...]:
+        first = spark.read.options(**{"lineSep": "\n"}).text(path).limit(1).collect()
+        found = next(lines.reader(io.StringIO(first[0][0]), delimiter=options.get("sep", ",")), [])
+        return tuple(x.strip().lstrip("\ufeff") for x in found)
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(header, files))
+    fold = str.lower if ignore_case else str
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, names in zip(files, headers):
+        groups.setdefault(names, []).append(path)
+    parts = []
+    for names, paths in sorted(groups.items()):
+        places = [fold(n) for n in names]
+        twice = {n for n in places if places.count(n) > 1}
+        if twice:
+            raise ValueError(f"{paths[0]} names columns twice: {sorted(twice)}")
+        by_place = StructType([StructField(f"_c{i}", StringType(), True) for i in range(len(names))])
+        df = spark.read.options(**options).option("header", True).schema(by_place).csv(paths)
+        parts.append(df.select(*[
+            (F.col(f"_c{places.index(fold(f.name))}") if fold(f.name) in places else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+        ]))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def source_name(path: str) -> str:
     """File name lower-cased with a case-insensitive ``.csv`` suffix removed."""
     base = os.path.basename(path.rstrip("/"))
