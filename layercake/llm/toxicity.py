@@ -87,20 +87,26 @@ def count_characters(docs: DataFrame, text: str = "text") -> Characters:
     """
 
     def run(batches):
-        grams: Counter = Counter()
-        for batch in slices(batches, "text"):
-            words = Counter(" ".join(strings(batch.column("text"))).lower().split())
+        words: Counter = Counter()
+
+        def out():
+            grams: dict[str, int] = {}
             for word, n in words.items():
                 word = word.strip(_EDGES + _SIGNS)
                 if word.isalpha():
                     word = f"^^{word}$"
                     for i in range(len(word) - 2):
-                        grams[word[i : i + 3]] += n
-            if len(grams) > 500_000:
-                yield pa.RecordBatch.from_arrays([pa.array(grams.keys(), pa.string()), pa.array(grams.values(), pa.int64())], ["g", "n"])
-                grams.clear()
-        if grams:
-            yield pa.RecordBatch.from_arrays([pa.array(grams.keys(), pa.string()), pa.array(grams.values(), pa.int64())], ["g", "n"])
+                        g = word[i : i + 3]
+                        grams[g] = grams.get(g, 0) + n
+            words.clear()
+            return pa.RecordBatch.from_arrays([pa.array(grams.keys(), pa.string()), pa.array(grams.values(), pa.int64())], ["g", "n"])
+
+        for batch in slices(batches, "text"):
+            words.update(" ".join(strings(batch.column("text"))).lower().split())
+            if len(words) > 1_000_000:
+                yield out()
+        if words:
+            yield out()
 
     spark = docs.sparkSession
     counts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "g string, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
@@ -253,6 +259,9 @@ class Reach:
         for w in whole:
             self.end[self._add(w)] = True
         self.first = {f.removeprefix("=")[:3] for f in features}
+        # how written words of letters alone can begin: the next letter, or the first one once more
+        begin = lambda of: {x for w in of for x in (w[:1], w[:2], w[:1] * 2)}
+        self.begin, self.begin_whole = begin({f.removeprefix("=") for f in features}), begin(whole)
         self.starts = Memo(lambda token: self.through(frozenset([0]), token if token[0].isalpha() else token.strip(_EDGES)))
         self.more = Memo(lambda pair: self.through(*pair))
         # sets of states by number, and the moves between them as they are met
@@ -401,7 +410,8 @@ class Scorer:
         if not self.whole:
             return found
         starts, more, end = self.reach.starts, self.reach.more, self.reach.end
-        for i in [i for i, token in enumerate(tokens) if starts[token]]:
+        begin = self.reach.begin_whole
+        for i in [i for i, token in enumerate(tokens) if (token[:2] in begin or not token[:2].isalpha()) and starts[token]]:
             first = tokens[i]
             at, run = starts[first], [first if first[0].isalpha() else first.strip(_EDGES)]
             for token in tokens[i + 1 :]:
@@ -427,8 +437,8 @@ class Scorer:
         self.reach.trim()
         count: dict[str, int] = {}
         # a plain word without doubled letters is its own reading
-        first = self.reach.first
-        words = [w for w in self.words(text) if w[:3] in first or not w.isalpha() or _DOUBLED.search(w)]
+        first, begin = self.reach.first, self.reach.begin
+        words = [w for w in self.words(text) if w[:3] in first or not w.isalpha() or (w[:2] in begin and _DOUBLED.search(w))]
         for features in {w: x for found in map(self.known.__getitem__, words) for w, x in found}.values():
             for f in features:
                 count[f] = min(MOST, count.get(f, 0) + 1)
