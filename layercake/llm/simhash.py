@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layercake.llm.common import slices
-from layercake.llm.components import connected_components
+from layercake.llm.components import connected_components, meet, with_lowest
 from layercake.session import materialize
 
 _LANES = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
@@ -204,14 +204,11 @@ def link_fingerprints(distinct: DataFrame, radius: int = 3, tile: int = 1024) ->
     return tiles.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _components(fps: DataFrame, radius: int, tile: int) -> DataFrame:
-    """``fps`` (key, fp) with ``low``, the smallest key of each row's component."""
-    distinct = materialize(fps.groupBy("fp").agg(F.min("key").alias("low")), "fingerprints")
+def _rooted(fps: DataFrame, radius: int, tile: int) -> DataFrame:
+    """``(fp, low, n, root)`` of each distinct fingerprint of ``fps`` (key, fp): its smallest key, its rows and its component's smallest fingerprint."""
+    distinct = materialize(fps.groupBy("fp").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("n")), "fingerprints")
     roots = connected_components(link_fingerprints(distinct.select("fp"), radius, tile)).withColumnRenamed("node", "fp")
-    rooted = distinct.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("first"))
-    of_fp = rooted.join(lowest, "root").select("fp", F.col("first").alias("low"))
-    return fps.join(of_fp, "fp").select("key", "fp", "low")
+    return distinct.join(roots, "fp", "left").select("fp", "low", "n", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(
@@ -225,7 +222,9 @@ def near_duplicates(
     if it has none). Repeated rows stay; an empty table gives an empty result.
     """
     fps = materialize(fingerprints(docs, doc_id, text, words, seed), "simhash")
-    found = _components(fps, radius, tile)
+    rooted = materialize(_rooted(fps, radius, tile), "components")
+    lowest = with_lowest(rooted, "root", "low", rooted.count()).select("fp", "n", F.col("m").alias("low"))
+    found = meet(fps, lowest, "fp", fps.count())
     return found.select(
         F.col("key").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("low").alias("component_id")
     )
@@ -239,7 +238,7 @@ def keep_one(
     uid = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.lit("/"), F.hex(F.xxhash64(whole)))
     key = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), uid.alias("uid"))
     fps = materialize(fingerprints(docs.select(key.alias("key"), F.col(text).alias("text")), "key", "text", words, seed), "simhash")
-    firsts = _components(fps, radius, tile).select(F.col("low.uid").alias("uid")).distinct()
+    firsts = _rooted(fps, radius, tile).groupBy("root").agg(F.min("low").alias("low")).select(F.col("low.uid").alias("uid"))
     kept = docs.select(uid.alias("uid"), whole.alias("row")).join(firsts, "uid", "left_semi")
     # rows that are the same throughout share their uid: one of them stays
     return kept.groupBy("uid").agg(F.first("row").alias("row")).select("row.*")

@@ -6,7 +6,7 @@ import xxhash
 
 from layercake.llm import simhash
 from layercake.llm.common import table
-from layercake.llm.components import connected_components
+from layercake.llm.components import connected_components, meet, with_lowest
 from layercake.llm.queries import op4_simhash_bk_trees
 
 from .conftest import ROWS
@@ -95,3 +95,23 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 60)] + [(5, 5), (None, 3), (2, 1), (1, 2)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a int, b int")).collect())
     assert got == {**{i: 100 for i in range(100, 141)}, **{i: 7 for i in range(7, 60)}, 1: 1, 2: 1}
+
+
+def test_hub_rows_are_dealt_evenly(spark):
+    """Rows of a hub stay in their tasks; all rows get the minimum of their key."""
+    rows = spark.range(0, 60_000, 1, 12).selectExpr("if(id % 3 = 0, 5, id) as a", "id * 7919 % 60013 as b")
+    got = with_lowest(rows, "a", "b", 60_000)
+    want = rows.join(rows.groupBy("a").agg({"b": "min"}).withColumnRenamed("min(b)", "m"), "a")
+    assert got.exceptAll(want).count() == 0 and got.count() == 60_000
+    hub = got.where("a = 5").selectExpr("spark_partition_id() as p").groupBy("p").count().collect()
+    assert len(hub) >= 12 and max(r["count"] for r in hub) <= 2 * 20_000 / 12
+    side = rows.groupBy("a").count().withColumnRenamed("count", "n")
+    assert meet(rows.limit(0), side.limit(0), "a", 0).count() == 0
+
+
+def test_components_of_a_hub(spark):
+    """A star of 30,000 edges, spokes with chains of their own, and no edges at all."""
+    star = spark.range(10, 30_010).selectExpr("3L as a", "id as b").union(spark.range(10, 1_010).selectExpr("id as a", "id + 100000 as b"))
+    got = connected_components(star)
+    assert got.where("root <> 3").count() == 0 and got.count() == got.select("node").distinct().count() == 31_001
+    assert connected_components(star.limit(0)).count() == 0
