@@ -9,7 +9,7 @@ from layercake.operators.governance import (
     register_masked_view,
     table_inventory,
 )
-from layercake.operators.integrity import orphan_rows
+from layercake.operators.integrity import orphan_rows, orphan_rows_filtered
 from layercake.operators.profile import (
     completeness,
     exact_duplicates,

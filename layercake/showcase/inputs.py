@@ -111,6 +111,10 @@ ORDERS_BAD_KEYS = (
     "o_orderkey",
     "CASE WHEN o_orderkey % 97 = 0 THEN o_custkey + 1000000 ELSE o_custkey END AS o_custkey",
 )
+LINEITEM_BAD_KEYS = (
+    "CASE WHEN l_orderkey % 13 = 0 THEN l_orderkey + 1000000000 WHEN l_orderkey % 89 = 0 THEN NULL ELSE l_orderkey END AS l_orderkey",
+    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "CAST(l_shipdate AS DATE) AS l_shipdate",
+)
 ORDERS_BAD_AND_NULL_KEYS = (
     "o_orderkey",
     "CASE WHEN o_orderkey % 97 = 0 THEN o_custkey + 1000000 "

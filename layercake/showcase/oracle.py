@@ -612,6 +612,13 @@ def oracle_sql() -> dict[str, str]:
                CASE WHEN NOT {bad} THEN n_chars END AS n_chars, CASE WHEN {bad} THEN {I.DOCUMENT_LINE} END AS line,
                count(*) OVER () AS rows_read, count(*) FILTER ({bad}) OVER () AS rows_rejected
         FROM documents"""
+    q["orphan_rows_filtered"] = (f"SELECT * FROM {_from('lineitem', I.LINEITEM_BAD_KEYS)} f WHERE NOT EXISTS "
+                                 "(SELECT 1 FROM orders o WHERE o.o_orderkey = f.l_orderkey)")
+    q["report_state"] = " UNION ALL ".join(
+        f"SELECT 'orders' AS table_name, {_completeness_select(ORDERS_NULL_COLS)}, g AS duplicate_key_groups, r AS duplicate_key_rows, "
+        f"'[\"o_custkey\"]' AS dedupe_keys, {_details_json(ORDERS_NULL_COLS, 'counts')} AS null_details, {i + 1} AS increment "
+        f"FROM {_null_counts(part, ORDERS_NULL_COLS)}, {_dup_keys(part, ['o_custkey'])}"
+        for i in range(3) for part in [f"(SELECT * FROM {ORDERS_NULLS} WHERE o_orderkey % 3 <= {i})"])
     padded = _from("orders", I.ORDERS_PADDED)
     q["publish_atomic"] = f"""
         SELECT o_orderkey, o_orderpriority, o_orderstatus, 1 AS step FROM {padded}

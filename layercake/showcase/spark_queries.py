@@ -24,6 +24,7 @@ from layercake.operators import (
     mask_columns,
     null_profile,
     orphan_rows,
+    orphan_rows_filtered,
     overlapping_versions,
     pattern_hits,
     reconcile,
@@ -754,6 +755,27 @@ def q_checked_intake(spark, sf):
     return kept.unionByName(rejected).select("*", *[x.cast("bigint") for x in counts])
 
 
+def q_orphan_rows_filtered(spark, sf):
+    """Order lines without an order, the orders' keys as a Bloom filter."""
+    return orphan_rows_filtered(_t("lineitem", *I.LINEITEM_BAD_KEYS)(spark, sf), load(spark, sf, "orders"), "l_orderkey", "o_orderkey")
+
+
+def q_report_state(spark, sf):
+    """Profile and key duplicates of the orders after each of three increments, each of which counts its own files only."""
+    from layercake.plans.report_state import ReportState
+    from layercake.session import scratch_path
+
+    root = scratch_path(spark, "report-state")
+    state, landed, out = ReportState(spark, f"{root}/state", ["o_custkey"]), [], []
+    orders = orders_with_nulls(spark, sf).withColumn("part", F.pmod(F.col("o_orderkey"), F.lit(3)))
+    for i in range(3):
+        orders.where(F.col("part") == i).drop("part").write.parquet(f"{root}/landing/{i}")
+        landed += spark.read.parquet(f"{root}/landing/{i}").inputFiles()
+        state.update(landed, lambda names: spark.read.parquet(*names))
+        out.append(materialize(state.report("orders").withColumn("increment", F.lit(i + 1)), "report"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def q_publish_atomic(spark, sf):
     """A table published, published again by a job that dies between writing and the swap, and then by one that does not."""
     from layercake.session import scratch_path
@@ -920,6 +942,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "intake_streams": q_intake_streams,
     "checked_intake": q_checked_intake,
     "publish_atomic": q_publish_atomic,
+    "orphan_rows_filtered": q_orphan_rows_filtered,
+    "report_state": q_report_state,
     "release_concurrent": q_release_concurrent,
     "assign_batches_file_order": q_assign_batches_file_order,
     "read_by_header": q_read_by_header,
