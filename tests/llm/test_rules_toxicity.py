@@ -1,5 +1,6 @@
 """Quality rules (op 8), toxicity (op 9), importance resampling (op 1) and license scans (op 6)."""
 
+import math
 import random
 import re
 import zlib
@@ -305,6 +306,41 @@ def test_gumbel_sampling_is_in_proportion(spark):
     assert 0.68 < top.agg(importance.F.avg(importance.F.col("id") % 2)).first()[0] < 0.82  # 3 to 1
 
 
+def test_importance_of_whole_table(spark, sf):
+    """``log_weight`` recomputed in plain Python over the whole table, and the sample from it; only the noise is Spark's."""
+    docs = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
+    given = {}
+    for i, label in [tuple(r) for r in table(spark, sf, "labels").select("doc_id", "quality").collect()]:
+        if i is not None and label is not None:
+            given[i] = min(label, given.get(i, label))
+    good = {i for i, label in given.items() if label != 0}
+    buckets, wrap = 16_384, 2**64 - 1
+
+    def grams(text):
+        one = [zlib.crc32(p.encode()) for w in (text or "").split() for p in re.findall(r"\w+|[^\w\s]+", w)]
+        two = [(((a * 0x9E3779B97F4A7C15 + b) & wrap) * 0xC2B2AE3D27D4EB4F & wrap) >> 31 for a, b in zip(one, one[1:])]
+        return [x % buckets for x in one + two]
+
+    raw, target = Counter(), Counter()
+    for i, text in docs:
+        raw.update(grams(text))
+        if i in good:
+            target.update(grams(text))
+    n_raw, n_target = sum(raw.values()) + buckets, sum(target.values()) + buckets
+    ratio = [math.log((target[b] + 1) / n_target) - math.log((raw[b] + 1) / n_raw) for b in range(buckets)]
+    noise = dict(tuple(r) for r in table(spark, sf, "documents").select("doc_id", importance.gumbel(importance.F.col("doc_id"), 13)).collect())
+    got = {r["doc_id"]: r for r in op1_importance_resampling(spark, sf).collect()}
+    assert len(got) == len(docs)
+    keys = {}
+    for i, text in docs:
+        own = grams(text)
+        weight = sum(ratio[b] for b in own)
+        assert got[i]["n_grams"] == len(own) and abs(got[i]["log_weight"] - weight) < 1e-6 * max(1, len(own))
+        keys[i] = weight + noise[i]
+    k = round(len(good) / len(given) * len(docs))
+    assert {i for i, r in got.items() if r["kept"]} == set(sorted(keys, key=keys.get, reverse=True)[:k])
+
+
 def test_importance_of_odd_rows(spark, odd_docs, no_docs, labels, no_labels):
     got = importance.resample(odd_docs, labels).collect()
     assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in ROWS)
