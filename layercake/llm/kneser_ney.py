@@ -1,15 +1,18 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark.
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark.
 
 Words are numbered by their rank in the sorted array of word hashes; a
-bigram is the pair of its words' numbers in one 64-bit key. Tasks count their
-own n-grams, sort them and send one packed block to each shard; a shard merges
+bigram is the pair of its words' numbers in one 64-bit key, a longer n-gram
+is known by a 64-bit hash of its words' numbers. Tasks count their own
+n-grams, sort them and send one packed block to each shard; a shard merges
 its blocks into sorted arrays in the shared checkpoint folder. Scoring
 workers memory-map the arrays and search them with sorted batches, so neither
 the driver nor one task ever holds the model.
 
-p(w|u) = max(c(u,w) - D(c(u,w)), 0) / c(u) + g(u) * p(w), where p(w) is the
-same over continuation counts (in how many contexts a word was seen),
-interpolated with the uniform distribution over the V words and one unknown.
+For an n-gram w after the words h, with h' for h without its first word:
+p(w|h) = max(c(h,w) - D(c(h,w)), 0) / c(h) + g(h) * p(w|h'). The longest
+n-grams have counts, all shorter ones continuation counts (how many words were
+seen before them); single words are interpolated with the uniform distribution
+over the V words and one unknown. Texts begin with as many ends as a context is long.
 """
 
 from __future__ import annotations
@@ -40,39 +43,112 @@ def _hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
-def _pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Number of keys, the sorted keys as high and low halves (which compress), the counts."""
-    halves = keys.view("<u4").reshape(-1, 2)
-    small = counts.astype("<u4")
-    return b"".join([np.array([len(keys)], "<u8").tobytes(), halves[:, 1].tobytes(), halves[:, 0].tobytes(), small.tobytes()])
+def _pack(columns: list[np.ndarray], counts: np.ndarray) -> bytes:
+    """Number of rows and bytes of a count, the columns (numbers that compress), the counts (64 bits only where a block needs them)."""
+    width = 8 if len(counts) and int(counts.max()) >> 32 else 4
+    return b"".join([np.array([len(counts), width], "<u8").tobytes(), *[x.tobytes() for x in columns], counts.astype(f"<u{width}").tobytes()])
 
 
-def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = int(np.frombuffer(block, "<u8", 1)[0])
-    high, low, counts = (np.frombuffer(block, "<u4", n, 8 + 4 * n * i) for i in range(3))
-    return (high.astype(np.uint64) << np.uint64(32)) | low.astype(np.uint64), counts.astype(np.int64)
+def _unpack(block: bytes, columns: int, kind: str = "<u4") -> tuple[list[np.ndarray], np.ndarray]:
+    n, width = map(int, np.frombuffer(block, "<u8", 2))
+    size = np.dtype(kind).itemsize
+    return [np.frombuffer(block, kind, n, 16 + size * n * i) for i in range(columns)], np.frombuffer(block, f"<u{width}", n, 16 + size * n * columns).astype(np.int64)
+
+
+def _halves(keys: np.ndarray) -> list[np.ndarray]:
+    """High and low halves of 64-bit keys."""
+    both = keys.view("<u4").reshape(-1, 2)
+    return [both[:, 1], both[:, 0]]
+
+
+def _joined(halves: list[np.ndarray]) -> np.ndarray:
+    return (halves[0].astype(np.uint64) << np.uint64(32)) | halves[1].astype(np.uint64)
+
+
+def _stored(counts: np.ndarray) -> np.ndarray:
+    """Counts as 32 bits where all of them fit, else as 64."""
+    return counts.astype(np.uint32 if not len(counts) or int(counts.max()) >> 32 == 0 else np.int64)
+
+
+@dataclass(frozen=True)
+class Grams:
+    """How n-grams of one length are keyed and sent: pairs of 32-bit numbers are their own keys, all others are hashed."""
+
+    length: int
+    wide: bool  # word numbers need 64 bits
+
+    @property
+    def exact(self) -> bool:
+        return self.length == 2 and not self.wide
+
+    @property
+    def kind(self) -> str:
+        return "<u8" if self.wide else "<u4"
+
+    def keys(self, columns: list[np.ndarray]) -> np.ndarray:
+        if self.exact:
+            return _joined(columns)
+        key = np.zeros(len(columns[0]), np.uint64)
+        for x in columns:
+            key = (key ^ x.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            key = (key ^ (key >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            key ^= key >> np.uint64(29)
+        return key
+
+    def summed(self, columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """Distinct n-grams in the order of their keys: keys, columns, sums of counts (None: each counts one)."""
+        keys = self.keys(columns)
+        if self.exact:
+            keys, counts = np.unique(keys, return_counts=True) if counts is None else _sum_by_key(keys, counts)
+            return keys, _halves(keys), counts
+        counts = np.ones(len(keys), np.int64) if counts is None else counts
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = _firsts(keys)
+        return keys[first], [x[order[first]] for x in columns], np.add.reduceat(counts, first) if len(first) else counts
+
+    def blocks(self, columns: list[np.ndarray], counts: np.ndarray, shards: int, kind: int = 0):
+        """Rows ``(shard, kind, block)``, n-grams by key within a block."""
+        keys, columns, counts = self.summed(columns, counts)
+        where = _by_mix(keys, shards)
+        order = np.argsort(where, kind="stable")
+        cut = np.flatnonzero(np.diff(where[order])) + 1
+        return [(int(where[p[0]]), kind, _pack([x[p].astype(self.kind) for x in columns], counts[p])) for p in np.split(order, cut) if len(p)]
+
+    def merged(self, blocks: list[tuple[int, bytes]]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        parts = [_unpack(b, self.length, self.kind) for _, b in blocks]
+        return self.summed([np.concatenate([c[i] for c, _ in parts]) for i in range(self.length)], np.concatenate([n for _, n in parts]))
 
 
 def _sum_by_key(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    first = _firsts(keys)
     return keys[first], (np.add.reduceat(counts, first) if len(first) else counts)
 
 
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each value of sorted keys begins."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
 def _mix(keys: np.ndarray) -> np.ndarray:
     """A spread of 64-bit keys over shards that no one word dominates."""
     x = keys * np.uint64(0x9E3779B97F4A7C15)
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)
 
 
+def _by_mix(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (_mix(keys) % np.uint64(shards)).astype(np.int64)
+
+
 def _blocks(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray, kind: int = 0):
     """Rows ``(shard, kind, block)``, keys sorted within a block."""
     keys, counts = _sum_by_key(keys, counts) if len(keys) else (keys, counts)
     where = shard(keys)
     order = np.argsort(where, kind="stable")
     cut = np.flatnonzero(np.diff(where[order])) + 1
-    return [(int(where[part[0]]), kind, _pack(keys[part], counts[part])) for part in np.split(order, cut) if len(part)]
+    return [(int(where[part[0]]), kind, _pack(_halves(keys[part]), counts[part])) for part in np.split(order, cut) if len(part)]
 
 
 def _by_hash(shards: int):
@@ -85,22 +161,18 @@ def _merge(blocks: DataFrame, shards: int, write, schema: str) -> DataFrame:
 
     def run(batches):
         held: dict[int, list] = {}
-        current = None
-        for batch in batches:
+        for batch in batches:  # a task is one shard
             for shard, kind, block in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "data"))):
-                if shard != current and current is not None:
-                    yield write(current, held.pop(current))
-                current = shard
                 held.setdefault(shard, []).append((kind, block))
-        if current is not None:
-            yield write(current, held.pop(current))
+        for shard in sorted(held):
+            yield write(shard, held.pop(shard))
 
-    return blocks.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+    return blocks.repartitionById(shards, F.col("shard")).mapInArrow(run, schema)
 
 
 def _distinct_sum(blocks: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [_unpack(b) for _, b in blocks]
-    return _sum_by_key(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
+    parts = [_unpack(b, 2) for _, b in blocks]
+    return _sum_by_key(np.concatenate([_joined(k) for k, _ in parts]), np.concatenate([c for _, c in parts]))
 
 
 @dataclass(frozen=True)
@@ -108,12 +180,13 @@ class Model:
     """Where the arrays are, and the few numbers the scores need."""
 
     folder: str
-    word_shards: int
-    pair_shards: int
+    shards: int
+    order: int
+    wide: bool
     n_words: int  # V, the end included
     n_tokens: int  # N
     n_pairs: int  # distinct bigrams
-    pair_discounts: tuple[float, float, float]
+    gram_discounts: tuple[tuple[float, float, float], ...]  # of bigrams, trigrams, ...
     word_discounts: tuple[float, float, float]
     word_backoff: float
 
@@ -172,26 +245,34 @@ def _numbered(texts: list[str], words: Words, memo: Memo) -> tuple[np.ndarray, n
     return np.fromiter((number(w) for c in cut for w in c), np.int64, int(sizes.sum())), sizes
 
 
-def _pairs(numbers: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each token; the beginning of a text is context ``end``."""
-    before = np.empty_like(numbers)
-    before[1:] = numbers[:-1]
-    before[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = end
-    return before, numbers
+def _before(numbers: np.ndarray, sizes: np.ndarray, end: int, back: int) -> np.ndarray:
+    """The word ``back`` places before each token; before the beginning of a text it is ``end``."""
+    out = np.full_like(numbers, end)
+    out[back:] = numbers[:-back] if back < len(numbers) else numbers[:0]
+    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    for i in range(back):
+        at = first + i
+        out[at[i < sizes]] = end
+    return out
 
 
-def train(docs: DataFrame, text: str = "text", shards: int | None = None) -> Model:
-    """Count ``docs`` and store the model in the shared checkpoint folder.
+def train(docs: DataFrame, text: str = "text", order: int = 2, shards: int | None = None, shard_bytes: int = 1 << 24, wide: bool | None = None) -> Model:
+    """Count ``docs`` and store the model, n-grams of up to ``order`` (2 or more) words, in the shared checkpoint folder.
 
-    ``shards``: pieces of the arrays, by default as many as the session has
-    shuffle partitions. Null text is empty: it counts one end. An empty table
-    gives a model without words, under which every token is unknown.
+    ``shards``: pieces of the arrays, each one task; by default one for each
+    ``shard_bytes`` of text, so a task holds as much on large tables as on small
+    ones. ``wide``: word numbers of 64 bits, by default from 2**32 words on. Null
+    text is empty: it counts one end. An empty table gives a model without
+    words, under which every token is unknown.
     """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     ship(spark)
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = shared_folder(spark, "kneser-ney")
     source = docs.select(F.col(text).cast("string").alias("text"))
+    if shards is None:
+        shards = max(1, -(-(source.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes))
     by_hash = _by_hash(shards)
 
     def count_words(batches):
@@ -223,65 +304,91 @@ def train(docs: DataFrame, text: str = "text", shards: int | None = None) -> Mod
         totals[r["shard"]] = r["n"]
     n_words, n_tokens = int(totals.sum()), sum(r["total"] for r in made)
     save_array(folder, "word-totals", totals)
-    if n_words >= 1 << 32:
-        raise ValueError("bigram keys hold word numbers of 32 bits")
+    wide = n_words >> 32 > 0 if wide is None else wide
+    levels = {k: Grams(k, wide) for k in range(2, order + 1)}
 
-    by_mix = lambda keys: (_mix(keys) % np.uint64(shards)).astype(np.int64)
-
-    def count_pairs(batches):
-        words, memo = _words(folder, shards), Memo(None)
+    def count_grams(batches):
+        words, memo, grams = _words(folder, shards), Memo(None), levels[order]
         end = int(words.ranks(np.array([_hash(END)], np.uint64))[0]) if n_words else 0
         held, size = [], 0
+
+        def out():
+            columns = [np.concatenate([c[i] for c, _ in held]) for i in range(order)]
+            return blob_batch(grams.blocks(columns, np.concatenate([n for _, n in held]), shards))
+
         for batch in slices(batches, "text"):
-            before, number = _pairs(*_numbered(strings(batch.column("text")), words, memo), end)
-            keys, n = np.unique((before.astype(np.uint64) << np.uint64(32)) | number.astype(np.uint64), return_counts=True)
-            held.append((keys, n.astype(np.int64)))
-            size += len(keys)
-            if size > 6_000_000:
-                yield blob_batch(_blocks(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]), by_mix))
+            numbers, sizes = _numbered(strings(batch.column("text")), words, memo)
+            columns = [_before(numbers, sizes, end, back).astype(grams.kind) for back in range(order - 1, 0, -1)] + [numbers.astype(grams.kind)]
+            _, columns, n = grams.summed(columns)
+            held.append((columns, n))
+            size += len(n)
+            if size > 12_000_000 // order:
+                yield out()
                 held, size = [], 0
         if held:
-            yield blob_batch(_blocks(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]), by_mix))
+            yield out()
 
-    def write_pairs(shard, blocks):
-        keys, counts = _distinct_sum(blocks)
-        save_array(folder, f"pairs-{shard}", keys)
-        save_array(folder, f"pair-counts-{shard}", np.minimum(counts, 2**32 - 1).astype(np.uint32))
-        before = (keys >> np.uint64(32)).astype(np.uint64)
-        after = keys & np.uint64(0xFFFFFFFF)
+    def write_grams(shard, blocks, grams):
+        keys, columns, counts = grams.merged(blocks)
+        save_array(folder, f"grams{grams.length}-{shard}", keys)
+        save_array(folder, f"counts{grams.length}-{shard}", _stored(counts))
         rows = []
-        # of each context: its tokens and how many of its followers were seen once, twice, more often; of each word: its contexts
-        for kind, key, n in (
-            (0, before, counts), (1, before, (counts == 1).astype(np.int64)), (2, before, (counts == 2).astype(np.int64)),
-            (3, before, (counts >= 3).astype(np.int64)), (4, after, np.ones(len(keys), np.int64)),
-        ):
-            rows += _blocks(key[n > 0], n[n > 0], lambda k: _range(k, n_words, shards), kind)
+        # of each context: its tokens and how many of its followers were seen once, twice, more often
+        context = levels[grams.length - 1].keys(columns[:-1]) if grams.length > 2 else columns[0].astype(np.uint64)
+        deal = (lambda k: _by_mix(k, shards)) if grams.length > 2 else (lambda k: _range(k, n_words, shards))
+        for kind, n in ((0, counts), (1, (counts == 1).astype(np.int64)), (2, (counts == 2).astype(np.int64)), (3, (counts >= 3).astype(np.int64))):
+            rows += _blocks(context[n > 0], n[n > 0], deal, kind)
+        # of each shorter n-gram: the words seen before it
+        one = np.ones(len(keys), np.int64)
+        rows += levels[grams.length - 1].blocks(columns[1:], one, shards, 4) if grams.length > 2 else _blocks(columns[1].astype(np.uint64), one, deal, 4)
         seen = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
         rows.append((-1, shard, np.array([len(keys), *seen], "<i8").tobytes()))
         return blob_batch(rows)
 
-    folded = _merge(source.mapInArrow(count_pairs, blob_schema()), shards, write_pairs, blob_schema())
-    blobs = shared_folder(spark, "kneser-ney-contexts")
-    folded.write.parquet(blobs)
-    folded = spark.read.schema(blob_schema()).parquet(blobs)
-    seen = sum((np.frombuffer(r["data"], "<i8") for r in folded.where("shard = -1").collect()), np.zeros(5, np.int64))
-
-    def write_contexts(shard, blocks):
+    def write_contexts(shard, blocks, length):
+        """Sorted keys of the contexts of n-grams of ``length`` words, and their four numbers."""
+        of = [[b for b in blocks if b[0] == kind] for kind in range(4)]
+        keys, total = _distinct_sum(of[0])
+        stats = np.zeros((len(keys), 4), np.int64)
+        stats[:, 0] = total
+        for kind in (1, 2, 3):
+            if of[kind]:
+                some, n = _distinct_sum(of[kind])
+                stats[np.searchsorted(keys, some), kind] = n
+        save_array(folder, f"heads{length}-{shard}", keys)
+        save_array(folder, f"contexts{length}-{shard}", stats)
+        return pa.RecordBatch.from_arrays([pa.array([len(keys)])], ["n"])
+
+    gram_discounts = []
+    blocks = source.mapInArrow(count_grams, blob_schema())
+    for length in range(order, 1, -1):
+        written = _merge(blocks, shards, lambda shard, held, grams=levels[length]: write_grams(shard, held, grams), blob_schema())
+        blobs = shared_folder(spark, "kneser-ney-contexts")
+        written.write.parquet(blobs)
+        written = spark.read.schema(blob_schema()).parquet(blobs)
+        seen = sum((np.frombuffer(r["data"], "<i8") for r in written.where("shard = -1").collect()), np.zeros(5, np.int64))
+        gram_discounts.insert(0, discounts(*map(int, seen[1:])))
+        if length > 2:
+            heads = written.where("shard >= 0 and kind < 4")
+            _merge(heads, shards, lambda shard, held, length=length: write_contexts(shard, held, length), "n bigint").agg(F.sum("n")).collect()
+            blocks = written.where("shard >= 0 and kind = 4")
+
+    def write_words_seen(shard, blocks):
         low, high = _bounds(shard, n_words, shards)
         stats = np.zeros((5, high - low), np.int64)
         for kind, block in blocks:
-            keys, counts = _unpack(block)
-            np.add.at(stats[kind], keys.astype(np.int64) - low, counts)
+            halves, counts = _unpack(block, 2)
+            np.add.at(stats[kind], _joined(halves).astype(np.int64) - low, counts)
         save_array(folder, f"contexts-{shard}", np.ascontiguousarray(stats.T))
         c = stats[4]
         return pa.RecordBatch.from_arrays([pa.array([int((c == k).sum())]) for k in (1, 2, 3, 4)] + [pa.array([int((c > 2).sum())])], ["n1", "n2", "n3", "n4", "more"])
 
-    rows = _merge(folded.where("shard >= 0"), shards, write_contexts, "n1 bigint, n2 bigint, n3 bigint, n4 bigint, more bigint").collect()
+    rows = _merge(written.where("shard >= 0"), shards, write_words_seen, "n1 bigint, n2 bigint, n3 bigint, n4 bigint, more bigint").collect()
     n1, n2, n3, n4, more = (sum(r[i] for r in rows) for i in range(5))
     word_discounts = discounts(n1, n2, n3, n4)
     spent = word_discounts[0] * n1 + word_discounts[1] * n2 + word_discounts[2] * more
     return Model(
-        folder, shards, shards, n_words, n_tokens, int(seen[0]), discounts(*map(int, seen[1:])), word_discounts, spent / seen[0] if seen[0] else 1.0
+        folder, shards, order, wide, n_words, n_tokens, int(seen[0]), tuple(gram_discounts), word_discounts, spent / seen[0] if seen[0] else 1.0
     )
 
 
@@ -298,7 +405,7 @@ class Scorer:
     """Token log-probabilities from the mapped arrays."""
 
     def __init__(self, model: Model):
-        self.m, self.words = model, _words(model.folder, model.word_shards)
+        self.m, self.words = model, _words(model.folder, model.shards)
         self.memo = Memo(None)
         self.end = int(self.words.ranks(np.array([_hash(END)], np.uint64))[0]) if model.n_words else -1
 
@@ -311,25 +418,27 @@ class Scorer:
             out[low:high] = open_array(self.m.folder, f"{name}-{s}")[numbers[low:high] - step[s]]
         return out
 
-    def _pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(keys), np.int64)
-        where = (_mix(keys) % np.uint64(self.m.pair_shards)).astype(np.int64)
+    def _found(self, keys_of: str, values_of: str, keys: np.ndarray, width: int = 0) -> np.ndarray:
+        """Values stored beside sorted keys in shards, 0 for keys that are not there; ``keys`` may repeat."""
+        some, of = np.unique(keys, return_inverse=True)
+        out = np.zeros((len(some), width) if width else len(some), np.int64)
+        where = _by_mix(some, self.m.shards)
         order = np.argsort(where, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(where[order])) + 1):
+        for part in np.split(order, np.flatnonzero(np.diff(where[order])) + 1) if len(order) else ():
             s = int(where[part[0]])
-            have = _piece(self.m.folder, f"pairs-{s}")
+            have = _piece(self.m.folder, f"{keys_of}-{s}")
             if have is None or not len(have):
                 continue
-            at = np.minimum(np.searchsorted(have, keys[part]), len(have) - 1)
-            hit = have[at] == keys[part]
-            out[part[hit]] = open_array(self.m.folder, f"pair-counts-{s}")[at[hit]]
-        return out
+            at = np.minimum(np.searchsorted(have, some[part]), len(have) - 1)
+            hit = have[at] == some[part]
+            out[part[hit]] = open_array(self.m.folder, f"{values_of}-{s}")[at[hit]]
+        return out[of]
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per text: tokens, known tokens, unigram log10 with half-counts, and the model's log10."""
         m = self.m
         numbers, sizes = _numbered(texts, self.words, self.memo)
-        before, _ = _pairs(numbers, sizes, self.end)
+        before = {back: _before(numbers, sizes, self.end, back) for back in range(1, m.order)}
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         distinct, back = np.unique(numbers, return_inverse=True)
         known = distinct >= 0
@@ -337,25 +446,32 @@ class Scorer:
         stats = np.zeros((len(distinct), 5), np.int64)
         if known.any():
             count[known] = self._gather("counts", distinct[known], self.words.start[:-1], 0)
-            step = np.array([_bounds(s, m.n_words, m.pair_shards)[0] for s in range(m.pair_shards)])
+            step = np.array([_bounds(s, m.n_words, m.shards)[0] for s in range(m.shards)])
             stats[known] = self._gather("contexts", distinct[known], step, 5)
         base = np.log10((count + 0.5) / (m.n_tokens + 0.5 * (m.n_words + 1)))
         uniform = 1.0 / (m.n_words + 1)
         cont = stats[:, 4]
         p_word = np.maximum(cont - _discount(cont, m.word_discounts), 0) / max(1, m.n_pairs) + m.word_backoff * uniform
-        # contexts: those of the words themselves and, at the beginning of a text, the end's
-        at = np.searchsorted(distinct, before)
-        at = np.minimum(at, len(distinct) - 1)
-        total = stats[:, 0]
-        left = (stats[:, 1:4] * np.array(m.pair_discounts)).sum(axis=1)
-        backoff = np.where(total > 0, left / np.maximum(total, 1), 1.0)
-        ok = (numbers >= 0) & (before >= 0)
-        keys = (before[ok].astype(np.uint64) << np.uint64(32)) | numbers[ok].astype(np.uint64)
-        some, of = np.unique(keys, return_inverse=True)
-        c = np.zeros(len(numbers), np.int64)
-        if len(some):
-            c[ok] = self._pair_counts(some)[of]
-        p = np.maximum(c - _discount(c, m.pair_discounts), 0) / np.maximum(total[at], 1) + backoff[at] * p_word[back]
+        p, ok = p_word[back], numbers >= 0
+        for length in range(2, m.order + 1):
+            grams, d = Grams(length, m.wide), m.gram_discounts[length - 2]
+            if length == 2:  # contexts: the words themselves and, at the beginning of a text, the end
+                at = np.minimum(np.searchsorted(distinct, before[1]), len(distinct) - 1)
+                head, known_head = stats[at, :4], before[1] >= 0
+            else:
+                context = [before[k] for k in range(length - 1, 0, -1)]
+                known_head = np.all([x >= 0 for x in context], axis=0)
+                head = np.zeros((len(numbers), 4), np.int64)
+                head[known_head] = self._found(
+                    f"heads{length}", f"contexts{length}", Grams(length - 1, m.wide).keys([x[known_head].astype(grams.kind) for x in context]), 4
+                )
+            total = head[:, 0]
+            backoff = np.where(total > 0, (head[:, 1:] * np.array(d)).sum(axis=1) / np.maximum(total, 1), 1.0)
+            some = ok & known_head
+            columns = [before[k][some].astype(grams.kind) for k in range(length - 1, 0, -1)] + [numbers[some].astype(grams.kind)]
+            c = np.zeros(len(numbers), np.int64)
+            c[some] = self._found(f"grams{length}", f"counts{length}", grams.keys(columns))
+            p = np.maximum(c - _discount(c, d), 0) / np.maximum(total, 1) + backoff * p
         return sizes, np.add.reduceat((count > 0)[back].astype(np.int64), first), np.add.reduceat(base[back], first), np.add.reduceat(np.log10(p), first)
 
 

@@ -82,6 +82,69 @@ def test_scores_of_whole_table(spark, sf):
         assert sum(model.p(u, w) for w in model.count) + model.p(u, "never seen") == pytest.approx(1)
 
 
+class BruteForceN:
+    """Modified Kneser-Ney of any order from plain dictionaries, by recursion."""
+
+    def __init__(self, texts, order):
+        self.order = order
+        top, self.count = Counter(), Counter()
+        for t in map(tokens, texts):
+            self.count.update(t)
+            padded = [END] * (order - 1) + t
+            top.update(tuple(padded[i : i + order]) for i in range(len(t)))
+        self.grams = {order: top}
+        for k in range(order - 1, 0, -1):  # distinct words before each shorter n-gram
+            self.grams[k] = Counter(g[1:] for g in self.grams[k + 1])
+        self.d = {k: (0.0, *kneser_ney.discounts(*(sum(n == i for n in g.values()) for i in (1, 2, 3, 4)))) for k, g in self.grams.items()}
+        self.total, self.left = Counter(), Counter()
+        for k, g in self.grams.items():
+            for x, n in g.items():
+                self.total[k, x[:-1]] += n
+                self.left[k, x[:-1]] += self.d[k][min(n, 3)]
+
+    def p(self, h, w):
+        k = len(h) + 1
+        lower = self.p(h[1:], w) if h else 1 / (len(self.count) + 1)
+        total = self.total[k, h]
+        if not total:
+            return lower
+        n = self.grams[k][*h, w]
+        return max(n - self.d[k][min(n, 3)], 0) / total + self.left[k, h] / total * lower
+
+    def score(self, text):
+        t = tokens(text)
+        padded = [END] * (self.order - 1) + t
+        return sum(math.log10(self.p(tuple(padded[i : i + self.order - 1]), w)) for i, w in enumerate(t))
+
+
+@pytest.mark.parametrize("order, wide", [(2, True), (3, False), (3, True), (4, False)])
+def test_scores_of_longer_n_grams(spark, sf, order, wide):
+    docs = table(spark, sf, "documents")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    trained = BruteForceN([t for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1], order)
+    model = kneser_ney.train(docs.where(fold(kneser_ney.F.col("doc_id")) != 1), order=order, wide=wide, shard_bytes=1 << 17)
+    assert model.shards > 1
+    got = {r["doc_id"]: r["score"] for r in kneser_ney.score(docs, model).collect()}
+    assert set(got) == {i for i, _ in rows}
+    for i, text in rows:
+        assert got[i] == pytest.approx(trained.score(text), rel=1e-9)
+
+
+def test_odd_rows_at_order_three(spark, odd_docs, no_docs):
+    model = kneser_ney.train(odd_docs, order=3, shards=3)
+    trained = BruteForceN([r[1] for r in ROWS], 3)
+    got = sorted(r["score"] for r in kneser_ney.score(odd_docs, model).collect())
+    assert got == pytest.approx(sorted(trained.score(r[1]) for r in ROWS), rel=1e-9)
+    assert kneser_ney.score(no_docs, kneser_ney.train(no_docs, order=3)).count() == 0
+
+
+def test_counts_beyond_32_bits_are_kept():
+    keys, counts = np.array([5, 1 << 40], np.uint64), np.array([7, 1 << 33], np.int64)
+    halves, back = kneser_ney._unpack(kneser_ney._pack(kneser_ney._halves(keys), counts), 2)
+    assert kneser_ney._joined(halves).tolist() == keys.tolist() and back.tolist() == counts.tolist()
+    assert kneser_ney._stored(counts).tolist() == counts.tolist() and kneser_ney._stored(counts[:1]).itemsize == 4
+
+
 def test_scores_of_odd_rows(spark, odd_docs, no_docs):
     trained = kneser_ney.train(odd_docs.where(fold(kneser_ney.F.col("doc_id")) != 1), shards=3)
     compare(kneser_ney.score(odd_docs, trained).collect(), [(r[0], r[1]) for r in ROWS])
