@@ -222,18 +222,20 @@ def frequent_chunks(docs: DataFrame, size: int, text: str = "text", longest: int
 
     Chunks of over ``longest`` characters are left to the merges, so what reaches the driver is bounded by ``size * longest``.
     """
+    from layercake.llm.importance import kth_largest  # that module imports this one
+
     counts = count_chunks(docs, text).where((F.col("n") > 1) & (F.length("chunk") <= longest))
     spark = docs.sparkSession
     folder = shared_folder(spark, "chunk-counts")
     counts.write.parquet(folder)
     counts = spark.read.parquet(folder)
-    most = F.least(F.col("n"), F.lit(1 << 16))  # counts above are all kept unless there are over ``size`` of them
-    held, floor = 0, (1 << 16) + 1
-    for row in counts.groupBy(most.alias("c")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("c")).collect():
-        if held + row["k"] > size:
-            break
-        held, floor = held + row["k"], row["c"]
-    return [r["chunk"] for r in counts.where(F.col("n") >= floor).select("chunk").collect()]
+    if size < 1:
+        return []
+    floor = kth_largest(counts, "n", size)  # None: there are fewer than ``size``
+    frequent = counts if floor is None else counts.where(F.col("n") >= floor)
+    if frequent.count() > size:
+        frequent = counts.where(F.col("n") > floor)
+    return [r["chunk"] for r in frequent.select("chunk").collect()]
 
 
 def compile_lexicon(docs: DataFrame, vocabulary_path: str, size: int = 65_536, text: str = "text") -> str:

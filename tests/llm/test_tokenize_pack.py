@@ -49,6 +49,20 @@ def test_odd_rows_whatever_the_lexicon(spark, odd_docs, size):
     assert sorted(r["text"] for r in tokenize.decode_ids(whole, BPE).collect()) == sorted(r[1] or "" for r in ROWS)
 
 
+def test_frequent_chunks_keep_to_their_bound(spark):
+    """Counts far apart, over 16 bits and tied; where ties of a count would pass the size, none of that count."""
+    text = lambda n, *words: [(f" {w}" * n).strip() for w in words]
+    rows = [(i, t) for i, t in enumerate(text(70_000, "a", "b") + text(66_000, "c") + text(9, "d", "e", "f") + text(2, "g") + text(1, "h"))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    seen = tokenize.count_chunks(docs).collect()
+    for size in range(len(seen) + 3):
+        counts = sorted((r["n"] for r in seen if r["n"] > 1), reverse=True)
+        floor = counts[size - 1] if 0 < size <= len(counts) else 2 if size else None
+        while floor is not None and sum(n >= floor for n in counts) > size:
+            floor += 1
+        assert sorted(tokenize.frequent_chunks(docs, size)) == sorted(r["chunk"] for r in seen if floor and r["n"] >= floor)
+
+
 def test_empty_table(spark, no_docs):
     folder = tokenize.compile_lexicon(no_docs, BPE)
     assert tokenize.encode_digests(no_docs, folder, BPE).count() == 0
@@ -100,6 +114,34 @@ def test_pieces_of_odd_rows(spark, odd_docs):
     check_pieces(packing.pack_documents(odd_docs, BPE).collect(), [(r[0], r[1]) for r in ROWS])
 
 
+@pytest.mark.parametrize("limits", [packing.Limits(1024, 256, 10_000, 64), packing.Limits(100_000, 6, 100_000, 64), packing.Limits(100_000, 10_000, 300, 64)])
+def test_conversations_keep_to_each_limit(spark, sf, limits):
+    """Whole conversations of the whole table; the assistant's tokens bear loss. Each limit binds in one of the cases."""
+    turns = [tuple(r) for r in table(spark, sf, "conversations").select("conv_id", "role", "text").collect()]
+    tokens, loss = defaultdict(int), defaultdict(int)
+    for conv, role, text in turns:
+        n = len((text or "").split()) + 1
+        tokens[conv] += n
+        loss[conv] += n if role == "assistant" else 0
+    assert sum(loss.values()) and sum(loss.values()) < sum(tokens.values())
+    df = spark.createDataFrame([(c, tokens[c], loss[c]) for c in tokens], "id bigint, t int, l int").coalesce(2)
+    got = packing.pack_examples(df, "id", "t", "l", limits).collect()
+    assert sorted((r["example_id"], r["n_tokens"], r["n_loss"]) for r in got) == sorted((c, tokens[c], loss[c]) for c in tokens)
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r["sequence_id"]].append(r)
+    for s in sequences.values():
+        alone = len(s) == 1 and (s[0]["n_tokens"] > limits.tokens or s[0]["n_loss"] > limits.loss)
+        assert alone or (sum(r["n_tokens"] for r in s) <= limits.tokens and len(s) <= limits.segments and sum(r["n_loss"] for r in s) <= limits.loss)
+        at = 0
+        for r in sorted(s, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["n_tokens"]
+    within = [c for c in tokens if tokens[c] <= limits.tokens and loss[c] <= limits.loss]  # the others stand alone
+    lower = max(sum(tokens[c] for c in within) / limits.tokens, sum(loss[c] for c in within) / limits.loss, len(within) / limits.segments)
+    assert lower <= len(sequences) <= 1.35 * lower + 8 + len(tokens) - len(within)
+
+
 def test_examples_keep_to_all_three_limits(spark):
     rng = np.random.default_rng(1)
     rows = [(i, int(a), int(b)) for i, (a, b) in enumerate(zip(rng.integers(0, 600, 800), rng.integers(0, 300, 800)))]
