@@ -391,10 +391,13 @@ def _grafted(page: str, other: str, pick: int) -> list[tuple[str, str]]:
     return [(grafted, grafted), (plain, grafted)]
 
 
-def fit(pages: DataFrame, bound: int = 400, page_id: str = "page_id", html: str = "html") -> Trees:
-    """Train on at most ``bound`` pages, the first in hash order of their id and html; without any that mark an article, on none (nothing is extracted)."""
+def fit(pages: DataFrame, bound: int = 400, page_id: str = "page_id", html: str = "html", page_bytes: int = 1 << 18, node_bound: int = 200_000) -> Trees:
+    """Train on at most ``bound`` pages of at most ``page_bytes``, the first in hash order of their id and html, and on the first ``node_bound`` of their nodes.
+
+    These bounds keep what one task and the driver hold small whatever the pages are. Without any page that marks an article nothing is extracted.
+    """
     ship(pages.sparkSession)
-    source = pages.select(F.col(page_id).cast("string").alias("page_id"), F.col(html).cast("string").alias("html")).where(F.length("html") > 0)
+    source = pages.select(F.col(page_id).cast("string").alias("page_id"), F.col(html).cast("string").alias("html")).where(F.octet_length("html").between(1, page_bytes))
     some = source.orderBy(F.xxhash64("page_id", "html")).limit(bound)
 
     def run(batches):
@@ -411,7 +414,7 @@ def fit(pages: DataFrame, bound: int = 400, page_id: str = "page_id", html: str
                 before = " ".join(t for _, t in parse(page)[1])
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float32())), pa.array(labels, pa.int32())], ["x", "y"])
 
-    data = some.mapInArrow(run, "x array<float>, y int").collect()
+    data = some.mapInArrow(run, "x array<float>, y int").limit(node_bound).collect()
     if not data or len({r["y"] for r in data}) < 2:
         return Trees(-8.0, np.zeros((0, 1), np.int64), np.zeros((0, 1)), np.zeros((0, 2)))
     x, y = np.array([r["x"] for r in data], np.float32), np.array([r["y"] for r in data], float)
