@@ -20,8 +20,6 @@ CRM_CUSTOMER_KEY_PREFIX = r"(?i)^AW-?"
 ERP_CUSTOMER_KEY_PREFIX = r"(?i)^(NAS)?AW-?"
 MASK_SUFFIX = "***"
 
-_SMALL_MAP = 32
-
 
 def quoted(name: str) -> str:
     """Back-quote a column name so dots, spaces and back-quotes survive."""
@@ -59,12 +57,6 @@ def value_map(col: Column, mapping: Mapping) -> Column:
     if not table:
         return col
     key = F.lower(F.trim(col))
-    if len(table) <= _SMALL_MAP:
-        out = None
-        for source, target in table.items():
-            cond = key == F.lit(source)
-            out = F.when(cond, F.lit(target)) if out is None else out.when(cond, F.lit(target))
-        return out.otherwise(col)
     lookup = F.create_map(*[x for kv in table.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     return F.when(F.map_contains_key(lookup, key), F.try_element_at(lookup, key)).otherwise(col)
 

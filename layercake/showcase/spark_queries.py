@@ -661,7 +661,9 @@ def q_catalog_roundtrip(spark, sf):
     publish_table(load(spark, sf, "customer"), f"{database}.raw_customer", check_schema=True)
     names = discover_tables(spark, "raw_", database)
     tables = load_tables(spark, [*names, "raw_absent"], database)
-    return profile_report(tables, spark=spark).select("table_name", "row_count", "column_count", "total_null_values")
+    report = materialize(profile_report(tables, spark=spark).select("table_name", "row_count", "column_count", "total_null_values"), "catalog-report")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return report
 
 
 def q_ingest_sources(spark, sf):
@@ -689,6 +691,8 @@ def q_ingest_sources(spark, sf):
 
 def q_masked_view(spark, sf):
     """The masked customer dimension, read through its view's name by someone who is no owner."""
+    import uuid
+
     from layercake.operators.governance import classify_columns as classify
     from layercake.operators.governance import register_masked_view
     from layercake.plans.star import customer_dimension
@@ -696,8 +700,9 @@ def q_masked_view(spark, sf):
     raw = {k: v for k, v in star_raw(spark, sf).items() if k in ("cust_info", "cust_az12", "loc_a101")}
     cleaned = {k: clean(v, SPECS[k], STAR_AS_OF) for k, v in raw.items()}
     dim = customer_dimension(cleaned["cust_info"], cleaned["cust_az12"], cleaned["loc_a101"])
-    register_masked_view(classify(dim, CUSTOMER_COLUMN_METADATA), "customers_masked_view", owners=["data_owner"])
-    return spark.table("customers_masked_view")
+    view = f"customers_masked_view_{uuid.uuid4().hex[:12]}"
+    register_masked_view(classify(dim, CUSTOMER_COLUMN_METADATA), view, owners=["data_owner"])
+    return spark.table(view)
 
 
 def q_star_increment(spark, sf):
