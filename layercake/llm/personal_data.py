@@ -19,14 +19,17 @@ import hashlib
 import re
 from collections import defaultdict
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layercake.llm.common import fold_of, ship, slices, strings
-from layercake.llm.html_trees import Trees, boost
+from layercake.llm.boosting import binned, boost_all, cuts_of
+from layercake.llm.common import fold_of, open_array, save_array, shared_folder, ship, slices, strings
+from layercake.llm.html_trees import Trees
+from layercake.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed patterns of the base spans; possessive, so that no text makes them slow (the matches are the same).
@@ -242,75 +245,183 @@ def _judged(text: str, true: set[Span]):
         yield features(text, span, left, right, 0.0)[:-1], span[0], int(span in true), word_before(text, span[1])
 
 
+class Evidence:
+    """Log-odds of the word before a candidate, in sorted arrays in the shared folder, memory-mapped by the workers."""
+
+    SHARDS = 64
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    @staticmethod
+    def key(word: str) -> int:
+        return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+
+    def get(self, word: str, default: float = 0.0) -> float:
+        found = _looked_up(self.folder, word)
+        return default if found is None else found
+
+
+@lru_cache(maxsize=65536)
+def _looked_up(folder: str, word: str) -> float | None:
+    key = Evidence.key(word)
+    keys = open_array(folder, f"keys-{key % Evidence.SHARDS}")
+    at = int(np.searchsorted(keys, np.uint64(key)))
+    return float(open_array(folder, f"values-{key % Evidence.SHARDS}")[at]) if at < len(keys) and keys[at] == key else None
+
+
 @dataclass
 class Model:
     trees: Trees | None = None
-    evidence: dict[str, float] = field(default_factory=dict)
+    evidence: Evidence | dict[str, float] = field(default_factory=dict)
     threshold: dict[str, float] = field(default_factory=dict)
 
 
-def calibrated(score: np.ndarray, y: np.ndarray, least: float) -> float:
-    """Smallest score from which on the calibrated probability (pooled adjacent violators) reaches ``least``; infinity if none."""
-    order = np.argsort(score, kind="stable")
+def pooled(rows) -> list[list[float]]:
+    """Pooled adjacent violators of ``(sum of labels, rows, score)`` in ascending order of scores; of pooled parts in order, those of the whole."""
     blocks: list[list[float]] = []  # sum of labels, rows, lowest score
-    for s, v in zip(score[order].tolist(), y[order].tolist()):
+    for v, n, s in rows:
         if blocks and blocks[-1][2] == s:
             blocks[-1][0] += v
-            blocks[-1][1] += 1
+            blocks[-1][1] += n
         else:
-            blocks.append([v, 1, s])
+            blocks.append([v, n, s])
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             total, n, _ = blocks.pop()
             blocks[-1][0] += total
             blocks[-1][1] += n
+    return blocks
+
+
+def calibrated(score: np.ndarray, y: np.ndarray, least: float) -> float:
+    """Smallest score from which on the calibrated probability (pooled adjacent violators) reaches ``least``; infinity if none."""
+    order = np.argsort(score, kind="stable")
+    return _reached(pooled((v, 1, s) for s, v in zip(score[order].tolist(), y[order].tolist())), least)
+
+
+def _reached(blocks: list[list[float]], least: float) -> float:
     return next((s for total, n, s in blocks if total / (n + 1) >= least), float("inf"))
 
 
-def fit(docs: DataFrame, bound: int = 20_000, rows: int = 40_000, least: float = 0.9, doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Learn from at most ``bound`` documents, the first in hash order of their ids, and at most ``rows`` of their candidates, likewise.
+def thresholds(scored: DataFrame, least: float) -> dict[str, float]:
+    """``calibrated`` for every kind of rows ``(kind, score, y)``: each task pools a range of scores, the driver the blocks of all ranges in order."""
+
+    def run(batches):
+        rows: dict[str, list] = defaultdict(list)
+        for b in batches:
+            for kind, s, v, n in zip(*[b.column(x).to_pylist() for x in ("kind", "score", "y", "n")]):
+                rows[kind].append((v, n, s))
+            for kind in rows:
+                rows[kind] = [tuple(x) for x in pooled(rows[kind])]
+        for kind, blocks in rows.items():
+            y, n, s = (pa.array(x, pa.float64()) for x in zip(*blocks))
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(blocks)), y, n, s], ["kind", "y", "n", "score"])
+
+    one = scored.groupBy("kind", "score").agg(F.sum("y").cast("double").alias("y"), F.count(F.lit(1)).cast("double").alias("n"))
+    blocks = one.repartitionByRange("kind", "score").sortWithinPartitions("kind", "score").mapInArrow(run, "kind string, y double, n double, score double")
+    found: dict[str, list] = defaultdict(list)
+    for r in sorted(blocks.collect(), key=lambda r: r["score"]):
+        found[r["kind"]].append((r["y"], r["n"], r["score"]))
+    return {k: _reached(pooled(found[k]), least) for k in KINDS}
+
+
+def _evidence(learn: DataFrame, share: float) -> Evidence:
+    """Words before at least 20 candidates, counted over all of them."""
+    folder = shared_folder(learn.sparkSession, "evidence")
+    counts = learn.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("b")).where("n >= 20")
+
+    def keyed(batches):
+        for batch in batches:
+            keys = [Evidence.key(w) for w in batch.column("word").to_pylist()]
+            n, b = (batch.column(x).to_numpy(zero_copy_only=False).astype(np.float64) for x in ("n", "b"))
+            value = np.log((b + 10 * share) / (n - b + 10 * (1 - share))) - np.log(share / (1 - share))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k % Evidence.SHARDS for k in keys], pa.int32()), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(value)], ["shard", "key", "value"]
+            )
+
+    def save(group: pa.Table) -> pa.Table:
+        shard = group.column("shard")[0].as_py()
+        key, value = (np.concatenate([c.to_numpy() for c in group.column(x).chunks]) for x in ("key", "value"))
+        key = key.view(np.uint64)
+        order = np.argsort(key)
+        save_array(folder, f"keys-{shard}", key[order])
+        save_array(folder, f"values-{shard}", value[order])
+        return pa.table({"shard": pa.array([shard], pa.int32())})
+
+    rows = counts.mapInArrow(keyed, "shard int, key bigint, value double")
+    saved = {r["shard"] for r in rows.groupBy("shard").applyInArrow(save, "shard int").collect()}
+    for shard in set(range(Evidence.SHARDS)) - saved:
+        save_array(folder, f"keys-{shard}", np.zeros(0, np.uint64))
+        save_array(folder, f"values-{shard}", np.zeros(0))
+    return Evidence(folder)
+
+
+def _matrix(batch, evidence: Evidence) -> np.ndarray:
+    x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(NAMES) - 1).astype(np.float64)
+    return np.column_stack([x, [evidence.get(w, 0.0) for w in batch.column("word").to_pylist()]])
+
+
+def fit(docs: DataFrame, least: float = 0.9, doc_id: str = "doc_id", text: str = "text") -> Model:
+    """Learn from the distinct candidates of all documents.
 
     A fifth of the candidates, by the hash of their document, is held back to calibrate the thresholds, at which a candidate is right with
     probability ``least``. Without base spans that stand alone nothing is added to the base.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    some = source.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).withColumnRenamed("doc_id", "__id")
-    sample = source.join(F.broadcast(some), F.col("doc_id") == F.col("__id")).select("doc_id", "text")
 
     def run(batches):
         beside: dict[str, str] = {}
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 500_000):
             out = []
             for i, t in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text"))):
                 if "@" in t or _GROUP.search(t):
-                    out += [(fold_of(i) == 0, *e) for e in examples([t], beside)]
+                    out += {(fold_of(i) == 0, tuple(x), *rest) for x, *rest in examples([t], beside)}
+                if len(out) >= 20_000:
+                    yield _example_batch(out)
+                    out = []
             if out:
-                held, x, kind, y, word = zip(*out)
+                yield _example_batch(out)
+
+    data = materialize(source.mapInArrow(run, "held boolean, x array<float>, kind string, y int, word string").distinct(), "candidates")
+    learn = data.where("NOT held")
+    n, positive = learn.agg(F.count(F.lit(1)), F.sum("y")).first()
+    if not n or positive in (0, n):
+        return Model()
+    evidence = _evidence(learn, positive / n)
+
+    def values(batches):
+        for batch in batches:
+            if batch.num_rows:
+                found = [np.unique(c, return_counts=True) for c in _matrix(batch, evidence).T]
+                at = np.repeat(np.arange(len(found)), [len(v) for v, _ in found])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(held), pa.array(x, pa.list_(pa.float32())), pa.array(kind), pa.array(y, pa.int32()), pa.array(word)], ["held", "x", "kind", "y", "word"]
+                    [pa.array(at, pa.int32()), pa.array(np.concatenate([v for v, _ in found])), pa.array(np.concatenate([c for _, c in found]))], ["feature", "value", "n"]
                 )
 
-    found = sample.mapInArrow(run, "held boolean, x array<float>, kind string, y int, word string").distinct()
-    data = found.orderBy(F.xxhash64("x", "word"), "held", "y").limit(rows).collect()
-    learn, keep = [r for r in data if not r["held"]], [r for r in data if r["held"]]
-    if len({r["y"] for r in learn}) < 2:
-        return Model()
-    counts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-    for r in learn:
-        counts[r["word"]][r["y"]] += 1
-    share = sum(r["y"] for r in learn) / len(learn)
-    evidence = {w: float(np.log((b + 10 * share) / (a + 10 * (1 - share))) - np.log(share / (1 - share))) for w, (a, b) in sorted(counts.items()) if a + b >= 20}
-
-    def matrix(part):
-        return np.array([[*r["x"], evidence.get(r["word"], 0.0)] for r in part], np.float64), np.array([float(r["y"]) for r in part])
-
-    x, y = matrix(learn)
-    trees = boost(x, y, np.ones(len(y)), rounds=40, depth=5)
-    keep = keep or learn
-    x, y = matrix(keep)
-    score, kinds = trees.log_odds(x), np.array([r["kind"] for r in keep])
-    return Model(trees, evidence, {k: calibrated(score[kinds == k], y[kinds == k], least) for k in KINDS})
+    cuts = cuts_of(learn.mapInArrow(values, "feature int, value double, n bigint"), len(NAMES))
+
+    def bins(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in binned(_matrix(batch, evidence), cuts)], pa.binary()), batch.column("y")], ["bins", "y"])
+
+    trees = boost_all(learn.mapInArrow(bins, "bins binary, y int"), cuts, rounds=40, depth=5)
+
+    def scores(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column("kind"), pa.array(trees.log_odds(_matrix(batch, evidence))), batch.column("y")], ["kind", "score", "y"])
+
+    held = data.where("held")
+    return Model(trees, evidence, thresholds((learn if held.isEmpty() else held).mapInArrow(scores, "kind string, score double, y int"), least))
+
+
+def _example_batch(rows: list) -> pa.RecordBatch:
+    held, x, kind, y, word = zip(*rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(held), pa.array(x, pa.list_(pa.float32())), pa.array(kind), pa.array(y, pa.int32()), pa.array(word)], ["held", "x", "kind", "y", "word"]
+    )
 
 
 # --- use ----------------------------------------------------------------------------------------------------------

@@ -106,6 +106,41 @@ def test_calibration():
     assert P.calibrated(score, np.zeros(100), 0.9) == float("inf")
 
 
+def test_blocks_of_ranges_pool_to_those_of_the_whole():
+    pick = random.Random(5)
+    for _ in range(200):
+        rows = [(pick.randrange(4), 3, s) for s in sorted({pick.random() for _ in range(60)})]
+        at = pick.randrange(60)
+        assert P.pooled([*P.pooled(rows[:at]), *P.pooled(rows[at:])]) == P.pooled(rows)
+
+
+def test_trees_over_shards_equal_trees_in_memory(spark):
+    import numpy as np
+
+    from layercake.llm.boosting import binned, boost_all, cuts_of
+    from layercake.llm.html_trees import boost
+
+    pick = np.random.default_rng(2)
+    x = np.stack([pick.integers(0, 6, 3000), pick.integers(0, 90, 3000), pick.normal(size=3000)], axis=1)
+    y = ((x[:, 0] > 2) ^ (x[:, 1] * x[:, 2] > 10)).astype(int)
+    values = spark.createDataFrame([(j, float(v), 1) for j in range(3) for v in x[:, j]], "feature int, value double, n bigint")
+    cuts = cuts_of(values, 3)
+    assert all(np.allclose(c, np.unique(np.quantile(x[:, j], np.linspace(0, 1, 33)[1:-1]))) for j, c in enumerate(cuts))
+    rows = spark.createDataFrame([(r.tobytes(), int(v)) for r, v in zip(binned(x, cuts), y)], "bins binary, y int")
+    got, want = boost_all(rows, cuts, rounds=4, depth=3, shard_rows=700), boost(x, y.astype(float), np.ones(3000), rounds=4, depth=3)
+    assert np.allclose(got.log_odds(x), want.log_odds(x))
+
+
+def test_every_document_is_learnt_from(spark):
+    """Personal data only in documents that come late in the hash order of the ids: counts, trees and thresholds know them."""
+    late = spark.range(24_000).selectExpr("id", "row_number() over (order by xxhash64(id), id) as at")
+    text = "CASE WHEN at > 21000 THEN concat('mail user', id, '@host', id % 7, '.example.com or call +1 (855) 555-', 1000 + id % 9000, ' not 1 22 333 4444') ELSE 'plain' END"
+    docs = late.selectExpr("id as doc_id", f"{text} as text")
+    found = P.fit(docs)
+    assert found.trees is not None and found.evidence.get("call") and found.threshold["email"] < float("inf")
+    assert found.evidence.get("never seen", 0.0) == 0.0
+
+
 def test_odd_rows(spark, odd_docs, no_docs, model):
     rows = {r["doc_id"]: r for r in P.find(odd_docs, model).collect()}
     assert P.find(odd_docs, model).count() == odd_docs.count()
