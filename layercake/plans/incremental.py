@@ -18,19 +18,23 @@ Tables of the store, each dealt into buckets by a key:
   lookup finds the rows to join again in the dimension itself.
 
 The fact is a projection of the cleaned sales and is not stored twice.
+
+Every row is shuffled only where its key occurs again: 64-bit hashes of the keys tell which do (``Meeting``). Rows that
+are kept go from folder to folder in their buckets, without a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layercake.functions.columns import c
 from layercake.operators import rules
+from layercake.operators.integrity import BROADCAST_KEYS, _bits
 from layercake.operators.versions import derive_end_date
 from layercake.plans.catalog import SPECS
 from layercake.plans.spec import TableSpec, _apply, _dedupe
@@ -71,6 +75,45 @@ def same_keys(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     return df.join(marked, on, how)
 
 
+def _key_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.coalesce(c(k).cast("string"), F.lit("\u0000")) for k in df.columns])
+
+
+class Meeting:
+    """The keys of new rows that occur more than once in old and new rows, as a Bloom filter, so that other rows are neither shuffled nor joined.
+
+    Only 64-bit hashes of the keys are shuffled to find them; the filter is made of those that occur again, with at most
+    ``BROADCAST_KEYS`` words (with more keys it lets more rows through; those that pass are compared key by key in any case).
+    """
+
+    def __init__(self, old: DataFrame | None, new: DataFrame, bits_per_key: int = 16):
+        every = new.select(_key_hash(new).alias("__h"), F.lit(True).alias("__new"))
+        if old is not None:
+            every = every.unionByName(old.select(_key_hash(old).alias("__h"), F.lit(False).alias("__new")))
+        again = every.groupBy("__h").agg(F.count(F.lit(1)).alias("__n"), F.max("__new").alias("__new")).where("__n > 1 AND __new")
+        both = materialize(again.select("__h"), "met-keys")
+        self.words = max(1, min(BROADCAST_KEYS, both.count() * bits_per_key // 64))
+        word, mask = _bits(F.col("__h"), self.words)
+        bloom = both.select(word.alias("__word"), mask.alias("__mask")).groupBy("__word").agg(F.bit_or("__mask").alias("__bits"))
+        self.bloom = materialize(bloom, "met-bits")
+        self.new = self.split(new, new.columns)[0].distinct()
+
+    def split(self, df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """Rows that may have a shared key, and rows that have none."""
+        word, mask = _bits(_key_hash(df.select(*[c(k) for k in keys])), self.words)
+        rows = df.select(F.struct(*[c(n) for n in df.columns]).alias("__row"), word.alias("__word"), mask.alias("__mask"))
+        rows = rows.join(F.broadcast(self.bloom), "__word", "left")  # at most ``words`` rows of two numbers
+        passed = F.coalesce(F.col("__bits").bitwiseAND(F.col("__mask")) == F.col("__mask"), F.lit(False))
+        return rows.where(passed).select("__row.*"), rows.where(~passed).select("__row.*")
+
+    def semi(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return same_keys(self.split(df, keys)[0], self.new.toDF(*keys), "left_semi")
+
+    def anti(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        passed, rest = self.split(df, keys)
+        return rest.unionByName(same_keys(passed, self.new.toDF(*keys), "left_anti"))
+
+
 @dataclass
 class Increment:
     """What one increment read and rewrote: bucket numbers by table."""
@@ -88,53 +131,59 @@ class IncrementalStar:
 
     # --- one table ---------------------------------------------------------------------------------------------
 
-    def _update(self, work: Transaction, name: str, keys: Sequence[str], fresh: DataFrame, changed: DataFrame, log: Increment) -> DataFrame | None:
-        """Replace the rows of ``changed`` keys by ``fresh``; returns the rows that were there before (None: a new table).
+    def _update(self, work: Transaction, name: str, keys: Sequence[str], fresh: DataFrame, changed: DataFrame, log: Increment,
+                met: Meeting | None = None) -> tuple[DataFrame, DataFrame | None]:
+        """Replace the rows of ``changed`` keys by ``fresh``; returns the fresh rows as stored and those that were there before (None: a new table).
 
-        ``changed`` names the key columns of the table; the buckets of both are the ones rewritten.
+        ``changed`` names the key columns of the table; the buckets of both are the ones rewritten. ``met``: the changed keys
+        that the table may have, if they are known.
         """
         old = work.base.tables.get(name)
         if old is None:
-            work.replace(name, fresh, keys, self.n)
+            stored = work.replace(name, fresh, keys, self.n)
             log.touched[name] = sorted(int(b) for b in work.tables[name]["parts"])
-            return None
-        touched = work.base.touched(name, changed.select(*[c(k) for k in keys]))
+            return stored, None
+        changed = changed.select(*[c(k) for k in keys])
+        touched = work.base.touched(name, changed)
         before = work.base.read(name, touched)
-        kept = same_keys(before, changed, "left_anti")
-        work.replace(name, kept.unionByName(fresh.select(*kept.columns)), keys, self.n, touched)
+        met = met or Meeting(before.select(*[c(k) for k in keys]), changed)
+        stored = work.replace(name, fresh.select(*before.columns), keys, self.n, touched, kept=met.anti(before, keys))
         log.touched[name] = touched
-        return same_keys(before, changed, "left_semi")
+        return stored, met.semi(before, keys)
 
-    def _history(self, work: Transaction, source: str, new: DataFrame, keys: Sequence[str], log: Increment) -> tuple[DataFrame, DataFrame]:
-        """Append prepared rows; returns the touched keys and all rows of those keys, old and new."""
+    def _history(self, work: Transaction, source: str, new: DataFrame, keys: Sequence[str], log: Increment) -> tuple[DataFrame, DataFrame | None, Meeting]:
+        """Append prepared rows; returns them as stored, the old rows of their keys (None: a new table) and which of their keys occur again."""
         name = f"raw_{source}"
-        changed = materialize(new.select(*[c(k) for k in keys]).distinct(), f"keys-{source}")
-        work.append(name, new, keys, self.n)
-        touched = sorted({r[0] for r in changed.select(bucket_of([c(k) for k in keys], self.n)).distinct().collect()})
+        new, touched = work.append(name, new, keys, self.n)
+        log.rows[source] = new.count()
         log.touched[name] = touched
+        changed = new.select(*[c(k) for k in keys])
         if name not in work.base.tables:
-            return changed, new
+            return new, None, Meeting(None, changed)
         every = work.base.read(name, touched)
-        return changed, same_keys(every, changed, "left_semi").unionByName(new.select(*every.columns))
+        met = Meeting(every.select(*[c(k) for k in keys]), changed)
+        return new, met.semi(every, keys).select(*new.columns), met
 
     def _source(self, work: Transaction, source: str, raw: DataFrame, log: Increment) -> tuple[DataFrame, DataFrame | None]:
         """Bring one cleaned table up to date; returns its fresh rows and the rows they replace."""
         spec = SPECS[source]
-        new = materialize(prepare(raw, spec, self.as_of), f"prepared-{source}")
-        log.rows[source] = new.count()
-        target = spec.target
+        new = prepare(raw, spec, self.as_of)
         if source != "prd_info":
-            changed, rows = self._history(work, source, new, spec.keys, log)
-            fresh = materialize(finish(rows, spec, self.as_of), target)
+            new, old, met = self._history(work, source, new, spec.keys, log)
+            changed = new.select(*[c(k) for k in spec.keys])
+            again, alone = met.split(new, spec.keys)  # a row alone under its key is its survivor and needs no window
+            fresh = finish(again if old is None else old.unionByName(again), spec, self.as_of)
+            fresh = fresh.unionByName(finish(alone, replace(spec, keys=()), self.as_of))
         else:
-            keys, rows = self._history(work, source, new, [_VERSION_KEY], log)
+            new, old, _ = self._history(work, source, new, [_VERSION_KEY], log)
+            met, keys = None, new.select(c(_VERSION_KEY))
+            rows = new if old is None else old.unionByName(new)
             dated = materialize(derive_end_date(rows, "prd_key", "prd_start_dt", "prd_end_dt", tie=["prd_id"]), "validity-ends")
             self._update_versions(work, dated, keys, log)
             changed = materialize(dated.select("prd_id").distinct(), "product-ids")
-            fresh = materialize(finish(self._with_versions(work, dated, keys, changed), spec, self.as_of, windows=False), target)
+            fresh = finish(self._with_versions(work, dated, keys, changed), spec, self.as_of, windows=False)
         renamed = changed.toDF(*[spec.rename.get(k, k) for k in changed.columns])
-        before = self._update(work, target, spec.renamed_keys(), fresh, renamed, log)
-        return fresh, before
+        return self._update(work, spec.target, spec.renamed_keys(), fresh, renamed, log, met)
 
     def _update_versions(self, work: Transaction, dated: DataFrame, keys: DataFrame, log: Increment) -> None:
         """Rows of the touched product keys lie in the buckets of their ids: history only grows, so the fresh rows name them all."""
@@ -145,7 +194,7 @@ class IncrementalStar:
             return
         touched = work.base.touched("versions", dated.select("prd_id"))
         kept = same_keys(work.base.read("versions", touched), keys, "left_anti")
-        work.replace("versions", kept.unionByName(dated.select(*kept.columns)), ["prd_id"], self.n, touched)
+        work.replace("versions", dated.select(*kept.columns), ["prd_id"], self.n, touched, kept=kept)
         log.touched["versions"] = touched
 
     def _with_versions(self, work: Transaction, dated: DataFrame, keys: DataFrame, ids: DataFrame) -> DataFrame:
@@ -180,7 +229,7 @@ class IncrementalStar:
             changed = rows.select(c(key)).distinct()
         buckets = sorted({r[0] for r in changed.select(bucket_of([c(key)], self.n)).distinct().collect()})
         found = [now.read(t, buckets) if t in now.tables else self.spark.createDataFrame([], _renamed_schema(t)) for t in lookups]
-        self._update(work, name, [key], materialize(build(rows, *found), name), changed, log)
+        self._update(work, name, [key], build(rows, *found), changed, log)
 
     # --- an increment ------------------------------------------------------------------------------------------
 

@@ -721,7 +721,7 @@ def q_star_increment(spark, sf):
     parts = {s: materialize(df.withColumn("__part", F.pmod(F.xxhash64(*df.columns), F.lit(3))), f"raw-{s}") for s, df in text.items()}
     for part in (0, 1, 2):
         for job in jobs:
-            parts[job.name].where(F.col("__part") == part).drop("__part").write.mode("append").options(**LOSSLESS_CSV).csv(job.folder)
+            parts[job.name].where(F.col("__part") == part).drop("__part").write.mode("append").options(**LOSSLESS_CSV, compression="gzip").csv(job.folder)
         run_keyed_increment(star, jobs)
     tables = star.tables()
     return quality_report({n: tables.get(n) for n in STAR_SUITES}, STAR_SUITES, as_of=STAR_AS_OF, spark=spark)

@@ -203,16 +203,22 @@ class Transaction:
         folder = f"data/{uuid.uuid4().hex}"
         path = f"{self.store.root}/{folder}"
         if buckets == 1:
-            df.write.parquet(path)
+            df.write.option("compression", "zstd").parquet(path)
             return {"0": [folder]}
-        dealt = df.withColumn(BUCKET, bucket_of([c(k) for k in keys], buckets))
-        # one shuffle by bucket; adaptive execution splits a bucket that a hot key fills
-        dealt.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(path)
+        # every task deals its own rows: no shuffle, and a task leaves at most one file a bucket
+        df.withColumn(BUCKET, bucket_of([c(k) for k in keys], buckets)).write.option("compression", "zstd").partitionBy(BUCKET).parquet(path)
         names = [n for n in list_names(self.spark, path) if n.startswith(f"{BUCKET}=")]
         return {n.split("=", 1)[1]: [f"{folder}/{n}"] for n in names}
 
-    def replace(self, name: str, df: DataFrame, keys: Sequence[str] = (), buckets: int = 1, touched: Iterable[int] | None = None, check_schema: bool = False) -> None:
-        """Replace a table, or only its ``touched`` buckets (``df`` then holds all rows of those)."""
+    def _stored(self, parts: Mapping[str, list[str]], schema: StructType) -> DataFrame:
+        folders = [f"{self.store.root}/{f}" for b in sorted(parts, key=int) for f in parts[b]]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    def replace(
+        self, name: str, df: DataFrame, keys: Sequence[str] = (), buckets: int = 1, touched: Iterable[int] | None = None, check_schema: bool = False,
+        kept: DataFrame | None = None,
+    ) -> DataFrame:
+        """Replace a table, or only its ``touched`` buckets (``df`` and ``kept`` then hold all rows of those); returns the rows of ``df`` as stored."""
         old = self.tables.get(name)
         schema = df.schema.jsonValue()
         if old is not None:
@@ -222,6 +228,10 @@ class Transaction:
             if touched is not None and old["buckets"] != buckets:
                 raise ValueError(f"{name} has {old['buckets']} buckets, not {buckets}")
         parts = self._write(df, keys, buckets)
+        stored = self._stored(parts, df.schema)
+        if kept is not None:
+            for b, folders in self._write(kept.select(*[c(n) for n in df.columns]), keys, buckets).items():
+                parts.setdefault(b, []).extend(folders)
         if old is not None and touched is not None:
             gone = {str(b) for b in touched}
             stray = set(parts) - gone
@@ -229,14 +239,19 @@ class Transaction:
                 raise ValueError(f"Rows of {name} lie outside the touched buckets: {sorted(stray)[:5]}")
             parts = {b: f for b, f in old["parts"].items() if b not in gone} | parts
         self.tables[name] = {"schema": schema, "buckets": buckets, "parts": parts}
+        return stored
 
-    def append(self, name: str, df: DataFrame, keys: Sequence[str] = (), buckets: int = 1) -> None:
-        """Add rows to a table; only folders of their buckets are added."""
+    def append(self, name: str, df: DataFrame, keys: Sequence[str] = (), buckets: int = 1) -> tuple[DataFrame, list[int]]:
+        """Add rows to a table; only folders of their buckets are added. Returns the rows as stored and their buckets."""
         old = self.tables.get(name)
         if old is None:
-            return self.replace(name, df, keys, buckets)
-        for b, folders in self._write(df.select(*[c(f["name"]) for f in old["schema"]["fields"]]), keys, old["buckets"]).items():
+            stored = self.replace(name, df, keys, buckets)
+            return stored, sorted(int(b) for b in self.tables[name]["parts"])
+        rows = df.select(*[c(f["name"]) for f in old["schema"]["fields"]])
+        parts = self._write(rows, keys, old["buckets"])
+        for b, folders in parts.items():
             old["parts"].setdefault(b, []).extend(folders)
+        return self._stored(parts, rows.schema), sorted(int(b) for b in parts)
 
     def drop(self, name: str) -> None:
         self.tables.pop(name, None)

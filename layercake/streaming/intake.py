@@ -126,7 +126,7 @@ def _frame(spark: SparkSession, job: Intake, schema: StructType, streaming: bool
 
 
 def _start(spark: SparkSession, job: Intake, schema: StructType):
-    writer = _frame(spark, job, schema, True).writeStream.format("parquet").option("checkpointLocation", job.sink.rstrip("/") + "/_checkpoint")
+    writer = _frame(spark, job, schema, True).writeStream.format("parquet").option("checkpointLocation", job.sink.rstrip("/") + "/_checkpoint").option("compression", "zstd")
     if job.rejects:
         writer = writer.partitionBy(REJECTED)
     return writer.trigger(availableNow=True).queryName(f"intake-{job.name}").start(job.sink)

@@ -135,6 +135,44 @@ def test_keyed_increments_equal_the_full_recompute(spark):
         IncrementalStar(spark, star.store.root, buckets=16, as_of="2026-01-01").apply(raw_rows(spark, 1))
 
 
+def test_only_keys_that_occur_again_are_shuffled(spark, monkeypatch):
+    """Rows whose key no other row has go to their buckets by themselves: neither the windows nor the joins get them, nor are kept rows dealt again."""
+    from layercake.plans import incremental
+    from layercake.sources import versioned
+
+    given, plans = [], []
+    plain, joins, write = incremental.finish, incremental.same_keys, versioned.Transaction._write
+
+    def finish(df, spec, *args, **more):
+        if spec.keys:
+            given.append(df.count())
+        return plain(df, spec, *args, **more)
+
+    def same_keys(df, keys, how):
+        given.append(df.count())
+        return joins(df, keys, how)
+
+    def written(self, df, keys, buckets):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, df, keys, buckets)
+
+    monkeypatch.setattr(incremental, "finish", finish)
+    monkeypatch.setattr(incremental, "same_keys", same_keys)
+    monkeypatch.setattr(versioned.Transaction, "_write", written)
+    star = IncrementalStar(spark, scratch_path(spark, "t-star-again"), buckets=4, as_of="2025-06-01")
+    sale = lambda i, amount: (f"S{i}", "P1", "1", "20200301", "20200302", "20200303", str(amount), "1", "1")
+    every = []
+    for part in range(3):
+        own = [sale(i, part) for i in range(part * 500, part * 500 + 500)] + [sale(i, 90 + part) for i in (7, 1003, 1003)] + [(None, *sale(1, 1)[1:])]
+        every += own
+        star.apply({"sales_details": spark.createDataFrame(own, RAW_SCHEMAS["sales_details"])})
+    assert given and max(given) <= 30, given  # of 1,500 rows
+    assert not any("RebalancePartitions" in p or "RepartitionByExpression" in p for p in plans)
+    want = run_batch({"sales_details": spark.createDataFrame(every, RAW_SCHEMAS["sales_details"])}, as_of="2025-06-01", reports=())["gold_fact_sales"]
+    got = star.tables()["gold_fact_sales"]
+    assert rows(got) == rows(want.select(*got.columns)) and got.count() == 1500
+
+
 def test_an_increment_reads_touched_buckets_only(spark, monkeypatch):
     star = IncrementalStar(spark, scratch_path(spark, "t-star-read"), buckets=16, as_of="2025-06-01")
     star.apply(raw_rows(spark, 0))
