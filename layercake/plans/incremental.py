@@ -302,11 +302,12 @@ def _renamed_schema(target: str) -> str:
 def run_keyed_increment(star: IncrementalStar, jobs: Sequence) -> tuple[list, Increment]:
     """Take in the new files of every source at once (``streaming.intake``), then bring the star tables up to date.
 
-    Returns the outcome of each source and what was touched. A source whose intake failed contributes nothing this time.
+    Returns the outcome of each source and what was touched. If the intake of a source failed, ``IntakeError`` is raised and
+    nothing is published: the tables stay as they were, and the next run takes in the new files of all sources.
     """
     from layercake.streaming.intake import run_streams
 
-    outcomes = run_streams(star.spark, jobs)
+    outcomes = run_streams(star.spark, jobs, strict=True)
     raw, files = {}, {}
     for job in jobs:
         if job.rejects:

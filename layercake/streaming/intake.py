@@ -2,7 +2,8 @@
 
 All file streams of a call are started together under ``availableNow`` and then awaited; Spark's scheduler
 shares the executors among them. A stream that cannot start or fails is reported with its message and does not
-stop the others. Every source reports the rows its sink gained.
+stop the others. Every source reports the rows its sink gained. A caller that goes on with the rows asks for
+``strict=True``: then one error names every source that failed, once all streams have ended.
 
 With ``rejects=True`` a line that does not fit the schema (too few or too many
 fields, unreadable values) is not dropped or half-filled: it goes, as written,
@@ -96,6 +97,14 @@ class Outcome:
     error: str | None = None
 
 
+class IntakeError(RuntimeError):
+    """Sources that failed, with their messages; ``outcomes`` has those of all sources."""
+
+    def __init__(self, outcomes: Sequence[Outcome]):
+        super().__init__("Intake failed for: " + "; ".join(f"{o.name}: {o.error}" for o in outcomes if o.error is not None))
+        self.outcomes = list(outcomes)
+
+
 def _message(exc: BaseException) -> str:
     return f"{type(exc).__name__}: {(str(exc).splitlines() or [''])[0][:300]}"
 
@@ -132,8 +141,12 @@ def _start(spark: SparkSession, job: Intake, schema: StructType):
     return writer.trigger(availableNow=True).queryName(f"intake-{job.name}").start(job.sink)
 
 
-def run_streams(spark: SparkSession, jobs: Sequence[Intake]) -> list[Outcome]:
-    """Run all intakes at once; one outcome each, in the order given. Running again on unchanged folders adds 0 rows."""
+def run_streams(spark: SparkSession, jobs: Sequence[Intake], strict: bool = False) -> list[Outcome]:
+    """Run all intakes at once; one outcome each, in the order given. Running again on unchanged folders adds 0 rows.
+
+    ``strict=True`` raises ``IntakeError`` if a source failed, after all others have ended. What their sinks gained stays
+    there, and the next run takes in what is missing.
+    """
     running: list[tuple] = []
     for job in jobs:
         try:
@@ -153,6 +166,8 @@ def run_streams(spark: SparkSession, jobs: Sequence[Intake]) -> list[Outcome]:
                 error = _message(exc)
         rows, rejected = _counts(spark, job) if query is not None else before
         done.append(Outcome(job.name, "streaming", rows - before[0], rejected - before[1], error))
+    if strict and any(o.error is not None for o in done):
+        raise IntakeError(done)
     return done
 
 

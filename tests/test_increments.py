@@ -17,7 +17,7 @@ from layercake.sources.csv import read_csv_by_header
 from layercake.sources.sinks import write_batches
 from layercake.sources.tables import release_batch, release_log
 from layercake.sources.versioned import PublishConflict, VersionedStore, exclusive_write, list_names, publish_atomic
-from layercake.streaming.intake import Intake, ingest_to_sinks, read_checked_csv, read_checked_sink, run_streams
+from layercake.streaming.intake import Intake, IntakeError, ingest_to_sinks, read_checked_csv, read_checked_sink, run_streams
 
 
 def write(path, text):
@@ -210,6 +210,44 @@ def test_a_lost_increment_is_repeated_once(spark, monkeypatch):
     assert star.store.read("raw_cust_info").count() == 63
 
 
+def test_a_failed_intake_is_no_increment(spark):
+    """A source that fails midway and one that cannot start: an error that names both, no tables without their rows, and every row once they are mended."""
+    base = near(scratch_path(spark, "t-star-broken"))
+    star = IncrementalStar(spark, f"{base}/star", buckets=4, as_of="2025-06-01")
+    jobs = [Intake(s, f"{base}/{s}", f"{base}/sink-{s}", RAW_SCHEMAS[s], max_files_per_trigger=1) for s in ("cust_info", "sales_details", "loc_a101")]
+    landed = {}
+
+    def land(part, *sources):
+        for s in sources:
+            new = raw_rows(spark, part)[s]
+            new.coalesce(1).write.mode("append").option("header", True).csv(f"{base}/{s}")
+            landed[s] = landed[s].unionByName(new) if s in landed else new
+
+    land(0, "cust_info", "sales_details")
+    assert run_keyed_increment(star, jobs[:2])[1].snapshot.version == 1
+    before = rows(star.tables()["gold_dim_customers"]), rows(star.tables()["gold_fact_sales"])
+    land(1, "cust_info")
+    land(2, "sales_details")
+    held = set(os.listdir(f"{base}/sales_details"))
+    land(2, "sales_details")
+    (broken,) = [f"{base}/sales_details/{f}" for f in set(os.listdir(f"{base}/sales_details")) - held if f.endswith(".csv")]
+    text = open(broken).read()
+    write(broken, text.replace("S2", "S0"))  # no longer what its checksum says
+    for _ in range(2):  # tried again, it is still an error
+        with pytest.raises(IntakeError, match="(?s)sales_details: .*loc_a101: ") as failed:
+            run_keyed_increment(star, jobs)
+        assert [o.error is None for o in failed.value.outcomes] == [True, False, False]
+        assert (rows(star.tables()["gold_dim_customers"]), rows(star.tables()["gold_fact_sales"])) == before
+    write(broken, text)
+    land(2, "loc_a101")
+    run_keyed_increment(star, jobs)
+    once = IncrementalStar(spark, f"{base}/once", buckets=4, as_of="2025-06-01")
+    once.apply(landed)
+    assert star.store.read("raw_sales_details").count() == landed["sales_details"].count() == 6
+    for name, want in once.tables().items():
+        assert rows(star.tables()[name].select(*want.columns)) == rows(want), name
+
+
 # --- intake
 
 
